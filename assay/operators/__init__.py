@@ -1,0 +1 @@
+"""Operators: analyzers, profiling, checks, expectations, suite generation, comparison."""

@@ -203,25 +203,31 @@ class Compliance(Analyzer):
     """Share of ALL rows for which ``predicate`` is true; a null predicate counts as false.
 
     ``column`` holds the label (the constraint's description); ``predicate``
-    is a SQL string or a Column.
+    is a SQL string, a Column, or a zero-argument function building the
+    Column (so rules can be declared before a session exists).
     """
 
-    predicate: str | Column | None = field(default=None, compare=False, hash=False)
+    predicate: str | Column | Callable[[], Column] | None = field(default=None, compare=False, hash=False)
     predicate_key: str = ""
 
     metric: ClassVar[str] = "Compliance"
 
     @staticmethod
-    def of(label: str, predicate: str | Column) -> Compliance:
-        return Compliance(label, predicate=predicate, predicate_key=str(predicate))
+    def of(label: str, predicate, key: str | None = None) -> Compliance:
+        return Compliance(label, predicate=predicate, predicate_key=key or str(predicate))
 
     @property
     def _pkey(self) -> str:
         return f"compliant:{self.predicate_key}"
 
+    def _predicate(self) -> Column:
+        p = self.predicate
+        if isinstance(p, str):
+            return F.expr(p)
+        return p if isinstance(p, Column) else p()  # a zero-argument builder
+
     def partials(self, columns):
-        pred = F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
-        return {**_rows(), self._pkey: F.sum(F.when(pred, 1).otherwise(0))}
+        return {**_rows(), self._pkey: F.sum(F.when(self._predicate(), 1).otherwise(0))}
 
     def finish(self, p, columns):
         return ratio(F.coalesce(p(self._pkey), F.lit(0)), p(_ROWS))

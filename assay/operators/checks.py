@@ -28,13 +28,10 @@ from assay.operators.analyzers import (
     Uniqueness,
     run_analyzers,
 )
+from assay.session import materialize
 
 Assertion = str | Callable[[Column], Column]
 
-# Severity order of check levels and statuses (worst wins).
-SEVERITY = {"Success": 0, "Warning": 1, "Error": 2}
-
-
 @dataclass(frozen=True)
 class Constraint:
     kind: str  # size | completeness | uniqueness | containment | compliance
@@ -86,8 +83,10 @@ class Check:
     def is_contained_in(self, column: str, values: Sequence) -> Check:
         """Every row is null or one of ``values``."""
         label = f"{column} contained in {','.join(str(v) for v in values)}"
-        pred = col(column).isNull() | col(column).isin(list(values))
-        a = Compliance.of(label, pred)
+        allowed = list(values)
+        a = Compliance.of(
+            label, lambda: col(column).isNull() | col(column).isin(allowed), key=f"{column} in {allowed!r}"
+        )
         return self._add(
             Constraint("containment", a, "value = 1.0", f"ComplianceConstraint(Compliance({label}))", column)
         )
@@ -172,26 +171,44 @@ def evaluate_checks(spark: SparkSession, metrics: DataFrame, plan: dict[str, Seq
         .alias("message"),
     )
 
-    checks = constraints.groupBy("table_name", "check_seq", "check_name", "level").agg(
-        F.bool_and(F.col("status") == "Success").alias("ok")
-    ).select(
-        "table_name",
-        "check_seq",
-        "check_name",
-        F.when(F.col("ok"), "Success").otherwise(F.col("level")).alias("status"),
+    return Verification(constraints, *rollup(constraints))
+
+
+def rollup(constraints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Check status (its level if any constraint failed) and each table's worst status."""
+    checks = (
+        constraints.groupBy("table_name", "check_seq", "check_name", "level")
+        .agg(F.bool_and(F.col("status") == "Success").alias("ok"))
+        .select(
+            "table_name",
+            "check_seq",
+            "check_name",
+            F.when(F.col("ok"), "Success").otherwise(F.col("level")).alias("status"),
+        )
     )
     sev = F.when(F.col("status") == "Error", 2).when(F.col("status") == "Warning", 1).otherwise(0)
-    status = checks.groupBy("table_name").agg(F.max(sev).alias("sev")).select(
-        "table_name",
-        F.when(F.col("sev") == 2, "Error").when(F.col("sev") == 1, "Warning").otherwise("Success").alias(
-            "overall_status"
-        ),
+    status = (
+        checks.groupBy("table_name")
+        .agg(F.max(sev).alias("sev"))
+        .select(
+            "table_name",
+            F.when(F.col("sev") == 2, "Error")
+            .when(F.col("sev") == 1, "Warning")
+            .otherwise("Success")
+            .alias("overall_status"),
+        )
     )
-    return Verification(constraints, checks, status)
+    return checks, status
+
 
+def verify(df: DataFrame, checks: Sequence[Check], table_name: str = "", checkpoint: bool = True) -> Verification:
+    """Run ``checks`` on ``df``: one aggregation pass plus one frequency pass per unique column.
 
-def verify(df: DataFrame, checks: Sequence[Check], table_name: str = "") -> Verification:
-    """Run ``checks`` on ``df``: one aggregation pass plus one frequency pass per unique column."""
+    With ``checkpoint`` the metrics are computed once and checkpointed, so
+    reading all three result frames never rescans ``df``.
+    """
     analyzers = [a for c in checks for a in c.analyzers()]
     metrics = run_analyzers(df, analyzers, table_name)
+    if checkpoint:
+        metrics = materialize(metrics)
     return evaluate_checks(df.sparkSession, metrics, {table_name: checks})

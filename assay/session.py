@@ -64,3 +64,14 @@ def stage_as_parquet(df: DataFrame, name: str = "staged") -> DataFrame:
     path = os.path.join(base, "assay-staged", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    Used for small results (metrics, rules) that several consumers read, so
+    the data behind them is scanned once. The checkpoint lands in the shared
+    ``spark.checkpoint.dir`` and survives lost executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
