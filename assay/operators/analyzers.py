@@ -4,9 +4,9 @@ An analyzer names one metric of a table or column (``Completeness(emp_no)``).
 The runner never evaluates analyzers one by one; it plans them together:
 
 * **scan analyzers** are finished from plain aggregates (counts, min, max,
-  sums). All of them share ONE ``df.agg(...)``: a single scan with partial
-  aggregation per task and a one-row final merge. Shared partials (the row
-  count, a column's non-null count) are computed once.
+  sums). All of them share ONE global aggregation: a single scan with
+  partial aggregation per task and a one-row final merge. Shared partials
+  (the row count, a column's non-null count) are computed once.
 * **frequency analyzers** (distinctness, uniqueness, duplicate rows) need the
   count of every value of a column. Each column gets one
   ``groupBy(col).count()`` (map-side combined, so a hot value costs one row
@@ -15,6 +15,10 @@ The runner never evaluates analyzers one by one; it plans them together:
 
 The result is a long-form *metrics frame*: one row per analyzer, a few dozen
 rows per table, so only metrics - never data - reach the driver.
+
+Expressions are written as Spark SQL text and handed over in one
+``selectExpr`` per stage: the logical plan is the same as with Column
+objects, but building it costs a handful of JVM calls instead of thousands.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.functions import as_metric, col, ratio
+from assay.functions.sql import ident, lit, metric_value, ratio
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -45,7 +49,7 @@ METRICS_SCHEMA = T.StructType(
     ]
 )
 
-Partials = Callable[[str], Column]
+Partials = Callable[[str], str]  # partial key -> SQL reference to its aggregated value
 
 
 @dataclass(frozen=True)
@@ -73,23 +77,23 @@ class Analyzer:
     def key(self) -> tuple[str, str]:
         return (self.metric, self.instance)
 
-    # scan analyzers: named partial aggregates + how to finish the value
-    def partials(self, columns: Sequence[str]) -> dict[str, Column]:
+    # scan analyzers: named partial aggregates (SQL text or Column) + the finishing SQL
+    def partials(self, columns: Sequence[str]) -> dict[str, str | Column]:
         return {}
 
-    def finish(self, p: Partials, columns: Sequence[str]) -> Column:
+    def finish(self, p: Partials, columns: Sequence[str]) -> str:
         raise NotImplementedError
 
     # frequency analyzers: finish from the stats of the column's frequency table
-    def finish_frequency(self, s: Partials) -> Column:
+    def finish_frequency(self, s: Partials) -> str:
         raise NotImplementedError
 
 
 _ROWS = "rows"
 
 
-def _rows() -> dict[str, Column]:
-    return {_ROWS: F.count(F.lit(1))}
+def _rows() -> dict[str, str]:
+    return {_ROWS: "count(1)"}
 
 
 @dataclass(frozen=True)
@@ -102,7 +106,7 @@ class Size(Analyzer):
         return _rows()
 
     def finish(self, p, columns):
-        return p(_ROWS).cast("double")
+        return f"CAST({p(_ROWS)} AS DOUBLE)"
 
 
 @dataclass(frozen=True)
@@ -117,85 +121,42 @@ class Completeness(Analyzer):
     def partials(self, columns):
         out = _rows()
         for c in self._targets(columns):
-            out[f"nonnull:{c}"] = F.count(col(c))
+            out[f"nonnull:{c}"] = f"count({ident(c)})"
         return out
 
     def finish(self, p, columns):
         cells = [p(f"nonnull:{c}") for c in self._targets(columns)]
         if not cells:
-            return F.lit(None).cast("double")
-        total = reduce(lambda a, b: a + b, cells)
-        return ratio(total, p(_ROWS) * F.lit(len(cells)))
-
-
-@dataclass(frozen=True)
-class Minimum(Analyzer):
-    metric: ClassVar[str] = "Minimum"
-
-    def partials(self, columns):
-        return {f"min:{self.column}": F.min(col(self.column))}
-
-    def finish(self, p, columns):
-        return as_metric(p(f"min:{self.column}"))
-
-
-@dataclass(frozen=True)
-class Maximum(Analyzer):
-    metric: ClassVar[str] = "Maximum"
-
-    def partials(self, columns):
-        return {f"max:{self.column}": F.max(col(self.column))}
-
-    def finish(self, p, columns):
-        return as_metric(p(f"max:{self.column}"))
-
-
-@dataclass(frozen=True)
-class Mean(Analyzer):
-    metric: ClassVar[str] = "Mean"
-
-    def partials(self, columns):
-        return {f"mean:{self.column}": F.avg(col(self.column).cast("double"))}
-
-    def finish(self, p, columns):
-        return as_metric(p(f"mean:{self.column}"))
-
-
-@dataclass(frozen=True)
-class StandardDeviation(Analyzer):
-    """Population standard deviation (not the sample one)."""
-
-    metric: ClassVar[str] = "StandardDeviation"
-
-    def partials(self, columns):
-        return {f"stddev:{self.column}": F.stddev_pop(col(self.column).cast("double"))}
-
-    def finish(self, p, columns):
-        return as_metric(p(f"stddev:{self.column}"))
+            return "CAST(NULL AS DOUBLE)"
+        return ratio(" + ".join(cells), f"{p(_ROWS)} * {len(cells)}")
 
 
-@dataclass(frozen=True)
-class MinLength(Analyzer):
-    """Shortest string length in characters; nulls ignored."""
-
-    metric: ClassVar[str] = "MinLength"
+def _stat(name: str, sql: Callable[[str], str], doc: str = ""):
+    """A scan analyzer over one column: ``sql(column)`` is the aggregate, the value its double."""
 
-    def partials(self, columns):
-        return {f"minlen:{self.column}": F.min(F.length(col(self.column)))}
+    @dataclass(frozen=True)
+    class _A(Analyzer):
+        metric: ClassVar[str] = name
 
-    def finish(self, p, columns):
-        return as_metric(p(f"minlen:{self.column}"))
+        def partials(self, columns):
+            return {f"{name}:{self.column}": sql(ident(self.column))}
 
+        def finish(self, p, columns):
+            return metric_value(p(f"{name}:{self.column}"))
 
-@dataclass(frozen=True)
-class MaxLength(Analyzer):
-    metric: ClassVar[str] = "MaxLength"
+    _A.__name__ = _A.__qualname__ = name
+    _A.__doc__ = doc or name
+    return _A
 
-    def partials(self, columns):
-        return {f"maxlen:{self.column}": F.max(F.length(col(self.column)))}
 
-    def finish(self, p, columns):
-        return as_metric(p(f"maxlen:{self.column}"))
+Minimum = _stat("Minimum", lambda c: f"min({c})")
+Maximum = _stat("Maximum", lambda c: f"max({c})")
+Mean = _stat("Mean", lambda c: f"avg(CAST({c} AS DOUBLE))")
+StandardDeviation = _stat(
+    "StandardDeviation", lambda c: f"stddev_pop(CAST({c} AS DOUBLE))", "Population standard deviation."
+)
+MinLength = _stat("MinLength", lambda c: f"min(char_length({c}))", "Shortest string length; nulls ignored.")
+MaxLength = _stat("MaxLength", lambda c: f"max(char_length({c}))", "Longest string length; nulls ignored.")
 
 
 @dataclass(frozen=True)
@@ -203,7 +164,7 @@ class Compliance(Analyzer):
     """Share of ALL rows for which ``predicate`` is true; a null predicate counts as false.
 
     ``column`` holds the label (the constraint's description); ``predicate``
-    is a SQL string, a Column, or a zero-argument function building the
+    is Spark SQL text, a Column, or a zero-argument function building the
     Column (so rules can be declared before a session exists).
     """
 
@@ -220,17 +181,17 @@ class Compliance(Analyzer):
     def _pkey(self) -> str:
         return f"compliant:{self.predicate_key}"
 
-    def _predicate(self) -> Column:
+    def partials(self, columns):
         p = self.predicate
         if isinstance(p, str):
-            return F.expr(p)
-        return p if isinstance(p, Column) else p()  # a zero-argument builder
-
-    def partials(self, columns):
-        return {**_rows(), self._pkey: F.sum(F.when(self._predicate(), 1).otherwise(0))}
+            agg: str | Column = f"count_if(coalesce({p}, false))"
+        else:
+            pred = p if isinstance(p, Column) else p()
+            agg = F.count_if(F.coalesce(pred, F.lit(False)))
+        return {**_rows(), self._pkey: agg}
 
     def finish(self, p, columns):
-        return ratio(F.coalesce(p(self._pkey), F.lit(0)), p(_ROWS))
+        return ratio(p(self._pkey), p(_ROWS))
 
 
 @dataclass(frozen=True)
@@ -240,31 +201,30 @@ class MissingCount(Analyzer):
     metric: ClassVar[str] = "MissingCount"
 
     def partials(self, columns):
-        return {**_rows(), f"nonnull:{self.column}": F.count(col(self.column))}
+        return {**_rows(), f"nonnull:{self.column}": f"count({ident(self.column)})"}
 
     def finish(self, p, columns):
-        return (p(_ROWS) - p(f"nonnull:{self.column}")).cast("double")
+        return f"CAST({p(_ROWS)} - {p(f'nonnull:{self.column}')} AS DOUBLE)"
 
 
 @dataclass(frozen=True)
 class UnexpectedCount(Analyzer):
-    """Non-null rows of ``column`` for which the ``unexpected`` condition holds."""
+    """Non-null rows of ``column`` for which the SQL ``condition`` holds."""
 
-    condition: Column | None = field(default=None, compare=False, hash=False)
-    condition_key: str = ""
+    condition: str = ""
 
     metric: ClassVar[str] = "UnexpectedCount"
 
     @property
     def instance(self) -> str:
-        return f"{self.column}|{self.condition_key}"
+        return f"{self.column}|{self.condition}"
 
     def partials(self, columns):
-        c = col(self.column)
-        return {f"unexpected:{self.instance}": F.count_if(c.isNotNull() & self.condition)}
+        c = ident(self.column)
+        return {f"unexpected:{self.instance}": f"count_if({c} IS NOT NULL AND ({self.condition}))"}
 
     def finish(self, p, columns):
-        return p(f"unexpected:{self.instance}").cast("double")
+        return f"CAST({p(f'unexpected:{self.instance}')} AS DOUBLE)"
 
 
 # ---- frequency analyzers (share one groupBy(col).count() per column) -------
@@ -298,7 +258,7 @@ class CountDistinct(Analyzer):
     frequency: ClassVar[bool] = True
 
     def finish_frequency(self, s):
-        return s("distinct_values").cast("double")
+        return f"CAST({s('distinct_values')} AS DOUBLE)"
 
 
 @dataclass(frozen=True)
@@ -309,7 +269,7 @@ class DuplicateRows(Analyzer):
     frequency: ClassVar[bool] = True
 
     def finish_frequency(self, s):
-        return s("duplicate_rows").cast("double")
+        return f"CAST({s('duplicate_rows')} AS DOUBLE)"
 
 
 # ---- runner -------------------------------------------------------------------
@@ -318,13 +278,21 @@ class DuplicateRows(Analyzer):
 def frequency_table(df: DataFrame, column: str) -> DataFrame:
     """``value, n`` for every non-null value of ``column`` (one shuffle, map-side combined)."""
     return (
-        df.select(col(column).alias("value"))
-        .where(F.col("value").isNotNull())
+        df.selectExpr(f"{ident(column)} AS value")
+        .where("value IS NOT NULL")
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+FREQUENCY_STATS = (
+    "count(1) AS distinct_values",
+    "sum(n) AS nonnull_rows",
+    "count_if(n = 1) AS single_values",
+    "coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS duplicate_rows",
+)
+
+
 def frequency_stats(df: DataFrame, column: str) -> DataFrame:
     """One row: distinct values, non-null rows, values seen once, rows in repeated values.
 
@@ -333,26 +301,20 @@ def frequency_stats(df: DataFrame, column: str) -> DataFrame:
     into one typed ``(idx, value)`` shuffle: that plan moves the same bytes
     but costs ~2x the CPU on wide composite keys, see README.)
     """
-    n = F.col("n")
-    return frequency_table(df, column).agg(
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.sum(n).alias("nonnull_rows"),
-        F.count_if(n == 1).alias("single_values"),
-        F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("duplicate_rows"),
-    )
+    return frequency_table(df, column).selectExpr(*FREQUENCY_STATS)
 
 
-def _metric_row(seq: int, a: Analyzer, value: Column) -> Column:
-    return F.struct(
-        F.lit(seq).alias("seq"),
-        F.lit(a.entity).alias("entity"),
-        F.lit(a.instance).alias("instance"),
-        F.lit(a.metric).alias("metric"),
-        F.lit(a.name).alias("analyzer"),
-        value.cast("double").alias("value"),
+def _metric_row(seq: int, a: Analyzer, value_sql: str) -> str:
+    return (
+        f"named_struct('seq', {seq}, 'entity', {lit(a.entity)}, 'instance', {lit(a.instance)}, "
+        f"'metric', {lit(a.metric)}, 'analyzer', {lit(a.name)}, 'value', CAST({value_sql} AS DOUBLE))"
     )
 
 
+def _inline(df: DataFrame, rows: list[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def dedupe(analyzers: Iterable[Analyzer]) -> list[Analyzer]:
     """Drop repeated analyzers (same type and parameters), keeping first positions."""
     return list(dict.fromkeys(analyzers))
@@ -369,48 +331,44 @@ def run_analyzers(df: DataFrame, analyzers: Iterable[Analyzer], table_name: str
     callers can restore the requested order or split a combined run.
     """
     todo = dedupe(analyzers)
+    columns = df.columns
     frames: list[DataFrame] = []
 
     scan = [(i, a) for i, a in enumerate(todo) if not a.frequency]
     if scan:
-        partials: dict[str, Column] = {}
+        partials: dict[str, str | Column] = {}
         for _, a in scan:
-            for k, e in a.partials(df.columns).items():
+            for k, e in a.partials(columns).items():
                 partials.setdefault(k, e)
         alias = {k: f"_p{j}" for j, k in enumerate(partials)}
-        wide = df.agg(*[e.alias(alias[k]) for k, e in partials.items()])
-        rows = [_metric_row(i, a, a.finish(lambda k: F.col(alias[k]), df.columns)) for i, a in scan]
-        frames.append(wide.select(F.inline(F.array(*rows))))
+        if all(isinstance(e, str) for e in partials.values()):
+            wide = df.selectExpr(*[f"{e} AS {alias[k]}" for k, e in partials.items()])
+        else:
+            wide = df.agg(*[(F.expr(e) if isinstance(e, str) else e).alias(alias[k]) for k, e in partials.items()])
+        rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
+        frames.append(_inline(wide, rows))
 
     by_column: dict[str, list[tuple[int, Analyzer]]] = {}
     for i, a in enumerate(todo):
         if a.frequency:
             by_column.setdefault(a.column, []).append((i, a))
     for column, group in by_column.items():
-        stats = frequency_stats(df, column)
-        rows = [_metric_row(i, a, a.finish_frequency(F.col)) for i, a in group]
-        frames.append(stats.select(F.inline(F.array(*rows))))
+        rows = [_metric_row(i, a, a.finish_frequency(lambda s: s)) for i, a in group]
+        frames.append(_inline(frequency_stats(df, column), rows))
 
     if not frames:
         return empty_metrics(df.sparkSession)
     out = reduce(DataFrame.unionByName, frames)
-    value = F.col("value")
-    return out.select(
-        F.lit(table_name).alias("table_name"),
+    return out.selectExpr(
+        f"{lit(table_name)} AS table_name",
         "seq",
         "entity",
         "instance",
         "metric",
         "analyzer",
         "value",
-        F.lit("DoubleMetric").alias("metric_type"),
-        F.when(value.isNull(), "Failure").otherwise("Success").alias("status"),
-        F.when(
-            value.isNull(),
-            F.concat(
-                F.lit("Empty state for analyzer "),
-                F.col("analyzer"),
-                F.lit(", all input values were NULL."),
-            ),
-        ).alias("message"),
+        "'DoubleMetric' AS metric_type",
+        "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status",
+        "CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
+        "', all input values were NULL.') END AS message",
     )

@@ -12,14 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.functions import col
+from assay.functions.sql import ident, lit
 from assay.operators.analyzers import (
     Analyzer,
     Completeness,
@@ -83,10 +82,9 @@ class Check:
     def is_contained_in(self, column: str, values: Sequence) -> Check:
         """Every row is null or one of ``values``."""
         label = f"{column} contained in {','.join(str(v) for v in values)}"
-        allowed = list(values)
-        a = Compliance.of(
-            label, lambda: col(column).isNull() | col(column).isin(allowed), key=f"{column} in {allowed!r}"
-        )
+        c = ident(column)
+        pred = f"{c} IS NULL OR {c} IN ({', '.join(lit(v) for v in values)})"
+        a = Compliance.of(label, pred)
         return self._add(
             Constraint("containment", a, "value = 1.0", f"ComplianceConstraint(Compliance({label}))", column)
         )
@@ -146,31 +144,28 @@ def evaluate_checks(spark: SparkSession, metrics: DataFrame, plan: dict[str, Seq
     joined = spec.join(m, ["table_name", "metric", "instance"], "left")
 
     value = F.col("value")
-    passed = reduce(
-        lambda acc, ic: acc.when(F.col("cid") == ic[0], ic[1].evaluate(value)),
-        enumerate(asserts[1:], start=1),
-        F.when(F.col("cid") == 0, asserts[0].evaluate(value)) if asserts else F.lit(None),
-    )
-    passed = F.coalesce(value.isNotNull() & passed, F.lit(False))
-    constraints = joined.select(
+    if all(isinstance(c.assertion, str) for c in asserts):
+        cases = " ".join(f"WHEN {i} THEN ({c.assertion})" for i, c in enumerate(asserts))
+        passed = F.expr(f"CASE cid {cases} END") if asserts else F.lit(None)
+    else:
+        passed = F.lit(None)
+        for i, c in enumerate(asserts):
+            passed = F.when(F.col("cid") == i, c.evaluate(value)).otherwise(passed)
+    joined = joined.withColumn("_passed", F.coalesce(value.isNotNull() & passed, F.lit(False)))
+    constraints = joined.selectExpr(
         "table_name",
         "check_name",
         "level",
         "check_seq",
         "seq",
         "kind",
-        "constraint",
-        "column",
-        value.alias("metric_value"),
-        F.when(passed, "Success").otherwise("Failure").alias("status"),
-        F.when(passed, F.lit(""))
-        .when(value.isNull(), F.coalesce(F.col("message"), F.lit("Missing metric")))
-        .otherwise(
-            F.concat(F.lit("Value: "), value.cast("string"), F.lit(" does not meet the constraint requirement!"))
-        )
-        .alias("message"),
+        "`constraint`",
+        "`column`",
+        "value AS metric_value",
+        "CASE WHEN _passed THEN 'Success' ELSE 'Failure' END AS status",
+        "CASE WHEN _passed THEN '' WHEN value IS NULL THEN coalesce(message, 'Missing metric') "
+        "ELSE concat('Value: ', CAST(value AS STRING), ' does not meet the constraint requirement!') END AS message",
     )
-
     return Verification(constraints, *rollup(constraints))
 
 

@@ -24,11 +24,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.functions import col, in_closed_range, percent, sort_keys
+from assay.functions.sql import closed_range, ident, lit, percent
 from assay.operators.analyzers import (
     Analyzer,
     DuplicateRows,
@@ -78,18 +78,18 @@ class Expectation:
 
     # -- how the rule is measured -------------------------------------------------
 
-    def unexpected(self, df: DataFrame) -> Column | None:
-        """Condition on a non-null value that makes it unexpected (row rules only)."""
-        x = col(self.column) if self.column else None
+    def unexpected(self) -> str | None:
+        """SQL condition on a non-null value that makes it unexpected (row rules only)."""
+        x = ident(self.column) if self.column else None
         if self.expectation_type == IN_SET:
-            return ~x.isin(list(self.value_set or ()))
+            return f"NOT ({x} IN ({', '.join(lit(v) for v in self.value_set or ())}))"
         if self.expectation_type == BETWEEN:
-            return ~in_closed_range(x, self.min_value, self.max_value)
+            return f"NOT ({closed_range(x, self.min_value, self.max_value)})"
         if self.expectation_type == LENGTHS:
-            return ~in_closed_range(F.length(x), self.min_value, self.max_value)
+            return f"NOT ({closed_range(f'char_length({x})', self.min_value, self.max_value)})"
         return None
 
-    def analyzers(self, df: DataFrame) -> list[Analyzer]:
+    def analyzers(self) -> list[Analyzer]:
         t = self.expectation_type
         if t in (TABLE_COLUMNS, TABLE_ROWS):
             return [Size()]
@@ -97,12 +97,7 @@ class Expectation:
             return [Size(), MissingCount(self.column)]
         if t == UNIQUE:
             return [Size(), MissingCount(self.column), DuplicateRows(self.column)]
-        cond = self.unexpected(df)
-        return [
-            Size(),
-            MissingCount(self.column),
-            UnexpectedCount(self.column, condition=cond, condition_key=json.dumps(self.kwargs(), default=str)),
-        ]
+        return [Size(), MissingCount(self.column), UnexpectedCount(self.column, condition=self.unexpected())]
 
 
 # ---- rule constructors (the usual expectation names) ---------------------------
@@ -166,116 +161,103 @@ def _key(a: Analyzer) -> str:
     return f"{a.metric}|{a.instance}"
 
 
-def _result_row(i: int, e: Expectation, df: DataFrame, m) -> Column:
-    """One result struct for rule ``i``; ``m(analyzer)`` reads a metric of the pivoted row."""
+def _result_row(i: int, e: Expectation, columns: list[str], m) -> str:
+    """SQL struct of rule ``i``'s result; ``m(analyzer)`` names a metric of the pivoted row."""
     t = e.expectation_type
-    rows = m(Size()).cast("long")
-    null = F.lit(None)
-    missing = unexpected = considered = null
-    observed = null.cast("string")
+    rows = f"CAST({m(Size())} AS BIGINT)"
+    missing = unexpected = considered = "CAST(NULL AS BIGINT)"
+    observed = "CAST(NULL AS STRING)"
+    element = rows
+    sample = "CAST(NULL AS ARRAY<STRING>)"
     if t == TABLE_COLUMNS:
-        ok = F.lit(list(df.columns) == list(e.column_list or ()))
-        observed = F.lit(json.dumps(list(df.columns)))
-        rows = null
+        ok = lit(list(columns) == list(e.column_list or ()))
+        observed = lit(json.dumps(list(columns)))
+        element = "CAST(NULL AS BIGINT)"
     elif t == TABLE_ROWS:
-        ok = in_closed_range(rows, e.min_value, e.max_value)
-        observed = rows.cast("string")
-        rows = null
+        ok = closed_range(rows, e.min_value, e.max_value)
+        observed = f"CAST({rows} AS STRING)"
+        element = "CAST(NULL AS BIGINT)"
     else:
-        missing = m(MissingCount(e.column)).cast("long")
+        missing = f"CAST({m(MissingCount(e.column))} AS BIGINT)"
         if t == NOT_NULL:
             unexpected, considered = missing, rows
+            sample = f"array_repeat(CAST(NULL AS STRING), CAST(least({missing}, {SAMPLE_SIZE}) AS INT))"
         elif t == UNIQUE:
-            unexpected, considered = m(DuplicateRows(e.column)).cast("long"), rows - missing
+            unexpected, considered = f"CAST({m(DuplicateRows(e.column))} AS BIGINT)", f"({rows} - {missing})"
         else:
-            a = e.analyzers(df)[-1]
-            unexpected, considered = m(a).cast("long"), rows - missing
-        share = F.try_divide((considered - unexpected).cast("double"), considered.cast("double"))
-        ok = (considered == 0) | (share >= F.lit(1.0 if e.mostly is None else float(e.mostly)))
-    sample = F.lit(None).cast("array<string>")
-    if t == NOT_NULL:
-        sample = F.array_repeat(F.lit(None).cast("string"), F.least(missing, F.lit(SAMPLE_SIZE)).cast("int"))
-    return F.struct(
-        F.lit(i).alias("seq"),
-        F.lit(t).alias("expectation_type"),
-        F.lit(e.column).cast("string").alias("column"),
-        F.lit(json.dumps(e.kwargs(), default=str)).alias("kwargs"),
-        ok.alias("success"),
-        rows.cast("long").alias("element_count"),
-        missing.cast("long").alias("missing_count"),
-        percent(missing, rows).alias("missing_percent"),
-        unexpected.cast("long").alias("unexpected_count"),
-        percent(unexpected, considered).alias("unexpected_percent"),
-        percent(unexpected, rows).alias("unexpected_percent_total"),
-        observed.alias("observed_value"),
-        sample.alias("null_sample"),
+            unexpected, considered = f"CAST({m(e.analyzers()[-1])} AS BIGINT)", f"({rows} - {missing})"
+        mostly = 1.0 if e.mostly is None else float(e.mostly)
+        ok = (
+            f"({considered} = 0 OR try_divide(CAST({considered} - {unexpected} AS DOUBLE), "
+            f"CAST({considered} AS DOUBLE)) >= {lit(mostly)})"
+        )
+    col_sql = lit(e.column) if e.column is not None else "CAST(NULL AS STRING)"
+    return (
+        f"named_struct('seq', {i}, 'expectation_type', {lit(t)}, 'column', {col_sql}, "
+        f"'kwargs', {lit(json.dumps(e.kwargs(), default=str))}, 'success', coalesce({ok}, false), "
+        f"'element_count', {element}, 'missing_count', {missing}, "
+        f"'missing_percent', {percent(missing, rows)}, 'unexpected_count', {unexpected}, "
+        f"'unexpected_percent', {percent(unexpected, considered)}, "
+        f"'unexpected_percent_total', {percent(unexpected, rows)}, "
+        f"'observed_value', {observed}, 'null_sample', {sample})"
     )
 
 
-def _ordered_values(pairs: Column) -> Column:
-    """array<struct<rn, v>> -> the ``v`` values in ``rn`` order."""
-    return F.transform(F.sort_array(pairs), lambda s: s["v"])
+def _sort_keys(x: str, numeric: bool) -> tuple[str, str]:
+    """Typed ordering of sampled values: numbers by value, everything else as text."""
+    return (f"CAST({x} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"), f"CAST({x} AS STRING)"
 
 
 def unexpected_samples(df: DataFrame, rules: Sequence[Expectation], size: int = SAMPLE_SIZE) -> DataFrame | None:
     """``seq, partial_unexpected_list``: the ``size`` smallest unexpected values per rule.
 
     Row rules share one scan; uniqueness rules read the frequency table of
-    their column (the same shuffle the duplicate count used, so Spark can
-    reuse it). Null samples of not-null rules need no scan (see ``validate``).
+    their column. Null samples of not-null rules need no scan (see ``validate``).
     """
     numeric = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema.fields}
     parts: list[DataFrame] = []
+    ordered = "transform(sort_array(collect_list(named_struct('rn', rn, 'v', v))), x -> x.v)"
 
-    row_rules = [(i, e, e.unexpected(df)) for i, e in enumerate(rules)]
+    row_rules = [(i, e, e.unexpected()) for i, e in enumerate(rules)]
     row_rules = [(i, e, c) for i, e, c in row_rules if c is not None]
     if row_rules:
-        items = []
+        items, any_bad = [], []
         for i, e, cond in row_rules:
-            x = col(e.column)
-            num, txt = sort_keys(x, numeric.get(e.column, False))
+            x = ident(e.column)
+            k1, k2 = _sort_keys(x, numeric.get(e.column, False))
+            bad = f"{x} IS NOT NULL AND ({cond})"
+            any_bad.append(f"({bad})")
             items.append(
-                F.when(
-                    x.isNotNull() & cond,
-                    F.struct(F.lit(i).alias("seq"), num.alias("k1"), txt.alias("k2"), x.cast("string").alias("v")),
-                )
+                f"CASE WHEN {bad} THEN named_struct('seq', {i}, 'k1', {k1}, 'k2', {k2}, 'v', CAST({x} AS STRING)) END"
             )
-        any_bad = reduce(lambda a, b: a | b, [col(e.column).isNotNull() & c for _, e, c in row_rules])
-        bad = (
-            df.where(any_bad)
-            .select(F.explode(F.filter(F.array(*items), lambda s: s.isNotNull())).alias("s"))
-            .select("s.*")
-        )
-        # row_number <= k per rule: Spark plans a partial group limit in every
-        # task before the shuffle, so each rule ships at most k rows per task.
-        w = Window.partitionBy("seq").orderBy("k1", "k2")
-        top = bad.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= size)
-        parts.append(
-            top.groupBy("seq").agg(_ordered_values(F.collect_list(F.struct("rn", "v"))).alias("partial_unexpected_list"))
+        # OR of the rule predicates first: clean row groups can be skipped by Parquet statistics
+        top = (
+            df.where(" OR ".join(any_bad))
+            .selectExpr(f"explode(filter(array({', '.join(items)}), s -> s IS NOT NULL)) AS s")
+            .selectExpr("s.*")
+            # row_number <= k per rule: Spark plans a partial group limit in every
+            # task before the shuffle, so each rule ships at most k rows per task
+            .selectExpr("seq", "v", "row_number() OVER (PARTITION BY seq ORDER BY k1, k2) AS rn")
+            .where(f"rn <= {size}")
         )
+        parts.append(top.groupBy("seq").agg(F.expr(ordered).alias("partial_unexpected_list")))
 
     for i, e in enumerate(rules):
         if e.expectation_type != UNIQUE:
             continue
-        num, txt = sort_keys(F.col("value"), numeric.get(e.column, False))
+        k1, k2 = _sort_keys("value", numeric.get(e.column, False))
         smallest = (
             frequency_table(df, e.column)
-            .where(F.col("n") > 1)
-            .select(num.alias("k1"), txt.alias("k2"), F.col("value").cast("string").alias("v"), "n")
+            .where("n > 1")
+            .selectExpr(f"{k1} AS k1", f"{k2} AS k2", "CAST(value AS STRING) AS v", "n")
             .orderBy("k1", "k2")
             .limit(size)  # top-k per task, then merged: bounded
         )
-        repeated = F.flatten(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("k1", "k2", "v", "n"))),
-                lambda s: F.array_repeat(s["v"], F.least(s["n"], F.lit(size)).cast("int")),
-            )
-        )
-        parts.append(
-            smallest.agg(F.slice(repeated, 1, size).alias("partial_unexpected_list")).select(
-                F.lit(i).alias("seq"), "partial_unexpected_list"
-            )
+        repeated = (
+            "flatten(transform(sort_array(collect_list(named_struct('k1', k1, 'k2', k2, 'v', v, 'n', n))), "
+            f"x -> array_repeat(x.v, CAST(least(x.n, {size}) AS INT))))"
         )
+        parts.append(smallest.selectExpr(f"{i} AS seq", f"slice({repeated}, 1, {size}) AS partial_unexpected_list"))
 
     if not parts:
         return None
@@ -291,41 +273,40 @@ def validate(
 ) -> DataFrame:
     """One result row per rule (``seq`` = position in ``rules``), lazily planned."""
     rules = list(rules)
-    analyzers = [a for e in rules for a in e.analyzers(df)]
+    columns = df.columns
+    analyzers = [a for e in rules for a in e.analyzers()]
     metrics = run_analyzers(df, analyzers, table_name)
 
     keys = list(dict.fromkeys(_key(a) for a in analyzers))
     name = {k: f"_m{j}" for j, k in enumerate(keys)}
-    mk = F.concat_ws("|", "metric", "instance")
-    wide = metrics.agg(*[F.max(F.when(mk == k, F.col("value"))).alias(name[k]) for k in keys])
-    structs = [_result_row(i, e, df, lambda a: F.col(name[_key(a)])) for i, e in enumerate(rules)]
-    results = wide.select(F.inline(F.array(*structs)))
+    wide = metrics.selectExpr(
+        *[f"max(CASE WHEN concat(metric, '|', instance) = {lit(k)} THEN value END) AS {name[k]}" for k in keys]
+    )
+    structs = [_result_row(i, e, columns, lambda a: name[_key(a)]) for i, e in enumerate(rules)]
+    results = wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
     samples = unexpected_samples(df, rules, sample_size) if sample_size > 0 else None
-    empty = F.array().cast("array<string>")
     if samples is not None:
         # at most one row per rule on each side: a bounded broadcast
         results = results.join(F.broadcast(samples), "seq", "left")
     else:
         results = results.withColumn("partial_unexpected_list", F.lit(None).cast("array<string>"))
-    null_sample = F.slice(F.col("null_sample"), 1, max(sample_size, 1)) if sample_size > 0 else empty
-    results = results.withColumn(
-        "partial_unexpected_list", F.coalesce("partial_unexpected_list", null_sample, empty)
-    )
-    return results.select(
-        F.lit(table_name).alias("table_name"),
-        F.lit(suite_name).alias("suite_name"),
-        *[n for n, _ in RESULT_FIELDS],
-        "partial_unexpected_list",
+    k = max(sample_size, 0)
+    return results.selectExpr(
+        f"{lit(table_name)} AS table_name",
+        f"{lit(suite_name)} AS suite_name",
+        *[f"`{n}`" for n, _ in RESULT_FIELDS],
+        f"coalesce(partial_unexpected_list, slice(null_sample, 1, {max(k, 1)}), array()) AS partial_unexpected_list"
+        if k > 0
+        else "CAST(array() AS ARRAY<STRING>) AS partial_unexpected_list",
     )
 
 
 def suite_outcome(results: DataFrame) -> DataFrame:
     """Per table: ``validation_success`` and rule counts (success, total, passed, failed)."""
-    ok = F.col("success")
     return results.groupBy("table_name").agg(
-        F.bool_and(ok).alias("validation_success"),
-        F.count(F.lit(1)).alias("total_expectations"),
-        F.count_if(ok).alias("successful_expectations"),
-        F.count_if(~ok).alias("failed_expectations"),
+        F.expr("bool_and(success)").alias("validation_success"),
+        F.expr("count(1)").alias("total_expectations"),
+        F.expr("count_if(success)").alias("successful_expectations"),
+        F.expr("count_if(NOT success)").alias("failed_expectations"),
     )
