@@ -324,51 +324,66 @@ def empty_metrics(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], METRICS_SCHEMA)
 
 
+_FINAL = (
+    "{table} AS table_name, seq, entity, instance, metric, analyzer, value, "
+    "'DoubleMetric' AS metric_type, "
+    "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status, "
+    "CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
+    "', all input values were NULL.') END AS message"
+)
+
+
+def _plan(analyzers: list[Analyzer], columns: Sequence[str]):
+    """Split analyzers into the scan partials/rows and the per-column frequency rows."""
+    scan = [(i, a) for i, a in enumerate(analyzers) if not a.frequency]
+    partials: dict[str, str | Column] = {}
+    for _, a in scan:
+        for k, e in a.partials(columns).items():
+            partials.setdefault(k, e)
+    alias = {k: f"_p{j}" for j, k in enumerate(partials)}
+    scan_rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
+    by_column: dict[str, list[str]] = {}
+    for i, a in enumerate(analyzers):
+        if a.frequency:
+            by_column.setdefault(a.column, []).append(_metric_row(i, a, a.finish_frequency(lambda s: s)))
+    return partials, alias, scan_rows, by_column
+
+
 def run_analyzers(df: DataFrame, analyzers: Iterable[Analyzer], table_name: str = "") -> DataFrame:
     """Evaluate ``analyzers`` on ``df``; returns a lazy long-form metrics frame.
 
     ``seq`` is the analyzer's position in the (de-duplicated) input list, so
     callers can restore the requested order or split a combined run.
+
+    When every expression is SQL text the whole plan - the shared scan
+    aggregation, one frequency pass per column and their union - goes to
+    Spark as ONE statement (``spark.sql`` with ``df`` bound as a relation);
+    otherwise it is assembled with DataFrame calls. Both give the same plan.
     """
     todo = dedupe(analyzers)
     columns = df.columns
-    frames: list[DataFrame] = []
-
-    scan = [(i, a) for i, a in enumerate(todo) if not a.frequency]
-    if scan:
-        partials: dict[str, str | Column] = {}
-        for _, a in scan:
-            for k, e in a.partials(columns).items():
-                partials.setdefault(k, e)
-        alias = {k: f"_p{j}" for j, k in enumerate(partials)}
-        if all(isinstance(e, str) for e in partials.values()):
-            wide = df.selectExpr(*[f"{e} AS {alias[k]}" for k, e in partials.items()])
-        else:
-            wide = df.agg(*[(F.expr(e) if isinstance(e, str) else e).alias(alias[k]) for k, e in partials.items()])
-        rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
-        frames.append(_inline(wide, rows))
+    partials, alias, scan_rows, by_column = _plan(todo, columns)
+    if not scan_rows and not by_column:
+        return empty_metrics(df.sparkSession)
+    final = _FINAL.format(table=lit(table_name))
+
+    if all(isinstance(e, str) for e in partials.values()):
+        parts = []
+        if scan_rows:
+            aggs = ", ".join(f"{e} AS {alias[k]}" for k, e in partials.items())
+            parts.append(f"SELECT inline(array({', '.join(scan_rows)})) FROM (SELECT {aggs} FROM {{df}})")
+        for column, rows in by_column.items():
+            c = ident(column)
+            freq = f"SELECT {c} AS value, count(1) AS n FROM {{df}} WHERE {c} IS NOT NULL GROUP BY {c}"
+            stats = f"SELECT {', '.join(FREQUENCY_STATS)} FROM ({freq})"
+            parts.append(f"SELECT inline(array({', '.join(rows)})) FROM ({stats})")
+        body = "\nUNION ALL\n".join(parts)
+        return df.sparkSession.sql(f"SELECT {final} FROM ({body})", df=df)
 
-    by_column: dict[str, list[tuple[int, Analyzer]]] = {}
-    for i, a in enumerate(todo):
-        if a.frequency:
-            by_column.setdefault(a.column, []).append((i, a))
-    for column, group in by_column.items():
-        rows = [_metric_row(i, a, a.finish_frequency(lambda s: s)) for i, a in group]
+    frames: list[DataFrame] = []
+    if scan_rows:
+        wide = df.agg(*[(F.expr(e) if isinstance(e, str) else e).alias(alias[k]) for k, e in partials.items()])
+        frames.append(_inline(wide, scan_rows))
+    for column, rows in by_column.items():
         frames.append(_inline(frequency_stats(df, column), rows))
-
-    if not frames:
-        return empty_metrics(df.sparkSession)
-    out = reduce(DataFrame.unionByName, frames)
-    return out.selectExpr(
-        f"{lit(table_name)} AS table_name",
-        "seq",
-        "entity",
-        "instance",
-        "metric",
-        "analyzer",
-        "value",
-        "'DoubleMetric' AS metric_type",
-        "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status",
-        "CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
-        "', all input values were NULL.') END AS message",
-    )
+    return reduce(DataFrame.union, frames).selectExpr(final)
