@@ -333,9 +333,9 @@ _FINAL = (
 )
 
 
-def _plan(analyzers: list[Analyzer], columns: Sequence[str]):
-    """Split analyzers into the scan partials/rows and the per-column frequency rows."""
-    scan = [(i, a) for i, a in enumerate(analyzers) if not a.frequency]
+def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
+    """Split (seq, analyzer) pairs into the scan partials/rows and the per-column frequency rows."""
+    scan = [(i, a) for i, a in todo if not a.frequency]
     partials: dict[str, str | Column] = {}
     for _, a in scan:
         for k, e in a.partials(columns).items():
@@ -343,7 +343,7 @@ def _plan(analyzers: list[Analyzer], columns: Sequence[str]):
     alias = {k: f"_p{j}" for j, k in enumerate(partials)}
     scan_rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
     by_column: dict[str, list[str]] = {}
-    for i, a in enumerate(analyzers):
+    for i, a in todo:
         if a.frequency:
             by_column.setdefault(a.column, []).append(_metric_row(i, a, a.finish_frequency(lambda s: s)))
     return partials, alias, scan_rows, by_column
@@ -360,7 +360,35 @@ def run_analyzers(df: DataFrame, analyzers: Iterable[Analyzer], table_name: str
     Spark as ONE statement (``spark.sql`` with ``df`` bound as a relation);
     otherwise it is assembled with DataFrame calls. Both give the same plan.
     """
-    todo = dedupe(analyzers)
+    return _run(df, list(enumerate(dedupe(analyzers))), table_name)
+
+
+def analyzer_plans(
+    df: DataFrame, analyzers: Iterable[Analyzer], table_name: str = "", max_columns: int = 32
+) -> list[DataFrame]:
+    """The metrics of :func:`run_analyzers`, split into plans of bounded width.
+
+    The first plan holds the shared scan aggregation (and the first columns'
+    frequency passes); each further plan at most ``max_columns`` frequency
+    passes. Adaptive execution re-plans a query after every finished stage,
+    so one plan over hundreds of columns costs time quadratic in its width;
+    bounded plans, run side by side (see ``assay.plans.parallel``), keep
+    that constant per column.
+    """
+    todo = list(enumerate(dedupe(analyzers)))
+    scan = [(i, a) for i, a in todo if not a.frequency]
+    columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency))
+    chunks = [columns[j : j + max_columns] for j in range(0, len(columns), max_columns)] or [[]]
+    plans = []
+    for n, chunk in enumerate(chunks):
+        members = set(chunk)
+        part = (scan if n == 0 else []) + [(i, a) for i, a in todo if a.frequency and a.column in members]
+        if part:
+            plans.append(_run(df, part, table_name))
+    return plans or [empty_metrics(df.sparkSession)]
+
+
+def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> DataFrame:
     columns = df.columns
     partials, alias, scan_rows, by_column = _plan(todo, columns)
     if not scan_rows and not by_column:

@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from assay.operators import expectations as X
 from assay.operators.checks import Check, evaluate_checks, rollup
 from assay.operators.generate import generate_rules, rules_to_expectations, suite_name_for
-from assay.operators.profile import profile, profile_analyzers
+from assay.operators.profile import profile_analyzers
 from assay.plans.registry import STATIC_CHECKS, STATIC_SUITES, checks_for, suite_for, suite_name_of
+from assay.plans.parallel import compute_metrics, profile_tables
 from assay.session import materialize, stage_as_parquet
 from assay.sources import results as R
 from assay.sources.tables import list_tables, read_table
@@ -95,9 +96,10 @@ def profile_and_check_frame(
 ) -> tuple[DataFrame, DataFrame]:
     """(profile metrics, constraint results) of one table from ONE metrics run."""
     spark = df.sparkSession
-    n_profile = len(profile_analyzers(df.schema))
-    extra = [a for c in checks for a in c.analyzers()]
-    all_metrics = materialize(profile(df, table_name, extra=extra))
+    analyzers = profile_analyzers(df.schema)
+    n_profile = len(analyzers)
+    analyzers += [a for c in checks for a in c.analyzers()]
+    all_metrics = compute_metrics({table_name: (df, analyzers)})
     constraints = evaluate_checks(spark, all_metrics, {table_name: list(checks)}).constraints
     return all_metrics.where(F.col("seq") < n_profile), materialize(constraints)
 
@@ -206,9 +208,7 @@ def generate_and_validate(
     plan the validation (a few rows per column); the data itself never
     leaves the executors.
     """
-    if metrics is None:
-        metrics = profile(df, table_name)
-    metrics = materialize(metrics)
+    metrics = profile_tables({table_name: df}) if metrics is None else materialize(metrics)
     rules = materialize(generate_rules(metrics, {table_name: df.columns}))
     expectations = rules_to_expectations(rules.collect())
     return rules, validate_frame(df, table_name, expectations, suite_name_for(table_name))

@@ -12,7 +12,6 @@ Rule parameters below are ordinary user configuration for the given tables
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,15 +28,15 @@ from assay.operators.analyzers import (
     Size,
     StandardDeviation,
     Uniqueness,
-    run_analyzers,
+
 )
-from assay.operators.checks import Check, evaluate_checks, verify
+from assay.operators.checks import Check, evaluate_checks
 from assay.operators.compare import rule_agreement, threshold_monitor
 from assay.operators.generate import generate_rules
 from assay.operators.profile import profile
 from assay.plans.flows import generate_and_validate, summary
+from assay.plans.parallel import compute_metrics, map_tables, materialized_union, profile_tables, union_all
 from assay.plans.registry import checks_for
-from assay.session import materialize
 
 TABLES = [
     "region",
@@ -86,11 +85,11 @@ def _round_stats(df: DataFrame) -> DataFrame:
 
 
 def _metrics(spark, sf_dir, names, analyzers_for) -> DataFrame:
-    frames = []
+    tables = {}
     for name in names:
         df = table(spark, sf_dir, name)
-        frames.append(run_analyzers(df, analyzers_for(df), name))
-    return reduce(DataFrame.unionByName, frames)
+        tables[name] = (df, analyzers_for(df))
+    return compute_metrics(tables)
 
 
 # ---- profile --------------------------------------------------------------------------
@@ -148,8 +147,7 @@ def profile_string_length(spark, sf_dir):
 
 
 def _profiles(spark, sf_dir, names):
-    frames = [profile(table(spark, sf_dir, n), n) for n in names]
-    m = reduce(DataFrame.unionByName, frames)
+    m = profile_tables({n: table(spark, sf_dir, n) for n in names})
     return _round_stats(m).select("table_name", "seq", "instance", "metric", "analyzer", "value", "status")
 
 
@@ -173,13 +171,8 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def _verify_many(spark, sf_dir, plan: dict[str, list[Check]]):
-    frames = []
-    for name, checks in plan.items():
-        df = table(spark, sf_dir, name)
-        analyzers = [a for c in checks for a in c.analyzers()]
-        frames.append(run_analyzers(df, analyzers, name))
-    metrics = materialize(reduce(DataFrame.unionByName, frames))
-    return evaluate_checks(spark, metrics, plan)
+    tables = {n: (table(spark, sf_dir, n), [a for c in checks for a in c.analyzers()]) for n, checks in plan.items()}
+    return evaluate_checks(spark, compute_metrics(tables), plan)
 
 
 def _constraint_view(v):
@@ -277,7 +270,7 @@ def check_default(spark, sf_dir):
 
 def _validate_many(spark, sf_dir, plan: dict[str, list[X.Expectation]], sample_size=X.SAMPLE_SIZE):
     frames = [X.validate(table(spark, sf_dir, n), rules, n, f"{n}_suite", sample_size) for n, rules in plan.items()]
-    return reduce(DataFrame.unionByName, frames)
+    return materialized_union(frames)
 
 
 def _counts_view(res):
@@ -413,13 +406,9 @@ def expect_unexpected_sample(spark, sf_dir):
 
 
 def _rules(spark, sf_dir, names):
-    frames, cols = [], {}
-    for n in names:
-        df = table(spark, sf_dir, n)
-        frames.append(profile(df, n))
-        cols[n] = df.columns
-    metrics = materialize(reduce(DataFrame.unionByName, frames))
-    return generate_rules(metrics, cols)
+    tables = {n: table(spark, sf_dir, n) for n in names}
+    metrics = profile_tables(tables)
+    return generate_rules(metrics, {n: df.columns for n, df in tables.items()})
 
 
 def generate_row_count(spark, sf_dir):
@@ -467,11 +456,8 @@ COMBINED_TABLES = ["orders", "customer", "part", "events_nulled", "documents"]
 
 
 def _combined(spark, sf_dir):
-    frames = []
-    for n in COMBINED_TABLES:
-        _, res = generate_and_validate(table(spark, sf_dir, n), n)
-        frames.append(res)
-    return reduce(DataFrame.unionByName, frames)
+    results = map_tables(lambda n: generate_and_validate(table(spark, sf_dir, n), n)[1], COMBINED_TABLES)
+    return union_all(results)
 
 
 def combined_validation(spark, sf_dir):
@@ -523,12 +509,7 @@ def rule_agreement_query(spark, sf_dir):
 
 
 def threshold_monitor_query(spark, sf_dir):
-    metrics = materialize(
-        reduce(
-            DataFrame.unionByName,
-            [profile(table(spark, sf_dir, n), n) for n in ["events_nulled", "orders"]],
-        )
-    )
+    metrics = profile_tables({n: table(spark, sf_dir, n) for n in ["events_nulled", "orders"]})
     thresholds = spark.createDataFrame(
         [
             ("events_nulled", "Completeness", "value", 0.9, None),
