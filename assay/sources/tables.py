@@ -36,8 +36,7 @@ def list_tables(spark: SparkSession, directory: str, suffix: str = ".csv") -> li
         )
     except Exception:  # noqa: BLE001 - missing directory or no matching file
         return []
-    paths = sorted(r["path"] for r in files)
-    return [(table_name_of(p), p) for p in paths]
+    return sorted((table_name_of(r["path"]), r["path"]) for r in files)
 
 
 def _format_of(path: str, fmt: str | None) -> str:
