@@ -77,6 +77,11 @@ class Analyzer:
     def key(self) -> tuple[str, str]:
         return (self.metric, self.instance)
 
+    @property
+    def required_column(self) -> str | None:
+        """The input column this analyzer reads (None for table-level ones)."""
+        return None if self.column in (None, "*") else self.column
+
     # scan analyzers: named partial aggregates (SQL text or Column) + the finishing SQL
     def partials(self, columns: Sequence[str]) -> dict[str, str | Column]:
         return {}
@@ -178,6 +183,9 @@ class Compliance(Analyzer):
         return Compliance(label, predicate=predicate, predicate_key=key or str(predicate))
 
     @property
+    def required_column(self) -> str | None:
+        return None  # ``column`` is a label here
+    @property
     def _pkey(self) -> str:
         return f"compliant:{self.predicate_key}"
 
@@ -304,10 +312,11 @@ def frequency_stats(df: DataFrame, column: str) -> DataFrame:
     return frequency_table(df, column).selectExpr(*FREQUENCY_STATS)
 
 
-def _metric_row(seq: int, a: Analyzer, value_sql: str) -> str:
+def _metric_row(seq: int, a: Analyzer, value_sql: str, note: str | None = None) -> str:
     return (
         f"named_struct('seq', {seq}, 'entity', {lit(a.entity)}, 'instance', {lit(a.instance)}, "
-        f"'metric', {lit(a.metric)}, 'analyzer', {lit(a.name)}, 'value', CAST({value_sql} AS DOUBLE))"
+        f"'metric', {lit(a.metric)}, 'analyzer', {lit(a.name)}, 'value', CAST({value_sql} AS DOUBLE), "
+        f"'note', CAST({lit(note)} AS STRING))"
     )
 
 
@@ -328,20 +337,32 @@ _FINAL = (
     "{table} AS table_name, seq, entity, instance, metric, analyzer, value, "
     "'DoubleMetric' AS metric_type, "
     "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status, "
-    "CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
-    "', all input values were NULL.') END AS message"
+    "coalesce(note, CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
+    "', all input values were NULL.') END) AS message"
 )
 
 
 def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
-    """Split (seq, analyzer) pairs into the scan partials/rows and the per-column frequency rows."""
+    """Split (seq, analyzer) pairs into the scan partials/rows and the per-column frequency rows.
+
+    An analyzer whose column is not in the input yields a failed metric
+    (null value with a message) instead of failing the whole table.
+    """
+    present = set(columns)
+    missing = [(i, a) for i, a in todo if a.required_column is not None and a.required_column not in present]
+    todo = [(i, a) for i, a in todo if a.required_column is None or a.required_column in present]
     scan = [(i, a) for i, a in todo if not a.frequency]
     partials: dict[str, str | Column] = {}
     for _, a in scan:
         for k, e in a.partials(columns).items():
             partials.setdefault(k, e)
+    if missing and not partials:
+        partials["rows"] = "count(1)"
     alias = {k: f"_p{j}" for j, k in enumerate(partials)}
     scan_rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
+    scan_rows += [
+        _metric_row(i, a, "NULL", f"Input data does not include column {a.required_column}!") for i, a in missing
+    ]
     by_column: dict[str, list[str]] = {}
     for i, a in todo:
         if a.frequency:
@@ -376,13 +397,27 @@ def analyzer_plans(
     that constant per column.
     """
     todo = list(enumerate(dedupe(analyzers)))
+    present = set(df.columns)
     scan = [(i, a) for i, a in todo if not a.frequency]
+    # scan analyzers in groups of at most ~16 partial aggregates per column slot, so one
+    # aggregation stays within codegen limits even for tables with thousands of columns
+    scan_groups: list[list] = [[]]
+    seen: set[str] = set()
+    for i, a in scan:
+        keys = set(a.partials(df.columns)) if a.required_column is None or a.required_column in present else set()
+        if scan_groups[-1] and len(seen | keys) > max_columns * 16:
+            scan_groups.append([])
+            seen = set()
+        scan_groups[-1].append((i, a))
+        seen |= keys
     columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency))
     chunks = [columns[j : j + max_columns] for j in range(0, len(columns), max_columns)] or [[]]
     plans = []
-    for n, chunk in enumerate(chunks):
-        members = set(chunk)
-        part = (scan if n == 0 else []) + [(i, a) for i, a in todo if a.frequency and a.column in members]
+    for n in range(max(len(chunks), len(scan_groups))):
+        members = set(chunks[n]) if n < len(chunks) else set()
+        part = (scan_groups[n] if n < len(scan_groups) else []) + [
+            (i, a) for i, a in todo if a.frequency and a.column in members
+        ]
         if part:
             plans.append(_run(df, part, table_name))
     return plans or [empty_metrics(df.sparkSession)]

@@ -218,7 +218,8 @@ def unexpected_samples(df: DataFrame, rules: Sequence[Expectation], size: int =
     parts: list[DataFrame] = []
     ordered = "transform(sort_array(collect_list(named_struct('rn', rn, 'v', v))), x -> x.v)"
 
-    row_rules = [(i, e, e.unexpected()) for i, e in enumerate(rules)]
+    present = set(df.columns)  # a rule on a missing column fails on its metrics; it has no sample
+    row_rules = [(i, e, e.unexpected()) for i, e in enumerate(rules) if e.column in present]
     row_rules = [(i, e, c) for i, e, c in row_rules if c is not None]
     if row_rules:
         items, any_bad = [], []
@@ -243,7 +244,7 @@ def unexpected_samples(df: DataFrame, rules: Sequence[Expectation], size: int =
         parts.append(top.groupBy("seq").agg(F.expr(ordered).alias("partial_unexpected_list")))
 
     for i, e in enumerate(rules):
-        if e.expectation_type != UNIQUE:
+        if e.expectation_type != UNIQUE or e.column not in present:
             continue
         k1, k2 = _sort_keys("value", numeric.get(e.column, False))
         smallest = (

@@ -227,3 +227,37 @@ def test_custom_assertions_and_warning_level(spark):
     assert v.status.collect()[0].overall_status == "Warning"
     msg = [r.message for r in v.constraints.collect() if r.status == "Failure"]
     assert msg == ["Value: 0.9 does not meet the constraint requirement!"]
+
+
+def test_missing_column_fails_only_its_rules(spark):
+    df = spark.range(10).selectExpr("id", "CAST(id AS STRING) AS s")
+    v = verify(df, [Check("c").has_size().is_complete("nope").is_unique("nada")], "t")
+    rows = {r.constraint: r for r in v.constraints.collect()}
+    assert rows["SizeConstraint(Size())"].status == "Success"
+    assert rows["CompletenessConstraint(Completeness(nope))"].message == "Input data does not include column nope!"
+    assert rows["UniquenessConstraint(Uniqueness(nada))"].status == "Failure"
+    res = X.validate(
+        df,
+        [
+            X.expect_column_values_to_not_be_null("nope"),
+            X.expect_column_values_to_be_in_set("nope", ["a"]),
+            X.expect_column_values_to_be_unique("nope"),
+            X.expect_column_values_to_be_unique("s"),
+        ],
+        "t",
+    ).collect()
+    assert [r.success for r in sorted(res, key=lambda r: r.seq)] == [False, False, False, True]
+
+
+def test_wide_table_is_split_into_bounded_plans(spark):
+    from assay.operators.analyzers import analyzer_plans
+    from assay.operators.profile import profile_analyzers
+    from assay.plans.parallel import materialized_union
+
+    df = spark.range(50).selectExpr("id", *[f"id * {k} AS c{k}" for k in range(70)])
+    analyzers = profile_analyzers(df.schema)
+    plans = analyzer_plans(df, analyzers, "wide", max_columns=16)
+    assert len(plans) == 5  # 71 frequency columns in chunks of 16; scan aggregates split alike
+    split = {(r.metric, r.instance): r.value for r in materialized_union(plans).collect()}
+    whole = {(r.metric, r.instance): r.value for r in run_analyzers(df, analyzers, "wide").collect()}
+    assert split == whole and len(whole) == len(analyzers)
