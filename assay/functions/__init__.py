@@ -1,5 +1,6 @@
-"""Built-in column-expression helpers (JVM-side, codegen friendly)."""
+"""Expression helpers: Spark SQL text (``sql``) and Column references (``columns``)."""
 
-from assay.functions.columns import as_metric, col, in_closed_range, percent, ratio, sort_keys
+from assay.functions.columns import col
+from assay.functions.sql import closed_range, ident, lit, metric_value, percent, ratio
 
-__all__ = ["as_metric", "col", "in_closed_range", "percent", "ratio", "sort_keys"]
+__all__ = ["closed_range", "col", "ident", "lit", "metric_value", "percent", "ratio"]

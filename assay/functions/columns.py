@@ -1,8 +1,4 @@
-"""Column-expression helpers shared by the operators.
-
-Everything here returns a built-in Spark ``Column`` so it stays inside
-whole-stage codegen; nothing calls back into Python per row.
-"""
+"""Column-API helpers (for callers composing their own Column expressions)."""
 
 from __future__ import annotations
 
@@ -13,38 +9,3 @@ from pyspark.sql import functions as F
 def col(name: str) -> Column:
     """Reference a column by its exact name, even with dots or spaces in it."""
     return F.col("`" + name.replace("`", "``") + "`")
-
-
-def ratio(num: Column, den: Column) -> Column:
-    """``num / den`` as double, null when ``den`` is 0 (empty or all-null input).
-
-    ``try_divide`` keeps this safe under ANSI mode, which Spark 4 enables by default.
-    """
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
-def as_metric(c: Column) -> Column:
-    """Cast to double and fold ``-0.0`` into ``0.0`` so equal values compare and hash alike."""
-    return c.cast("double") + F.lit(0.0)
-
-
-def percent(num: Column, den: Column) -> Column:
-    """``100 * num / den``, null when ``den`` is 0."""
-    return ratio(num, den) * F.lit(100.0)
-
-
-def in_closed_range(x: Column, lo, hi) -> Column:
-    """``lo <= x <= hi`` where a ``None`` bound is open; true when both are ``None``."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return cond
-
-
-def sort_keys(x: Column, numeric: bool) -> tuple[Column, Column]:
-    """Typed ordering for mixed-type value samples: numbers by value, the rest as text."""
-    if numeric:
-        return x.cast("double"), x.cast("string")
-    return F.lit(None).cast("double"), x.cast("string")
