@@ -363,10 +363,10 @@ def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
     scan_rows += [
         _metric_row(i, a, "NULL", f"Input data does not include column {a.required_column}!") for i, a in missing
     ]
-    by_column: dict[str, list[str]] = {}
+    by_column: dict[str, list[tuple[int, Analyzer]]] = {}
     for i, a in todo:
         if a.frequency:
-            by_column.setdefault(a.column, []).append(_metric_row(i, a, a.finish_frequency(lambda s: s)))
+            by_column.setdefault(a.column, []).append((i, a))
     return partials, alias, scan_rows, by_column
 
 
@@ -397,14 +397,15 @@ def analyzer_plans(
     that constant per column.
     """
     todo = list(enumerate(dedupe(analyzers)))
-    present = set(df.columns)
+    all_columns = df.columns
+    present = set(all_columns)
     scan = [(i, a) for i, a in todo if not a.frequency]
     # scan analyzers in groups of at most ~16 partial aggregates per column slot, so one
     # aggregation stays within codegen limits even for tables with thousands of columns
     scan_groups: list[list] = [[]]
     seen: set[str] = set()
     for i, a in scan:
-        keys = set(a.partials(df.columns)) if a.required_column is None or a.required_column in present else set()
+        keys = set(a.partials(all_columns)) if a.required_column is None or a.required_column in present else set()
         if scan_groups[-1] and len(seen | keys) > max_columns * 16:
             scan_groups.append([])
             seen = set()
@@ -435,11 +436,8 @@ def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> Da
         if scan_rows:
             aggs = ", ".join(f"{e} AS {alias[k]}" for k, e in partials.items())
             parts.append(f"SELECT inline(array({', '.join(scan_rows)})) FROM (SELECT {aggs} FROM {{df}})")
-        for column, rows in by_column.items():
-            c = ident(column)
-            freq = f"SELECT {c} AS value, count(1) AS n FROM {{df}} WHERE {c} IS NOT NULL GROUP BY {c}"
-            stats = f"SELECT {', '.join(FREQUENCY_STATS)} FROM ({freq})"
-            parts.append(f"SELECT inline(array({', '.join(rows)})) FROM ({stats})")
+        if by_column:
+            parts.append(_frequency_sql(by_column))
         body = "\nUNION ALL\n".join(parts)
         return df.sparkSession.sql(f"SELECT {final} FROM ({body})", df=df)
 
@@ -447,6 +445,38 @@ def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> Da
     if scan_rows:
         wide = df.agg(*[(F.expr(e) if isinstance(e, str) else e).alias(alias[k]) for k, e in partials.items()])
         frames.append(_inline(wide, scan_rows))
-    for column, rows in by_column.items():
+    for column, group in by_column.items():
+        rows = [_metric_row(i, a, a.finish_frequency(lambda s: s)) for i, a in group]
         frames.append(_inline(frequency_stats(df, column), rows))
     return reduce(DataFrame.union, frames).selectExpr(final)
+
+
+_STAT_DEFAULTS = {"distinct_values": "0", "single_values": "0", "duplicate_rows": "0"}
+
+
+def _frequency_sql(by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
+    """Frequency metrics of several columns with one shared statistics aggregation.
+
+    Each column keeps its own ``GROUP BY value`` (one single-key shuffle,
+    map-side combined); only the value counts ``(idx, n)`` leave it. The
+    counts of all columns are unioned and summarised by ONE ``GROUP BY idx``
+    (partial aggregation inside the union stage), then pivoted to one row.
+    Per column that is two stages instead of three.
+    """
+    freq = "\nUNION ALL\n".join(
+        f"SELECT {j} AS idx, count(1) AS n FROM {{df}} WHERE {ident(c)} IS NOT NULL GROUP BY {ident(c)}"
+        for j, c in enumerate(by_column)
+    )
+    stats = f"SELECT idx, {', '.join(FREQUENCY_STATS)} FROM ({freq}) GROUP BY idx"
+    names = ["distinct_values", "nonnull_rows", "single_values", "duplicate_rows"]
+    pivot = ", ".join(
+        f"max(CASE WHEN idx = {j} THEN {s} END) AS {s}_{j}" for j in range(len(by_column)) for s in names
+    )
+    rows = []
+    for j, group in enumerate(by_column.values()):
+        # a column without any non-null value has no statistics row: counts 0, ratios undefined
+        def stat(s, j=j):
+            return f"coalesce({s}_{j}, {_STAT_DEFAULTS[s]})" if s in _STAT_DEFAULTS else f"{s}_{j}"
+
+        rows += [_metric_row(i, a, a.finish_frequency(stat)) for i, a in group]
+    return f"SELECT inline(array({', '.join(rows)})) FROM (SELECT {pivot} FROM ({stats}))"
