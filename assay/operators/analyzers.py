@@ -333,13 +333,20 @@ def empty_metrics(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], METRICS_SCHEMA)
 
 
-_FINAL = (
-    "{table} AS table_name, seq, entity, instance, metric, analyzer, value, "
-    "'DoubleMetric' AS metric_type, "
-    "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status, "
+_FINAL_COLUMNS = (
+    "{table} AS table_name",
+    "seq",
+    "entity",
+    "instance",
+    "metric",
+    "analyzer",
+    "value",
+    "'DoubleMetric' AS metric_type",
+    "CASE WHEN value IS NULL THEN 'Failure' ELSE 'Success' END AS status",
     "coalesce(note, CASE WHEN value IS NULL THEN concat('Empty state for analyzer ', analyzer, "
-    "', all input values were NULL.') END) AS message"
+    "', all input values were NULL.') END) AS message",
 )
+_FINAL = ", ".join(_FINAL_COLUMNS)
 
 
 def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
@@ -385,7 +392,11 @@ def run_analyzers(df: DataFrame, analyzers: Iterable[Analyzer], table_name: str
 
 
 def analyzer_plans(
-    df: DataFrame, analyzers: Iterable[Analyzer], table_name: str = "", max_columns: int = 32
+    df: DataFrame,
+    analyzers: Iterable[Analyzer],
+    table_name: str = "",
+    max_columns: int = 32,
+    skip_frequency: Iterable[str] = (),
 ) -> list[DataFrame]:
     """The metrics of :func:`run_analyzers`, split into plans of bounded width.
 
@@ -394,9 +405,12 @@ def analyzer_plans(
     passes. Adaptive execution re-plans a query after every finished stage,
     so one plan over hundreds of columns costs time quadratic in its width;
     bounded plans, run side by side (see ``assay.plans.parallel``), keep
-    that constant per column.
+    that constant per column. Frequency analyzers of ``skip_frequency``
+    columns are left out (another strategy computes them); ``seq`` keeps
+    the position in the full analyzer list either way.
     """
-    todo = list(enumerate(dedupe(analyzers)))
+    skipped = set(skip_frequency)
+    todo = [(i, a) for i, a in enumerate(dedupe(analyzers)) if not (a.frequency and a.column in skipped)]
     all_columns = df.columns
     present = set(all_columns)
     scan = [(i, a) for i, a in todo if not a.frequency]
@@ -448,12 +462,26 @@ def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> Da
     for column, group in by_column.items():
         rows = [_metric_row(i, a, a.finish_frequency(lambda s: s)) for i, a in group]
         frames.append(_inline(frequency_stats(df, column), rows))
-    return reduce(DataFrame.union, frames).selectExpr(final)
+    return reduce(DataFrame.union, frames).selectExpr(*[c.format(table=lit(table_name)) for c in _FINAL_COLUMNS])
 
 
 _STAT_DEFAULTS = {"distinct_values": "0", "single_values": "0", "duplicate_rows": "0"}
 
 
+def _pivot_rows(by_column: dict[str, list[tuple[int, Analyzer]]]) -> tuple[list[str], list[str]]:
+    """Pivot expressions (one row from per-column stats keyed by ``idx``) and the metric rows."""
+    names = ["distinct_values", "nonnull_rows", "single_values", "duplicate_rows"]
+    pivot = [f"max(CASE WHEN idx = {j} THEN {s} END) AS {s}_{j}" for j in range(len(by_column)) for s in names]
+    rows = []
+    for j, group in enumerate(by_column.values()):
+        # a column without any non-null value has no statistics row: counts 0, ratios undefined
+        def stat(s, j=j):
+            return f"coalesce({s}_{j}, {_STAT_DEFAULTS[s]})" if s in _STAT_DEFAULTS else f"{s}_{j}"
+
+        rows += [_metric_row(i, a, a.finish_frequency(stat)) for i, a in group]
+    return pivot, rows
+
+
 def _frequency_sql(by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
     """Frequency metrics of several columns with one shared statistics aggregation.
 
@@ -468,15 +496,24 @@ def _frequency_sql(by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
         for j, c in enumerate(by_column)
     )
     stats = f"SELECT idx, {', '.join(FREQUENCY_STATS)} FROM ({freq}) GROUP BY idx"
-    names = ["distinct_values", "nonnull_rows", "single_values", "duplicate_rows"]
-    pivot = ", ".join(
-        f"max(CASE WHEN idx = {j} THEN {s} END) AS {s}_{j}" for j in range(len(by_column)) for s in names
-    )
-    rows = []
-    for j, group in enumerate(by_column.values()):
-        # a column without any non-null value has no statistics row: counts 0, ratios undefined
-        def stat(s, j=j):
-            return f"coalesce({s}_{j}, {_STAT_DEFAULTS[s]})" if s in _STAT_DEFAULTS else f"{s}_{j}"
+    pivot, rows = _pivot_rows(by_column)
+    return f"SELECT inline(array({', '.join(rows)})) FROM (SELECT {', '.join(pivot)} FROM ({stats}))"
 
-        rows += [_metric_row(i, a, a.finish_frequency(stat)) for i, a in group]
-    return f"SELECT inline(array({', '.join(rows)})) FROM (SELECT {pivot} FROM ({stats}))"
+
+def metrics_from_frequency_stats(
+    stats: DataFrame, pairs: list[tuple[int, Analyzer]], table_name: str = ""
+) -> DataFrame:
+    """Metric rows for frequency analyzers ``(seq, analyzer)`` from precomputed per-column stats.
+
+    ``stats`` has ``idx`` = position of the column among the analyzers' columns
+    (first-seen order) and the four statistics of :data:`FREQUENCY_STATS`.
+    """
+    by_column: dict[str, list[tuple[int, Analyzer]]] = {}
+    for i, a in pairs:
+        by_column.setdefault(a.column, []).append((i, a))
+    pivot, rows = _pivot_rows(by_column)
+    return (
+        stats.selectExpr(*pivot)
+        .selectExpr(f"inline(array({', '.join(rows)}))")
+        .selectExpr(*[c.format(table=lit(table_name)) for c in _FINAL_COLUMNS])
+    )

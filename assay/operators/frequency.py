@@ -1,0 +1,122 @@
+"""Exact frequency statistics of string columns, shuffling hashes before values.
+
+The plain frequency pass (``GROUP BY value``) ships every distinct value of a
+map task through the shuffle. For long text (documents, HTML) that is close
+to the whole column. This strategy ships 8-byte hashes first:
+
+1. ``GROUP BY xxhash64(value)`` per column. A hash seen in exactly one row
+   is exactly one value occurring once (a collision would need two rows).
+   This pass yields, per column, those singles, the non-null row count and
+   the number of hashes seen more than once (``multi``).
+2. Only rows whose hash is in a ``multi`` group can hold repeated values or
+   collisions. When the multi-hash set is small enough - its size is known
+   from pass 1 - it is broadcast and just those rows are grouped by
+   ``(hash, value)``: exact per-value counts, collisions included.
+   Otherwise the column falls back to the plain ``GROUP BY value`` pass.
+
+distinct = singles_1 + values_2, once = singles_1 + once_2, repeated rows =
+repeated_2 - the same statistics as the plain pass, exactly.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from assay.functions.sql import ident
+
+# Broadcast bound for the multi-hash set: (idx int, hash bigint) rows, ~16 bytes each.
+MAX_BROADCAST_HASHES = 2_000_000
+
+STATS_SCHEMA = "idx int, distinct_values bigint, nonnull_rows bigint, single_values bigint, duplicate_rows bigint"
+
+
+def hashable_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns worth hashing first: strings (long values make the plain shuffle expensive)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in columns if isinstance(types.get(c), T.StringType)]
+
+
+def _hashes(j: int, c: str) -> str:
+    return f"SELECT {j} AS idx, xxhash64({ident(c)}) AS h, count(1) AS n FROM {{df}} WHERE {ident(c)} IS NOT NULL GROUP BY 2"
+
+
+def _plain(j: int, c: str) -> str:
+    return f"SELECT {j} AS idx, count(1) AS n FROM {{df}} WHERE {ident(c)} IS NOT NULL GROUP BY {ident(c)}"
+
+
+def hashed_frequency_stats(
+    df: DataFrame, columns: Sequence[str], max_broadcast: int = MAX_BROADCAST_HASHES
+) -> DataFrame:
+    """Frequency statistics per column ``idx`` (position in ``columns``); runs pass 1 eagerly.
+
+    Returns a small lazy frame with one row per column that has non-null
+    values (``STATS_SCHEMA``).
+    """
+    spark = df.sparkSession
+    cols = list(columns)
+    hashes = "\nUNION ALL\n".join(_hashes(j, c) for j, c in enumerate(cols))
+    summary = {
+        r["idx"]: r
+        for r in spark.sql(
+            "SELECT idx, count_if(n = 1) AS once, sum(n) AS rows, count_if(n > 1) AS multi "
+            f"FROM ({hashes}) GROUP BY idx",
+            df=df,
+        ).collect()  # one row per column
+    }
+
+    # columns whose repeated-hash set fits the broadcast budget, smallest first
+    budget, small = max_broadcast, []
+    for j in sorted(summary, key=lambda j: summary[j]["multi"]):
+        if summary[j]["multi"] <= budget:
+            small.append(j)
+            budget -= summary[j]["multi"]
+    large = [j for j in summary if j not in small]
+
+    parts: list[DataFrame] = []
+    once1 = {j: summary[j]["once"] for j in small}
+    rows = {j: summary[j]["rows"] for j in summary}
+    if small:
+        multi_sql = "\nUNION ALL\n".join(_hashes(j, cols[j]) for j in small)
+        multi = spark.sql(f"SELECT idx, h FROM ({multi_sql}) WHERE n > 1", df=df)
+        values = "\nUNION ALL\n".join(
+            f"SELECT {j} AS idx, xxhash64({ident(cols[j])}) AS h, {ident(cols[j])} AS v FROM {{df}} "
+            f"WHERE {ident(cols[j])} IS NOT NULL"
+            for j in small
+        )
+        # size proven by pass 1 (at most ``max_broadcast`` hashes): a bounded broadcast
+        in_multi = spark.sql(values, df=df).join(F.broadcast(multi), ["idx", "h"], "left_semi")
+        counts = in_multi.groupBy("idx", "h", "v").agg(F.count(F.lit(1)).alias("n"))
+        second = counts.groupBy("idx").agg(
+            F.count(F.lit(1)).alias("d2"),
+            F.count_if(F.col("n") == 1).alias("s2"),
+            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("r2"),
+        )
+        first = spark.createDataFrame(
+            [(j, once1[j], rows[j]) for j in small], "idx int, once bigint, rows bigint"
+        )  # one row per column, from the collected summary
+        parts.append(
+            first.join(second, "idx", "left").selectExpr(
+                "idx",
+                "once + coalesce(d2, 0) AS distinct_values",
+                "rows AS nonnull_rows",
+                "once + coalesce(s2, 0) AS single_values",
+                "coalesce(r2, 0) AS duplicate_rows",
+            )
+        )
+    if large:
+        plain = "\nUNION ALL\n".join(_plain(j, cols[j]) for j in large)
+        parts.append(
+            spark.sql(
+                "SELECT idx, count(1) AS distinct_values, sum(n) AS nonnull_rows, count_if(n = 1) AS single_values, "
+                f"coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS duplicate_rows FROM ({plain}) GROUP BY idx",
+                df=df,
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], STATS_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)

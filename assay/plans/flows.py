@@ -92,14 +92,18 @@ def _union(runs: list[TableRun], key: str) -> DataFrame | None:
 
 
 def profile_and_check_frame(
-    df: DataFrame, table_name: str, checks: Sequence[Check]
+    df: DataFrame, table_name: str, checks: Sequence[Check], hash_strings: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(profile metrics, constraint results) of one table from ONE metrics run."""
+    """(profile metrics, constraint results) of one table from ONE metrics run.
+
+    ``hash_strings`` computes string-column frequency metrics hashes-first
+    (see ``assay.operators.frequency``): use it for long text columns.
+    """
     spark = df.sparkSession
     analyzers = profile_analyzers(df.schema)
     n_profile = len(analyzers)
     analyzers += [a for c in checks for a in c.analyzers()]
-    all_metrics = compute_metrics({table_name: (df, analyzers)})
+    all_metrics = compute_metrics({table_name: (df, analyzers)}, hash_strings=hash_strings)
     constraints = evaluate_checks(spark, all_metrics, {table_name: list(checks)}).constraints
     return all_metrics.where(F.col("seq") < n_profile), materialize(constraints)
 
@@ -112,10 +116,11 @@ def profile_and_check(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
+    hash_strings: bool = False,
 ) -> FlowResult:
     def work(name, path):
         df = load(spark, path, stage=stage, name=name)
-        metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks))
+        metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks), hash_strings)
         return TableRun(name, path, "ok", frames={"metrics": metrics, "constraints": constraints})
 
     runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
@@ -200,7 +205,7 @@ def validate_static(
 
 
 def generate_and_validate(
-    df: DataFrame, table_name: str, metrics: DataFrame | None = None
+    df: DataFrame, table_name: str, metrics: DataFrame | None = None, hash_strings: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(rules, results) for one table: profile (unless ``metrics`` given) -> rules -> validation.
 
@@ -208,7 +213,10 @@ def generate_and_validate(
     plan the validation (a few rows per column); the data itself never
     leaves the executors.
     """
-    metrics = profile_tables({table_name: df}) if metrics is None else materialize(metrics)
+    if metrics is None:
+        metrics = profile_tables({table_name: df}, hash_strings=hash_strings)
+    else:
+        metrics = materialize(metrics)
     rules = materialize(generate_rules(metrics, {table_name: df.columns}))
     expectations = rules_to_expectations(rules.collect())
     return rules, validate_frame(df, table_name, expectations, suite_name_for(table_name))

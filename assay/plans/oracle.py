@@ -466,6 +466,17 @@ def _profile_uniqueness():
     return metric_rows(pairs, "table_name,instance,value")
 
 
+def _profile_text_hashed():
+    cols = {
+        "documents": ["text", "lang", "source"],
+        "pages": ["url", "html"],
+        "conversations": ["role", "text"],
+        "benchmark": ["text"],
+    }
+    pairs = [(t, m, c) for t, cs in cols.items() for c in cs for m in ("Distinctness", "Uniqueness")]
+    return metric_rows(pairs, "table_name,instance,metric,value")
+
+
 def _profile_numeric():
     pairs = [
         (t, m, c)
@@ -793,6 +804,7 @@ def oracle_sql() -> dict[str, str]:
         "profile_distinctness": _profile_distinctness(),
         "profile_uniqueness": _profile_uniqueness(),
         "profile_numeric": _profile_numeric(),
+        "profile_text_hashed": _profile_text_hashed(),
         "profile_string_length": _profile_string_length(),
         "profile_table": union([profile_rows(t) for t in ("orders", "events_nulled")]),
         "profile_all_tables": union([profile_rows(t) for t in TABLES]),

@@ -20,13 +20,17 @@ from assay.session import materialize
 MAX_PARALLEL = 8
 
 
-def materialize_all(frames: Sequence[DataFrame], max_parallel: int = MAX_PARALLEL) -> list[DataFrame]:
-    """Checkpoint every frame, running up to ``max_parallel`` jobs at a time."""
+def _materialize(frame) -> DataFrame:
+    return materialize(frame() if callable(frame) else frame)
+
+
+def materialize_all(frames: Sequence, max_parallel: int = MAX_PARALLEL) -> list[DataFrame]:
+    """Checkpoint every frame (or zero-argument frame builder), up to ``max_parallel`` jobs at a time."""
     frames = list(frames)
     if len(frames) <= 1 or max_parallel <= 1:
-        return [materialize(f) for f in frames]
+        return [_materialize(f) for f in frames]
     with ThreadPoolExecutor(max_workers=min(max_parallel, len(frames))) as pool:
-        return list(pool.map(materialize, frames))
+        return list(pool.map(_materialize, frames))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -42,24 +46,49 @@ def compute_metrics(
     tables: dict[str, tuple[DataFrame, Sequence]],
     max_columns: int = 32,
     max_parallel: int = MAX_PARALLEL,
+    hash_strings: bool | Sequence[str] = False,
 ) -> DataFrame:
     """Materialized long-form metrics of several tables: ``{name: (df, analyzers)}``.
 
     Every table is split into bounded plans (see ``analyzer_plans``); all
     plans of all tables run side by side and their rows are unioned.
+    ``hash_strings`` (True, or a list of column names) sends the frequency
+    metrics of those string columns through the hash-first strategy of
+    :mod:`assay.operators.frequency` - worth it for long text.
     """
-    from assay.operators.analyzers import analyzer_plans
-
-    plans = [p for name, (df, analyzers) in tables.items() for p in analyzer_plans(df, analyzers, name, max_columns)]
-    return materialized_union(plans, max_parallel)
-
-
-def profile_tables(tables: dict[str, DataFrame], max_columns: int = 32, max_parallel: int = MAX_PARALLEL) -> DataFrame:
-    """Materialized profile metrics of several tables."""
+    from assay.operators.analyzers import analyzer_plans, dedupe, metrics_from_frequency_stats
+    from assay.operators.frequency import hashable_columns, hashed_frequency_stats
+
+    jobs: list = []
+    for name, (df, analyzers) in tables.items():
+        todo = list(enumerate(dedupe(analyzers)))
+        freq_columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency and a.column in df.columns))
+        hashed = hashable_columns(df, freq_columns) if hash_strings else []
+        if hash_strings and hash_strings is not True:
+            hashed = [c for c in hashed if c in set(hash_strings)]
+        jobs += analyzer_plans(df, analyzers, name, max_columns, skip_frequency=hashed)
+        if hashed:
+            pairs = [(i, a) for i, a in todo if a.frequency and a.column in set(hashed)]
+            order = list(dict.fromkeys(a.column for _, a in pairs))
+
+            def build(df=df, pairs=pairs, order=order, name=name):
+                return metrics_from_frequency_stats(hashed_frequency_stats(df, order), pairs, name)
+
+            jobs.append(build)
+    return materialized_union(jobs, max_parallel)
+
+
+def profile_tables(
+    tables: dict[str, DataFrame],
+    max_columns: int = 32,
+    max_parallel: int = MAX_PARALLEL,
+    hash_strings: bool | Sequence[str] = False,
+) -> DataFrame:
+    """Materialized profile metrics of several tables (see ``compute_metrics`` for ``hash_strings``)."""
     from assay.operators.profile import profile_analyzers
 
     return compute_metrics(
-        {n: (df, profile_analyzers(df.schema)) for n, df in tables.items()}, max_columns, max_parallel
+        {n: (df, profile_analyzers(df.schema)) for n, df in tables.items()}, max_columns, max_parallel, hash_strings
     )
 
 

@@ -159,6 +159,24 @@ def profile_all_tables(spark, sf_dir):
     return _profiles(spark, sf_dir, TABLES)
 
 
+TEXT_COLUMNS = {
+    "documents": ["text", "lang", "source"],
+    "pages": ["url", "html"],
+    "conversations": ["role", "text"],
+    "benchmark": ["text"],
+}
+
+
+def profile_text_hashed(spark, sf_dir):
+    """Distinctness/uniqueness of text columns computed hashes-first (exact; same values as plain)."""
+    tables = {
+        n: (table(spark, sf_dir, n), [k(c) for c in cols for k in (Distinctness, Uniqueness)])
+        for n, cols in TEXT_COLUMNS.items()
+    }
+    m = compute_metrics(tables, hash_strings=True)
+    return m.select("table_name", "instance", "metric", "value")
+
+
 def profile_sampled(spark, sf_dir):
     """Profile of a 10% Bernoulli sample of lineitem (estimates; no SQL twin)."""
     m = profile(table(spark, sf_dir, "lineitem"), "lineitem", sample_fraction=0.1, seed=7)
@@ -535,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "profile_string_length": profile_string_length,
     "profile_table": profile_table,
     "profile_all_tables": profile_all_tables,
+    "profile_text_hashed": profile_text_hashed,
     "profile_sampled": profile_sampled,
     "check_has_size": check_has_size,
     "check_is_complete": check_is_complete,

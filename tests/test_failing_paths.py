@@ -261,3 +261,23 @@ def test_wide_table_is_split_into_bounded_plans(spark):
     split = {(r.metric, r.instance): r.value for r in materialized_union(plans).collect()}
     whole = {(r.metric, r.instance): r.value for r in run_analyzers(df, analyzers, "wide").collect()}
     assert split == whole and len(whole) == len(analyzers)
+
+
+@pytest.mark.parametrize("budget", [0, 150, 10**9])
+def test_hash_first_frequency_is_exact(spark, budget):
+    """Hash-first statistics equal the plain pass, whether columns fit the broadcast budget or fall back."""
+    from assay.operators.analyzers import DuplicateRows, Distinctness
+    from assay.operators.frequency import hashed_frequency_stats
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(37)
+    )
+    cols = ["text", "lang", "source"]
+    got = {r.idx: tuple(r)[1:] for r in hashed_frequency_stats(df, cols, max_broadcast=budget).collect()}
+    analyzers = [k(c) for c in cols for k in (Distinctness, Uniqueness, DuplicateRows)]
+    plain = {(r.metric, r.instance): r.value for r in run_analyzers(df, analyzers).collect()}
+    for j, c in enumerate(cols):
+        distinct, rows, single, dup = got[j]
+        assert distinct / rows == plain[("Distinctness", c)]
+        assert single / rows == plain[("Uniqueness", c)]
+        assert dup == plain[("DuplicateRows", c)]
