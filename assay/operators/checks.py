@@ -27,7 +27,7 @@ from assay.operators.analyzers import (
     Uniqueness,
     run_analyzers,
 )
-from assay.session import materialize
+from assay.plans.parallel import compute_metrics
 
 Assertion = str | Callable[[Column], Column]
 
@@ -203,7 +203,8 @@ def verify(df: DataFrame, checks: Sequence[Check], table_name: str = "", checkpo
     reading all three result frames never rescans ``df``.
     """
     analyzers = [a for c in checks for a in c.analyzers()]
-    metrics = run_analyzers(df, analyzers, table_name)
     if checkpoint:
-        metrics = materialize(metrics)
+        metrics = compute_metrics({table_name: (df, analyzers)})  # bounded plans, run side by side
+    else:
+        metrics = run_analyzers(df, analyzers, table_name)
     return evaluate_checks(df.sparkSession, metrics, {table_name: checks})

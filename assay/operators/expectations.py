@@ -157,6 +157,11 @@ RESULT_FIELDS = [
 ]
 
 
+def rule_analyzers(rules: Sequence[Expectation]) -> list[Analyzer]:
+    """Every analyzer the rules need (duplicates are removed by the runner)."""
+    return [a for e in rules for a in e.analyzers()]
+
+
 def _key(a: Analyzer) -> str:
     return f"{a.metric}|{a.instance}"
 
@@ -271,12 +276,20 @@ def validate(
     table_name: str = "",
     suite_name: str = "",
     sample_size: int = SAMPLE_SIZE,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
-    """One result row per rule (``seq`` = position in ``rules``), lazily planned."""
+    """One result row per rule (``seq`` = position in ``rules``), lazily planned.
+
+    ``metrics`` may carry the rules' metrics already computed (e.g. by
+    ``assay.plans.parallel.compute_metrics`` over ``rule_analyzers(rules)``,
+    which bounds plan width for very large suites); otherwise they are
+    planned here together with the results.
+    """
     rules = list(rules)
     columns = df.columns
-    analyzers = [a for e in rules for a in e.analyzers()]
-    metrics = run_analyzers(df, analyzers, table_name)
+    analyzers = rule_analyzers(rules)
+    if metrics is None:
+        metrics = run_analyzers(df, analyzers, table_name)
 
     keys = list(dict.fromkeys(_key(a) for a in analyzers))
     name = {k: f"_m{j}" for j, k in enumerate(keys)}
