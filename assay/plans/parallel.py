@@ -59,23 +59,24 @@ def compute_metrics(
     from assay.operators.analyzers import analyzer_plans, dedupe, metrics_from_frequency_stats
     from assay.operators.frequency import hashable_columns, hashed_frequency_stats
 
-    jobs: list = []
-    for name, (df, analyzers) in tables.items():
+    def table_jobs(item) -> list:
+        name, (df, analyzers) = item
         todo = list(enumerate(dedupe(analyzers)))
-        freq_columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency and a.column in df.columns))
+        present = set(df.columns)
+        freq_columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency and a.column in present))
         hashed = hashable_columns(df, freq_columns) if hash_strings else []
         if hash_strings and hash_strings is not True:
             hashed = [c for c in hashed if c in set(hash_strings)]
-        jobs += analyzer_plans(df, analyzers, name, max_columns, skip_frequency=hashed)
+        jobs: list = analyzer_plans(df, analyzers, name, max_columns, skip_frequency=hashed)
         if hashed:
             pairs = [(i, a) for i, a in todo if a.frequency and a.column in set(hashed)]
             order = list(dict.fromkeys(a.column for _, a in pairs))
+            jobs.append(lambda: metrics_from_frequency_stats(hashed_frequency_stats(df, order), pairs, name))
+        return jobs
 
-            def build(df=df, pairs=pairs, order=order, name=name):
-                return metrics_from_frequency_stats(hashed_frequency_stats(df, order), pairs, name)
-
-            jobs.append(build)
-    return materialized_union(jobs, max_parallel)
+    # plans are built in the worker threads as well, so building overlaps running
+    per_table = map_tables(table_jobs, list(tables.items()), max_parallel)
+    return materialized_union([j for jobs in per_table for j in jobs], max_parallel)
 
 
 def profile_tables(
