@@ -2,7 +2,7 @@
 
 import json
 import os
-import shutil
+import sys
 import tempfile
 
 import pytest
@@ -97,7 +97,6 @@ def test_generated_skips_tables_without_metrics(spark, dataset):
     res = flows.validate_generated(spark, dataset, empty_out)
     assert res.by_status("ok") == []
     assert set(res.by_status("skipped")) >= set(TABLES)
-    shutil.rmtree(empty_out, ignore_errors=True)
 
 
 def test_metrics_scan(spark, output, checked):
@@ -105,3 +104,22 @@ def test_metrics_scan(spark, output, checked):
     assert m is not None and m.count() == 17
     assert R.read_metrics(spark, output, "no_such_table") is None
     assert R.read_metrics(spark, "/nonexistent/dir", "titles") is None
+
+
+def test_command_line_all(samples_dir):
+    import subprocess
+
+    out = tempfile.mkdtemp(prefix="assay-cli-")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "assay", "all", samples_dir, out, "--local", "2"],
+        cwd=repo,
+        capture_output=True,
+        text=True,
+        timeout=600,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    lines = [json.loads(x) for x in proc.stdout.splitlines() if x.startswith("{")]
+    assert [x["flow"] for x in lines] == ["checks", "suites", "generated"]
+    assert all(sorted(x["ok"]) == sorted(TABLES) for x in lines)
+    assert os.path.isdir(os.path.join(out, R.SUMMARY))
