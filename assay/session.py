@@ -47,9 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    target = configured or tempfile.mkdtemp(prefix="assay-ckpt-")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at shared storage (e.g. an HDFS or object-store path)"
+            )
+        configured = tempfile.mkdtemp(prefix="assay-ckpt-")  # local mode only (tests)
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def stage_as_parquet(df: DataFrame, name: str = "staged") -> DataFrame:
