@@ -213,18 +213,23 @@ def _sort_keys(x: str, numeric: bool) -> tuple[str, str]:
     return (f"CAST({x} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"), f"CAST({x} AS STRING)"
 
 
-def unexpected_samples(df: DataFrame, rules: Sequence[Expectation], size: int = SAMPLE_SIZE) -> DataFrame | None:
+def unexpected_samples(
+    df: DataFrame, rules: Sequence[Expectation], size: int = SAMPLE_SIZE, only: set[int] | None = None
+) -> DataFrame | None:
     """``seq, partial_unexpected_list``: the ``size`` smallest unexpected values per rule.
 
     Row rules share one scan; uniqueness rules read the frequency table of
     their column. Null samples of not-null rules need no scan (see ``validate``).
+    ``only`` restricts the work to those rule positions (rules known to have
+    unexpected values).
     """
     numeric = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema.fields}
     parts: list[DataFrame] = []
     ordered = "transform(sort_array(collect_list(named_struct('rn', rn, 'v', v))), x -> x.v)"
 
     present = set(df.columns)  # a rule on a missing column fails on its metrics; it has no sample
-    row_rules = [(i, e, e.unexpected()) for i, e in enumerate(rules) if e.column in present]
+    wanted = (lambda i: True) if only is None else (lambda i: i in only)
+    row_rules = [(i, e, e.unexpected()) for i, e in enumerate(rules) if e.column in present and wanted(i)]
     row_rules = [(i, e, c) for i, e, c in row_rules if c is not None]
     if row_rules:
         items, any_bad = [], []
@@ -249,7 +254,7 @@ def unexpected_samples(df: DataFrame, rules: Sequence[Expectation], size: int =
         parts.append(top.groupBy("seq").agg(F.expr(ordered).alias("partial_unexpected_list")))
 
     for i, e in enumerate(rules):
-        if e.expectation_type != UNIQUE or e.column not in present:
+        if e.expectation_type != UNIQUE or e.column not in present or not wanted(i):
             continue
         k1, k2 = _sort_keys("value", numeric.get(e.column, False))
         smallest = (
@@ -288,8 +293,19 @@ def validate(
     rules = list(rules)
     columns = df.columns
     analyzers = rule_analyzers(rules)
+    only = None
     if metrics is None:
         metrics = run_analyzers(df, analyzers, table_name)
+    elif sample_size > 0:
+        # metrics already computed: sample only rules that have unexpected values
+        # (a few metric rows come back; clean suites then need no sample pass at all)
+        bad = {
+            f"{r['metric']}|{r['instance']}"
+            for r in metrics.where("metric IN ('UnexpectedCount', 'DuplicateRows') AND value > 0")
+            .select("metric", "instance")
+            .collect()
+        }
+        only = {i for i, e in enumerate(rules) if _key(e.analyzers()[-1]) in bad}
 
     keys = list(dict.fromkeys(_key(a) for a in analyzers))
     name = {k: f"_m{j}" for j, k in enumerate(keys)}
@@ -299,7 +315,7 @@ def validate(
     structs = [_result_row(i, e, columns, lambda a: name[_key(a)]) for i, e in enumerate(rules)]
     results = wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
-    samples = unexpected_samples(df, rules, sample_size) if sample_size > 0 else None
+    samples = unexpected_samples(df, rules, sample_size, only) if sample_size > 0 else None
     if samples is not None:
         # at most one row per rule on each side: a bounded broadcast
         results = results.join(F.broadcast(samples), "seq", "left")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from assay.operators import expectations as X
 from assay.operators.checks import Check, evaluate_checks, rollup
-from assay.operators.generate import generate_rules, rules_to_expectations, suite_name_for
+from assay.operators.generate import RULES_SCHEMA, generate_rules, rules_to_expectations, suite_name_for
 from assay.operators.profile import profile_analyzers
 from assay.plans.registry import STATIC_CHECKS, STATIC_SUITES, checks_for, suite_for, suite_name_of
 from assay.plans.parallel import compute_metrics, profile_tables
@@ -219,8 +219,11 @@ def generate_and_validate(
         metrics = profile_tables({table_name: df}, hash_strings=hash_strings)
     else:
         metrics = materialize(metrics)
-    rules = materialize(generate_rules(metrics, {table_name: df.columns}))
-    expectations = rules_to_expectations(rules.collect())
+    # the rules plan the validation, so they come to the driver anyway (a few rows per
+    # column); the returned frame is rebuilt from those rows instead of recomputed
+    rows = generate_rules(metrics, {table_name: df.columns}).collect()
+    rules = df.sparkSession.createDataFrame(rows, RULES_SCHEMA)
+    expectations = rules_to_expectations(rows)
     return rules, validate_frame(df, table_name, expectations, suite_name_for(table_name))
 
 

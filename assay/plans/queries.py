@@ -287,7 +287,13 @@ def check_default(spark, sf_dir):
 
 
 def _validate_many(spark, sf_dir, plan: dict[str, list[X.Expectation]], sample_size=X.SAMPLE_SIZE):
-    frames = [X.validate(table(spark, sf_dir, n), rules, n, f"{n}_suite", sample_size) for n, rules in plan.items()]
+    """All tables' rule metrics in one batch of bounded plans, then each table's results."""
+    tables = {n: table(spark, sf_dir, n) for n in plan}
+    metrics = compute_metrics({n: (tables[n], X.rule_analyzers(rules)) for n, rules in plan.items()})
+    frames = [
+        X.validate(tables[n], rules, n, f"{n}_suite", sample_size, metrics=metrics.where(F.col("table_name") == n))
+        for n, rules in plan.items()
+    ]
     return materialized_union(frames)
 
 

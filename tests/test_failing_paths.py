@@ -281,3 +281,22 @@ def test_hash_first_frequency_is_exact(spark, budget):
         assert distinct / rows == plain[("Distinctness", c)]
         assert single / rows == plain[("Uniqueness", c)]
         assert dup == plain[("DuplicateRows", c)]
+
+
+def test_samples_with_precomputed_metrics_match(spark):
+    """With metrics given, only rules with unexpected values are sampled; results are unchanged."""
+    from assay.plans.parallel import compute_metrics
+
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    rules = [
+        X.expect_column_values_to_be_in_set("o_orderstatus", ["O", "F"]),
+        X.expect_column_values_to_be_in_set("o_orderstatus", ["O", "F", "P"]),
+        X.expect_column_values_to_be_unique("o_custkey"),
+        X.expect_column_values_to_be_unique("o_orderkey"),
+        X.expect_column_values_to_not_be_null("o_custkey"),
+    ]
+    lazy = [tuple(r) for r in X.validate(df, rules, "o").orderBy("seq").collect()]
+    metrics = compute_metrics({"o": (df, X.rule_analyzers(rules))})
+    eager = [tuple(r) for r in X.validate(df, rules, "o", metrics=metrics).orderBy("seq").collect()]
+    assert lazy == eager
+    assert [len(r[-1]) for r in eager] == [20, 0, 20, 0, 0]
