@@ -9,16 +9,19 @@ The runner never evaluates analyzers one by one; it plans them together:
   (the row count, a column's non-null count) are computed once.
 * **frequency analyzers** (distinctness, uniqueness, duplicate rows) need the
   count of every value of a column. Each column gets one
-  ``groupBy(col).count()`` (map-side combined, so a hot value costs one row
-  per map task, not one per occurrence) followed by a global aggregate of
-  that frequency table. All analyzers on the same column share it.
+  ``GROUP BY value`` (map-side combined, so a hot value costs one row per
+  map task, not one per occurrence); all analyzers on the same column share
+  it, and the value counts of all columns are summarised by one shared
+  ``GROUP BY idx``.
 
 The result is a long-form *metrics frame*: one row per analyzer, a few dozen
 rows per table, so only metrics - never data - reach the driver.
 
-Expressions are written as Spark SQL text and handed over in one
-``selectExpr`` per stage: the logical plan is the same as with Column
-objects, but building it costs a handful of JVM calls instead of thousands.
+Expressions are written as Spark SQL text and the whole plan of a table goes
+to Spark as one ``spark.sql`` statement (with the DataFrame bound as a
+relation): the logical plan is the same as with Column objects, but building
+it costs a handful of JVM calls instead of thousands. ``analyzer_plans``
+splits very wide tables into plans of bounded width.
 """
 
 from __future__ import annotations

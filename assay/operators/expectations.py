@@ -10,7 +10,9 @@ reads only rows failing some rule (the OR of the rule predicates is pushed
 into the scan, so clean row groups are skipped by Parquet statistics) and
 keeps the ``sample_size`` smallest values per rule with a window top-k,
 which Spark computes partially in every task before the shuffle; no rule's
-failures are ever gathered into one task.
+failures are ever gathered into one task. When the rule metrics are passed
+in precomputed, only rules that actually have unexpected values are
+sampled, so a clean suite needs no sample pass at all.
 
 Semantics (per rule): nulls are skipped except by the not-null rule; a rule
 succeeds when ``(considered - unexpected) / considered >= mostly`` (default
