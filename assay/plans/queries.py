@@ -77,6 +77,12 @@ def documents_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
+def tables_of(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
+    """Open several tables side by side (each open reads file listings and footers)."""
+    names = list(names)
+    return dict(zip(names, map_tables(lambda n: table(spark, sf_dir, n), names)))
+
+
 def _round_stats(df: DataFrame) -> DataFrame:
     v = F.col("value")
     return df.withColumn(
@@ -85,11 +91,7 @@ def _round_stats(df: DataFrame) -> DataFrame:
 
 
 def _metrics(spark, sf_dir, names, analyzers_for) -> DataFrame:
-    tables = {}
-    for name in names:
-        df = table(spark, sf_dir, name)
-        tables[name] = (df, analyzers_for(df))
-    return compute_metrics(tables)
+    return compute_metrics({n: (df, analyzers_for(df)) for n, df in tables_of(spark, sf_dir, names).items()})
 
 
 # ---- profile --------------------------------------------------------------------------
@@ -147,7 +149,7 @@ def profile_string_length(spark, sf_dir):
 
 
 def _profiles(spark, sf_dir, names):
-    m = profile_tables({n: table(spark, sf_dir, n) for n in names})
+    m = profile_tables(tables_of(spark, sf_dir, names))
     return _round_stats(m).select("table_name", "seq", "instance", "metric", "analyzer", "value", "status")
 
 
@@ -189,7 +191,8 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def _verify_many(spark, sf_dir, plan: dict[str, list[Check]]):
-    tables = {n: (table(spark, sf_dir, n), [a for c in checks for a in c.analyzers()]) for n, checks in plan.items()}
+    dfs = tables_of(spark, sf_dir, plan)
+    tables = {n: (dfs[n], [a for c in checks for a in c.analyzers()]) for n, checks in plan.items()}
     return evaluate_checks(spark, compute_metrics(tables), plan)
 
 
@@ -293,7 +296,7 @@ def _validate_many(spark, sf_dir, plan: dict[str, list[X.Expectation]], sample_s
     bounded plans) so that only rules with unexpected values are sampled;
     count-only validations stay one plan per table.
     """
-    tables = {n: table(spark, sf_dir, n) for n in plan}
+    tables = tables_of(spark, sf_dir, plan)
     if sample_size == 0:
         return materialized_union(
             [X.validate(tables[n], rules, n, f"{n}_suite", 0) for n, rules in plan.items()]
@@ -439,7 +442,7 @@ def expect_unexpected_sample(spark, sf_dir):
 
 
 def _rules(spark, sf_dir, names):
-    tables = {n: table(spark, sf_dir, n) for n in names}
+    tables = tables_of(spark, sf_dir, names)
     metrics = profile_tables(tables)
     return generate_rules(metrics, {n: df.columns for n, df in tables.items()})
 
