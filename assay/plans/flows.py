@@ -27,8 +27,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assay.operators import expectations as X
+from assay.operators.analyzers import DuplicateRows
 from assay.operators.checks import Check, evaluate_checks, rollup
 from assay.operators.generate import RULES_SCHEMA, generate_rules, rules_to_expectations, suite_name_for
 from assay.operators.profile import profile_analyzers
@@ -151,9 +153,25 @@ def data_shapes(results: DataFrame) -> DataFrame:
     )
 
 
-def validate_frame(df: DataFrame, table_name: str, rules: Sequence[X.Expectation], suite_name: str) -> DataFrame:
-    """Materialized results of one suite; its metrics come from bounded plans run side by side."""
-    metrics = compute_metrics({table_name: (df, X.rule_analyzers(rules))})
+def validate_frame(
+    df: DataFrame,
+    table_name: str,
+    rules: Sequence[X.Expectation],
+    suite_name: str,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """Materialized results of one suite; its metrics come from bounded plans run side by side.
+
+    ``known`` holds metric rows already measured on this same ``df`` (e.g.
+    duplicate-row counts from its profile); those analyzers are not rerun.
+    """
+    analyzers = X.rule_analyzers(rules)
+    if known is not None:
+        have = {(r["metric"], r["instance"]) for r in known.select("metric", "instance").collect()}
+        analyzers = [a for a in analyzers if (a.metric, a.instance) not in have]
+    metrics = compute_metrics({table_name: (df, analyzers)})
+    if known is not None:
+        metrics = metrics.unionByName(known)
     res = X.validate(df, rules, table_name, suite_name, metrics=metrics)
     return materialize(res.withColumn("n_columns", F.lit(len(df.columns))))
 
@@ -214,9 +232,20 @@ def generate_and_validate(
     The rules are data dependent, so the small rules frame is collected to
     plan the validation (a few rows per column); the data itself never
     leaves the executors.
+
+    When the profile is computed here from ``df`` itself, the duplicate-row
+    counts that uniqueness rules need are taken from the profile's own
+    frequency passes (same data, same shuffle), so validating the suite
+    costs one shuffle-free aggregation instead of repeating those shuffles.
+    Saved ``metrics`` may describe other data, so then everything is
+    measured again.
     """
+    carried = None
     if metrics is None:
-        metrics = profile_tables({table_name: df}, hash_strings=hash_strings)
+        strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        analyzers = profile_analyzers(df.schema) + [DuplicateRows(c) for c in strings]
+        metrics = compute_metrics({table_name: (df, analyzers)}, hash_strings=hash_strings)
+        carried = metrics.where(F.col("metric") == DuplicateRows.metric)
     else:
         metrics = materialize(metrics)
     # the rules plan the validation, so they come to the driver anyway (a few rows per
@@ -224,7 +253,7 @@ def generate_and_validate(
     rows = generate_rules(metrics, {table_name: df.columns}).collect()
     rules = df.sparkSession.createDataFrame(rows, RULES_SCHEMA)
     expectations = rules_to_expectations(rows)
-    return rules, validate_frame(df, table_name, expectations, suite_name_for(table_name))
+    return rules, validate_frame(df, table_name, expectations, suite_name_for(table_name), carried)
 
 
 def summary(results: DataFrame) -> DataFrame:
