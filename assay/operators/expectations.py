@@ -260,8 +260,13 @@ def unexpected_samples(
             continue
         k1, k2 = _sort_keys("value", numeric.get(e.column, False))
         smallest = (
-            frequency_table(df, e.column)
-            .where("n > 1")
+            # written exactly like the statistics pass of the same column, so
+            # Spark can reuse that shuffle when both are in one plan
+            df.sparkSession.sql(
+                f"SELECT {ident(e.column)} AS value, n FROM (SELECT {ident(e.column)}, count(1) AS n FROM {{df}} "
+                f"WHERE {ident(e.column)} IS NOT NULL GROUP BY {ident(e.column)}) WHERE n > 1",
+                df=df,
+            )
             .selectExpr(f"{k1} AS k1", f"{k2} AS k2", "CAST(value AS STRING) AS v", "n")
             .orderBy("k1", "k2")
             .limit(size)  # top-k per task, then merged: bounded
