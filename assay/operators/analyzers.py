@@ -165,6 +165,7 @@ StandardDeviation = _stat(
 )
 MinLength = _stat("MinLength", lambda c: f"min(char_length({c}))", "Shortest string length; nulls ignored.")
 MaxLength = _stat("MaxLength", lambda c: f"max(char_length({c}))", "Longest string length; nulls ignored.")
+MeanBytes = _stat("MeanBytes", lambda c: f"avg(octet_length({c}))", "Mean stored size of non-null values (planning aid).")
 
 
 @dataclass(frozen=True)
@@ -414,6 +415,11 @@ def analyzer_plans(
     """
     skipped = set(skip_frequency)
     todo = [(i, a) for i, a in enumerate(dedupe(analyzers)) if not (a.frequency and a.column in skipped)]
+    return plans_for(df, todo, table_name, max_columns)
+
+
+def plans_for(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str, max_columns: int = 32) -> list[DataFrame]:
+    """Bounded plans for explicit ``(seq, analyzer)`` pairs (see :func:`analyzer_plans`)."""
     all_columns = df.columns
     present = set(all_columns)
     scan = [(i, a) for i, a in todo if not a.frequency]

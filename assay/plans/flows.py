@@ -94,12 +94,12 @@ def _union(runs: list[TableRun], key: str) -> DataFrame | None:
 
 
 def profile_and_check_frame(
-    df: DataFrame, table_name: str, checks: Sequence[Check], hash_strings: bool = False
+    df: DataFrame, table_name: str, checks: Sequence[Check], hash_strings: bool | str = "auto"
 ) -> tuple[DataFrame, DataFrame]:
     """(profile metrics, constraint results) of one table from ONE metrics run.
 
-    ``hash_strings`` computes string-column frequency metrics hashes-first
-    (see ``assay.operators.frequency``): use it for long text columns.
+    ``hash_strings`` chooses how string-column frequency metrics are computed
+    (see ``compute_metrics``; ``"auto"`` hashes long text first).
     """
     spark = df.sparkSession
     analyzers = profile_analyzers(df.schema)
@@ -118,7 +118,7 @@ def profile_and_check(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
-    hash_strings: bool = False,
+    hash_strings: bool | str = "auto",
 ) -> FlowResult:
     def work(name, path):
         df = load(spark, path, stage=stage, name=name)
@@ -225,7 +225,7 @@ def validate_static(
 
 
 def generate_and_validate(
-    df: DataFrame, table_name: str, metrics: DataFrame | None = None, hash_strings: bool = False
+    df: DataFrame, table_name: str, metrics: DataFrame | None = None, hash_strings: bool | str = "auto"
 ) -> tuple[DataFrame, DataFrame]:
     """(rules, results) for one table: profile (unless ``metrics`` given) -> rules -> validation.
 

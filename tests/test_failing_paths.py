@@ -300,3 +300,20 @@ def test_samples_with_precomputed_metrics_match(spark):
     eager = [tuple(r) for r in X.validate(df, rules, "o", metrics=metrics).orderBy("seq").collect()]
     assert lazy == eager
     assert [len(r[-1]) for r in eager] == [20, 0, 20, 0, 0]
+
+
+def test_auto_hash_first_matches_plain(spark):
+    """``hash_strings='auto'``: long text is hashed first, short strings take the plain pass; same metrics."""
+    from assay.plans.parallel import profile_tables
+
+    tables = {
+        "documents": spark.read.parquet("/root/testdata/sf0.001/documents.parquet"),
+        "pages": spark.read.parquet("/root/testdata/sf0.001/pages.parquet"),
+    }
+    plain = {(r.table_name, r.metric, r.instance, r.seq): r.value for r in profile_tables(tables).collect()}
+    auto = {
+        (r.table_name, r.metric, r.instance, r.seq): r.value
+        for r in profile_tables(tables, hash_strings="auto").collect()
+    }
+    assert auto == plain
+    assert not any(k[1] == "MeanBytes" for k in auto)
