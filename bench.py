@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 2; the best run of each query is reported).
+BENCH_REPEATS (default 3; the best run of each query is reported).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
 
     from assay.plans.queries import QUERIES, table
     from assay.operators.profile import profile
