@@ -35,6 +35,7 @@ from assay.operators.expectations import (
 )
 from assay.operators.generate import generate_rules, rules_to_expectations
 from assay.operators.profile import profile, profile_analyzers
+from assay.plans.parallel import compute_metrics, profile_tables
 
 __all__ = [
     "Check",
@@ -51,6 +52,7 @@ __all__ = [
     "Size",
     "StandardDeviation",
     "Uniqueness",
+    "compute_metrics",
     "evaluate_checks",
     "expect_column_value_lengths_to_be_between",
     "expect_column_values_to_be_between",
@@ -62,6 +64,7 @@ __all__ = [
     "generate_rules",
     "profile",
     "profile_analyzers",
+    "profile_tables",
     "rule_agreement",
     "rules_to_expectations",
     "run_analyzers",
