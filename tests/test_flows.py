@@ -123,3 +123,18 @@ def test_command_line_all(samples_dir):
     assert [x["flow"] for x in lines] == ["checks", "suites", "generated"]
     assert all(sorted(x["ok"]) == sorted(TABLES) for x in lines)
     assert os.path.isdir(os.path.join(out, R.SUMMARY))
+
+
+def test_failing_table_is_isolated(spark, dataset):
+    from assay.operators.checks import Check
+    from assay.plans.registry import STATIC_CHECKS
+
+    out = tempfile.mkdtemp(prefix="assay-out-")
+    checks = dict(STATIC_CHECKS)
+    checks["titles"] = [Check("bad").satisfies("no_such_column > 0", "refers to a missing column")]
+    res = flows.profile_and_check(spark, dataset, out, checks=checks, max_parallel=3)
+    status = {r.table_name: r.status for r in res.runs}
+    assert status["titles"] == "failed"
+    assert all(status[t] == "ok" for t in TABLES if t != "titles")
+    written = {r.table_name for r in spark.read.json(os.path.join(out, R.VERIFICATION)).collect()}
+    assert "titles" not in written and set(TABLES) - {"titles"} <= written
