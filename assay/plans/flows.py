@@ -158,17 +158,18 @@ def validate_frame(
     table_name: str,
     rules: Sequence[X.Expectation],
     suite_name: str,
-    known: DataFrame | None = None,
+    known: tuple[DataFrame, set] | None = None,
 ) -> DataFrame:
     """Materialized results of one suite; its metrics come from bounded plans run side by side.
 
-    ``known`` holds metric rows already measured on this same ``df`` (e.g.
-    duplicate-row counts from its profile); those analyzers are not rerun.
+    ``known`` = (metric rows already measured on this same ``df``, their
+    ``(metric, instance)`` keys), e.g. duplicate-row counts from its profile;
+    those analyzers are not rerun.
     """
     analyzers = X.rule_analyzers(rules)
     if known is not None:
-        have = {(r["metric"], r["instance"]) for r in known.select("metric", "instance").collect()}
-        analyzers = [a for a in analyzers if (a.metric, a.instance) not in have]
+        known, have = known
+        analyzers = [a for a in analyzers if a.key not in have]
     metrics = compute_metrics({table_name: (df, analyzers)})
     if known is not None:
         metrics = metrics.unionByName(known)
@@ -243,9 +244,9 @@ def generate_and_validate(
     carried = None
     if metrics is None:
         strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-        analyzers = profile_analyzers(df.schema) + [DuplicateRows(c) for c in strings]
-        metrics = compute_metrics({table_name: (df, analyzers)}, hash_strings=hash_strings)
-        carried = metrics.where(F.col("metric") == DuplicateRows.metric)
+        extra = [DuplicateRows(c) for c in strings]
+        metrics = compute_metrics({table_name: (df, profile_analyzers(df.schema) + extra)}, hash_strings=hash_strings)
+        carried = (metrics.where(F.col("metric") == DuplicateRows.metric), {a.key for a in extra})
     else:
         metrics = materialize(metrics)
     # the rules plan the validation, so they come to the driver anyway (a few rows per

@@ -302,11 +302,13 @@ def _validate_many(spark, sf_dir, plan: dict[str, list[X.Expectation]], sample_s
             [X.validate(tables[n], rules, n, f"{n}_suite", 0) for n, rules in plan.items()]
         )
     metrics = compute_metrics({n: (tables[n], X.rule_analyzers(rules)) for n, rules in plan.items()})
-    frames = [
-        X.validate(tables[n], rules, n, f"{n}_suite", sample_size, metrics=metrics.where(F.col("table_name") == n))
+    builders = [
+        (lambda n=n, rules=rules: X.validate(
+            tables[n], rules, n, f"{n}_suite", sample_size, metrics=metrics.where(F.col("table_name") == n)
+        ))
         for n, rules in plan.items()
     ]
-    return materialized_union(frames)
+    return materialized_union(builders)  # each table's plan is built and run in a worker thread
 
 
 def _counts_view(res):
