@@ -192,7 +192,7 @@ def _write_expectations(results: DataFrame, output_dir: str, name: str, extra: d
             "results",
         )
     )
-    R.write_result(doc, os.path.join(output_dir, R.REPORTS), name)
+    R.write_result(R.one_file_per_table(doc), os.path.join(output_dir, R.REPORTS), name)
     return outcome
 
 

@@ -52,8 +52,17 @@ def nested_report(df: DataFrame, items: str, order: str = "seq", extra: dict | N
 
 
 def write_report(df: DataFrame, output_dir: str, name: str, items: str, order: str = "seq", extra=None) -> str:
-    """Nested JSON documents under ``<output>/reports/<name>/table_name=<t>/``."""
-    return write_result(nested_report(df, items, order, extra), os.path.join(output_dir, REPORTS), name, "json")
+    """Nested JSON documents, one file per table, under ``<output>/reports/<name>/table_name=<t>/``."""
+    doc = nested_report(df, items, order, extra)
+    return write_result(one_file_per_table(doc), os.path.join(output_dir, REPORTS), name, "json")
+
+
+def one_file_per_table(doc: DataFrame) -> DataFrame:
+    """Put each table's rows in one task so a partitioned write emits one file per table.
+
+    Only for report frames with one row (one document) per table.
+    """
+    return doc.repartition("table_name")
 
 
 def read_metrics(spark: SparkSession, output_dir: str, table_name: str, fmt: str = "json") -> DataFrame | None:

@@ -138,3 +138,12 @@ def test_failing_table_is_isolated(spark, dataset):
     assert all(status[t] == "ok" for t in TABLES if t != "titles")
     written = {r.table_name for r in spark.read.json(os.path.join(out, R.VERIFICATION)).collect()}
     assert "titles" not in written and set(TABLES) - {"titles"} <= written
+
+
+def test_reports_are_one_file_per_table(output, checked):
+    for name in ("metrics",):
+        base = os.path.join(output, R.REPORTS, name)
+        for part in os.listdir(base):
+            if part.startswith("table_name="):
+                files = [f for f in os.listdir(os.path.join(base, part)) if f.endswith(".json")]
+                assert len(files) == 1, (part, files)
