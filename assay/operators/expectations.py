@@ -37,7 +37,6 @@ from assay.operators.analyzers import (
     MissingCount,
     Size,
     UnexpectedCount,
-    frequency_table,
     run_analyzers,
 )
 
