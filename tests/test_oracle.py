@@ -43,4 +43,5 @@ def test_sampled_profile_is_deterministic(spark):
     b = QUERIES["profile_sampled"](spark, SF_DIR).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     size = [r.value for r in a if r.metric == "Size"][0]
-    assert 0.05 * 6000 < size < 0.15 * 6000
+    total = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    assert 0.05 * total < size < 0.15 * total
