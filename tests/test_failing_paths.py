@@ -317,3 +317,16 @@ def test_auto_hash_first_matches_plain(spark):
     }
     assert auto == plain
     assert not any(k[1] == "MeanBytes" for k in auto)
+
+
+def test_values_with_quotes_and_backslashes(spark):
+    """Rule values are embedded as SQL literals; quoting must keep them exact."""
+    vals = ["O'Brien", "back\\slash", 'dq"x', "日本", "plain"]
+    df = spark.createDataFrame([(v,) for v in vals + ["other"]], "name string")
+    v = verify(df, [Check("c").is_contained_in("name", vals)], "t")
+    row = v.constraints.collect()[0]
+    assert row.metric_value == pytest.approx(5 / 6)
+    res = X.validate(df, [X.expect_column_values_to_be_in_set("name", vals)], "t").collect()[0]
+    assert (res.unexpected_count, res.partial_unexpected_list) == (1, ["other"])
+    res = X.validate(df, [X.expect_column_values_to_be_in_set("name", ["other"])], "t").collect()[0]
+    assert sorted(res.partial_unexpected_list) == sorted(vals)
