@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.llm.decontaminate import op3_benchmark_decontamination
+from assay.llm.jaccard_join import op4_ngram_jaccard_join
 from assay.llm.substring_dedup import op1_substring_dedup
 from assay.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_toxicity": op5_toxicity,
 }
 
