@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assay.llm.decontaminate import op3_benchmark_decontamination
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
+from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
 from assay.llm.toxicity import op5_toxicity
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_toxicity": op5_toxicity,
+    "op7_secret_scans": op7_secret_scans,
 }
 
 ORACLE: dict[str, str] = {}
