@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assay.llm.decontaminate import op3_benchmark_decontamination
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
+from assay.llm.packing import op8_best_fit_packing
 from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
+from assay.llm.token_store import op2_token_output
 from assay.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_token_output": op2_token_output,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_toxicity": op5_toxicity,
     "op7_secret_scans": op7_secret_scans,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
