@@ -49,6 +49,32 @@ def ceil_div(a: float, b: float) -> int:
     return max(1, math.ceil(a / b))
 
 
+#: Bits of the filter in ``maybe_in``: at most FILTER_BITS / 64 rows of two numbers are broadcast.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``_maybe``: false if ``key`` is certainly not among ``ids`` (one column of that name).
+
+    A bitmap of fixed size over hashed ids is joined by broadcast, so wide rows that a join
+    with ``ids`` would drop need not be shuffled. Whatever the number of ids, none is missed.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    words = (
+        ids.select(place.alias("_place"))
+        .groupBy(F.expr("_place div 64").alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(_place % 64 AS INT)))").alias("_bits"))
+    )
+    marked = df.withColumn("_place", place).withColumn("_word", F.expr("_place div 64"))
+    bit = F.expr("(shiftright(coalesce(_bits, 0L), CAST(_place % 64 AS INT)) & 1L) = 1").alias("_maybe")
+    return marked.join(F.broadcast(words), "_word", "left").select(*df.columns, bit)
+
+
+def holding(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``ids``, for a join that follows."""
+    return maybe_in(df, ids, key).where("_maybe").drop("_maybe")
+
+
 # ---- text buffers -------------------------------------------------------------
 
 
@@ -157,7 +183,7 @@ def words(buf: np.ndarray, offsets: np.ndarray, lut: np.ndarray, hashed: bool =
     term = _BYTE[code[at]]
     if len(length) and length.max() > len(_PLACE):  # very long words: blocks of places get other weights
         term = mix(term + (place // len(_PLACE)).astype(U64) * U64(0x9E3779B97F4A7C15))
-    term *= _PLACE[place % len(_PLACE)]
+    term *= _PLACE[place & (len(_PLACE) - 1)]
     h = np.add.reduceat(term, before[:-1]) if len(start) else np.zeros(0, U64)
     return Words(start + lo, end + lo, first, mix(h + length.astype(U64)))
 

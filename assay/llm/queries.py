@@ -12,7 +12,7 @@ from assay.llm.packing import op8_best_fit_packing
 from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
 from assay.llm.token_store import op2_token_output
-from assay.llm.toxicity import op5_toxicity
+from assay.llm.toxicity import op5_toxicityfrom assay.llm.warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -20,8 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_toxicity": op5_toxicity,
+    "op6_warc": op6_warc,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": OP6_SQL,
+}
