@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assay.llm.chat import OP10_SQL, op10_chat_formatting
 from assay.llm.decontaminate import op3_benchmark_decontamination
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
 from assay.llm.packing import op8_best_fit_packing
+from assay.llm.quality import op9_quality_rules
 from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
 from assay.llm.token_store import op2_token_output
@@ -23,8 +25,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
     "op6_warc": OP6_SQL,
+    "op10_chat_formatting": OP10_SQL,
 }
