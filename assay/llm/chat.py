@@ -62,7 +62,7 @@ def fold(events: DataFrame) -> DataFrame:
     return grouped.withColumn("at", F.expr(last)).selectExpr(
         "conv_id",
         "message",
-        "coalesce(element_at(filter(log, e -> e.event = 'start'), -1).role, '') AS role",
+        "coalesce(try_element_at(filter(log, e -> e.event = 'start'), -1).role, '') AS role",
         "array_join(transform(filter(slice(log, at + 1, size(log)), e -> e.event <> 'regenerate'), e -> e.text), '') AS text",
     )
 

@@ -14,7 +14,8 @@ from assay.llm.quality import op9_quality_rules
 from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
 from assay.llm.token_store import op2_token_output
-from assay.llm.toxicity import op5_toxicityfrom assay.llm.warc import OP6_SQL, op6_warc
+from assay.llm.toxicity import op5_toxicity
+from assay.llm.warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
