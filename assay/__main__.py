@@ -36,12 +36,6 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("output")
     p.add_argument("--suffix", default=".csv", help="file suffix of the tables (default .csv)")
     p.add_argument("--parallel", type=int, default=4, help="tables processed side by side")
-    p.add_argument(
-        "--hash-strings",
-        choices=["auto", "on", "off"],
-        default="auto",
-        help="hash-first frequency metrics for string columns (auto: long values only)",
-    )
     p.add_argument("--local", metavar="N", help="start a local[N] session instead of the configured one")
     args = p.parse_args(argv)
 
@@ -59,7 +53,6 @@ def main(argv: list[str] | None = None) -> int:
                 "checks",
                 flows.profile_and_check(
                     spark, args.dataset, args.output, suffix=args.suffix, max_parallel=args.parallel,
-                    hash_strings={"auto": "auto", "on": True, "off": False}[args.hash_strings],
                 ),
             )
         )

@@ -8,6 +8,44 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+#: Stands for the input relation in statements handed to :func:`over`.
+RELATION = "\u0001relation\u0001"
+
+
+def over(df: DataFrame, text: str) -> DataFrame:
+    """Run a statement in which :data:`RELATION` stands for ``df``; braces of user text stay as they are."""
+    body = text.replace("{", "{{").replace("}", "}}").replace(RELATION, "{df}")
+    return df.sparkSession.sql(body, df=df)
+
+
+def _flat(t: T.DataType) -> bool:
+    plain = (T.StringType, T.BooleanType, T.DateType, T.NumericType)
+    return isinstance(t, plain) and not isinstance(t, T.DecimalType)
+
+
+def group_key(name: str, t: T.DataType) -> str:
+    """What a column's values are grouped by: wide values by a 32-byte digest, others as they are.
+
+    Strings, binary values and arrays of plain values go by SHA-256, so long text, markup or
+    vectors never travel as shuffle keys (two different values share a digest with a
+    probability below 2**-128 for any number of rows that can be stored). Arrays are digested
+    as JSON, with ``-0.0`` folded into ``0.0`` as grouping does.
+    """
+    c = ident(name)
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return f"unhex(sha2(CAST({c} AS BINARY), 256))"
+    if isinstance(t, T.ArrayType) and _flat(t.elementType):
+        x = f"transform({c}, x -> x + 0)" if isinstance(t.elementType, (T.FloatType, T.DoubleType)) else c
+        return f"unhex(sha2(CAST(to_json(named_struct('v', {x}), map('ignoreNullFields', 'false')) AS BINARY), 256))"
+    return c
+
+
+def is_digested(t: T.DataType) -> bool:
+    return group_key("x", t) != ident("x")
+
 
 def ident(name: str) -> str:
     """Quote a column name for Spark SQL (back-ticks, doubled inside)."""

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.functions.sql import ident, lit, metric_value, ratio
+from assay.functions.sql import RELATION, group_key, ident, lit, metric_value, over, ratio
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -85,6 +85,13 @@ class Analyzer:
         """The input column this analyzer reads (None for table-level ones)."""
         return None if self.column in (None, "*") else self.column
 
+    def problem(self, df: DataFrame) -> str | None:
+        """Why this metric cannot be computed on ``df`` (decided from its schema, no job), or None."""
+        c = self.required_column
+        if c is not None and c not in df.columns:
+            return f"Input data does not include column {c}!"
+        return None
+
     # scan analyzers: named partial aggregates (SQL text or Column) + the finishing SQL
     def partials(self, columns: Sequence[str]) -> dict[str, str | Column]:
         return {}
@@ -139,13 +146,31 @@ class Completeness(Analyzer):
         return ratio(" + ".join(cells), f"{p(_ROWS)} * {len(cells)}")
 
 
-def _stat(name: str, sql: Callable[[str], str], doc: str = ""):
-    """A scan analyzer over one column: ``sql(column)`` is the aggregate, the value its double."""
+def _unresolved(df: DataFrame, expression: str) -> str | None:
+    """The analysis error of a SQL expression on ``df``'s schema, if it has one."""
+    try:
+        df.limit(0).selectExpr(expression)
+    except Exception as e:  # noqa: BLE001 - parse and analysis errors come in several classes
+        return str(e).splitlines()[0]
+    return None
+
+
+def _stat(name: str, sql: Callable[[str], str], doc: str = "", needs: type = T.NumericType):
+    """A scan analyzer over one column of type ``needs``: ``sql(column)`` is the aggregate, the value its double."""
 
     @dataclass(frozen=True)
     class _A(Analyzer):
         metric: ClassVar[str] = name
 
+        def problem(self, df):
+            missing = super(_A, self).problem(df)
+            if missing:
+                return missing
+            found = df.schema[self.column].dataType
+            if not isinstance(found, needs):
+                return f"Expected type of column {self.column} to be {needs.__name__}, but found {found.simpleString()}"
+            return None
+
         def partials(self, columns):
             return {f"{name}:{self.column}": sql(ident(self.column))}
 
@@ -163,9 +188,8 @@ Mean = _stat("Mean", lambda c: f"avg(CAST({c} AS DOUBLE))")
 StandardDeviation = _stat(
     "StandardDeviation", lambda c: f"stddev_pop(CAST({c} AS DOUBLE))", "Population standard deviation."
 )
-MinLength = _stat("MinLength", lambda c: f"min(char_length({c}))", "Shortest string length; nulls ignored.")
-MaxLength = _stat("MaxLength", lambda c: f"max(char_length({c}))", "Longest string length; nulls ignored.")
-MeanBytes = _stat("MeanBytes", lambda c: f"avg(octet_length({c}))", "Mean stored size of non-null values (planning aid).")
+MinLength = _stat("MinLength", lambda c: f"min(char_length({c}))", "Shortest string length; nulls ignored.", T.StringType)
+MaxLength = _stat("MaxLength", lambda c: f"max(char_length({c}))", "Longest string length; nulls ignored.", T.StringType)
 
 
 @dataclass(frozen=True)
@@ -174,7 +198,8 @@ class Compliance(Analyzer):
 
     ``column`` holds the label (the constraint's description); ``predicate``
     is Spark SQL text, a Column, or a zero-argument function building the
-    Column (so rules can be declared before a session exists).
+    Column (so rules can be declared before a session exists). The metric is
+    keyed on label and predicate, so rules that share a name stay apart.
     """
 
     predicate: str | Column | Callable[[], Column] | None = field(default=None, compare=False, hash=False)
@@ -189,6 +214,18 @@ class Compliance(Analyzer):
     @property
     def required_column(self) -> str | None:
         return None  # ``column`` is a label here
+
+    @property
+    def instance(self) -> str:
+        return f"{self.column}|{self.predicate_key}"
+
+    @property
+    def entity(self) -> str:
+        return "Dataset"
+
+    def problem(self, df):
+        return _unresolved(df, f"({self.predicate}) AS p") if isinstance(self.predicate, str) else None
+
     @property
     def _pkey(self) -> str:
         return f"compliant:{self.predicate_key}"
@@ -231,6 +268,9 @@ class UnexpectedCount(Analyzer):
     def instance(self) -> str:
         return f"{self.column}|{self.condition}"
 
+    def problem(self, df):
+        return super().problem(df) or _unresolved(df, f"({self.condition}) AS p")
+
     def partials(self, columns):
         c = ident(self.column)
         return {f"unexpected:{self.instance}": f"count_if({c} IS NOT NULL AND ({self.condition}))"}
@@ -288,10 +328,13 @@ class DuplicateRows(Analyzer):
 
 
 def frequency_table(df: DataFrame, column: str) -> DataFrame:
-    """``value, n`` for every non-null value of ``column`` (one shuffle, map-side combined)."""
+    """``value, n`` for every non-null value of ``column`` (one shuffle, map-side combined).
+
+    Wide values are represented by their digest (see :func:`assay.functions.sql.group_key`).
+    """
     return (
-        df.selectExpr(f"{ident(column)} AS value")
-        .where("value IS NOT NULL")
+        df.where(f"{ident(column)} IS NOT NULL")
+        .selectExpr(f"{group_key(column, df.schema[column].dataType)} AS value")
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -353,15 +396,16 @@ _FINAL_COLUMNS = (
 _FINAL = ", ".join(_FINAL_COLUMNS)
 
 
-def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
+def _plan(df: DataFrame, todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
     """Split (seq, analyzer) pairs into the scan partials/rows and the per-column frequency rows.
 
-    An analyzer whose column is not in the input yields a failed metric
-    (null value with a message) instead of failing the whole table.
+    An analyzer that the input's schema rules out (missing column, wrong type,
+    unresolvable predicate) yields a failed metric (null value with a message)
+    instead of failing the whole table.
     """
-    present = set(columns)
-    missing = [(i, a) for i, a in todo if a.required_column is not None and a.required_column not in present]
-    todo = [(i, a) for i, a in todo if a.required_column is None or a.required_column in present]
+    problems = {i: p for i, a in todo if (p := a.problem(df)) is not None}
+    missing = [(i, a) for i, a in todo if i in problems]
+    todo = [(i, a) for i, a in todo if i not in problems]
     scan = [(i, a) for i, a in todo if not a.frequency]
     partials: dict[str, str | Column] = {}
     for _, a in scan:
@@ -372,7 +416,7 @@ def _plan(todo: list[tuple[int, Analyzer]], columns: Sequence[str]):
     alias = {k: f"_p{j}" for j, k in enumerate(partials)}
     scan_rows = [_metric_row(i, a, a.finish(lambda k: alias[k], columns)) for i, a in scan]
     scan_rows += [
-        _metric_row(i, a, "NULL", f"Input data does not include column {a.required_column}!") for i, a in missing
+        _metric_row(i, a, "NULL", problems[i]) for i, a in missing
     ]
     by_column: dict[str, list[tuple[int, Analyzer]]] = {}
     for i, a in todo:
@@ -400,7 +444,6 @@ def analyzer_plans(
     analyzers: Iterable[Analyzer],
     table_name: str = "",
     max_columns: int = 32,
-    skip_frequency: Iterable[str] = (),
 ) -> list[DataFrame]:
     """The metrics of :func:`run_analyzers`, split into plans of bounded width.
 
@@ -409,17 +452,16 @@ def analyzer_plans(
     passes. Adaptive execution re-plans a query after every finished stage,
     so one plan over hundreds of columns costs time quadratic in its width;
     bounded plans, run side by side (see ``assay.plans.parallel``), keep
-    that constant per column. Frequency analyzers of ``skip_frequency``
-    columns are left out (another strategy computes them); ``seq`` keeps
-    the position in the full analyzer list either way.
+    that constant per column. ``seq`` is the position in the analyzer list.
     """
-    skipped = set(skip_frequency)
-    todo = [(i, a) for i, a in enumerate(dedupe(analyzers)) if not (a.frequency and a.column in skipped)]
-    return plans_for(df, todo, table_name, max_columns)
+    parts = plan_parts(df, list(enumerate(dedupe(analyzers))), max_columns)
+    return [_run(df, part, table_name) for part in parts] or [empty_metrics(df.sparkSession)]
 
 
-def plans_for(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str, max_columns: int = 32) -> list[DataFrame]:
-    """Bounded plans for explicit ``(seq, analyzer)`` pairs (see :func:`analyzer_plans`)."""
+def plan_parts(
+    df: DataFrame, todo: list[tuple[int, Analyzer]], max_columns: int = 32
+) -> list[list[tuple[int, Analyzer]]]:
+    """``(seq, analyzer)`` pairs of each bounded plan (see :func:`analyzer_plans`)."""
     all_columns = df.columns
     present = set(all_columns)
     scan = [(i, a) for i, a in todo if not a.frequency]
@@ -443,13 +485,27 @@ def plans_for(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str,
             (i, a) for i, a in todo if a.frequency and a.column in members
         ]
         if part:
-            plans.append(_run(df, part, table_name))
-    return plans or [empty_metrics(df.sparkSession)]
+            plans.append(part)
+    return plans
+
+
+def failed_metrics(spark: SparkSession, todo: list[tuple[int, Analyzer]], table_name: str, message: str) -> DataFrame:
+    """Metric rows without a value for analyzers that could not be computed."""
+    rows = [
+        (table_name, i, a.entity, a.instance, a.metric, a.name, None, "DoubleMetric", "Failure", message)
+        for i, a in todo
+    ]
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
+def run_part(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> DataFrame:
+    """Lazy metrics of explicit ``(seq, analyzer)`` pairs."""
+    return _run(df, todo, table_name)
 
 
 def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> DataFrame:
     columns = df.columns
-    partials, alias, scan_rows, by_column = _plan(todo, columns)
+    partials, alias, scan_rows, by_column = _plan(df, todo, columns)
     if not scan_rows and not by_column:
         return empty_metrics(df.sparkSession)
     final = _FINAL.format(table=lit(table_name))
@@ -458,11 +514,11 @@ def _run(df: DataFrame, todo: list[tuple[int, Analyzer]], table_name: str) -> Da
         parts = []
         if scan_rows:
             aggs = ", ".join(f"{e} AS {alias[k]}" for k, e in partials.items())
-            parts.append(f"SELECT inline(array({', '.join(scan_rows)})) FROM (SELECT {aggs} FROM {{df}})")
+            parts.append(f"SELECT inline(array({', '.join(scan_rows)})) FROM (SELECT {aggs} FROM {RELATION})")
         if by_column:
-            parts.append(_frequency_sql(by_column))
+            parts.append(_frequency_sql(df, by_column))
         body = "\nUNION ALL\n".join(parts)
-        return df.sparkSession.sql(f"SELECT {final} FROM ({body})", df=df)
+        return over(df, f"SELECT {final} FROM ({body})")
 
     frames: list[DataFrame] = []
     if scan_rows:
@@ -491,7 +547,7 @@ def _pivot_rows(by_column: dict[str, list[tuple[int, Analyzer]]]) -> tuple[list[
     return pivot, rows
 
 
-def _frequency_sql(by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
+def _frequency_sql(df: DataFrame, by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
     """Frequency metrics of several columns with one shared statistics aggregation.
 
     Each column keeps its own ``GROUP BY value`` (one single-key shuffle,
@@ -501,28 +557,10 @@ def _frequency_sql(by_column: dict[str, list[tuple[int, Analyzer]]]) -> str:
     Per column that is two stages instead of three.
     """
     freq = "\nUNION ALL\n".join(
-        f"SELECT {j} AS idx, count(1) AS n FROM {{df}} WHERE {ident(c)} IS NOT NULL GROUP BY {ident(c)}"
+        f"SELECT {j} AS idx, count(1) AS n FROM {RELATION} WHERE {ident(c)} IS NOT NULL "
+        f"GROUP BY {group_key(c, df.schema[c].dataType)}"
         for j, c in enumerate(by_column)
     )
     stats = f"SELECT idx, {', '.join(FREQUENCY_STATS)} FROM ({freq}) GROUP BY idx"
     pivot, rows = _pivot_rows(by_column)
     return f"SELECT inline(array({', '.join(rows)})) FROM (SELECT {', '.join(pivot)} FROM ({stats}))"
-
-
-def metrics_from_frequency_stats(
-    stats: DataFrame, pairs: list[tuple[int, Analyzer]], table_name: str = ""
-) -> DataFrame:
-    """Metric rows for frequency analyzers ``(seq, analyzer)`` from precomputed per-column stats.
-
-    ``stats`` has ``idx`` = position of the column among the analyzers' columns
-    (first-seen order) and the four statistics of :data:`FREQUENCY_STATS`.
-    """
-    by_column: dict[str, list[tuple[int, Analyzer]]] = {}
-    for i, a in pairs:
-        by_column.setdefault(a.column, []).append((i, a))
-    pivot, rows = _pivot_rows(by_column)
-    return (
-        stats.selectExpr(*pivot)
-        .selectExpr(f"inline(array({', '.join(rows)}))")
-        .selectExpr(*[c.format(table=lit(table_name)) for c in _FINAL_COLUMNS])
-    )

@@ -83,7 +83,8 @@ class Check:
         """Every row is null or one of ``values``."""
         label = f"{column} contained in {','.join(str(v) for v in values)}"
         c = ident(column)
-        pred = f"{c} IS NULL OR {c} IN ({', '.join(lit(v) for v in values)})"
+        known = ", ".join(lit(v) for v in values if v is not None)
+        pred = f"{c} IS NULL OR {c} IN ({known})" if known else f"{c} IS NULL"
         a = Compliance.of(label, pred)
         return self._add(
             Constraint("containment", a, "value = 1.0", f"ComplianceConstraint(Compliance({label}))", column)

@@ -6,8 +6,25 @@ metric), so the joins here never touch table data.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from assay.operators.analyzers import (
+    Analyzer,
+    Completeness,
+    Distinctness,
+    Maximum,
+    MaxLength,
+    Mean,
+    Minimum,
+    MinLength,
+    Size,
+    StandardDeviation,
+    Uniqueness,
+)
 
 from assay.operators import expectations as X
 
@@ -79,6 +96,18 @@ def rule_agreement(constraints: DataFrame, expectations: DataFrame) -> DataFrame
     )
 
 
+def threshold_analyzers(thresholds: Iterable, schemas: dict[str, T.StructType]) -> dict[str, list[Analyzer]]:
+    """Per table, the analyzers that (table_name, metric, instance, ...) thresholds look at; unknown ones are left out."""
+    known = (Size, Completeness, Distinctness, Uniqueness, Minimum, Maximum, Mean, StandardDeviation, MinLength, MaxLength)
+    by_name = {a.metric: a for a in known}
+    out: dict[str, list[Analyzer]] = {t: [] for t in schemas}
+    for table, metric, instance, *_ in thresholds:
+        if table in out and metric in by_name:
+            column = None if metric == Size.metric else instance
+            out[table].append(by_name[metric](column))
+    return out
+
+
 def threshold_monitor(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Compare metrics with ``thresholds(table_name, metric, instance, min_value, max_value)``.
 

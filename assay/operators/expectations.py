@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.functions.sql import closed_range, ident, lit, percent
+from assay.functions.sql import RELATION, closed_range, group_key, ident, is_digested, lit, over, percent
 from assay.operators.analyzers import (
     Analyzer,
     DuplicateRows,
@@ -41,6 +41,8 @@ from assay.operators.analyzers import (
 )
 
 SAMPLE_SIZE = 20
+#: Buckets of map tasks whose smallest unexpected values are found first.
+SAMPLE_BUCKETS = 256
 
 TABLE_COLUMNS = "expect_table_columns_to_match_ordered_list"
 TABLE_ROWS = "expect_table_row_count_to_be_between"
@@ -83,7 +85,9 @@ class Expectation:
         """SQL condition on a non-null value that makes it unexpected (row rules only)."""
         x = ident(self.column) if self.column else None
         if self.expectation_type == IN_SET:
-            return f"NOT ({x} IN ({', '.join(lit(v) for v in self.value_set or ())}))"
+            # nulls are skipped by the rule, so a null in the set means nothing
+            known = ", ".join(lit(v) for v in self.value_set or () if v is not None)
+            return f"NOT ({x} IN ({known}))" if known else "true"
         if self.expectation_type == BETWEEN:
             return f"NOT ({closed_range(x, self.min_value, self.max_value)})"
         if self.expectation_type == LENGTHS:
@@ -167,7 +171,7 @@ def _key(a: Analyzer) -> str:
     return f"{a.metric}|{a.instance}"
 
 
-def _result_row(i: int, e: Expectation, columns: list[str], m) -> str:
+def _result_row(i: int, e: Expectation, columns: list[str], m, sample_size: int) -> str:
     """SQL struct of rule ``i``'s result; ``m(analyzer)`` names a metric of the pivoted row."""
     t = e.expectation_type
     rows = f"CAST({m(Size())} AS BIGINT)"
@@ -187,7 +191,7 @@ def _result_row(i: int, e: Expectation, columns: list[str], m) -> str:
         missing = f"CAST({m(MissingCount(e.column))} AS BIGINT)"
         if t == NOT_NULL:
             unexpected, considered = missing, rows
-            sample = f"array_repeat(CAST(NULL AS STRING), CAST(least({missing}, {SAMPLE_SIZE}) AS INT))"
+            sample = f"array_repeat(CAST(NULL AS STRING), CAST(least({missing}, {max(sample_size, 0)}) AS INT))"
         elif t == UNIQUE:
             unexpected, considered = f"CAST({m(DuplicateRows(e.column))} AS BIGINT)", f"({rows} - {missing})"
         else:
@@ -239,17 +243,18 @@ def unexpected_samples(
             k1, k2 = _sort_keys(x, numeric.get(e.column, False))
             bad = f"{x} IS NOT NULL AND ({cond})"
             any_bad.append(f"({bad})")
-            items.append(
-                f"CASE WHEN {bad} THEN named_struct('seq', {i}, 'k1', {k1}, 'k2', {k2}, 'v', CAST({x} AS STRING)) END"
-            )
+            items.append(f"CASE WHEN {bad} THEN named_struct('seq', {i}, 'k', {k1}, 'v', {k2}) END")
         # OR of the rule predicates first: clean row groups can be skipped by Parquet statistics
+        # two levels: the smallest values of each rule within a bucket of map tasks, then of the
+        # buckets; each level ships at most ``size`` rows per rule and task (partial group limit),
+        # and the last task of a rule reads at most ``size`` rows per bucket
         top = (
             df.where(" OR ".join(any_bad))
             .selectExpr(f"explode(filter(array({', '.join(items)}), s -> s IS NOT NULL)) AS s")
-            .selectExpr("s.*")
-            # row_number <= k per rule: Spark plans a partial group limit in every
-            # task before the shuffle, so each rule ships at most k rows per task
-            .selectExpr("seq", "v", "row_number() OVER (PARTITION BY seq ORDER BY k1, k2) AS rn")
+            .selectExpr("s.*", f"pmod(spark_partition_id(), {SAMPLE_BUCKETS}) AS bucket")
+            .selectExpr("seq", "k", "v", "row_number() OVER (PARTITION BY seq, bucket ORDER BY k, v) AS rn")
+            .where(f"rn <= {size}")
+            .selectExpr("seq", "v", "row_number() OVER (PARTITION BY seq ORDER BY k, v) AS rn")
             .where(f"rn <= {size}")
         )
         parts.append(top.groupBy("seq").agg(F.expr(ordered).alias("partial_unexpected_list")))
@@ -257,24 +262,35 @@ def unexpected_samples(
     for i, e in enumerate(rules):
         if e.expectation_type != UNIQUE or e.column not in present or not wanted(i):
             continue
+        kind = df.schema[e.column].dataType
+        c, key = ident(e.column), group_key(e.column, kind)
+        # the same grouping as the statistics pass of the column
+        repeated = over(
+            df, f"SELECT {key} AS value, count(1) AS n FROM {RELATION} WHERE {c} IS NOT NULL GROUP BY {key}"
+        ).where("n > 1")
         k1, k2 = _sort_keys("value", numeric.get(e.column, False))
-        smallest = (
-            # written exactly like the statistics pass of the same column, so
-            # Spark can reuse that shuffle when both are in one plan
-            df.sparkSession.sql(
-                f"SELECT {ident(e.column)} AS value, n FROM (SELECT {ident(e.column)}, count(1) AS n FROM {{df}} "
-                f"WHERE {ident(e.column)} IS NOT NULL GROUP BY {ident(e.column)}) WHERE n > 1",
-                df=df,
+        if is_digested(kind):
+            # the smallest repeated digests (top-k per task, then merged: at most ``size`` rows),
+            # broadcast to fetch one value of each: wide values are not shuffled for a sample
+            few = repeated.orderBy("value").limit(size)
+            smallest = (
+                over(df, f"SELECT {key} AS value, CAST({c} AS STRING) AS v FROM {RELATION} WHERE {c} IS NOT NULL")
+                .join(F.broadcast(few), "value")
+                .groupBy("value", "n")
+                .agg(F.min("v").alias("v"))
+                .selectExpr("CAST(NULL AS DOUBLE) AS k1", "v AS k2", "v", "n")
             )
-            .selectExpr(f"{k1} AS k1", f"{k2} AS k2", "CAST(value AS STRING) AS v", "n")
-            .orderBy("k1", "k2")
-            .limit(size)  # top-k per task, then merged: bounded
-        )
-        repeated = (
+        else:
+            smallest = (
+                repeated.selectExpr(f"{k1} AS k1", f"{k2} AS k2", "CAST(value AS STRING) AS v", "n")
+                .orderBy("k1", "k2")
+                .limit(size)  # top-k per task, then merged: bounded
+            )
+        listed = (
             "flatten(transform(sort_array(collect_list(named_struct('k1', k1, 'k2', k2, 'v', v, 'n', n))), "
             f"x -> array_repeat(x.v, CAST(least(x.n, {size}) AS INT))))"
         )
-        parts.append(smallest.selectExpr(f"{i} AS seq", f"slice({repeated}, 1, {size}) AS partial_unexpected_list"))
+        parts.append(smallest.selectExpr(f"{i} AS seq", f"slice({listed}, 1, {size}) AS partial_unexpected_list"))
 
     if not parts:
         return None
@@ -318,7 +334,7 @@ def validate(
     wide = metrics.selectExpr(
         *[f"max(CASE WHEN concat(metric, '|', instance) = {lit(k)} THEN value END) AS {name[k]}" for k in keys]
     )
-    structs = [_result_row(i, e, columns, lambda a: name[_key(a)]) for i, e in enumerate(rules)]
+    structs = [_result_row(i, e, columns, lambda a: name[_key(a)], sample_size) for i, e in enumerate(rules)]
     results = wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
     samples = unexpected_samples(df, rules, sample_size, only) if sample_size > 0 else None
@@ -332,7 +348,7 @@ def validate(
         f"{lit(table_name)} AS table_name",
         f"{lit(suite_name)} AS suite_name",
         *[f"`{n}`" for n, _ in RESULT_FIELDS],
-        f"coalesce(partial_unexpected_list, slice(null_sample, 1, {max(k, 1)}), array()) AS partial_unexpected_list"
+        "coalesce(partial_unexpected_list, null_sample, array()) AS partial_unexpected_list"
         if k > 0
         else "CAST(array() AS ARRAY<STRING>) AS partial_unexpected_list",
     )

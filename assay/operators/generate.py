@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.operators import expectations as X
+from assay.operators.analyzers import Analyzer, Completeness, Maximum, Minimum, MinLength, Size, Uniqueness
+from assay.operators.profile import SAMPLED
 
 ROW_COUNT_LOW = 0.9
 ROW_COUNT_HIGH = 1.1
@@ -48,6 +50,20 @@ RULES_SCHEMA = T.StructType(
 )
 
 
+def rule_metrics(schema: T.StructType, kinds: Iterable[str]) -> list[Analyzer]:
+    """The metrics that rules of the given expectation types are derived from, and no others."""
+    kinds = set(kinds)
+    out: list[Analyzer] = [Size()] if X.TABLE_ROWS in kinds else []
+    for f in schema.fields:
+        if X.NOT_NULL in kinds:
+            out.append(Completeness(f.name))
+        if isinstance(f.dataType, T.NumericType) and X.BETWEEN in kinds:
+            out += [Minimum(f.name), Maximum(f.name)]
+        if isinstance(f.dataType, T.StringType):
+            out += [MinLength(f.name)] * (X.LENGTHS in kinds) + [Uniqueness(f.name)] * (X.UNIQUE in kinds)
+    return out
+
+
 def suite_name_for(table_name: str) -> str:
     return f"{table_name}_auto_generated_suite"
 
@@ -76,6 +92,8 @@ def generate_rules(metrics: DataFrame, table_columns: dict[str, Sequence[str]])
     spark = metrics.sparkSession
     tables = list(table_columns)
     m = metrics.where(F.col("table_name").isin(tables) & F.col("value").isNotNull())
+    # a sample's row count and extremes say nothing about the table's
+    m = m.where((F.col("metric_type") != SAMPLED) | ~F.col("metric").isin("Size", "Minimum", "Maximum", "MinLength"))
     v, metric, inst = F.col("value"), F.col("metric"), F.col("instance")
 
     size = m.where((metric == "Size") & (inst == "*"))

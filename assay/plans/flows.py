@@ -94,18 +94,14 @@ def _union(runs: list[TableRun], key: str) -> DataFrame | None:
 
 
 def profile_and_check_frame(
-    df: DataFrame, table_name: str, checks: Sequence[Check], hash_strings: bool | str = "auto"
+    df: DataFrame, table_name: str, checks: Sequence[Check]
 ) -> tuple[DataFrame, DataFrame]:
-    """(profile metrics, constraint results) of one table from ONE metrics run.
-
-    ``hash_strings`` chooses how string-column frequency metrics are computed
-    (see ``compute_metrics``; ``"auto"`` hashes long text first).
-    """
+    """(profile metrics, constraint results) of one table from ONE metrics run."""
     spark = df.sparkSession
     analyzers = profile_analyzers(df.schema)
     n_profile = len(analyzers)
     analyzers += [a for c in checks for a in c.analyzers()]
-    all_metrics = compute_metrics({table_name: (df, analyzers)}, hash_strings=hash_strings)
+    all_metrics = compute_metrics({table_name: (df, analyzers)})
     constraints = evaluate_checks(spark, all_metrics, {table_name: list(checks)}).constraints
     return all_metrics.where(F.col("seq") < n_profile), materialize(constraints)
 
@@ -118,11 +114,10 @@ def profile_and_check(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
-    hash_strings: bool | str = "auto",
 ) -> FlowResult:
     def work(name, path):
         df = load(spark, path, stage=stage, name=name)
-        metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks), hash_strings)
+        metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks))
         return TableRun(name, path, "ok", frames={"metrics": metrics, "constraints": constraints})
 
     runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
@@ -226,7 +221,7 @@ def validate_static(
 
 
 def generate_and_validate(
-    df: DataFrame, table_name: str, metrics: DataFrame | None = None, hash_strings: bool | str = "auto"
+    df: DataFrame, table_name: str, metrics: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rules, results) for one table: profile (unless ``metrics`` given) -> rules -> validation.
 
@@ -245,7 +240,7 @@ def generate_and_validate(
     if metrics is None:
         strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         extra = [DuplicateRows(c) for c in strings]
-        metrics = compute_metrics({table_name: (df, profile_analyzers(df.schema) + extra)}, hash_strings=hash_strings)
+        metrics = compute_metrics({table_name: (df, profile_analyzers(df.schema) + extra)})
         carried = (metrics.where(F.col("metric") == DuplicateRows.metric), {a.key for a in extra})
     else:
         metrics = materialize(metrics)

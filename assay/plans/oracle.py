@@ -287,8 +287,9 @@ def expectation_counts(t: str, seq: int, kind: str, c: str, mostly=None, **p) ->
     elif kind == "not_null":
         unexpected = f"(SELECT count(*) FILTER (WHERE {e} IS NULL) FROM {src(t)})"
     elif kind == "in_set":
-        lits = ", ".join(q(x) if isinstance(x, str) else repr(x) for x in p["values"])
-        unexpected = f"(SELECT count(*) FILTER (WHERE {e} IS NOT NULL AND NOT ({e} IN ({lits}))) FROM {src(t)})"
+        lits = ", ".join(q(x) if isinstance(x, str) else repr(x) for x in p["values"] if x is not None)
+        bad = f"NOT ({e} IN ({lits}))" if lits else "true"
+        unexpected = f"(SELECT count(*) FILTER (WHERE {e} IS NOT NULL AND {bad}) FROM {src(t)})"
     elif kind == "between":
         unexpected = f"(SELECT count(*) FILTER (WHERE {e} IS NOT NULL AND NOT ({_bounds(e, p.get('lo'), p.get('hi'))})) FROM {src(t)})"
     elif kind == "lengths":
@@ -541,6 +542,8 @@ def _check_contained_in():
 def _check_satisfies():
     rows = [
         satisfies_c("customer", "customer_rules", "c_acctbal >= 0", "balance not negative"),
+        satisfies_c("customer", "customer_rules", "regexp_matches(c_name, '^Customer#[0-9]{9}$')", "name"),
+        satisfies_c("customer", "customer_rules", "regexp_matches(c_name, '^Customer#0{6}[0-9]{3}$')", "name"),
         satisfies_c("lineitem", "lineitem_rules", "l_quantity > 0", "quantity positive"),
         satisfies_c("lineitem", "lineitem_rules", "l_discount <= l_tax + 0.05", "discount bounded by tax"),
         satisfies_c("orders", "orders_rules", "o_totalprice > 0", "price positive"),
@@ -549,6 +552,33 @@ def _check_satisfies():
     return rows_sql(rows, CONSTRAINT_COLS)
 
 
+def _check_isolation():
+    fixed = [
+        ("ComplianceConstraint(Compliance(missing column))", "UNRESOLVED_COLUMN"),
+        ("ComplianceConstraint(Compliance(division by zero))", "DIVIDE_BY_ZERO"),
+        ("CompletenessConstraint(Completeness(no_such_column))", "Input data does not include column no_such_column!"),
+        ("Minimum(c_name)", "Expected type of column c_name to be NumericType, but found string"),
+    ]
+    parts = [
+        f"SELECT 'customer' AS table_name, {q(rule)} AS \"rule\", 'Failure' AS status, {q(message)} AS message"
+        for rule, message in fixed
+    ]
+    complete = metric_value("customer", "Completeness", "c_name")
+    parts.append(
+        "SELECT 'customer', 'CompletenessConstraint(Completeness(c_name))', "
+        f"CASE WHEN {complete} = 1 THEN 'Success' ELSE 'Failure' END, "
+        f"CASE WHEN {complete} = 1 THEN '' ELSE 'Value: ' || {complete} || ' does not meet the constraint requirement!' END"
+    )
+    return union(parts)
+
+
+def _profile_sampled():
+    kept = "substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8) < '19999999'"
+    SOURCES["lineitem_sample"] = f"(SELECT * FROM lineitem WHERE {kept})"
+    SCHEMAS["lineitem_sample"] = SCHEMAS["lineitem"]
+    return f"SELECT 'lineitem' AS table_name, instance, metric, value FROM ({profile_rows('lineitem_sample')})"
+
+
 def _rollup_rows():
     return [
         size_c("orders", "orders_keys"),
@@ -625,6 +655,9 @@ def _expect_in_set():
     return union(
         [
             expectation_counts("orders", 0, "in_set", "o_orderstatus", values=["O", "F"]),
+            expectation_counts("orders", 1, "in_set", "o_orderstatus", values=["O", None]),
+            expectation_counts("part", 0, "in_set", "p_name", values=[]),
+            expectation_counts("events_nulled", 0, "in_set", "value", values=[None]),
             expectation_counts("conversations", 0, "in_set", "role", values=["system", "user", "assistant"]),
             expectation_counts("customer", 0, "in_set", "c_mktsegment", mostly=0.5, values=SEGMENTS[:3]),
             expectation_counts("lineitem", 0, "in_set", "l_linestatus", values=["O"]),
@@ -813,6 +846,8 @@ def oracle_sql() -> dict[str, str]:
         "check_is_unique": _check_is_unique(),
         "check_contained_in": _check_contained_in(),
         "check_satisfies": _check_satisfies(),
+        "profile_sampled": _profile_sampled(),
+        "check_isolation": _check_isolation(),
         "check_status_rollup": _check_status_rollup(),
         "check_default": _check_default(),
         "expect_unique": _expect_unique(),

@@ -42,83 +42,60 @@ def materialized_union(frames: Sequence[DataFrame], max_parallel: int = MAX_PARA
     return union_all(materialize_all(frames, max_parallel))
 
 
-AUTO_MIN_BYTES = 256
+def _isolated(df: DataFrame, todo: list, name: str) -> list[DataFrame]:
+    """Materialized metrics of ``todo``; analyzers that fail while running become failed metrics.
+
+    A plan that fails is halved until the culprits stand alone, so one bad rule costs a few
+    extra small jobs and the others keep their values. If not even the row count can be
+    computed, the input itself is unreadable and the error is raised.
+    """
+    from assay.operators.analyzers import Size, failed_metrics, run_part
+
+    try:
+        return [materialize(run_part(df, todo, name))]
+    except Exception as e:  # noqa: BLE001 - any error of the plan
+        materialize(run_part(df, [(0, Size())], name))
+        if len(todo) == 1:
+            return [failed_metrics(df.sparkSession, todo, name, str(e).splitlines()[0] if str(e) else type(e).__name__)]
+        half = len(todo) // 2
+        return _isolated(df, todo[:half], name) + _isolated(df, todo[half:], name)
 
 
 def compute_metrics(
     tables: dict[str, tuple[DataFrame, Sequence]],
     max_columns: int = 32,
     max_parallel: int = MAX_PARALLEL,
-    hash_strings: bool | str | Sequence[str] = False,
 ) -> DataFrame:
     """Materialized long-form metrics of several tables: ``{name: (df, analyzers)}``.
 
     Every table is split into bounded plans (see ``analyzer_plans``); all
-    plans of all tables run side by side and their rows are unioned.
-    ``hash_strings`` sends the frequency metrics of string columns through
-    the hash-first strategy of :mod:`assay.operators.frequency` (same exact
-    results, far less shuffle for long values): ``True`` for all string
-    columns, a list of column names, or ``"auto"`` - the table's scan
-    aggregation (which reads those columns anyway) also measures their mean
-    stored size, and columns averaging at least ``AUTO_MIN_BYTES`` bytes are
-    hashed first while short ones take the plain pass.
+    plans of all tables run side by side and their rows are unioned. An
+    analyzer that cannot be computed yields a failed metric with a message.
     """
-    from assay.operators.analyzers import MeanBytes, analyzer_plans, dedupe, metrics_from_frequency_stats, plans_for
-    from assay.operators.frequency import hashable_columns, hashed_frequency_stats
-
-    def hashed_job(df, name, todo, hashed):
-        pairs = [(i, a) for i, a in todo if a.frequency and a.column in set(hashed)]
-        order = list(dict.fromkeys(a.column for _, a in pairs))
-        return lambda: metrics_from_frequency_stats(hashed_frequency_stats(df, order), pairs, name)
-
-    def table_jobs(item) -> list:
-        name, (df, analyzers) = item
-        todo = list(enumerate(dedupe(analyzers)))
-        present = set(df.columns)
-        freq_columns = list(dict.fromkeys(a.column for _, a in todo if a.frequency and a.column in present))
-        strings = hashable_columns(df, freq_columns) if hash_strings else []
-        if hash_strings == "auto" and strings:
-            # phase 1: the scan aggregation plus non-string frequency passes, with a
-            # hidden mean-size measurement of the string columns
-            hidden = [(len(todo) + k, MeanBytes(c)) for k, c in enumerate(strings)]
-            first = [(i, a) for i, a in todo if not (a.frequency and a.column in set(strings))]
-            done = materialize_all(plans_for(df, first + hidden, name, max_columns), max_parallel)
-            sizes = {
-                r["instance"]: r["value"]
-                for d in done
-                for r in d.where(f"metric = '{MeanBytes.metric}'").select("instance", "value").collect()
-            }
-            long = [c for c in strings if (sizes.get(c) or 0) >= AUTO_MIN_BYTES]
-            short = [(i, a) for i, a in todo if a.frequency and a.column in set(strings) - set(long)]
-            jobs: list = [d.where(f"metric != '{MeanBytes.metric}'") for d in done]
-            if short:
-                jobs += plans_for(df, short, name, max_columns)
-            if long:
-                jobs.append(hashed_job(df, name, todo, long))
-            return jobs
-        if hash_strings not in (True, False, "auto"):
-            strings = [c for c in strings if c in set(hash_strings)]
-        jobs = analyzer_plans(df, analyzers, name, max_columns, skip_frequency=strings)
-        if strings:
-            jobs.append(hashed_job(df, name, todo, strings))
-        return jobs
+    from assay.operators.analyzers import dedupe, empty_metrics, plan_parts
 
+    jobs = [
+        (df, part, name)
+        for name, (df, analyzers) in tables.items()
+        for part in plan_parts(df, list(enumerate(dedupe(analyzers))), max_columns)
+    ]
     # plans are built in the worker threads as well, so building overlaps running
-    per_table = map_tables(table_jobs, list(tables.items()), max_parallel)
-    return materialized_union([j for jobs in per_table for j in jobs], max_parallel)
+    done = [d for frames in map_tables(lambda j: _isolated(*j), jobs, max_parallel) for d in frames]
+    if not done:
+        return empty_metrics(next(iter(tables.values()))[0].sparkSession)
+    return union_all(done)
 
 
 def profile_tables(
     tables: dict[str, DataFrame],
     max_columns: int = 32,
     max_parallel: int = MAX_PARALLEL,
-    hash_strings: bool | str | Sequence[str] = False,
 ) -> DataFrame:
-    """Materialized profile metrics of several tables (see ``compute_metrics`` for ``hash_strings``)."""
+    """Materialized profile metrics of several tables."""
     from assay.operators.profile import profile_analyzers
 
     return compute_metrics(
-        {n: (df, profile_analyzers(df.schema)) for n, df in tables.items()}, max_columns, max_parallel, hash_strings
+        {n: (df, profile_analyzers(df.schema)) for n, df in tables.items()}, max_columns, max_parallel
     )
 
 

@@ -28,11 +28,10 @@ from assay.operators.analyzers import (
     Size,
     StandardDeviation,
     Uniqueness,
-
 )
 from assay.operators.checks import Check, evaluate_checks
-from assay.operators.compare import rule_agreement, threshold_monitor
-from assay.operators.generate import generate_rules
+from assay.operators.compare import rule_agreement, threshold_analyzers, threshold_monitor
+from assay.operators.generate import generate_rules, rule_metrics
 from assay.operators.profile import profile
 from assay.plans.flows import generate_and_validate, summary
 from assay.plans.parallel import compute_metrics, map_tables, materialized_union, profile_tables, union_all
@@ -170,18 +169,19 @@ TEXT_COLUMNS = {
 
 
 def profile_text_hashed(spark, sf_dir):
-    """Distinctness/uniqueness of text columns computed hashes-first (exact; same values as plain)."""
+    """Distinctness and uniqueness of text columns: grouped by digests, never by the texts."""
     tables = {
         n: (table(spark, sf_dir, n), [k(c) for c in cols for k in (Distinctness, Uniqueness)])
         for n, cols in TEXT_COLUMNS.items()
     }
-    m = compute_metrics(tables, hash_strings=True)
+    m = compute_metrics(tables)
     return m.select("table_name", "instance", "metric", "value")
 
 
 def profile_sampled(spark, sf_dir):
-    """Profile of a 10% Bernoulli sample of lineitem (estimates; no SQL twin)."""
-    m = profile(table(spark, sf_dir, "lineitem"), "lineitem", sample_fraction=0.1, seed=7)
+    """Profile of a 10% sample of lineitem, chosen by a hash of its key (sampling is the feature)."""
+    key = ["l_orderkey", "l_linenumber"]
+    m = profile(table(spark, sf_dir, "lineitem"), "lineitem", sample_fraction=0.1, sample_key=key)
     return _round_stats(m).select("table_name", "instance", "metric", "value")
 
 
@@ -239,9 +239,39 @@ def check_contained_in(spark, sf_dir):
     return _constraint_view(_verify_many(spark, sf_dir, plan))
 
 
+def check_isolation(spark, sf_dir):
+    """Rules that cannot be computed fail alone, with a message; the good rule beside them keeps its value."""
+    plan = {
+        "customer": [
+            Check("customer_mixed")
+            .satisfies("no_such_column > 0", "missing column")
+            .satisfies("1 / (c_custkey - c_custkey) > 0", "division by zero")
+            .is_complete("no_such_column")
+            .is_complete("c_name")
+        ]
+    }
+    dfs = tables_of(spark, sf_dir, plan)
+    analyzers = [a for c in plan["customer"] for a in c.analyzers()] + [Minimum("c_name")]
+    metrics = compute_metrics({"customer": (dfs["customer"], analyzers)})
+    # error classes only: the texts behind them belong to the engine
+    brief = F.expr("CASE WHEN {m} LIKE '[%' THEN regexp_extract({m}, '^.([A-Z_]+)', 1) ELSE coalesce({m}, '') END".format(m="message"))
+    constraints = evaluate_checks(spark, metrics, plan).constraints.select(
+        "table_name", F.col("constraint").alias("rule"), "status", brief.alias("message")
+    )
+    minimum = metrics.where("metric = 'Minimum'").select(
+        "table_name", F.col("analyzer").alias("rule"), "status", brief.alias("message")
+    )
+    return constraints.unionByName(minimum)
+
+
 def check_satisfies(spark, sf_dir):
     plan = {
-        "customer": [Check("customer_rules").satisfies("c_acctbal >= 0", "balance not negative")],
+        "customer": [
+            Check("customer_rules")
+            .satisfies("c_acctbal >= 0", "balance not negative")
+            .satisfies("c_name rlike '^Customer#[0-9]{9}$'", "name")
+            .satisfies("c_name rlike '^Customer#0{6}[0-9]{3}$'", "name")
+        ],
         "lineitem": [
             Check("lineitem_rules")
             .satisfies("l_quantity > 0", "quantity positive")
@@ -360,7 +390,12 @@ def expect_not_null_mostly(spark, sf_dir):
 
 def expect_in_set(spark, sf_dir):
     plan = {
-        "orders": [X.expect_column_values_to_be_in_set("o_orderstatus", ["O", "F"])],
+        "orders": [
+            X.expect_column_values_to_be_in_set("o_orderstatus", ["O", "F"]),
+            X.expect_column_values_to_be_in_set("o_orderstatus", ["O", None]),
+        ],
+        "part": [X.expect_column_values_to_be_in_set("p_name", [])],
+        "events_nulled": [X.expect_column_values_to_be_in_set("value", [None])],
         "conversations": [X.expect_column_values_to_be_in_set("role", ["system", "user", "assistant"])],
         "customer": [X.expect_column_values_to_be_in_set("c_mktsegment", SEGMENTS[:3], mostly=0.5)],
         "lineitem": [X.expect_column_values_to_be_in_set("l_linestatus", ["O"])],
@@ -443,34 +478,38 @@ def expect_unexpected_sample(spark, sf_dir):
 # ---- suite generation ---------------------------------------------------------------------
 
 
-def _rules(spark, sf_dir, names):
+def _rules(spark, sf_dir, names, kinds=None):
+    """Generated rules; with ``kinds``, from the metrics that those rules need only."""
     tables = tables_of(spark, sf_dir, names)
-    metrics = profile_tables(tables)
+    if kinds is None:
+        metrics = profile_tables(tables)
+    else:
+        metrics = compute_metrics({n: (df, rule_metrics(df.schema, kinds)) for n, df in tables.items()})
     return generate_rules(metrics, {n: df.columns for n, df in tables.items()})
 
 
 def generate_row_count(spark, sf_dir):
-    r = _rules(spark, sf_dir, TABLES).where(F.col("expectation_type") == X.TABLE_ROWS)
+    r = _rules(spark, sf_dir, TABLES, [X.TABLE_ROWS]).where(F.col("expectation_type") == X.TABLE_ROWS)
     return r.select("table_name", "min_value", "max_value")
 
 
 def generate_completeness_bands(spark, sf_dir):
-    r = _rules(spark, sf_dir, ["events_nulled", "documents_labels", "orders"])
+    r = _rules(spark, sf_dir, ["events_nulled", "documents_labels", "orders"], [X.NOT_NULL])
     return r.where(F.col("expectation_type") == X.NOT_NULL).select("table_name", "column", "mostly")
 
 
 def generate_uniqueness(spark, sf_dir):
-    r = _rules(spark, sf_dir, ["orders", "part", "documents", "pages", "benchmark", "customer"])
+    r = _rules(spark, sf_dir, ["orders", "part", "documents", "pages", "benchmark", "customer"], [X.UNIQUE])
     return r.where(F.col("expectation_type") == X.UNIQUE).select("table_name", "column")
 
 
 def generate_ranges(spark, sf_dir):
-    r = _rules(spark, sf_dir, ["lineitem", "orders", "customer"])
+    r = _rules(spark, sf_dir, ["lineitem", "orders", "customer"], [X.BETWEEN])
     return r.where(F.col("expectation_type") == X.BETWEEN).select("table_name", "column", "min_value", "max_value")
 
 
 def generate_min_length(spark, sf_dir):
-    r = _rules(spark, sf_dir, ["documents", "customer", "part", "conversations"])
+    r = _rules(spark, sf_dir, ["documents", "customer", "part", "conversations"], [X.LENGTHS])
     return r.where(F.col("expectation_type") == X.LENGTHS).select("table_name", "column", "min_value")
 
 
@@ -547,18 +586,20 @@ def rule_agreement_query(spark, sf_dir):
 
 
 def threshold_monitor_query(spark, sf_dir):
-    metrics = profile_tables({n: table(spark, sf_dir, n) for n in ["events_nulled", "orders"]})
+    limits = [
+        ("events_nulled", "Completeness", "value", 0.9, None),
+        ("events_nulled", "Size", "*", 1.0, None),
+        ("events_nulled", "Maximum", "value", None, 400.0),
+        ("orders", "Distinctness", "o_orderkey", 1.0, 1.0),
+        ("orders", "Uniqueness", "o_orderstatus", 0.5, None),
+        ("orders", "Mean", "o_totalprice", 100000.0, 300000.0),
+        ("orders", "Minimum", "o_missing", 0.0, None),
+    ]
+    tables = {n: table(spark, sf_dir, n) for n in ["events_nulled", "orders"]}
+    wanted = threshold_analyzers(limits, {n: df.schema for n, df in tables.items()})
+    metrics = compute_metrics({n: (df, wanted[n]) for n, df in tables.items()})
     thresholds = spark.createDataFrame(
-        [
-            ("events_nulled", "Completeness", "value", 0.9, None),
-            ("events_nulled", "Size", "*", 1.0, None),
-            ("events_nulled", "Maximum", "value", None, 400.0),
-            ("orders", "Distinctness", "o_orderkey", 1.0, 1.0),
-            ("orders", "Uniqueness", "o_orderstatus", 0.5, None),
-            ("orders", "Mean", "o_totalprice", 100000.0, 300000.0),
-            ("orders", "Minimum", "o_missing", 0.0, None),
-        ],
-        "table_name string, metric string, instance string, min_value double, max_value double",
+        limits, "table_name string, metric string, instance string, min_value double, max_value double"
     )
     return _round_stats(threshold_monitor(metrics, thresholds))
 
@@ -580,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "check_is_unique": check_is_unique,
     "check_contained_in": check_contained_in,
     "check_satisfies": check_satisfies,
+    "check_isolation": check_isolation,
     "check_status_rollup": check_status_rollup,
     "check_default": check_default,
     "expect_unique": expect_unique,

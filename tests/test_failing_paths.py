@@ -5,7 +5,7 @@ import os
 import pytest
 
 from assay.operators import expectations as X
-from assay.operators.analyzers import Completeness, Uniqueness, run_analyzers
+from assay.operators.analyzers import Completeness, Minimum, MinLength, Uniqueness, run_analyzers
 from assay.operators.checks import Check, verify
 from assay.operators.generate import generate_rules
 from assay.operators.profile import profile
@@ -263,24 +263,90 @@ def test_wide_table_is_split_into_bounded_plans(spark):
     assert split == whole and len(whole) == len(analyzers)
 
 
-@pytest.mark.parametrize("budget", [0, 150, 10**9])
-def test_hash_first_frequency_is_exact(spark, budget):
-    """Hash-first statistics equal the plain pass, whether columns fit the broadcast budget or fall back."""
-    from assay.operators.analyzers import DuplicateRows, Distinctness
-    from assay.operators.frequency import hashed_frequency_stats
+def test_digest_grouping_is_exact(spark):
+    """Columns grouped by digest give the statistics of grouping by value; no wide value is a shuffle key."""
+    from assay.operators.analyzers import Distinctness, DuplicateRows
 
-    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(
-        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(37)
+    one = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    df = one.unionByName(one.limit(37)).selectExpr(
+        "*", "array(CAST(doc_id % 7 AS DOUBLE) * -0.0, doc_id % 7) AS vec", "CAST(lang AS BINARY) AS raw",
+        "IF(doc_id % 3 = 0, array(lang, NULL), array(lang, 'null')) AS tags",
     )
-    cols = ["text", "lang", "source"]
-    got = {r.idx: tuple(r)[1:] for r in hashed_frequency_stats(df, cols, max_broadcast=budget).collect()}
-    analyzers = [k(c) for c in cols for k in (Distinctness, Uniqueness, DuplicateRows)]
-    plain = {(r.metric, r.instance): r.value for r in run_analyzers(df, analyzers).collect()}
-    for j, c in enumerate(cols):
-        distinct, rows, single, dup = got[j]
-        assert distinct / rows == plain[("Distinctness", c)]
-        assert single / rows == plain[("Uniqueness", c)]
-        assert dup == plain[("DuplicateRows", c)]
+    for c in ("text", "lang", "vec", "raw", "tags"):
+        n = [r["count"] for r in df.where(f"{c} IS NOT NULL").groupBy(c).count().collect()]
+        analyzers = [Distinctness(c), Uniqueness(c), DuplicateRows(c)]
+        got = {r.metric: r.value for r in run_analyzers(df, analyzers).collect()}
+        assert got["Distinctness"] == len(n) / sum(n)
+        assert got["Uniqueness"] == sum(x == 1 for x in n) / sum(n)
+        assert got["DuplicateRows"] == sum(x for x in n if x > 1)
+    plan = run_analyzers(df, [Distinctness("text"), Distinctness("vec")])._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("hashpartitioning(text" in x or "hashpartitioning(vec" in x for x in exchanges)
+
+
+def test_braces_in_user_text(spark):
+    """Regex quantifiers, braces in values and in column names reach Spark unchanged."""
+    df = spark.createDataFrame([("M", 1), ("{}", 2), ("ab", 3)], "g string, `x{1}` int")
+    v = verify(df, [Check("c").satisfies("g rlike '^[A-Z]{1}$'", "one letter").is_contained_in("g", ["{}", "M"]).is_unique("x{1}")], "t")
+    assert [r.metric_value for r in v.constraints.orderBy("seq").collect()] == [pytest.approx(1 / 3), pytest.approx(2 / 3), 1.0]
+    res = X.validate(df, [X.expect_column_values_to_be_in_set("g", ["{}"]), X.expect_column_values_to_be_unique("x{1}")], "t")
+    assert [r.unexpected_count for r in res.orderBy("seq").collect()] == [2, 0]
+
+
+def test_sets_with_null_and_empty_sets(spark):
+    df = spark.createDataFrame([("M",), ("X",), (None,), ("F",)], "g string")
+    rules = [X.expect_column_values_to_be_in_set("g", v) for v in (["M", "F", None], [], [None])]
+    got = X.validate(df, rules, "t").orderBy("seq").collect()
+    assert [(r.unexpected_count, r.success) for r in got] == [(1, False), (3, False), (3, False)]
+    checks = [Check("c").is_contained_in("g", ["M", "F", None]).is_contained_in("g", [])]
+    assert [r.metric_value for r in verify(df, checks, "t").constraints.orderBy("seq").collect()] == [0.75, 0.25]
+
+
+def test_rules_of_one_name_stay_apart(spark):
+    df = spark.range(4)
+    checks = [Check("c").satisfies("id > 1", "rule").satisfies("id > 0", "rule")
+              .is_contained_in("id", ["0,1"]).is_contained_in("id", ["0", "1"])]
+    rows = verify(df, checks, "t").constraints.orderBy("seq").collect()
+    assert [r.metric_value for r in rows][:2] == [0.5, 0.75] and len(rows) == 4
+
+
+def test_bad_rules_fail_alone(spark):
+    """Missing columns, wrong types, unresolvable and failing predicates: a failed row each, the others keep theirs."""
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "s string, n int")
+    checks = [Check("c").satisfies("zz > 0", "gone").satisfies("1 / (n - n) > 0", "zero").is_complete("s").satisfies("n >", "syntax")]
+    got = {r.constraint: (r.status, r.message) for r in verify(df, checks, "t").constraints.collect()}
+    assert got["CompletenessConstraint(Completeness(s))"] == ("Success", "")
+    assert sorted(s for s, _ in got.values()) == ["Failure"] * 3 + ["Success"]
+    assert all(m for s, m in got.values() if s == "Failure")
+    rows = {r.analyzer: r for r in run_analyzers(df, [Minimum("s"), MinLength("n"), Minimum("n")]).collect()}
+    assert rows["Minimum(n)"].value == 1.0
+    assert "Expected type" in rows["Minimum(s)"].message and "Expected type" in rows["MinLength(n)"].message
+
+
+def test_null_samples_obey_the_sample_size(spark):
+    df = spark.range(100).selectExpr("IF(id < 60, NULL, id) AS x", "CAST(id % 30 AS STRING) AS t")
+    rules = [X.expect_column_values_to_not_be_null("x"), X.expect_column_values_to_be_between("x", 0, 1), X.expect_column_values_to_be_unique("t")]
+    for size in (5, 50):
+        got = X.validate(df, rules, "t", sample_size=size).orderBy("seq").collect()
+        assert [len(r.partial_unexpected_list) for r in got] == [size, min(size, 40), size]
+
+
+def test_sample_does_not_depend_on_layout(spark):
+    from assay.operators.generate import generate_rules
+    from assay.operators.profile import SAMPLED, profile
+
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    key = ["l_orderkey", "l_linenumber"]
+    one, two = (
+        sorted(map(tuple, profile(x, "l", sample_fraction=0.1, sample_key=key).select("analyzer", "value").collect()))
+        for x in (df, df.repartition(13))
+    )
+    assert [a for a, _ in one] == [a for a, _ in two]
+    assert all(x == pytest.approx(y) for (_, x), (_, y) in zip(one, two, strict=True))
+    m = profile(df, "l", sample_fraction=0.1, sample_key=key)
+    assert {r.metric_type for r in m.collect()} == {SAMPLED}
+    kinds = {r.expectation_type for r in generate_rules(m, {"l": df.columns}).collect()}
+    assert not kinds & {X.TABLE_ROWS, X.BETWEEN, X.LENGTHS}
 
 
 def test_samples_with_precomputed_metrics_match(spark):
@@ -302,23 +368,6 @@ def test_samples_with_precomputed_metrics_match(spark):
     assert [len(r[-1]) for r in eager] == [20, 0, 20, 0, 0]
 
 
-def test_auto_hash_first_matches_plain(spark):
-    """``hash_strings='auto'``: long text is hashed first, short strings take the plain pass; same metrics."""
-    from assay.plans.parallel import profile_tables
-
-    tables = {
-        "documents": spark.read.parquet("/root/testdata/sf0.001/documents.parquet"),
-        "pages": spark.read.parquet("/root/testdata/sf0.001/pages.parquet"),
-    }
-    plain = {(r.table_name, r.metric, r.instance, r.seq): r.value for r in profile_tables(tables).collect()}
-    auto = {
-        (r.table_name, r.metric, r.instance, r.seq): r.value
-        for r in profile_tables(tables, hash_strings="auto").collect()
-    }
-    assert auto == plain
-    assert not any(k[1] == "MeanBytes" for k in auto)
-
-
 def test_values_with_quotes_and_backslashes(spark):
     """Rule values are embedded as SQL literals; quoting must keep them exact."""
     vals = ["O'Brien", "back\\slash", 'dq"x', "日本", "plain"]

@@ -125,19 +125,23 @@ def test_command_line_all(samples_dir):
     assert os.path.isdir(os.path.join(out, R.SUMMARY))
 
 
-def test_failing_table_is_isolated(spark, dataset):
+def test_failing_rule_and_table_are_isolated(spark, dataset):
+    """A rule on a missing column fails alone; an unreadable table fails alone."""
+    import shutil
+
     from assay.operators.checks import Check
     from assay.plans.registry import STATIC_CHECKS
 
+    folder = tempfile.mkdtemp(prefix="assay-broken-")
+    for name in os.listdir(dataset):
+        shutil.copy(os.path.join(dataset, name), folder)
     out = tempfile.mkdtemp(prefix="assay-out-")
     checks = dict(STATIC_CHECKS)
-    checks["titles"] = [Check("bad").satisfies("no_such_column > 0", "refers to a missing column")]
-    res = flows.profile_and_check(spark, dataset, out, checks=checks, max_parallel=3)
-    status = {r.table_name: r.status for r in res.runs}
-    assert status["titles"] == "failed"
-    assert all(status[t] == "ok" for t in TABLES if t != "titles")
-    written = {r.table_name for r in spark.read.json(os.path.join(out, R.VERIFICATION)).collect()}
-    assert "titles" not in written and set(TABLES) - {"titles"} <= written
+    checks["titles"] = [Check("bad").satisfies("no_such_column > 0", "refers to a missing column").has_size()]
+    res = flows.profile_and_check(spark, folder, out, checks=checks, max_parallel=3)
+    assert {r.table_name: r.status for r in res.runs} == dict.fromkeys(TABLES, "ok")
+    rows = [r for r in spark.read.json(os.path.join(out, R.CONSTRAINTS)).collect() if r.table_name == "titles"]
+    assert sorted(r.status for r in rows) == ["Failure", "Success"]
 
 
 def test_reports_are_one_file_per_table(output, checked):
