@@ -20,7 +20,8 @@ large group of candidates all members are compared with one of them, nearest to
 group's majority; only pairs that this leaves in different components are compared in a
 second round. So every link between different sets is either verified or lies within a
 component, and groups of near copies are not expanded into all pairs. Texts travel to the
-verification only for documents in candidate pairs.
+verification only for documents in candidate pairs (a bitmap of fixed size keeps the others
+out of the shuffle).
 
 Edge cases: null or empty text has an empty set, linked with nothing; a text of fewer than
 ``k`` words is one shingle; rows with a null id are left out; rows that repeat an id are
@@ -39,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import LOWER, U64, ceil_div, chunks, gram_hash, mix, string_buffer, table, text_bytes, words, written
+from assay.llm.common import LOWER, U64, ceil_div, chunks, gram_hash, holding, mix, string_buffer, table, text_bytes, words, written
 from assay.llm.components import components
 
 K = 4
@@ -370,7 +371,7 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> D
         return pairs
     tasks = ceil_div(2 * total, VERIFY_ROWS)
     rows = dealt.selectExpr("a", "chunk", "b AS doc").unionByName(dealt.selectExpr("a", "chunk", "a AS doc").distinct())
-    texts = docs.selectExpr("doc_id AS doc", "text").join(rows, "doc")
+    texts = holding(docs.selectExpr("doc_id AS doc", "text"), rows.select("doc"), "doc").join(rows, "doc")
     return (
         texts.withColumn("task", F.pmod(F.xxhash64("a", "chunk"), F.lit(tasks)))
         .groupBy("task")
