@@ -151,7 +151,7 @@ def _unresolved(df: DataFrame, expression: str) -> str | None:
     try:
         df.limit(0).selectExpr(expression)
     except Exception as e:  # noqa: BLE001 - parse and analysis errors come in several classes
-        return str(e).splitlines()[0]
+        return str(e).strip().splitlines()[0]
     return None
 
 

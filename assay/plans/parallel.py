@@ -56,7 +56,7 @@ def _isolated(df: DataFrame, todo: list, name: str) -> list[DataFrame]:
     except Exception as e:  # noqa: BLE001 - any error of the plan
         materialize(run_part(df, [(0, Size())], name))
         if len(todo) == 1:
-            return [failed_metrics(df.sparkSession, todo, name, str(e).splitlines()[0] if str(e) else type(e).__name__)]
+            return [failed_metrics(df.sparkSession, todo, name, str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__)]
         half = len(todo) // 2
         return _isolated(df, todo[:half], name) + _isolated(df, todo[half:], name)
 
