@@ -36,9 +36,9 @@ from assay.operators.generate import RULES_SCHEMA, generate_rules, rules_to_expe
 from assay.operators.profile import profile_analyzers
 from assay.plans.registry import STATIC_CHECKS, STATIC_SUITES, checks_for, suite_for, suite_name_of
 from assay.plans.parallel import compute_metrics
-from assay.session import materialize, stage_as_parquet
+from assay.session import materialize, remove, stage_as_parquet
 from assay.sources import results as R
-from assay.sources.tables import list_tables, read_table
+from assay.sources.tables import MALFORMED, list_tables, read_table
 
 log = logging.getLogger("assay")
 
@@ -51,6 +51,7 @@ class TableRun:
     path: str
     status: str  # ok | skipped | failed
     detail: str = ""
+    malformed: int = 0  # CSV lines that do not fit the header or the declared types
     frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
 
@@ -63,11 +64,36 @@ class FlowResult:
         return [r.table_name for r in self.runs if r.status == status]
 
 
-def load(spark: SparkSession, path: str, fmt: str | None = None, stage: bool = True, name: str = "t") -> DataFrame:
-    """Read a table; row-oriented sources are staged to Parquet once (see ``stage_as_parquet``)."""
-    df = read_table(spark, path, fmt)
-    is_rows = (fmt or path.rsplit(".", 1)[-1].lower()) in ("csv", "json")
-    return stage_as_parquet(df, name) if (stage and is_rows) else df
+def load(
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    stage: bool = True,
+    name: str = "t",
+    options: Mapping | None = None,
+    staged: list[str] | None = None,
+) -> tuple[DataFrame, int]:
+    """(table, number of malformed lines); row-oriented sources are staged to Parquet once.
+
+    ``options`` are reader arguments of the table (``schema``, ``null_tokens``). Malformed
+    CSV lines stay in the table as far as they can be read, and are counted.
+    """
+    kind = (fmt or path.rsplit(".", 1)[-1]).lower()
+    df = read_table(spark, path, fmt, malformed=stage and kind == "csv", **(options or {}))
+    if not stage or kind not in ("csv", "json"):
+        return df, 0
+    df = stage_as_parquet(df, name, staged)
+    if MALFORMED not in df.columns:
+        return df, 0
+    bad = df.where(F.col(MALFORMED).isNotNull()).count()
+    if bad:
+        log.warning("table %s: %d malformed lines", name, bad)
+    return df.drop(MALFORMED), bad
+
+
+def _remove_all(spark: SparkSession, staged: list[str]) -> None:
+    for path in staged:
+        remove(spark, path)
 
 
 def _run_tables(
@@ -114,11 +140,15 @@ def profile_and_check(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
+    options: Mapping[str, Mapping] | None = None,
 ) -> FlowResult:
+    """Metrics and checks of every table; ``options`` gives reader arguments by table name."""
+    staged: list[str] = []
+
     def work(name, path):
-        df = load(spark, path, stage=stage, name=name)
+        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
         metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks))
-        return TableRun(name, path, "ok", frames={"metrics": metrics, "constraints": constraints})
+        return TableRun(name, path, "ok", malformed=bad, frames={"metrics": metrics, "constraints": constraints})
 
     runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
     out: dict[str, DataFrame] = {}
@@ -133,17 +163,35 @@ def profile_and_check(
         R.write_result(constraints, output_dir, R.CONSTRAINTS)
         R.write_result(check_df, output_dir, R.CHECKS)
         R.write_result(status, output_dir, R.VERIFICATION)
+        R.write_result(R.one_file_per_table(check_documents(constraints, check_df, status)), os.path.join(output_dir, R.REPORTS), R.CHECKS)
+    _remove_all(spark, staged)
     return FlowResult(runs, out)
 
 
+def check_documents(constraints: DataFrame, checks: DataFrame, status: DataFrame) -> DataFrame:
+    """One document per table: overall_status and check_results[{check_name, status, constraints[]}]."""
+    rows = constraints.groupBy("table_name", "check_seq").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "constraint", "status", "message"))).alias("rows")
+    )
+    rows = rows.withColumn("constraints", F.transform("rows", lambda c: c.dropFields("seq"))).drop("rows")
+    listed = checks.join(rows, ["table_name", "check_seq"]).groupBy("table_name").agg(
+        F.sort_array(F.collect_list(F.struct("check_seq", "check_name", "status", "constraints"))).alias("rows")
+    )
+    return listed.join(status, "table_name").select(
+        "table_name",
+        F.current_timestamp().cast("string").alias("timestamp"),
+        "overall_status",
+        F.transform("rows", lambda c: c.dropFields("check_seq")).alias("check_results"),
+    )
+
+
 # ---- F2: static suites ------------------------------------------------------------------
 
 
 def data_shapes(results: DataFrame) -> DataFrame:
-    """Rows and columns validated per table, read back from the rule results."""
-    obs_rows = F.when(F.col("expectation_type") == X.TABLE_ROWS, F.col("observed_value").cast("long"))
+    """Rows and columns validated per table, carried by the rule results."""
     return results.groupBy("table_name").agg(
-        F.coalesce(F.max("element_count"), F.max(obs_rows)).alias("rows"),
+        F.max("n_rows").alias("rows"),
         F.max("n_columns").alias("columns"),
     )
 
@@ -169,14 +217,18 @@ def validate_frame(
     if known is not None:
         metrics = metrics.unionByName(known)
     res = X.validate(df, rules, table_name, suite_name, metrics=metrics)
-    return materialize(res.withColumn("n_columns", F.lit(len(df.columns))))
+    size = metrics.where("metric = 'Size'").select("value").first()  # one number
+    rows = int(size["value"]) if size is not None and size["value"] is not None else None
+    return materialize(
+        res.withColumn("n_columns", F.lit(len(df.columns))).withColumn("n_rows", F.lit(rows).cast("long"))
+    )
 
 
 def _write_expectations(results: DataFrame, output_dir: str, name: str, extra: dict | None = None) -> DataFrame:
-    R.write_result(results.drop("n_columns"), output_dir, name)
+    R.write_result(results.drop("n_columns", "n_rows"), output_dir, name)
     outcome = X.suite_outcome(results).join(data_shapes(results), "table_name")
     doc = (
-        R.nested_report(results.drop("n_columns", "suite_name"), "results", extra=extra)
+        R.nested_report(results.drop("n_columns", "n_rows", "suite_name"), "results", extra=extra)
         .join(outcome, "table_name")
         .select(
             "table_name",
@@ -199,14 +251,19 @@ def validate_static(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
+    options: Mapping[str, Mapping] | None = None,
 ) -> FlowResult:
+    """The registered suite of every table; tables without one are skipped."""
+    staged: list[str] = []
+
     def work(name, path):
         suite = suite_for(name, suites)
         if suite is None:
             log.warning("no expectation suite for table %s", name)
             return TableRun(name, path, "skipped", "no suite")
-        df = load(spark, path, stage=stage, name=name)
-        return TableRun(name, path, "ok", frames={"results": validate_frame(df, name, suite, suite_name_of(name))})
+        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
+        results = validate_frame(df, name, suite, suite_name_of(name))
+        return TableRun(name, path, "ok", malformed=bad, frames={"results": results})
 
     runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
     results = _union(runs, "results")
@@ -214,6 +271,7 @@ def validate_static(
     if results is not None:
         out["results"] = results
         out["outcome"] = _write_expectations(results, output_dir, R.EXPECTATIONS)
+    _remove_all(spark, staged)
     return FlowResult(runs, out)
 
 
@@ -264,7 +322,10 @@ def validate_generated(
     suffix: str = ".csv",
     max_parallel: int = 4,
     stage: bool = True,
+    options: Mapping[str, Mapping] | None = None,
 ) -> FlowResult:
+    """Suites from saved metrics, validated, with a summary document over all tables."""
+    staged: list[str] = []
     tables = list_tables(spark, dataset_dir, suffix)
     if not tables:
         log.warning("no tables in %s", dataset_dir)
@@ -275,9 +336,9 @@ def validate_generated(
         if metrics is None:
             log.warning("skipping %s: no saved metrics", name)
             return TableRun(name, path, "skipped", "no metrics")
-        df = load(spark, path, stage=stage, name=name)
+        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
         rules, results = generate_and_validate(df, name, metrics)
-        return TableRun(name, path, "ok", frames={"rules": rules, "results": results})
+        return TableRun(name, path, "ok", malformed=bad, frames={"rules": rules, "results": results})
 
     runs = _run_tables(tables, work, max_parallel)
     out: dict[str, DataFrame] = {}
@@ -290,11 +351,17 @@ def validate_generated(
         extra = {"pipeline_type": PIPELINE_TYPE, "expectations_from_metrics": True}
         _write_expectations(results, output_dir, R.COMBINED, extra)
         processed = len([r for r in runs if r.status == "ok"])
-        s = summary(results).select(
+        s = summary(results)
+        out["summary"] = s.select(
+            F.lit(PIPELINE_TYPE).alias("pipeline_type"), F.lit(processed).alias("total_tables_processed"), "*"
+        )
+        # one row per table: one document
+        document = s.groupBy().agg(F.sort_array(F.collect_list(F.struct("*"))).alias("table_results")).select(
             F.lit(PIPELINE_TYPE).alias("pipeline_type"),
+            F.current_timestamp().cast("string").alias("timestamp"),
             F.lit(processed).alias("total_tables_processed"),
-            "*",
+            "table_results",
         )
-        out["summary"] = s
-        s.coalesce(1).write.mode("overwrite").json(os.path.join(output_dir, R.SUMMARY))  # one row per table
+        document.coalesce(1).write.mode("overwrite").json(os.path.join(output_dir, R.SUMMARY))
+    _remove_all(spark, staged)
     return FlowResult(runs, out)

@@ -802,6 +802,57 @@ FROM c FULL OUTER JOIN e ON c.table_name = e.table_name AND c.rule_kind = e.rule
 """
 
 
+def _flow_checks():
+    rows = [size_c(t, "default_checks") for t in TABLES if t not in ("orders", "customer")]
+    rows += [
+        size_c("orders", "orders_keys"),
+        complete_c("orders", "orders_keys", "o_orderkey"),
+        unique_c("orders", "orders_keys", "o_orderkey"),
+        contained_c("orders", "orders_status", "o_orderstatus", ["O", "F"], level="Warning", check_seq=1),
+        satisfies_c("customer", "customer_rules", "c_acctbal >= 0", "balance not negative"),
+    ]
+    cols = ["table_name", "check_seq", "check_name", "level", "constraint", "metric_value", "status"]
+    return (
+        "WITH c AS (" + rows_sql(rows, cols) + "), k AS ("
+        "SELECT table_name, check_seq, CASE WHEN bool_and(status = 'Success') THEN 'Success' ELSE any_value(level) END "
+        "AS check_status FROM c GROUP BY 1, 2), o AS (SELECT table_name, CASE max(CASE check_status WHEN 'Error' THEN 2 "
+        "WHEN 'Warning' THEN 1 ELSE 0 END) WHEN 2 THEN 'Error' WHEN 1 THEN 'Warning' ELSE 'Success' END AS overall_status "
+        "FROM k GROUP BY 1) "
+        "SELECT table_name, overall_status, check_name, check_status, \"constraint\", status, "
+        "CASE WHEN status = 'Success' THEN '' ELSE 'Value: ' || CAST(metric_value AS VARCHAR) || "
+        "' does not meet the constraint requirement!' END AS message "
+        "FROM c JOIN k USING (table_name, check_seq) JOIN o USING (table_name)"
+    )
+
+
+def _flow_suites():
+    unique = metric_value("customer", "Uniqueness", "c_custkey")
+    return (
+        f"SELECT 'orders' AS table_name, (SELECT count(*) FROM orders) AS \"rows\", "
+        f"CAST({len(SCHEMAS['orders'])} AS BIGINT) AS columns, false AS validation_success, CAST(1 AS BIGINT) AS rules "
+        f"UNION ALL SELECT 'customer', (SELECT count(*) FROM customer), {len(SCHEMAS['customer'])}, "
+        f"{unique} = 1 AND (SELECT count(*) FROM customer WHERE c_acctbal < 0) = 0, 2"
+    )
+
+
+def _flow_generated():
+    results = union([f"SELECT * FROM ({generated_results(t)})" for t in TABLES])
+    return (
+        f"SELECT CAST({len(TABLES)} AS BIGINT) AS total_tables_processed, table_name, "
+        "bool_and(success) AS validation_success, count(*) AS total_expectations, "
+        "count(*) FILTER (WHERE success) AS successful_expectations, "
+        f"count(*) FILTER (WHERE NOT success) AS failed_expectations FROM ({results}) GROUP BY table_name"
+    )
+
+
+def _generate_bad_metric():
+    return (
+        "SELECT table_name, table_name || '_auto_generated_suite' AS suite_name, expectation_type, \"column\" "
+        f"FROM ({generated_rules('customer')}) "
+        "WHERE NOT (expectation_type = 'expect_column_value_lengths_to_be_between' AND \"column\" = 'c_name')"
+    )
+
+
 def _threshold_monitor():
     th = [
         ("events_nulled", "Completeness", "value", 0.9, None),
@@ -847,6 +898,10 @@ def oracle_sql() -> dict[str, str]:
         "check_contained_in": _check_contained_in(),
         "check_satisfies": _check_satisfies(),
         "profile_sampled": _profile_sampled(),
+        "flow_checks": _flow_checks(),
+        "flow_suites": _flow_suites(),
+        "flow_generated": _flow_generated(),
+        "generate_bad_metric": _generate_bad_metric(),
         "check_isolation": _check_isolation(),
         "check_status_rollup": _check_status_rollup(),
         "check_default": _check_default(),

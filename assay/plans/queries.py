@@ -11,6 +11,7 @@ Rule parameters below are ordinary user configuration for the given tables
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,11 @@ from assay.operators.checks import Check, evaluate_checks
 from assay.operators.compare import rule_agreement, threshold_analyzers, threshold_monitor
 from assay.operators.generate import generate_rules, rule_metrics
 from assay.operators.profile import profile
-from assay.plans.flows import generate_and_validate, summary
+from assay.plans.flows import generate_and_validate, profile_and_check, summary, validate_generated, validate_static
 from assay.plans.parallel import compute_metrics, map_tables, materialized_union, profile_tables, union_all
 from assay.plans.registry import checks_for
+from assay.session import ensure_checkpoint_dir
+from assay.sources import results as R
 
 TABLES = [
     "region",
@@ -547,6 +550,73 @@ def combined_summary(spark, sf_dir):
     return summary(_combined(spark, sf_dir))
 
 
+# ---- directory flows over the given folder --------------------------------------------------
+
+FLOW_CHECKS = {
+    "orders": [
+        Check("orders_keys").has_size().is_complete("o_orderkey").is_unique("o_orderkey"),
+        Check("orders_status", level="Warning").is_contained_in("o_orderstatus", ["O", "F"]),
+    ],
+    "customer": [Check("customer_rules").satisfies("c_acctbal >= 0", "balance not negative")],
+}
+FLOW_SUITES = {
+    "orders": [
+        X.expect_table_columns_to_match_ordered_list(["o_orderkey"]),
+    ],
+    "customer": [
+        X.expect_column_values_to_be_unique("c_custkey"),
+        X.expect_column_values_to_be_between("c_acctbal", 0, None),
+    ],
+}
+
+
+def _output(spark) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/flows/{uuid.uuid4().hex}"
+
+
+def flow_checks(spark, sf_dir):
+    """Profile and check every table of the folder; the check documents, read back."""
+    out = _output(spark)
+    profile_and_check(spark, sf_dir, out, FLOW_CHECKS, suffix=".parquet", max_parallel=8)
+    doc = spark.read.json(f"{out}/{R.REPORTS}/{R.CHECKS}")
+    rows = doc.select("table_name", "overall_status", F.explode("check_results").alias("k"))
+    rows = rows.select("table_name", "overall_status", "k.check_name", F.col("k.status").alias("check_status"), F.explode("k.constraints").alias("c"))
+    return rows.select("table_name", "overall_status", "check_name", "check_status", "c.constraint", "c.status", "c.message")
+
+
+def flow_suites(spark, sf_dir):
+    """Validate the folder against a registry of two suites (other tables are skipped); the documents, read back."""
+    out = _output(spark)
+    validate_static(spark, sf_dir, out, FLOW_SUITES, suffix=".parquet", max_parallel=8)
+    doc = spark.read.json(f"{out}/{R.REPORTS}/{R.EXPECTATIONS}")
+    return doc.select(
+        "table_name",
+        F.col("data_shape.rows").alias("rows"),
+        F.col("data_shape.columns").alias("columns"),
+        "validation_success",
+        F.size("results").cast("long").alias("rules"),
+    )
+
+
+def flow_generated(spark, sf_dir):
+    """Metrics to files, suites from the files, validation; the summary document, read back."""
+    out = _output(spark)
+    profile_and_check(spark, sf_dir, out, {}, suffix=".parquet", max_parallel=8)
+    validate_generated(spark, sf_dir, out, suffix=".parquet", max_parallel=8)
+    doc = spark.read.json(f"{out}/{R.SUMMARY}")
+    rows = doc.select("total_tables_processed", F.explode("table_results").alias("t"))
+    return rows.select("total_tables_processed", "t.*")
+
+
+def generate_bad_metric(spark, sf_dir):
+    """A metric without a value yields no rule; the other rules of its table are still derived."""
+    df = table(spark, sf_dir, "customer")
+    lost = (F.col("metric") == "MinLength") & (F.col("instance") == "c_name")
+    metrics = profile_tables({"customer": df}).withColumn("value", F.when(~lost, F.col("value")))
+    return generate_rules(metrics, {"customer": df.columns}).select("table_name", "suite_name", "expectation_type", "column")
+
+
 # ---- cross-tool agreement and threshold monitoring ---------------------------------------------
 
 
@@ -641,6 +711,10 @@ QUERIES: dict[str, Query] = {
     "generate_suite": generate_suite,
     "combined_validation": combined_validation,
     "combined_summary": combined_summary,
+    "flow_checks": flow_checks,
+    "flow_suites": flow_suites,
+    "flow_generated": flow_generated,
+    "generate_bad_metric": generate_bad_metric,
     "rule_agreement": rule_agreement_query,
     "threshold_monitor": threshold_monitor_query,
 }

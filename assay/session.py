@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - e.g. Spark Connect: the server manages checkpoints
-        return spark.conf.get("spark.checkpoint.dir", "")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -62,17 +65,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def stage_as_parquet(df: DataFrame, name: str = "staged") -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stage_as_parquet(df: DataFrame, name: str = "staged", staged: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to Parquet under the checkpoint folder and read it back.
 
     Row-oriented sources (CSV, JSON) are parsed in full on every scan; metric
     passes read one column each, so staging to a columnar copy first turns
     K full parses into one parse plus K pruned column reads. It also cuts the
-    lineage, so a lost executor never re-parses the source.
+    lineage, so a lost executor never re-parses the source. ``staged`` collects
+    the folders, for :func:`remove` when they are no longer read.
     """
     base = ensure_checkpoint_dir(df.sparkSession)
     path = os.path.join(base, "assay-staged", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    if staged is not None:
+        staged.append(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from assay.functions import col
 
+#: Column with the text of malformed CSV lines.
+MALFORMED = "_malformed"
+
 FORMATS = ("csv", "parquet", "json", "orc")
 
 
@@ -24,18 +27,16 @@ def list_tables(spark: SparkSession, directory: str, suffix: str = ".csv") -> li
 
     Listing goes through Spark's file index (works on any Hadoop file system);
     the ``binaryFile`` source does not read file contents when only ``path``
-    is selected. A missing directory yields an empty list.
+    is selected. A directory without such files yields an empty list; one that
+    is missing or cannot be listed is an error.
     """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"*{suffix}")
-            .load(directory)
-            .select("path")
-            .collect()  # one row per file: a directory listing
-        )
-    except Exception:  # noqa: BLE001 - missing directory or no matching file
-        return []
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*{suffix}")
+        .load(directory)
+        .select("path")
+        .collect()  # one row per file: a directory listing
+    )
     return sorted((table_name_of(r["path"]), r["path"]) for r in files)
 
 
@@ -52,12 +53,16 @@ def read_table(
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
     null_tokens: Sequence[str] = ("",),
+    malformed: bool = False,
 ) -> DataFrame:
     """Read one table.
 
     CSV: header row, types inferred unless ``schema`` is given (a leading
     byte-order mark and CRLF line ends are handled by Spark). ``null_tokens``
-    are read as null in string columns; the empty field already is.
+    are read as null in string columns; the empty field already is. With
+    ``malformed`` a CSV table gets the column ``MALFORMED``, which holds the whole
+    line where it has more or fewer fields than the header or a value that its
+    declared type cannot take (null elsewhere).
     """
     fmt = _format_of(path, fmt)
     reader = spark.read.format(fmt)
@@ -67,13 +72,19 @@ def read_table(
     elif schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
+    if fmt == "csv" and malformed:
+        wide = T.StructType([*df.schema.fields, T.StructField(MALFORMED, T.StringType())])
+        df = (
+            spark.read.format(fmt).option("header", "true").option("columnNameOfCorruptRecord", MALFORMED)
+            .schema(wide).load(path)
+        )
     tokens = [t for t in null_tokens if t != ""]
     if not tokens:
         return df
     return df.select(
         *[
             F.when(col(f.name).isin(tokens), F.lit(None)).otherwise(col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, T.StringType) and f.name != MALFORMED
             else col(f.name)
             for f in df.schema.fields
         ]

@@ -40,7 +40,22 @@ def test_list_tables(spark, dataset):
     names = [n for n, _ in list_tables(spark, dataset)]
     assert names == sorted(names)
     assert set(names) == set(TABLES) | {"projects", "broken"}
-    assert list_tables(spark, os.path.join(dataset, "missing")) == []
+    assert list_tables(spark, tempfile.mkdtemp(prefix="assay-empty-")) == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        list_tables(spark, os.path.join(dataset, "missing"))
+
+
+def test_malformed_lines_are_counted(spark):
+    d, out = tempfile.mkdtemp(prefix="assay-bad-"), tempfile.mkdtemp(prefix="assay-out-")
+    write_csv(d, "t", "id,name\n1,a\n2,y,EXTRA,MORE\n3\n4,NA\n")
+    res = flows.profile_and_check(spark, d, out, options={"t": {"schema": "id int, name string", "null_tokens": ["NA"]}})
+    assert [(r.status, r.malformed) for r in res.runs] == [("ok", 2)]
+    size = {r.analyzer: r.value for r in res.outputs["metrics"].collect()}
+    assert size["Size()"] == 4.0 and size["Completeness(name)"] == 0.5
+    from assay.session import ensure_checkpoint_dir
+
+    left = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "assay-staged")
+    assert not [x for x in (os.listdir(left) if os.path.isdir(left) else []) if x.startswith("t-")]
 
 
 @pytest.fixture(scope="module")
