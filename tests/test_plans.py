@@ -47,6 +47,20 @@ def test_sample_scan_pushes_rule_predicates(lineitem):
     assert any("Exchange" in a and "WindowGroupLimit" in b for a, b in zip(lines, lines[1:]))
 
 
+def test_row_count_rules_read_no_columns(lineitem):
+    from assay.operators.generate import rule_metrics
+
+    text = formatted(run_analyzers(lineitem, rule_metrics(lineitem.schema, [X.TABLE_ROWS]), "l"))
+    assert "ReadSchema: struct<>" in text and "hashpartitioning" not in text
+
+
+def test_samples_are_limited_at_two_levels(lineitem):
+    rules = [X.expect_column_values_to_be_between("l_quantity", 1, 40)]
+    lines = formatted(X.validate(lineitem, rules, "l")).splitlines()
+    limited = [b for a, b in zip(lines, lines[1:]) if "Exchange" in a and "WindowGroupLimit" in b]
+    assert len(limited) >= 2
+
+
 def test_no_python_in_plans(lineitem):
     plans = [
         plan_of(profile(lineitem, "l")),
