@@ -1,9 +1,10 @@
-"""Print the plan facts that matter at scale for the headline operators.
+"""Print the plan facts that matter at scale for the headline operators and registered queries.
 
 Usage: python tools/explain.py [sf_dir] > PLANS.md
 For each operator: the scans (columns read, filters pushed to Parquet), the
 exchanges (shuffles) and any partial top-k or broadcast, from the executed
-physical plan (``explain("formatted")``).
+physical plan (``explain("formatted")``). Registered queries compute and checkpoint their
+small results while they are built, so the plans of those inner frames are recorded on the way.
 """
 
 from __future__ import annotations
@@ -33,6 +34,33 @@ def facts(df) -> list[str]:
     return out + seen
 
 
+#: The costliest registered queries of the bench.
+QUERIES = ["combined_validation", "profile_all_tables", "expect_unexpected_sample", "generate_suite", "rule_agreement"]
+
+
+def inner_plans(spark, sf_dir: str, name: str) -> list[list[str]]:
+    """Facts of every frame that a registered query materializes."""
+    from assay.operators import expectations
+    from assay.plans import flows, parallel, queries
+
+    found: list[list[str]] = []
+    plain = parallel.materialize
+
+    def recorded(df):
+        found.append(facts(df))
+        return plain(df)
+
+    holders = [m for m in (parallel, flows, queries, expectations) if hasattr(m, "materialize")]
+    for m in holders:
+        m.materialize = recorded
+    try:
+        queries.QUERIES[name](spark, sf_dir).collect()
+    finally:
+        for m in holders:
+            m.materialize = plain
+    return found
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from assay.operators import expectations as X
@@ -72,6 +100,15 @@ def main() -> None:
         for line in facts(df):
             print(line[:300])
         print("```\n")
+    for name in QUERIES:
+        plans = inner_plans(spark, sf_dir, name)
+        print(f"## {name}: {len(plans)} materialized plans\n\n```")
+        for plan in sorted(plans):
+            print(plan[0])
+            keys = [line for line in plan if line.startswith("Arguments: hash")]
+            for line in keys:
+                print("  " + re.sub(r"#\d+L?|, \[plan_id=\d+\]", "", line)[11:200])
+        print("```\n")
     spark.stop()
 
 
