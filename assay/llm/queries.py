@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from assay.llm.chat import OP10_SQL, op10_chat_formatting
 from assay.llm.decontaminate import op3_benchmark_decontamination
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
+from assay.llm.oracle import OP1_SQL, OP3_SQL, OP4_SQL
 from assay.llm.packing import op8_best_fit_packing
 from assay.llm.quality import op9_quality_rules
 from assay.llm.secrets import op7_secret_scans
@@ -31,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op3_benchmark_decontamination": OP3_SQL,
+    "op4_ngram_jaccard_join": OP4_SQL,
     "op6_warc": OP6_SQL,
     "op10_chat_formatting": OP10_SQL,
 }
