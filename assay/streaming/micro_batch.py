@@ -5,6 +5,9 @@ batch's results are written under ``batch_id=<n>`` with dynamic partition
 overwrite, so a micro-batch replayed after a failure replaces its own
 results instead of duplicating them. The stream's checkpoint location
 defaults to a folder under the session's shared ``spark.checkpoint.dir``.
+
+Every batch is judged on its own: uniqueness and distinctness hold within a
+batch, not over the stream.
 """
 
 from __future__ import annotations
