@@ -7,6 +7,7 @@ and the longest single document only.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Iterator
@@ -20,10 +21,43 @@ from pyspark.sql import functions as F
 
 from assay.session import ensure_checkpoint_dir
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 
+#: Rows of an Arrow batch: rows hold whole texts, so Spark's default of 10,000 is lowered to this.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session's Arrow batches are bounded to ``BATCH_ROWS`` rows (on both sides of the pipe)."""
+    conf = df.sparkSession.conf
+    now = int(conf.get(BATCH_SETTING, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system (workers are reused by later stages)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def steady(rows):
+    """A ``mapInArrow`` function that releases memory when its partition is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(batches)
+        release()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import ALNUM, chunks, gram_hash, joined_words, run_starts, slide_min, string_buffer, table, words
+from assay.llm.common import ALNUM, chunks, gram_hash, joined_words, run_starts, slide_min, small_batches, steady, string_buffer, table, words
 
 WINDOW = 10
 K = 5
@@ -152,19 +152,19 @@ def contamination(
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, items (sorted item ids as strings)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    rows = items.mapInArrow(item_windows(window, k), "item_id long, len int, h long, words string")
+    rows = small_batches(items).mapInArrow(item_windows(window, k), "item_id long, len int, h long, words string")
     marks = rows.select("h", "len").distinct()
     grouped = {r["len"]: r["n"] for r in marks.groupBy("len").agg(F.count(F.lit(1)).alias("n")).collect()}
     small = sum(grouped.values()) <= broadcast_rows
     maybe = F.broadcast if small else (lambda x: x)
     short = sorted(m for m in grouped if m < window)
 
-    found = docs.mapInArrow(doc_marks(window, k, short), "h long, len int, doc_id long, pos int").join(
+    found = docs.mapInArrow(steady(doc_marks(window, k, short)), "h long, len int, doc_id long, pos int").join(
         maybe(marks), ["h", "len"], "left_semi"
     )
     hits = found.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "len")).alias("hits"))
     spans = docs.join(hits, "doc_id").mapInArrow(
-        hit_windows(window, k), "doc_id long, pos int, len int, words string"
+        steady(hit_windows(window, k)), "doc_id long, pos int, len int, words string"
     )
     windows = rows.select("words", "len").distinct()
     exact = spans.distinct().join(maybe(windows), ["words", "len"], "left_semi")

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import LOWER, U64, ceil_div, chunks, gram_hash, holding, mix, string_buffer, table, text_bytes, words, written
+from assay.llm.common import LOWER, U64, ceil_div, chunks, gram_hash, holding, mix, release, small_batches, steady, string_buffer, table, text_bytes, words, written
 from assay.llm.components import components
 
 K = 4
@@ -49,7 +49,7 @@ NUM, DEN = 85, 100
 RANGE = 1.5
 SKETCH_WORDS = 4
 #: Prefix rows of a shard and documents of a verification task, on average.
-SHARD_ROWS = 2_500_000
+SHARD_ROWS = 1_200_000
 VERIFY_ROWS = 1500
 #: Groups up to this many sets are compared in full at once, larger ones in two rounds.
 SMALL_GROUP = 8
@@ -276,6 +276,8 @@ def candidates(num: int, den: int):
         group_key = np.concatenate([np.full(len(g), k) for k, g in rest]) if rest else np.zeros(0, np.int64)
         members = np.concatenate([g for _, g in rest]) if rest else np.zeros(0, np.int64)
         n = len(found)
+        del keys, at, order, edge, length
+        release()
         return pa.Table.from_arrays(
             [
                 pa.array(np.concatenate((found[:, 0], ids[members]))),
@@ -382,13 +384,13 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> D
 def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    described = written(docs.mapInArrow(describe(k), DOCS), "sets")
+    described = written(small_batches(docs).mapInArrow(steady(describe(k)), DOCS), "sets")
     classes = described.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes")
 
     rows = text_bytes(docs) / 6 * 0.3  # words x prefixes a shingle
     shards = ceil_div(rows, SHARD_ROWS)
-    sent = docs.mapInArrow(send_prefixes(k, num, den, shards), "shard int, blob binary")
+    sent = docs.mapInArrow(steady(send_prefixes(k, num, den, shards)), "shard int, blob binary")
     found = written(
         sent.groupBy("shard").applyInArrow(candidates(num, den), "a long, b long, g long, n long, bits binary"), "candidates"
     )

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import ceil_div, string_buffer, table
+from assay.llm.common import ceil_div, small_batches, steady, string_buffer, table
 from assay.llm.tokens import Encoder, default_model
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -51,7 +51,7 @@ def token_counts(documents: DataFrame, model: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "n_tokens"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    return docs.mapInArrow(rows, "doc_id long, n_tokens long")
+    return small_batches(docs).mapInArrow(steady(rows), "doc_id long, n_tokens long")
 
 
 def best_fit(sizes: Sequence[int], capacities: Sequence[int], overhead: int) -> tuple[list[int], list[int]]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import _BYTE, _PLACE, U64, chunks, mix, string_buffer, table
+from assay.llm.common import _BYTE, _PLACE, U64, chunks, mix, small_batches, steady, string_buffer, table
 
 #: Bounds of the training sample.
 MAX_DOCS = 8000
@@ -344,7 +344,7 @@ def fit(documents: DataFrame, max_docs: int = MAX_DOCS, max_windows: int = MAX_W
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     # at most max_docs numbers: a bounded broadcast; at most max_windows windows come back
     rows = (
-        docs.join(F.broadcast(chosen), "doc_id").mapInArrow(_windows, "o long, f binary, y binary")
+        small_batches(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(steady(_windows), "o long, f binary, y binary")
         .orderBy("o", "f", "y").limit(max_windows).collect()
     )
     windows = [(np.frombuffer(r["f"], np.int32).reshape(-1, len(BLOCKS)).copy(), np.frombuffer(r["y"], np.int8)) for r in rows]
@@ -361,9 +361,9 @@ def fit(documents: DataFrame, max_docs: int = MAX_DOCS, max_windows: int = MAX_W
 
 def _scan(batch: pa.RecordBatch, field: Field | None) -> Iterator[tuple[int, list[tuple[int, int, str, int]]]]:
     """(row, all spans in order) of a batch's texts."""
-    texts = batch.column("text").to_pylist()
     buf, offs = string_buffer(batch.column("text"))
     for a, b in chunks(offs):
+        texts = batch.column("text").slice(a, b - a).to_pylist()
         lo = int(offs[a])
         part = buf[lo : int(offs[b])]
         hexa = HEXA[part]
@@ -387,7 +387,7 @@ def _scan(batch: pa.RecordBatch, field: Field | None) -> Iterator[tuple[int, lis
                 d, o = a + int(doc[s]), offs[a + int(doc[s])]
                 found.setdefault(d, []).append((int(tokens.start[hit[s]] - o), int(tokens.end[hit[e]] - o)))
         for row in range(a, b):
-            text = texts[row] or ""
+            text = texts[row - a] or ""
             spans = base_spans(text, row in has_hex)
             if row in found:
                 raw = text.encode()
@@ -419,8 +419,8 @@ def scan(documents: DataFrame, field: Field | None) -> DataFrame:
             )
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    return docs.mapInArrow(
-        rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+    return small_batches(docs).mapInArrow(
+        steady(rows), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     )
 
 
@@ -445,7 +445,7 @@ def redacted(documents: DataFrame, field: Field | None, mask: str = MASK) -> Dat
                     texts[row] = "".join([*out, mask, texts[row][upto:]])
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return documents.mapInArrow(rows, documents.schema)
+    return small_batches(documents).mapInArrow(steady(rows), documents.schema)
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import ceil_div, scratch_path, string_buffer, table, text_bytes
+from assay.llm.common import ceil_div, scratch_path, small_batches, steady, string_buffer, table, text_bytes
 from assay.llm.tokens import Encoder, default_model
 
 #: Documents that train the dictionary, bytes of ids taken from each, and the dictionary's size.
@@ -122,7 +122,7 @@ def write_store(documents: DataFrame, path: str, model: str | None = None, end_i
     ).write.parquet(f"{path}/dictionary")
     parts = ceil_div(text_bytes(docs), PARTITION_BYTES)
     ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(_encode_blocks(model, end_id, width, dictionary), BLOCKS)
+    blocks = small_batches(ordered).mapInArrow(steady(_encode_blocks(model, end_id, width, dictionary)), BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 

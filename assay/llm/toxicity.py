@@ -38,6 +38,8 @@ from assay.llm.common import (
     gram_hash,
     mix,
     run_starts,
+    small_batches,
+    steady,
     string_buffer,
     table,
     words,
@@ -280,7 +282,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penal
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # at most max_rows pairs of numbers: a bounded broadcast
     sample = written(docs.join(F.broadcast(known), "doc_id"), "toxicity-sample")
-    families = sample.mapInArrow(_families, "doc_id long, toxic int, family long")
+    families = small_batches(sample).mapInArrow(_families, "doc_id long, toxic int, family long")
     chosen = families.groupBy("family", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     sample = written(sample.join(F.broadcast(chosen), "doc_id", "left_semi"), "toxicity-rows")
     none = Model(np.zeros(0, U64), np.zeros(0), -np.inf)
@@ -290,7 +292,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penal
         return none
     if bad in (0, n):
         return Model(none.hashes, none.weights, float(np.log((bad + 0.5) / (n - bad + 0.5))))
-    counts = sample.mapInArrow(_counts, "h long, bad long, good long").groupBy("h").agg(
+    counts = sample.mapInArrow(steady(_counts), "h long, bad long, good long").groupBy("h").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
     )
     odds = (
@@ -340,7 +342,7 @@ def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD, keep
         [fields.schema[c] for c in keep]
         + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     )
-    return fields.mapInArrow(rows, schema)
+    return small_batches(fields).mapInArrow(steady(rows), schema)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
