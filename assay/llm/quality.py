@@ -33,13 +33,14 @@ MAX_REPEATED = 50
 #: Concentration steps, and the smallest group that is estimated.
 STEPS = 3
 MIN_GROUP = 20
-#: Fixed-point units of the transformed statistics, and the least spread of each.
+#: Fixed-point units of the transformed statistics, and the least spread of each. The third is at
+#: most sqrt(MAX_REPEATED / 100) = 0.707 past the base rules, and can reject as its spread is below 0.154.
 UNIT = 1000
 LEAST_SPREAD = (0.05, 0.2, 0.1)
 #: Median of the chi-squared distribution with three degrees of freedom, and the rejecting
-#: squared distance (for normal data it is exceeded by about one document in 10**10).
+#: squared distance, its 0.9999 quantile.
 CHI_MEDIAN = 2.366
-CUTOFF = 50.0
+CUTOFF = 21.1
 
 WHITE = " \\t\\n\\u000B\\u000C\\r"
 X = ("x1", "x2", "x3")

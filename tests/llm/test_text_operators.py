@@ -212,6 +212,27 @@ def test_quality_outliers(spark):
     assert kept == {r["doc_id"]: r["kept"] for r in judged(df.repartition(7)).collect()}
 
 
+def test_quality_one_odd_statistic(spark):
+    """Each of the three statistics rejects by itself, also where the rest of the group has no spread in it."""
+    import random
+
+    rng = random.Random(7)
+
+    def words(n, size=6):
+        return [f"{rng.randrange(10**size):0{size}d}" for _ in range(n)]
+
+    repeated = words(66)
+    odd = {
+        1000: " ".join(words(100, 14)),
+        1001: " ".join(w + "$" * (i % 9 == 0) for i, w in enumerate(words(100))),
+        1002: " ".join(repeated + words(10) + repeated[:24]),  # 48 of 100 words in repeated windows
+    }
+    rows = [(i, " ".join(words(100)), "en", "a") for i in range(100)] + [(i, t, "en", "a") for i, t in odd.items()]
+    got = judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == set(odd)
+
+
 def test_quality_is_native(documents):
     from assay.llm.quality import distances, statistics
 
