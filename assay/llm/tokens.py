@@ -4,7 +4,8 @@ Its pieces never reach across the start of a run of white space that follows ano
 character, nor from an ASCII letter or digit into an ASCII sign, so a text is the
 concatenation of independent units that begin there. Units are found and hashed on the
 buffer, and the tokenizer encodes each different unit once; a worker process keeps a
-bounded table of the units it has seen. Texts with white space beyond ASCII are encoded as they are.
+bounded table of the units it has seen. Texts with white space beyond ASCII or with the
+content of an added token (``<|endoftext|>``) are encoded as they are.
 """
 
 from __future__ import annotations
@@ -33,13 +34,19 @@ def default_model() -> str:
 
 
 class Encoder:
-    """Token ids of documents in a buffer; one for each worker process and model."""
+    """Token ids of documents in a buffer; one for each worker process and model.
 
-    def __init__(self, model: str):
+    With ``added``, the content of an added token in a text becomes that token, as the tokenizer
+    does when it is loaded; without, special ones are encoded like any other text.
+    """
+
+    def __init__(self, model: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(model)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [np.frombuffer(x.content.encode(), np.uint8) for x in tokens if x.content and (added or not x.special)]
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
 
@@ -47,7 +54,7 @@ class Encoder:
     def get(cls, model: str):
         table = sys.modules.setdefault("_assay_encoders", {})  # outlives a task, as worker processes do
         if model not in table:
-            table[model] = cls(model)
+            table[model] = cls(model, added=True)
         return table[model]
 
     def clear(self):
@@ -132,7 +139,7 @@ class Encoder:
         ids = self.store[ranges(self.begin[slot], sizes)]
         total = np.concatenate(([0], np.cumsum(sizes)))
         ends = total[np.searchsorted(start, offs[1:])]
-        odd = self._wide_space(raw)
+        odd = np.concatenate((self._wide_space(raw), self._added_tokens(raw)))
         if len(odd):
             ids, ends = self._replace(raw, offs, ids, ends, np.unique(np.searchsorted(offs, odd, side="right") - 1))
         return ids, ends
@@ -152,6 +159,16 @@ class Encoder:
         wide |= (head == 0xE3) & (one == 0x80) & (two == 0x80)
         return lead[wide]
 
+    def _added_tokens(self, raw: np.ndarray) -> np.ndarray:
+        """Positions of the contents of added tokens (also across the ends of documents, which does no harm)."""
+        found = [np.zeros(0, np.int64)]
+        for content in self.added:
+            at = np.flatnonzero(raw[: max(len(raw) - len(content) + 1, 0)] == content[0])
+            for i, byte in enumerate(content[1:].tolist(), 1):
+                at = at[raw[at + i] == byte]
+            found.append(at)
+        return np.concatenate(found)
+
     def _replace(self, raw, offs, ids, ends, rows):
         """Encode whole texts for the given rows."""
         begin = np.concatenate(([0], ends[:-1]))

@@ -57,6 +57,23 @@ def test_token_store(spark, documents, edges, empty, tokenizer):
     assert read_store(spark, path).collect() == []
 
 
+def test_added_tokens_as_the_library_does(spark):
+    """Texts that quote an added token, against a tokenizer as it is loaded."""
+    library, rng = Tokenizer.from_file(tokens.default_model()), random.Random(6)
+    parts = ["a", " ", "<|endoftext|>", "<|endoftext", "|>", "\n", "é", "word", "<", "\u3000", "<|endoftext|><|endoftext|>"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))) for i in range(400)]
+    rows += [(400, "a <|endoftext|> b"), (401, "<|endof"), (402, "text|>"), (403, "<|endoftext|>"), (404, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids + [0] for i, t in rows}
+    assert ids[400][:-1] == [64, 220, 50256, 275]
+    path = scratch_path(spark, "store")
+    write_store(docs, path)
+    got = {r[0]: (r[2], r[3]) for r in map(tuple, read_store(spark, path).collect())}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids.items()}
+    assert read_document(spark, path, 400) == ids[400]
+    assert dict(map(tuple, token_counts(docs).collect())) == {i: len(x) for i, x in ids.items()}
+
+
 # ---- WARC ----------------------------------------------------------------------------------
 
 
