@@ -9,7 +9,9 @@ texts are streamed as queries, without comparing every document with every shard
    windows have equal anchors, so dealing segments to shards by anchor brings all
    occurrences of a window together. A block sends every different segment once, with
    the smallest id that holds it (a passage in a third of all rows costs one entry a
-   block).
+   block). An anchor with very many different segments (a passage among words of each
+   document's own), found in a sample, is split: each of its windows is a segment by
+   itself, dealt by the hash of the whole window.
 2. Each shard builds an FM-index of its different segments: a BWT ordered to the depth of
    a window, in a wavelet matrix with packed bit vectors. Segments are then streamed by
    backward search: first the anchor that all windows of a segment contain - an interval
@@ -19,8 +21,9 @@ texts are streamed as queries, without comparing every document with every shard
 3. Reports go back to the blocks, which still have the documents (the same shuffle),
    and each document's covered words are cut.
 
-Work and traffic are proportional to the text: a block or shard never grows with the
-corpus, only their number does.
+Work and traffic are proportional to the text: the number of blocks and shards grows with
+the corpus. What one task gets of an anchor is bounded by the sample's threshold, and of a
+window by one entry a block. Which anchors are split does not change the result.
 
 Edge cases: null or empty text has no words and the hash of nothing; texts under
 ``window`` words stay whole; rows with a null id are left out; rows that repeat an id are
@@ -30,6 +33,7 @@ judged separately (an equal id is not smaller); an empty table gives an empty re
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +53,8 @@ from assay.llm.common import (
     ranges,
     run_starts,
     slide_min,
+    small_batches,
+    steady,
     string_buffer,
     table,
     text_bytes,
@@ -62,6 +68,10 @@ BLOCK_BYTES = 12 << 20
 SHARD_WORDS = 1_200_000
 #: A segment has at most this many windows, so that periodic texts repeat the same segments.
 RUN = 64
+#: An anchor is split beyond this share of a shard's words in different segments, counted in one document of SAMPLE.
+HOT_SHARE = 0.25
+SAMPLE = 32
+SEGMENT_WORDS = 17
 
 _PLACES = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, 1 << 10, dtype=U64) | U64(1)
 
@@ -89,7 +99,28 @@ class Block:
     text: list[bytes]
 
 
-def segments(ids: np.ndarray, buf: np.ndarray, offs: np.ndarray, shards: int, window: int, k: int, texts: bool) -> Block:
+def _in_sorted(x: np.ndarray, some: np.ndarray) -> np.ndarray:
+    if not len(some):
+        return np.zeros(len(x), bool)
+    return some[np.minimum(np.searchsorted(some, x), len(some) - 1)] == x
+
+
+def _segment_starts(at: np.ndarray, anchor: np.ndarray, doc: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Indexes of the windows (at their words ``at``) that begin a segment."""
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | split[1:]
+    begin = np.flatnonzero(new)
+    length = np.diff(np.append(begin, len(at)))
+    if length.max() > RUN:
+        new |= (np.arange(len(at)) - np.repeat(begin, length)) % RUN == 0
+        begin = np.flatnonzero(new)
+    return begin
+
+
+def segments(
+    ids: np.ndarray, buf: np.ndarray, offs: np.ndarray, shards: int, window: int, k: int, texts: bool, hot: np.ndarray
+) -> Block:
+    """The segments of a block; windows whose anchor is in ``hot`` (ascending) are segments by themselves."""
     parts: list[tuple[np.ndarray, ...]] = []
     spans: list[tuple[bytes, np.ndarray, np.ndarray]] = []
     for a, b in chunks(offs):
@@ -98,28 +129,22 @@ def segments(ids: np.ndarray, buf: np.ndarray, offs: np.ndarray, shards: int, wi
         if not len(at):
             continue
         anchor = slide_min(gram_hash(w.hash, k), window - k + 1)[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (anchor[1:] != anchor[:-1])
         doc = np.repeat(np.arange(b - a), per_doc)
-        new[1:] |= doc[1:] != doc[:-1]
-        begin = np.flatnonzero(new)
-        if np.diff(np.append(begin, len(at))).max() > RUN:
-            place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
-            new |= place % RUN == 0
-            begin = np.flatnonzero(new)
+        split = _in_sorted(anchor, hot)
+        begin = _segment_starts(at, anchor, doc, split)
         count = np.diff(np.append(begin, len(at)))
         first, length = at[begin], count + window - 1
         digest = sequence_hash(w.hash, first, length)
         d = doc[begin]
-        parts.append((d + a, first - w.first[d], count, digest, anchor[begin]))
+        parts.append((d + a, first - w.first[d], count, digest, np.where(split[begin], digest, anchor[begin])))
         if texts:
             line, s, e = joined_words(buf, w, PLAIN)
             spans.append((line, s[first], e[first + length - 1]))
     if not parts:
         z = np.zeros(0, np.int64)
         return Block(z, z, z, z, z, z, z, [])
-    row, word, count, digest, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
-    shard = (mix(anchor) % U64(shards)).astype(np.int64)
+    row, word, count, digest, route = (np.concatenate(x) for x in zip(*parts, strict=True))
+    shard = (mix(route) % U64(shards)).astype(np.int64)
     _, pick, kind = np.unique(digest, return_index=True, return_inverse=True)
     order = np.lexsort((digest[pick], shard[pick]))
     back = np.empty(len(order), np.int64)
@@ -160,9 +185,38 @@ def _unpacked(x: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
-def send_segments(shards: int, window: int, k: int):
+def count_segments(window: int, k: int):
+    """(anchor, digest) of the different segments of each batch."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, offs = string_buffer(batch.column("text"))
+            for a, b in chunks(offs):
+                w = words(buf, offs[a : b + 1], PLAIN)
+                at, per_doc = run_starts(w.first, window)
+                if not len(at):
+                    continue
+                anchor = slide_min(gram_hash(w.hash, k), window - k + 1)[at]
+                begin = _segment_starts(at, anchor, np.repeat(np.arange(b - a), per_doc), np.zeros(len(at), bool))
+                length = np.diff(np.append(begin, len(at))) + window - 1
+                digest, pick = np.unique(sequence_hash(w.hash, at[begin], length), return_index=True)
+                both = (anchor[begin][pick].view(np.int64), digest.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["anchor", "digest"])
+
+    return rows
+
+
+def hot_anchors(docs: DataFrame, window: int, k: int, most: float, sample: int) -> np.ndarray:
+    """Anchors with more than about ``most`` different segments, ascending; there are at most segments / most."""
+    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(sample)) == 0).select("text")
+    found = small_batches(some).mapInArrow(steady(count_segments(window, k)), "anchor long, digest long").distinct()
+    rows = found.groupBy("anchor").count().where(F.col("count") * sample > most).select("anchor").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(U64))
+
+
+def send_segments(shards: int, window: int, k: int, hot: np.ndarray):
     def send(key: tuple, tbl: pa.Table) -> pa.Table:
-        block = segments(*_rows(tbl), shards, window, k, texts=True)
+        block = segments(*_rows(tbl), shards, window, k, texts=True, hot=hot)
         out: dict[str, list] = {f.name: [] for f in SEGMENTS}
         edges = np.append(np.flatnonzero(np.diff(block.shard, prepend=-1)), len(block.shard))
         zip_text = zstandard.ZstdCompressor(level=3)
@@ -364,10 +418,10 @@ def search_shard(window: int, k: int):
 # ---- cutting ---------------------------------------------------------------------
 
 
-def cut_block(shards: int, window: int, k: int):
+def cut_block(shards: int, window: int, k: int, hot: np.ndarray):
     def cut(key: tuple, tbl: pa.Table, reports: pa.Table) -> pa.Table:
         ids, buf, offs = _rows(tbl)
-        block = segments(ids, buf, offs, shards, window, k, texts=False)
+        block = segments(ids, buf, offs, shards, window, k, texts=False, hot=hot)
         base = np.concatenate(([0], np.cumsum(block.size)))
         best = np.repeat(block.owner, block.size)
         for shard, found in zip(reports.column("shard").to_pylist(), reports.column("found"), strict=True):
@@ -416,6 +470,7 @@ def dedup_substrings(
     k: int = ANCHOR,
     block_bytes: int = BLOCK_BYTES,
     shard_words: int = SHARD_WORDS,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """doc_id, n_words, n_removed and the hash of the kept words of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
@@ -424,14 +479,15 @@ def dedup_substrings(
     # a segment has about (window - k + 2) / 2 windows, hence this many words for each word of text
     spread = 1 + (window - 1) / ((window - k + 2) / 2)
     shards = ceil_div(size / 6 * spread, shard_words)
+    hot = hot_anchors(docs, window, k, HOT_SHARE * shard_words / SEGMENT_WORDS, sample)
     dealt = docs.withColumn("p", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    sent = dealt.groupBy("p").applyInArrow(send_segments(shards, window, k), "shard int, p int, text binary, owner binary")
+    sent = dealt.groupBy("p").applyInArrow(send_segments(shards, window, k, hot), "shard int, p int, text binary, owner binary")
     reports = sent.groupBy("shard").applyInArrow(search_shard(window, k), "p int, shard int, found binary")
     return (
         dealt.groupBy("p")
         .cogroup(reports.groupBy("p"))
         .applyInArrow(
-            cut_block(shards, window, k), "doc_id long, n_words long, n_removed long, kept_sha256 string"
+            cut_block(shards, window, k, hot), "doc_id long, n_words long, n_removed long, kept_sha256 string"
         )
     )
 

@@ -4,10 +4,12 @@ import collections
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from assay.llm import jaccard_join
-from assay.llm.common import holding, maybe_in
+from assay.llm import jaccard_join, substring_dedup
+from assay.llm.common import holding, maybe_in, string_buffer
 from assay.llm.components import components
 from assay.llm.decontaminate import contamination
 from assay.llm.jaccard_join import near_duplicates
@@ -55,6 +57,20 @@ def test_substrings_edges(edges, empty):
     assert dedup_substrings(empty).collect() == []
 
 
+def test_substrings_split_a_hot_anchor(spark):
+    """A short passage among words of each document's own: its segments differ, and must not meet in one shard."""
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(9)] + [f"p{j}" for j in range(8)] + [f"b{i // 2}x{j}" for j in range(9)])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, dedup_substrings(docs, block_bytes=20_000, shard_words=1_000, sample=1).collect())) == brute_substrings(rows)
+    hot = substring_dedup.hot_anchors(docs, 13, 4, 100, 1)
+    assert 0 < len(hot) < 20
+    buf, offs = string_buffer(pa.array([t for _, t in rows]))
+    ids = np.arange(len(rows))
+    shards = [substring_dedup.segments(ids, buf, offs, 40, 13, 4, False, some).shard for some in (hot[:0], hot)]
+    largest = [np.bincount(x, minlength=40).max() for x in shards]
+    assert largest[0] >= 300 and largest[1] < 2.5 * len(shards[1]) / 40
+
+
 # ---- decontamination ----------------------------------------------------------------
 
 
