@@ -388,7 +388,7 @@ def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int =
     classes = described.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes")
 
-    rows = text_bytes(docs) / 6 * 0.3  # words x prefixes a shingle
+    rows = text_bytes(docs) / 6 * 3.7 * (den - num) / (den + num)  # words x prefixes a shingle
     shards = ceil_div(rows, SHARD_ROWS)
     sent = docs.mapInArrow(steady(send_prefixes(k, num, den, shards)), "shard int, blob binary")
     found = written(

@@ -11,6 +11,10 @@ from assay.llm import decontaminate, jaccard_join, packing, secrets, toxicity
 from assay.llm.common import table, written
 
 
+#: The near-duplicate stage: words a shingle, and the least similarity as a fraction (op4 has its own).
+NEAR = (5, 80, 100)
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the toxicity classifier rejects; it is fitted on the stage's own documents."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -19,7 +23,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each component of near duplicates (rows without an id go)."""
-    groups = jaccard_join.near_duplicates(docs)
+    groups = jaccard_join.near_duplicates(docs, *NEAR)
     kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 

@@ -195,3 +195,20 @@ def test_pipeline_edges(spark, edges, empty):
             rows = out.collect()
             assert name == "packing" or out.columns == df.columns
             assert df is edges or rows == []
+
+
+def test_pipeline_near_duplicates_of_five_words(spark):
+    """The stage against a brute force of five words and 0.8, with pairs that four words and 0.85 keep apart."""
+    def own(i, n):
+        return [f"d{i}w{j}" for j in range(n)]
+
+    rows = [(1, own(1, 200)), (2, own(1, 200) + own(2, 40)), (3, own(3, 200)), (4, own(3, 200) + own(4, 60))]
+    for i, n in enumerate((48, 49, 50, 51, 52)):
+        w = own(10 + i, n)
+        rows += [(10 + 2 * i, w), (11 + 2 * i, [*w[: n // 2], "other", *w[n // 2 + 1 :]])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(4)
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in rows}
+    gone = {b for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {2, 13, 19} <= gone and 4 not in gone
+    kept = corpus_pipeline.near_duplicate_filter(spark, docs, SF)
+    assert {r["doc_id"] for r in kept.collect()} == set(sets) - gone
