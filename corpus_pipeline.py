@@ -18,14 +18,26 @@ NEAR = (5, 80, 100)
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the toxicity classifier rejects; it is fitted on the stage's own documents."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").drop("score", "predicted").select(docs.columns)
+    private = {c: f"_doc_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("score", "predicted")}
+    kept = toxicity.score(docs.withColumnsRenamed(private), model).where("predicted = 0")
+    return kept.select(*(F.col(f"`{private.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near duplicates (rows without an id go)."""
-    groups = jaccard_join.near_duplicates(docs, *NEAR)
-    kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Keep one row of each component of near duplicates, and every row without an id.
+
+    Rows are compared one by one, also those that repeat an id. The first row stays, by id, then by
+    the hash of the text, then by the JSON of the other columns; repeats of (doc_id, text) go.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    keys = ["doc_id", F.xxhash64("text"), *([F.to_json(F.struct(*rest))] if rest else [])]
+    known = docs.where("doc_id IS NOT NULL").orderBy(*keys)
+    rows = written(known.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_join.near_duplicates(rows.selectExpr("_row AS doc_id", "text"), *NEAR)
+    first = rows.groupBy("doc_id", F.xxhash64("text")).agg(F.min("_row").alias("_row")).select("_row")
+    kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_row")).join(first, "_row")
+    stay = rows.join(kept, "_row", "left_semi").select(docs.columns)
+    return stay.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

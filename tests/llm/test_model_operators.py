@@ -212,3 +212,17 @@ def test_pipeline_near_duplicates_of_five_words(spark):
     assert {2, 13, 19} <= gone and 4 not in gone
     kept = corpus_pipeline.near_duplicate_filter(spark, docs, SF)
     assert {r["doc_id"] for r in kept.collect()} == set(sets) - gone
+
+
+def test_pipeline_odd_rows(spark):
+    """Rows without an id stay, and rows that repeat an id are judged by their own texts."""
+    own = {i: " ".join(f"d{i}w{j}" for j in range(40)) for i in range(6)}
+    rows = [(1, own[1], "b"), (2, own[1], "a"), (2, own[2], "a"), (3, own[3], "z"), (3, own[3], "y"), (3, own[4], "x"),
+            (None, own[5], "n"), (None, own[5], "n"), (None, None, "n"), (4, None, "q"), (4, None, "p"), (4, "", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(5)
+    want = [(1, own[1], "b"), (2, own[2], "a"), (3, own[3], "y"), (3, own[4], "x"), *rows[6:9], (4, None, "p"), (4, "", "q")]
+    assert sorted(map(str, map(tuple, corpus_pipeline.near_duplicate_filter(spark, docs, SF).collect()))) == sorted(map(str, want))
+    kept = corpus_pipeline.toxicity_filter(spark, docs, SF)
+    assert kept.columns == docs.columns and {r["score"] for r in kept.collect()} <= set("abnpqxyz")
+    model = toxicity.fit(docs, table(spark, SF, "labels"))
+    assert kept.count() == toxicity.score(docs, model).where("predicted = 0").count()
