@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assay.llm.alignment import op12_cross_tokenizer_alignment
 from assay.llm.chat import OP10_SQL, op10_chat_formatting
 from assay.llm.decontaminate import op3_benchmark_decontamination
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {
