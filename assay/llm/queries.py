@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from assay.llm.alignment import op12_cross_tokenizer_alignment
 from assay.llm.chat import OP10_SQL, op10_chat_formatting
 from assay.llm.decontaminate import op3_benchmark_decontamination
+from assay.llm.extraction import op13_html_extraction
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
 from assay.llm.oracle import OP1_SQL, OP3_SQL, OP4_SQL
 from assay.llm.packing import op8_best_fit_packing
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
