@@ -13,6 +13,7 @@ from assay.llm.extraction import op13_html_extraction
 from assay.llm.jaccard_join import op4_ngram_jaccard_join
 from assay.llm.oracle import OP1_SQL, OP3_SQL, OP4_SQL
 from assay.llm.packing import op8_best_fit_packing
+from assay.llm.prefix_trie import OP11_SQL, op11_conversation_prefix_trie
 from assay.llm.quality import op9_quality_rules
 from assay.llm.secrets import op7_secret_scans
 from assay.llm.substring_dedup import op1_substring_dedup
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
     "op13_html_extraction": op13_html_extraction,
 }
@@ -41,4 +43,5 @@ ORACLE: dict[str, str] = {
     "op4_ngram_jaccard_join": OP4_SQL,
     "op6_warc": OP6_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_conversation_prefix_trie": OP11_SQL,
 }
