@@ -34,8 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import ranges, small_batches, steady, string_buffer, table, written
-from assay.llm.tokens import Encoder, default_model
+from assay.llm.common import _BYTE, _PLACE, U64, mix, ranges, small_batches, steady, string_buffer, table, written
+from assay.llm.tokens import TABLE_UNITS, Encoder, default_model
 
 PIECES = "piece_bpe_32k.model"
 #: Pair counts are broadcast up to this counted number of rows (three numbers each).
@@ -92,6 +92,55 @@ class Vocabulary:
         return self.data[ranges(self.begin[ids], self.size[ids])]
 
 
+class Pieces(Encoder):
+    """Piece ids of documents in a buffer, each behind one blank.
+
+    No piece has a blank after another character, so a text is the concatenation of independent
+    units that begin at a run of blanks, and each different unit is encoded once.
+    """
+
+    def __init__(self, processor):
+        self.processor = processor
+        self.names = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
+        self.apart = not any("\u2581" in p.lstrip("\u2581") for p in self.names)
+        self.clear()
+
+    def _range(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lo = int(offs[0])
+        raw, offs = buf[lo : int(offs[-1])], offs - lo
+        new = np.zeros(len(raw), bool)
+        new[offs[:-1]] = True  # no document is empty: each begins with its blank
+        if self.apart:
+            new[1:] |= (raw[1:] == 0x20) & (raw[:-1] != 0x20)
+        start = np.flatnonzero(new)
+        length = np.diff(np.append(start, len(raw)))
+        place = np.arange(len(raw)) - np.repeat(start, length)
+        term = _BYTE[raw]
+        if length.max() > len(_PLACE):
+            term = mix(term + (place // len(_PLACE)).astype(U64) * U64(0x9E3779B97F4A7C15))
+        h = mix(np.add.reduceat(term * _PLACE[place & (len(_PLACE) - 1)], start) + length.astype(U64))
+        coded = pa.array(h.view(np.int64)).dictionary_encode()
+        kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        if len(self.index) > TABLE_UNITS:
+            self.clear()
+        if missing := [i for i, x in enumerate(kinds) if x not in self.index]:
+            first = np.zeros(len(kinds), np.int64)
+            first[code[::-1]] = np.arange(len(code))[::-1]
+            at = first[missing]
+            data = raw.tobytes()
+            # the processor puts the blank in front itself
+            units = [data[s + 1 : s + n].decode() for s, n in zip(start[at].tolist(), length[at].tolist(), strict=True)]
+            found = [self.processor.encode(u) if u else [self.blank()] for u in units]
+            self._keep([kinds[i] for i in missing], np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found]))
+        slot = np.array([self.index[x] for x in kinds], np.int64)[code]
+        sizes = self.size[slot]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        return self.store[ranges(self.begin[slot], sizes)], total[np.searchsorted(start, offs[1:])]
+
+    def blank(self) -> int:
+        return self.processor.piece_to_id("\u2581")
+
+
 class Aligner:
     """Both tokenizers; one for each worker process."""
 
@@ -99,9 +148,9 @@ class Aligner:
         import sentencepiece
 
         self.encoder = Encoder(model)  # special tokens are plain text
-        self.processor = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        self.pieces = Pieces(sentencepiece.SentencePieceProcessor(model_file=pieces))
         self.a = Vocabulary(byte_level_tokens(model))
-        names = [self.processor.id_to_piece(i) for i in range(self.processor.get_piece_size())]
+        names = self.pieces.names
         self.b = Vocabulary([piece_bytes(p) for p in names])
         top = max(len(self.a.size), len(names))
         self.base = len(names)
@@ -119,11 +168,9 @@ class Aligner:
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         blank, end = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
         buf, offs = string_buffer(pc.binary_join_element_wise(blank, texts, end))
-        for x, y, ids_a, ends_a in self.encoder.encode(buf, offs):
-            found = self.processor.encode(texts.slice(x, y - x).to_pylist(), num_threads=1)
-            ids_b = np.fromiter(chain.from_iterable(found), np.int64)
-            ends_b = np.cumsum([len(f) for f in found])
-            yield from self._range(buf[offs[x] : offs[y]], offs[x : y + 1] - offs[x], ids_a.astype(np.int64), ends_a, ids_b, ends_b)
+        for (x, y, ids_a, ends_a), (_, _, ids_b, ends_b) in zip(self.encoder.encode(buf, offs), self.pieces.encode(buf, offs), strict=True):
+            ids_a, ids_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
+            yield from self._range(buf[offs[x] : offs[y]], offs[x : y + 1] - offs[x], ids_a, ends_a, ids_b, ends_b)
 
     def _range(self, raw, offs, ids_a, ends_a, ids_b, ends_b) -> Iterator[tuple]:
         n = len(offs) - 1
@@ -145,13 +192,14 @@ class Aligner:
             good[np.unique(of[off])] = False
         da, db = doc[0][keep[0]], doc[1][keep[1]]
         end_a, end_b = np.cumsum(length[0][keep[0]]), np.cumsum(length[1][keep[1]])
-        common = np.intersect1d(end_a, end_b)
-        last_a, last_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
+        place = np.searchsorted(end_b, end_a)  # no token is empty, so ends ascend
+        last_a = np.flatnonzero(end_b[np.minimum(place, max(len(end_b) - 1, 0))] == end_a)
+        last_b = place[last_a]
         group_doc = da[last_a]
         pair = a[last_a] * self.base + b[last_b]
         width = len(self.a.size) * self.base
         both, times = np.unique(group_doc * width + pair, return_counts=True)
-        text, cuts = self._render(a, b, end_a, end_b, common, group_doc, n)
+        text, cuts = self._render(a, b, last_a, last_b, group_doc, n)
         pair_cut = np.searchsorted(both // width, np.arange(n + 1))
         group_cut = np.searchsorted(group_doc, np.arange(n + 1))
         for d in range(n):
@@ -161,17 +209,16 @@ class Aligner:
             else:
                 yield 0, 0, 0, None, both[:0], times[:0]
 
-    def _render(self, a, b, end_a, end_b, common, group_doc, n) -> tuple[bytes, np.ndarray]:
+    def _render(self, a, b, last_a, last_b, group_doc, n) -> tuple[bytes, np.ndarray]:
         """``a1,a2|b1;...;`` of all documents side by side, and where each begins."""
-        ga, gb = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        before_b = np.searchsorted(gb, ga)  # tokens of B in earlier groups
-        before_a = np.searchsorted(ga, gb, side="right")
+        count_a, count_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
         token = np.zeros(len(a) + len(b), np.int64)
         sign = np.full(len(token), ord(","), np.uint8)
-        at_a, at_b = np.arange(len(a)) + before_b, np.arange(len(b)) + before_a
+        at_a = np.arange(len(a)) + np.repeat(np.cumsum(count_b) - count_b, count_a)
+        at_b = np.arange(len(b)) + np.repeat(np.cumsum(count_a), count_b)
         token[at_a], token[at_b] = a, b
-        sign[at_a[np.searchsorted(end_a, common)]] = ord("|")
-        closing = at_b[np.searchsorted(end_b, common)]
+        sign[at_a[last_a]] = ord("|")
+        closing = at_b[last_b]
         sign[closing] = ord(";")
         size = self.digits.size[token] + 1
         stop = np.cumsum(size)
