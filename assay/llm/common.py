@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.session import ensure_checkpoint_dir
+from assay.session import ensure_checkpoint_dir, remove
 
 CHUNK_BYTES = 1 << 20
 U64 = np.uint64
@@ -67,13 +67,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, readable by every executor."""
+def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, readable by every executor.
+
+    ``scratch`` collects the folders, for :func:`discard` when their last reader is done.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    while scratch:
+        remove(spark, scratch.pop())
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of a text column over the whole table (sizes shards; one aggregate row)."""
     return df.agg(F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0)).alias("b")).first()["b"]

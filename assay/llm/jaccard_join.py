@@ -2,26 +2,30 @@
 
 Documents are sets of distinct ``k``-word shingles. Two sets A and B with
 ``den * |A & B| >= num * |A | B|`` differ in at most D tokens, D growing with their sizes.
-For sizes of one range, K = D + s global token orders are used: order r ranks the tokens
-of residue class r first, so a set's prefix under order r is its tokens of that class. A
-token that differs spoils the prefix of one order only, hence
+A global order that ranks the tokens of one residue class first makes a set's prefix its tokens
+of that class. A token that differs spoils the prefix of one order only, and two families of
+orders use that:
 
-* linked sets share their whole prefix under at least s of the K orders, and
-* a candidate has to share the prefix under one order to be generated, and under s orders
-  before it is verified (the intersection of the filters).
+* few orders with long prefixes generate candidates: for sizes of one range there are D + s
+  orders, so linked sets share the whole prefix under at least s of them;
+* many orders with short prefixes (4 D or more, one byte a prefix) intersect the filters: of
+  linked sets no more prefixes differ than tokens do. This is tested on the bytes alone, for every
+  candidate, before any text is shuffled for verification.
 
-Prefixes of several tokens make the filter indifferent to frequent shingles: documents
+Prefixes of several tokens make the first filter indifferent to frequent shingles: documents
 that merely share a passage rarely agree on a whole prefix. Empty prefixes prove nothing;
 they are sent only by a set with at least s of them. Candidates also pass a size bound
 and a parity sketch (its Hamming distance cannot exceed the number of differing tokens).
 
 Equal sets are one class, represented by its smallest id; a task sends a class once. In a
-large group of candidates all members are compared with one of them, nearest to the
-group's majority; only pairs that this leaves in different components are compared in a
-second round. So every link between different sets is either verified or lies within a
-component, and groups of near copies are not expanded into all pairs. Texts travel to the
-verification only for documents in candidate pairs (a bitmap of fixed size keeps the others
-out of the shuffle).
+large group of candidates all members are compared with one of them, nearest to the group's
+majority. What this leaves in different components is compared by the short prefixes, in blocks
+of ``BLOCK`` members and pairs of blocks, so no task gets a group whole; of the pairs that pass,
+those are kept that would join components. Of the candidates only those that join components are
+verified, in rounds: each document picks the one with the smallest component, texts travel for the
+picked pairs, links are merged, and what then lies within a component need not be looked at. If
+candidates fail, the next round picks twice as many for each document. At the end every pair that
+passes the filters either lies in one component or was verified and is no link.
 
 Edge cases: null or empty text has an empty set, linked with nothing; a text of fewer than
 ``k`` words is one shingle; rows with a null id are left out; rows that repeat an id are
@@ -36,11 +40,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import LOWER, U64, ceil_div, chunks, gram_hash, holding, mix, release, small_batches, steady, string_buffer, table, text_bytes, words, written
+from assay.llm.common import LOWER, U64, ceil_div, chunks, discard, gram_hash, holding, mix, release, small_batches, steady, string_buffer, table, text_bytes, words, written
 from assay.llm.components import components
 
 K = 4
@@ -53,10 +58,14 @@ SHARD_ROWS = 1_200_000
 VERIFY_ROWS = 1500
 #: Groups up to this many sets are compared in full at once, larger ones in two rounds.
 SMALL_GROUP = 8
+#: Members of a large group that are compared in one task.
+BLOCK = 4096
 #: Partners of one document in a verification group.
 CHUNK = 256
+#: The least number of orders in the second family.
+LEAST_MARKS = 64
 
-DOCS = "doc_id long, n long, k1 long, k2 long"
+DOCS = "doc_id long, n long, k1 long, k2 long, marks binary"
 
 
 # ---- sets -----------------------------------------------------------------------
@@ -131,20 +140,46 @@ def prefixes(tokens: np.ndarray, j: int, num: int, den: int) -> np.ndarray:
     return mix(total[sent] + size[sent].astype(U64) * U64(0xC2B2AE3D27D4EB4F) + mix(sent.astype(U64) + U64(j << 32)))
 
 
-def describe(k: int):
-    """doc_id, n and the set's key of every document."""
+def mark_orders(j: int, num: int, den: int) -> int:
+    """Orders of the second family for pairs whose larger set is in range j: a power of two, at least four times the tokens that differ."""
+    top = int(np.ceil(RANGE ** (j + 1)))
+    return max(LEAST_MARKS, 1 << int(4 * (den - num) * 2 * top // (num + den) - 1).bit_length())
+
+
+def marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """A byte for the prefix under each order of the second family, for the largest range that the set is looked up in."""
+    size = mark_orders(ranges_of(len(tokens), num, den)[-1], num, den)
+    h = mix(tokens ^ U64(0x452821E638D01377))
+    out = np.zeros(size, np.uint8)
+    np.bitwise_xor.at(out, (h & U64(size - 1)).astype(np.int64), (h >> U64(56)).astype(np.uint8))
+    return out
+
+
+def folded(rows: list[bytes]) -> np.ndarray:
+    """Marks of many sets as one matrix, for as many orders as the smallest has (halves of a longer one are the residues of one class)."""
+    size = min(map(len, rows))
+    out = np.zeros((len(rows), size), np.uint8)
+    for i, row in enumerate(rows):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(row, np.uint8).reshape(-1, size), axis=0)
+    return out
+
+
+def describe(k: int, num: int, den: int):
+    """doc_id, n, the set's key and its marks, of every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = string_buffer(batch.column("text"))
-            n, k1, k2 = [], [], []
+            n, k1, k2, marked = [], [], [], []
             for _, tokens in shingle_sets(buf, offs, k):
                 n.append(len(tokens))
                 one, two = set_key(tokens)
                 k1.append(one)
                 k2.append(two)
+                marked.append(marks(tokens, num, den).tobytes() if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2))], ["doc_id", "n", "k1", "k2"]
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(marked, pa.binary())],
+                ["doc_id", "n", "k1", "k2", "marks"],
             )
 
     return rows
@@ -248,7 +283,7 @@ def _middle(bits: np.ndarray) -> int:
 
 
 def candidates(num: int, den: int):
-    """Pairs (a, b) of a shard's groups; large groups give a star, and their rows for the second round."""
+    """Pairs (a, b) of a shard's groups; large groups give a star, and their members (b null) for the second round."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
         keys, at, ids, sizes, sketches = _unpack([x.as_py() for x in tbl.column("blob")])
@@ -281,40 +316,70 @@ def candidates(num: int, den: int):
         return pa.Table.from_arrays(
             [
                 pa.array(np.concatenate((found[:, 0], ids[members]))),
-                pa.array(np.concatenate((found[:, 1], np.zeros(len(members), np.int64)))),
+                pa.array(np.concatenate((found[:, 1], np.zeros(len(members), np.int64))), mask=np.arange(n + len(members)) >= n),
                 pa.array(np.concatenate((np.zeros(n, np.int64), group_key))),
-                pa.array(np.concatenate((np.zeros(n, np.int64), sizes[members]))),
-                pa.array([None] * n + [x.tobytes() for x in sketches[members]], pa.binary()),
             ],
-            ["a", "b", "g", "n", "bits"],
+            ["a", "b", "g"],
         )
 
     return find
 
 
-def second_round(num: int, den: int):
-    """Possible pairs of different components within each large group."""
+def joining(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, marked: np.ndarray, block: np.ndarray, known: set, spare: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs that pass the filters and join components: a spanning forest of them, and up to ``spare`` more for each member.
+
+    Members of different blocks are compared, unless all are of one.
+    """
+    out = []
+    _, root, count = np.unique(comp, return_inverse=True, return_counts=True)
+    largest = int(np.argmax(count))
+    start = root.copy()
+    across = len(np.unique(block)) > 1
+    index = np.arange(len(ids))
+    for i in np.flatnonzero(start != largest).tolist():
+        other = ((start if spare else root) != (start if spare else root)[i]) & ((start == largest) | (index > i))
+        if across:
+            other &= block != block[i]
+        j = np.flatnonzero(other)
+        low = need(n[i], n[j], num, den)
+        j = j[low <= np.minimum(n[i], n[j])]
+        if not len(j):
+            continue
+        apart = (marked[j] != marked[i]).sum(axis=1)
+        fits = apart <= n[i] + n[j] - 2 * need(n[i], n[j], num, den)
+        more = spare
+        for x in j[fits][np.argsort(apart[fits], kind="stable")].tolist():
+            if (min(ids[i], ids[x]), max(ids[i], ids[x])) not in known:
+                if root[x] != root[i]:
+                    root[root == root[x]] = root[i]
+                elif more:
+                    more -= 1
+                else:
+                    continue
+                out.append((int(ids[i]), int(ids[x])))
+    return out
+
+
+def second_round(num: int, den: int, spare: int):
+    """For each group and pair of blocks in it, pairs that pass the filters and join components (rows with ``other`` are known not to be linked)."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
-        g, ids, comp, n = (tbl.column(c).to_numpy() for c in ("g", "a", "component", "n"))
-        bits = np.frombuffer(b"".join(tbl.column("bits").to_pylist()), U64).reshape(-1, SKETCH_WORDS)
-        order = np.lexsort((ids, comp, g))
-        g, ids, comp, n, bits = g[order], ids[order], comp[order], n[order].astype(np.int64), bits[order]
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        edge = np.append(np.flatnonzero(np.append(True, g[1:] != g[:-1])), len(g))
-        for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            names, count = np.unique(comp[x:y], return_counts=True)
-            largest = names[np.argmax(count)]
-            for i in (np.flatnonzero(comp[x:y] != largest) + x).tolist():
-                # others once: all of the largest component, and those behind i
-                other = (comp[x:y] == largest) | ((comp[x:y] != comp[i]) & (np.arange(x, y) > i))
-                j = np.flatnonzero(other) + x
-                j = j[possible(n[i], n[j], bits[i], bits[j], num, den)]
-                out_a.append(np.full(len(j), ids[i]))
-                out_b.append(ids[j])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        found = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-        return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        known = tbl.filter(pc.is_valid(tbl.column("other")))
+        rows = tbl.filter(pc.is_null(tbl.column("other")))
+        failed = set(zip(*(known.column(c).to_pylist() for c in ("a", "other")), strict=True))
+        g, lo, hi, block, ids, comp, n = (rows.column(c).to_numpy() for c in ("g", "lo", "hi", "block", "a", "component", "n"))
+        held = rows.column("marks").to_pylist()
+        order = np.lexsort((ids, hi, lo, g))
+        edge = np.flatnonzero(np.append(True, (np.diff(g[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0))) if len(g) else []
+        out: set[tuple[int, int]] = set()
+        for x, y in zip(edge, [*edge[1:], len(g)], strict=True):
+            at = order[x:y]
+            if lo[at[0]] != hi[at[0]] and len(np.unique(block[at])) < 2:
+                continue
+            found = joining(ids[at], comp[at], n[at], folded([held[i] for i in at.tolist()]), block[at], failed, spare, num, den)
+            out.update((min(p), max(p)) for p in found)
+        a, b = zip(*sorted(out), strict=True) if out else ((), ())
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return find
 
@@ -322,17 +387,27 @@ def second_round(num: int, den: int):
 # ---- verification -----------------------------------------------------------------
 
 
-def share_orders(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
-    """Whether two sets have equal prefixes under at least s orders of their range."""
-    j = size_range(max(len(a), len(b)))
-    count, spare = orders(j, num, den)
-    total = []
-    for tokens in (a, b):
-        h = mix(tokens + U64(0x9E3779B97F4A7C15))
-        sums = np.zeros(count, U64)
-        np.add.at(sums, (h % U64(count)).astype(np.int64), mix(tokens ^ U64(0x13198A2E03707344)))
-        total.append(sums)
-    return int((total[0] == total[1]).sum()) >= spare
+def sieve(num: int, den: int):
+    """Candidates whose sizes and marks allow a link; rows as for ``verify``."""
+
+    def check(key: tuple, tbl: pa.Table) -> pa.Table:
+        group, hub, doc, n, held = (tbl.column(c).to_pylist() for c in ("chunk", "a", "doc", "n", "marks"))
+        hubs: dict[tuple[int, int], list[int]] = {}
+        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
+            if a == d:
+                hubs.setdefault((a, c), []).append(i)
+        out_a, out_b = [], []
+        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
+            for h in hubs.get((a, c), []) if a != d else []:
+                low = need(n[i], n[h], num, den)
+                both = folded([held[i], held[h]])
+                if low <= min(n[i], n[h]) and int((both[0] != both[1]).sum()) <= n[i] + n[h] - 2 * low:
+                    out_a.append(a)
+                    out_b.append(d)
+                    break
+        return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+    return check
 
 
 def verify(k: int, num: int, den: int):
@@ -353,7 +428,7 @@ def verify(k: int, num: int, den: int):
             b = sets[i]
             for s in hubs.get((a, c), []):
                 low = need(len(s), len(b), num, den)
-                if low > min(len(s), len(b)) or not min(len(s), len(b)) or not share_orders(s, b, num, den):
+                if low > min(len(s), len(b)) or not min(len(s), len(b)):
                     continue
                 if len(np.intersect1d(s, b, assume_unique=True)) >= low:
                     out_a.append(a)
@@ -364,72 +439,124 @@ def verify(k: int, num: int, den: int):
     return check
 
 
-def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The linked ones among candidate pairs (a, b)."""
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("d"))
-    dealt = pairs.join(degree, "a").selectExpr("a", "b", f"CAST(pmod(xxhash64(b), ceil(d / {CHUNK})) AS INT) AS chunk")
+def dealt(pairs: DataFrame, data: DataFrame, check) -> DataFrame:
+    """``check`` over candidate pairs (a, b), dealt by the hub a in chunks with the rows of ``data`` (doc, ...) that they need."""
     total = pairs.count()
     if not total:
         return pairs
-    tasks = ceil_div(2 * total, VERIFY_ROWS)
-    rows = dealt.selectExpr("a", "chunk", "b AS doc").unionByName(dealt.selectExpr("a", "chunk", "a AS doc").distinct())
-    texts = holding(docs.selectExpr("doc_id AS doc", "text"), rows.select("doc"), "doc").join(rows, "doc")
+    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("d"))
+    chunked = pairs.join(degree, "a").selectExpr("a", "b", f"CAST(pmod(xxhash64(b), ceil(d / {CHUNK})) AS INT) AS chunk")
+    rows = chunked.selectExpr("a", "chunk", "b AS doc").unionByName(chunked.selectExpr("a", "chunk", "a AS doc").distinct())
     return (
-        texts.withColumn("task", F.pmod(F.xxhash64("a", "chunk"), F.lit(tasks)))
+        holding(data, rows.select("doc"), "doc").join(rows, "doc")
+        .withColumn("task", F.pmod(F.xxhash64("a", "chunk"), F.lit(ceil_div(2 * total, VERIFY_ROWS))))
         .groupBy("task")
-        .applyInArrow(verify(k, num, den), "a long, b long")
+        .applyInArrow(check, "a long, b long")
     )
 
 
+def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The linked ones among candidate pairs (a, b)."""
+    return dealt(pairs, docs.selectExpr("doc_id AS doc", "text"), verify(k, num, den))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+
+
+class Settled:
+    """Links found so far, their components, and candidates that proved to be no links."""
+
+    def __init__(self, docs: DataFrame, k: int, num: int, den: int, scratch: list[str]):
+        self.docs, self.measure, self.scratch = docs, (k, num, den), scratch
+        self.links = self.failed = docs.sparkSession.createDataFrame([], "a long, b long")
+        self.components = self.links.selectExpr("a AS id", "b AS component")
+
+    def component_of(self, rows: DataFrame, column: str, name: str) -> DataFrame:
+        found = self.components.selectExpr(f"id AS {column}", f"component AS {name}")
+        return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
+
+    def add(self, pool: DataFrame) -> bool:
+        """Verify candidates until each lies within a component or has failed; whether any failed."""
+        pool, any_failed, most = _ordered(pool), False, 1
+        while True:
+            apart = self.component_of(self.component_of(pool, "a", "ca"), "b", "cb").where("ca <> cb")
+            apart = written(apart, "open", self.scratch)
+            both = apart.selectExpr("a AS u", "b AS v", "cb AS c").unionByName(apart.selectExpr("b AS u", "a AS v", "ca AS c"))
+            first = Window.partitionBy("u").orderBy("c", "v")
+            chosen = both.withColumn("i", F.row_number().over(first)).where(F.col("i") <= most)
+            # the hub is the picked one, or the smaller one of two that pick each other
+            picked = chosen.groupBy(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).agg(F.min("v").alias("hub"))
+            picked = written(picked.selectExpr("hub AS a", "if(hub = a, b, a) AS b"), "picked", self.scratch)
+            if picked.isEmpty():
+                return any_failed
+            found = written(_ordered(verified(self.docs, picked, *self.measure)), "links", self.scratch)
+            failed = written(_ordered(picked).join(found, ["a", "b"], "left_anti"), "failed", self.scratch)
+            if not failed.isEmpty():
+                any_failed, most = True, 2 * most
+            self.links, self.failed = self.links.unionByName(found), self.failed.unionByName(failed)
+            self.components = components(self.links, self.scratch)
+            pool = apart.select("a", "b").join(_ordered(picked), ["a", "b"], "left_anti")
+
+
 def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    described = written(small_batches(docs).mapInArrow(steady(describe(k)), DOCS), "sets")
+    spark, scratch = documents.sparkSession, []
+    described = written(small_batches(docs).mapInArrow(steady(describe(k, num, den)), DOCS), "sets", scratch)
     classes = described.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes")
+    reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes", scratch)
 
     rows = text_bytes(docs) / 6 * 3.7 * (den - num) / (den + num)  # words x prefixes a shingle
     shards = ceil_div(rows, SHARD_ROWS)
     sent = docs.mapInArrow(steady(send_prefixes(k, num, den, shards)), "shard int, blob binary")
-    found = written(
-        sent.groupBy("shard").applyInArrow(candidates(num, den), "a long, b long, g long, n long, bits binary"), "candidates"
-    )
+    found = written(sent.groupBy("shard").applyInArrow(candidates(num, den), "a long, b long, g long"), "candidates", scratch)
     node = reps.distinct()
     to_a, to_b = node.selectExpr("doc_id AS a", "rep AS ra"), node.selectExpr("doc_id AS b", "rep AS rb")
     pairs = written(
-        found.where("bits IS NULL").select("a", "b").distinct().join(to_a, "a").join(to_b, "b")
+        found.where("b IS NOT NULL").select("a", "b").distinct().join(to_a, "a").join(to_b, "b")
         .selectExpr("ra AS a", "rb AS b").where("a <> b").distinct(),
-        "pairs",
-    )
-    links = written(verified(docs, pairs, k, num, den), "links")
-    first = components(links)
+        "pairs", scratch,
+    )
+    data = described.where("n > 0").selectExpr("doc_id AS doc", "n", "marks")
+    data = data.join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    settled = Settled(docs, k, num, den, scratch)
+    settled.add(written(dealt(pairs, data, sieve(num, den)), "sieved", scratch))
 
     # large groups that hold more than one component
-    members = written(
-        found.where("bits IS NOT NULL").join(to_a, "a").selectExpr("g", "ra AS a", "n", "bits")
-        .groupBy("g", "a").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-        .join(first.withColumnRenamed("id", "a"), "a", "left")
-        .withColumn("component", F.coalesce("component", "a")),
-        "groups",
-    )
-    mixed = members.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    more = (
-        members.join(mixed.select("g"), "g", "left_semi")
-        .withColumn("task", F.pmod(F.xxhash64("g"), F.lit(shards * 16)))
-        .groupBy("task").applyInArrow(second_round(num, den), "a long, b long").distinct()
-    )
-    done = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-    more = written(more.join(done, ["a", "b"], "left_anti"), "more-pairs")
-    again = written(verified(docs, more, k, num, den), "more-links")
-    final = components(links.unionByName(again)) if again.count() else first
+    members = found.where("b IS NULL").join(to_a, "a").selectExpr("g", "ra AS a").distinct()
+    members = written(members, "groups", scratch)
+    spare = 0
+    while True:
+        placed = settled.component_of(members, "a", "component")
+        mixed = placed.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
+        parts = mixed.selectExpr("g", f"CAST(ceil(m / {BLOCK}) AS INT) AS parts")
+        inside = written(placed.join(parts, "g").withColumn("block", F.expr("CAST(pmod(xxhash64(a), parts) AS INT)")), "mixed", scratch)
+        if inside.isEmpty():
+            break
+        unit = ["g", "least(block, i) AS lo", "greatest(block, i) AS hi"]
+        spread = inside.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        failed = settled.failed.join(spread, "a").selectExpr("a", "b AS other", *unit)
+        own = holding(data.withColumnRenamed("doc", "a"), inside.select("a"), "a").join(spread, "a")
+        rows = own.selectExpr("a", "CAST(NULL AS BIGINT) AS other", *unit, "block", "component", "n", "marks").unionByName(failed, allowMissingColumns=True)
+        more = (
+            rows.withColumn("task", F.pmod(F.xxhash64("g", "lo", "hi"), F.lit(shards * 16)))
+            .groupBy("task").applyInArrow(second_round(num, den, spare), "a long, b long").distinct()
+        )
+        if not settled.add(written(more, "more-pairs", scratch)):
+            break
+        spare = 4 * spare + 1
 
     component = (
-        node.join(final.withColumnRenamed("id", "rep"), "rep", "left")
+        node.join(settled.components.withColumnRenamed("id", "rep"), "rep", "left")
         .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     )
-    return described.join(component, "doc_id", "left").select(
+    out = described.join(component, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+    out = written(out, "components")
+    discard(spark, scratch)
+    return out
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

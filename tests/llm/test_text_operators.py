@@ -168,6 +168,60 @@ def test_jaccard_large_groups(spark, monkeypatch):
     assert len({c for _, _, c in want}) > 1
 
 
+def family(seed, count, edits, words=150, pool=40):
+    """Copies of one text, each with some words replaced."""
+    import random
+
+    rng, base, rows = random.Random(seed), [f"t{i}" for i in range(words)], []
+    for i in range(count):
+        w = list(base)
+        for _ in range(rng.choice(edits)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(pool)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_jaccard_blocks_and_false_candidates(spark, monkeypatch, weak):
+    """Groups split into blocks; and filters that let nearly all pairs pass, so that most candidates fail."""
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 30)
+    if weak:
+        monkeypatch.setattr(jaccard_join, "LEAST_MARKS", 1)
+        monkeypatch.setattr(jaccard_join, "mark_orders", lambda j, num, den: 1)
+    rows = family(5, 120, [2, 3, 4, 5, 6])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_components(rows)
+    assert sorted(map(tuple, near_duplicates(docs).collect())) == want
+    assert 1 < len({c for _, _, c in want}) < len(rows)
+
+
+def test_jaccard_pairs_grow_with_members(spark):
+    """In a group without links, and in one where all are linked, no more pairs than members are made."""
+    for edits, spread in (([14], 4000), ([1], 4000)):
+        for count in (100, 400):
+            rows = family(3, count, edits, pool=spread)
+            buf, offs = string_buffer(pa.array([t for _, t in rows]))
+            sets = [s for _, s in jaccard_join.shingle_sets(buf, offs, 4)]
+            marked = jaccard_join.folded([jaccard_join.marks(s, 85, 100).tobytes() for s in sets])
+            ids, n = np.arange(count), np.array([len(s) for s in sets])
+            found = jaccard_join.joining(ids, ids, n, marked, np.zeros(count), set(), 0, 85, 100)
+            assert len(found) < count
+            assert edits == [1] or len(found) < 0.05 * count
+
+
+def test_marks_allow_every_link():
+    """Prefixes that differ are never more than tokens that differ, at every size."""
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 5, 9, 40, 300, 3000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for lost in {0, 1, n // 20, n // 12}:
+            other = np.unique(np.concatenate((base[lost:], rng.integers(0, 2**63, lost).astype(np.uint64))))
+            if lost < len(base) and len(other):
+                m = jaccard_join.folded([jaccard_join.marks(x, 85, 100).tobytes() for x in (base, other)])
+                assert (m[0] != m[1]).sum() <= len(np.setxor1d(base, other))
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (20, 21), (21, 20), (7, 7), *((100, i) for i in range(101, 160)), (159, 2)]
     got = components(spark.createDataFrame(edges, "a long, b long"))
