@@ -30,12 +30,15 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     the hash of the text, then by the JSON of the other columns; repeats of (doc_id, text) go.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    keys = ["doc_id", F.xxhash64("text"), *([F.to_json(F.struct(*rest))] if rest else [])]
-    known = docs.where("doc_id IS NOT NULL").orderBy(*keys)
+    order = ["doc_id", F.xxhash64("text").alias("_h"), F.to_json(F.struct(*rest)).alias("_rest") if rest else F.lit("").alias("_rest"), "_row"]
+    known = docs.where("doc_id IS NOT NULL")
+    # numbers of rows are only names here: which one a row gets does not change what stays
     rows = written(known.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = jaccard_join.near_duplicates(rows.selectExpr("_row AS doc_id", "text"), *NEAR)
-    first = rows.groupBy("doc_id", F.xxhash64("text")).agg(F.min("_row").alias("_row")).select("_row")
-    kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_row")).join(first, "_row")
+    groups = jaccard_join.near_duplicates(rows.selectExpr("_row AS doc_id", "text"), *NEAR).selectExpr("doc_id AS _row", "component_id")
+    places = rows.select(*order).join(groups, "_row")
+    # one row of each component, then one of each (doc_id, text) among them (rows without words are components of their own)
+    kept = places.groupBy("component_id").agg(F.min(F.struct("doc_id", "_h", "_rest", "_row")).alias("m")).select("m.*")
+    kept = kept.groupBy("doc_id", "_h").agg(F.min(F.struct("_rest", "_row")).alias("m")).select("m._row")
     stay = rows.join(kept, "_row", "left_semi").select(docs.columns)
     return stay.unionByName(docs.where("doc_id IS NULL"))
 
