@@ -92,8 +92,8 @@ def generate_rules(metrics: DataFrame, table_columns: dict[str, Sequence[str]])
     spark = metrics.sparkSession
     tables = list(table_columns)
     m = metrics.where(F.col("table_name").isin(tables) & F.col("value").isNotNull())
-    # a sample's row count and extremes say nothing about the table's
-    m = m.where((F.col("metric_type") != SAMPLED) | ~F.col("metric").isin("Size", "Minimum", "Maximum", "MinLength"))
+    # a sample's row count, extremes and repeated values say nothing about the table's
+    m = m.where((F.col("metric_type") != SAMPLED) | ~F.col("metric").isin("Size", "Minimum", "Maximum", "MinLength", "Uniqueness"))
     v, metric, inst = F.col("value"), F.col("metric"), F.col("instance")
 
     size = m.where((metric == "Size") & (inst == "*"))
@@ -118,7 +118,9 @@ def generate_rules(metrics: DataFrame, table_columns: dict[str, Sequence[str]])
         mostly=F.when(v < F.lit(STRICT_COMPLETENESS), v * F.lit(MOSTLY_FACTOR)),
     )
 
-    uniq = m.where((metric == "Uniqueness") & (v >= F.lit(MIN_UNIQUENESS)))
+    # an estimate has to be that high with its lower bound
+    sure = F.coalesce(F.col("lower"), v) if "lower" in metrics.columns else v
+    uniq = m.where((metric == "Uniqueness") & (sure >= F.lit(MIN_UNIQUENESS)))
     uniq_rule = _rule(uniq, 0, F.col("seq"), X.UNIQUE, inst)
 
     minlen = m.where((metric == "MinLength") & (v > 0))
