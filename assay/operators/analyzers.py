@@ -258,9 +258,13 @@ class MissingCount(Analyzer):
 
 @dataclass(frozen=True)
 class UnexpectedCount(Analyzer):
-    """Non-null rows of ``column`` for which the SQL ``condition`` holds."""
+    """Non-null rows of ``column`` for which the SQL ``condition`` holds.
+
+    ``needs`` is ``"number"`` or ``"text"`` where the condition makes sense for such columns only.
+    """
 
     condition: str = ""
+    needs: str = field(default="", compare=False, hash=False)
 
     metric: ClassVar[str] = "UnexpectedCount"
 
@@ -269,7 +273,13 @@ class UnexpectedCount(Analyzer):
         return f"{self.column}|{self.condition}"
 
     def problem(self, df):
-        return super().problem(df) or _unresolved(df, f"({self.condition}) AS p")
+        missing = super().problem(df)
+        if missing:
+            return missing
+        found, needs = df.schema[self.column].dataType, {"number": T.NumericType, "text": T.StringType}.get(self.needs)
+        if needs is not None and not isinstance(found, needs):
+            return f"Expected type of column {self.column} to be {needs.__name__}, but found {found.simpleString()}"
+        return _unresolved(df, f"({self.condition}) AS p")
 
     def partials(self, columns):
         c = ident(self.column)

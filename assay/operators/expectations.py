@@ -37,7 +37,6 @@ from assay.operators.analyzers import (
     MissingCount,
     Size,
     UnexpectedCount,
-    run_analyzers,
 )
 
 SAMPLE_SIZE = 20
@@ -53,6 +52,10 @@ BETWEEN = "expect_column_values_to_be_between"
 LENGTHS = "expect_column_value_lengths_to_be_between"
 
 
+def _kind(v) -> str:
+    return "number" if isinstance(v, (int, float)) and not isinstance(v, bool) else "text" if isinstance(v, str) else "other"
+
+
 @dataclass(frozen=True)
 class Expectation:
     expectation_type: str
@@ -102,7 +105,9 @@ class Expectation:
             return [Size(), MissingCount(self.column)]
         if t == UNIQUE:
             return [Size(), MissingCount(self.column), DuplicateRows(self.column)]
-        return [Size(), MissingCount(self.column), UnexpectedCount(self.column, condition=self.unexpected())]
+        needs = "number" if t == BETWEEN and {_kind(b) for b in (self.min_value, self.max_value) if b is not None} == {"number"} else ""
+        needs = "text" if t == LENGTHS else needs
+        return [Size(), MissingCount(self.column), UnexpectedCount(self.column, condition=self.unexpected(), needs=needs)]
 
 
 # ---- rule constructors (the usual expectation names) ---------------------------
@@ -307,18 +312,20 @@ def validate(
 ) -> DataFrame:
     """One result row per rule (``seq`` = position in ``rules``), lazily planned.
 
-    ``metrics`` may carry the rules' metrics already computed (e.g. by
-    ``assay.plans.parallel.compute_metrics`` over ``rule_analyzers(rules)``,
-    which bounds plan width for very large suites); otherwise they are
-    planned here together with the results.
+    ``metrics`` may carry the rules' metrics already computed; otherwise they are
+    computed here by ``assay.plans.parallel.compute_metrics``, which bounds plan width
+    and isolates bad rules: a rule on a missing column, of the wrong type or whose
+    condition fails while it runs is not successful, and the others keep their results.
     """
+    from assay.plans.parallel import compute_metrics
+
     rules = list(rules)
     columns = df.columns
     analyzers = rule_analyzers(rules)
     only = None
     if metrics is None:
-        metrics = run_analyzers(df, analyzers, table_name)
-    elif sample_size > 0:
+        metrics = compute_metrics({table_name: (df, analyzers)})
+    if sample_size > 0:
         # metrics already computed: sample only rules that have unexpected values
         # (a few metric rows come back; clean suites then need no sample pass at all)
         bad = {
