@@ -569,6 +569,10 @@ def _check_isolation():
         f"CASE WHEN {complete} = 1 THEN 'Success' ELSE 'Failure' END, "
         f"CASE WHEN {complete} = 1 THEN '' ELSE 'Value: ' || {complete} || ' does not meet the constraint requirement!' END"
     )
+    for rule in ("values_to_be_between", "value_lengths_to_be_between", "values_to_be_in_set"):
+        parts.append(f"SELECT 'customer', 'expect_column_{rule}', 'Failure', ''")
+    unique = "SELECT count(*) FROM (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    parts.append(f"SELECT 'customer', 'expect_column_values_to_be_unique', CASE WHEN ({unique}) = 0 THEN 'Success' ELSE 'Failure' END, ''")
     return union(parts)
 
 
@@ -579,6 +583,101 @@ def _profile_sampled():
     return f"SELECT 'lineitem' AS table_name, instance, metric, value FROM ({profile_rows('lineitem_sample')})"
 
 
+def _profile_merged():
+    return union([profile_rows(t) for t in ("orders", "documents")])
+
+
+def _profile_value_sampled():
+    f, v = 0.2, 1.959964**2 * (1 - 0.2)
+    below = f"{int(f * 2**32):08x}"
+    SCHEMAS["orders_keys"] = [x for x in SCHEMAS["orders"] if x[0] in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")]
+    SOURCES["orders_keys"] = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)"
+    parts = []
+    for t, name in (("documents", "documents"), ("orders_keys", "orders")):
+        for metric, c in profile_list(t):
+            if metric in ("Mean", "StandardDeviation"):
+                continue
+            head = f"SELECT {q(name)} AS table_name, {q(c or '*')} AS instance, {q(metric)} AS metric"
+            if metric not in ("Distinctness", "Uniqueness"):
+                x = metric_value(t, metric, c)
+                parts.append(f"{head}, 'DoubleMetric' AS metric_type, round({x}, 9) AS value, round({x}, 9) AS lower, round({x}, 9) AS upper")
+                continue
+            k = "count(*)" if metric == "Distinctness" else "count(*) FILTER (WHERE n = 1)"
+            s = f"SELECT {ident(c)} AS v, count(*) AS n FROM {src(t)} WHERE {ident(c)} IS NOT NULL AND substr(sha256(CAST({ident(c)} AS VARCHAR)), 1, 8) < {q(below)} GROUP BY 1"
+            base = f"(SELECT CAST({k} AS DOUBLE) AS k, (SELECT CAST(count({ident(c)}) AS DOUBLE) FROM {src(t)}) AS rows FROM ({s}))"
+            root = f"sqrt({v!r} * k + {v!r} * {v!r} / 4)"
+            parts.append(
+                f"{head}, 'ValueSampledMetric' AS metric_type, round(least(1.0, k / {f!r} / rows), 9) AS value, "
+                f"round(least(1.0, greatest(k / rows, (k + {v!r} / 2 - {root}) / {f!r} / rows)), 9) AS lower, "
+                f"round(least(1.0, (k + {v!r} / 2 + {root}) / {f!r} / rows), 9) AS upper FROM {base}"
+            )
+    return union(parts)
+
+
+def _metric_history():
+    e = SOURCES["events_nulled"]
+    distinct = "CAST(count(DISTINCT user_id) AS DOUBLE) / NULLIF(count(user_id), 0)"
+    day = f"""day AS (
+  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run, CAST(count(*) AS DOUBLE) AS size, CAST(count(value) AS DOUBLE) / count(*) AS complete,
+         min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean, {distinct} AS users
+  FROM {e} GROUP BY 1
+), single AS (
+  SELECT run, CAST(count(*) FILTER (WHERE n = 1) AS DOUBLE) / sum(n) AS u
+  FROM (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run, event_type, count(*) AS n FROM {e} GROUP BY 1, 2) GROUP BY run
+), h AS (
+  SELECT run, unnest([
+    {{'metric': 'Size', 'instance': '*', 'value': size}}, {{'metric': 'Completeness', 'instance': 'value', 'value': complete}},
+    {{'metric': 'Minimum', 'instance': 'value', 'value': lo}}, {{'metric': 'Maximum', 'instance': 'value', 'value': hi}},
+    {{'metric': 'Mean', 'instance': 'value', 'value': mean}}, {{'metric': 'Distinctness', 'instance': 'user_id', 'value': users}},
+    {{'metric': 'Uniqueness', 'instance': 'event_type', 'value': u}}], recursive := true)
+  FROM day JOIN single USING (run)
+)"""
+    views = []
+    for name, size, least, phase in (("trend", 14, 7, "0"), ("weekday", 4, 2, "isodow(CAST(run AS DATE))")):
+        views.append(f"""
+SELECT {q(name)} AS view, {least} AS least, metric, instance, run, value, past, list_aggregate(past, 'median') AS expected FROM (
+  SELECT *, list(value) OVER (PARTITION BY metric, instance, {phase} ORDER BY run ROWS BETWEEN {size} PRECEDING AND 1 PRECEDING) AS past FROM h)""")
+    return f"""
+WITH {day}, p AS ({union(views)}),
+s AS (
+  SELECT *, greatest(1.4826 * list_aggregate(list_transform(past, lambda x: abs(x - expected)), 'median'), 0.001 * abs(expected)) AS spread FROM p
+), z AS (
+  SELECT *, CASE WHEN value = expected THEN 0.0 WHEN spread > 0 THEN abs(value - expected) / spread
+            WHEN value IS NOT NULL AND expected IS NOT NULL THEN CAST('Infinity' AS DOUBLE) END AS score FROM s
+)
+SELECT view, metric, instance, run, value, CAST(coalesce(len(past), 0) AS INTEGER) AS earlier, round(expected, 6) AS expected,
+       round(spread, 6) AS spread, round(score, 6) AS score,
+       CASE WHEN value IS NULL THEN 'missing' WHEN coalesce(len(past), 0) < least THEN 'new' WHEN score > 3.0 THEN 'anomaly' ELSE 'ok' END AS status
+FROM z"""
+
+
+def _quarantine_orders():
+    rules = [
+        "o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1)",
+        "o_orderstatus NOT IN ('O', 'F')",
+        "NOT (o_totalprice >= 1000 AND o_totalprice <= 400000)",
+        "o_orderpriority IS NULL",
+        "NOT (length(o_orderpriority) >= 5 AND length(o_orderpriority) <= 8)",
+        "NOT coalesce(o_orderdate >= DATE '1993-01-01', false)",
+    ]
+    names = [
+        "expect_column_values_to_be_unique(o_custkey)", "expect_column_values_to_be_in_set(o_orderstatus)",
+        "expect_column_values_to_be_between(o_totalprice)", "expect_column_values_to_not_be_null(o_orderpriority)",
+        "expect_column_value_lengths_to_be_between(o_orderpriority)", "dated after 1993",
+    ]
+    flags = ", ".join(f"CASE WHEN {r} THEN '{i}' END" for i, r in enumerate(rules))
+    counts = [
+        f"SELECT CAST(NULL AS BIGINT) AS o_orderkey, {q(n)} AS part, '{i}' AS rules, (SELECT count(*) FROM orders WHERE {r}) AS n"
+        for i, (n, r) in enumerate(zip(names, rules, strict=True))
+    ]
+    counts.append("SELECT CAST(NULL AS BIGINT) AS o_orderkey, 'not a column' AS part, '6' AS rules, CAST(NULL AS BIGINT) AS n")
+    rows = f"SELECT o_orderkey, concat_ws(',', {flags}) AS r FROM orders"
+    return union([
+        f"SELECT o_orderkey, CASE WHEN r = '' THEN 'passed' ELSE 'quarantined' END AS part, NULLIF(r, '') AS rules, CAST(1 AS BIGINT) AS n FROM ({rows})",
+        *counts,
+    ])
+
+
 def _rollup_rows():
     return [
         size_c("orders", "orders_keys"),
@@ -898,6 +997,10 @@ def oracle_sql() -> dict[str, str]:
         "check_contained_in": _check_contained_in(),
         "check_satisfies": _check_satisfies(),
         "profile_sampled": _profile_sampled(),
+        "profile_value_sampled": _profile_value_sampled(),
+        "profile_merged": _profile_merged(),
+        "metric_history": _metric_history(),
+        "quarantine_orders": _quarantine_orders(),
         "flow_checks": _flow_checks(),
         "flow_suites": _flow_suites(),
         "flow_generated": _flow_generated(),

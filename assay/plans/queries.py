@@ -33,7 +33,11 @@ from assay.operators.analyzers import (
 from assay.operators.checks import Check, evaluate_checks
 from assay.operators.compare import rule_agreement, threshold_analyzers, threshold_monitor
 from assay.operators.generate import generate_rules, rule_metrics
-from assay.operators.profile import profile
+from assay.operators.history import append_history, deviations, read_history
+from assay.operators.profile import profile, profile_analyzers
+from assay.operators.sampling import value_sampled_profile
+from assay.operators.states import compute_states, metrics_of
+from assay.operators.verdicts import RowRule, quarantine
 from assay.plans.flows import generate_and_validate, profile_and_check, summary, validate_generated, validate_static
 from assay.plans.parallel import compute_metrics, map_tables, materialized_union, profile_tables, union_all
 from assay.plans.registry import checks_for
@@ -188,6 +192,70 @@ def profile_sampled(spark, sf_dir):
     return _round_stats(m).select("table_name", "instance", "metric", "value")
 
 
+def profile_value_sampled(spark, sf_dir):
+    """Profiles with distinctness and uniqueness from a 20% sample of each column's values, and error bounds."""
+    parts = []
+    for name, columns in (("documents", None), ("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])):
+        df = table(spark, sf_dir, name)
+        parts.append(value_sampled_profile(df.select(columns or df.columns), name, fraction=0.2))
+    m = union_all(parts).where("metric NOT IN ('Mean', 'StandardDeviation')")
+    return m.select("table_name", "instance", "metric", "metric_type", *(F.round(c, 9).alias(c) for c in ("value", "lower", "upper")))
+
+
+def profile_merged(spark, sf_dir):
+    """Profiles of orders and documents, merged from the stored states of two halves of each."""
+    parts = []
+    for name, key in (("orders", "o_orderkey"), ("documents", "doc_id")):
+        df = table(spark, sf_dir, name)
+        wanted, out = profile_analyzers(df.schema), _output(spark)
+        halves = [compute_states(df.where(f"pmod(xxhash64({key}), 2) = {h}"), wanted, f"{out}/{name}-{h}") for h in (0, 1)]
+        parts.append(metrics_of(halves, df.schema, wanted, name))
+    return _round_stats(union_all(parts)).select("table_name", "seq", "instance", "metric", "analyzer", "value", "status")
+
+
+HISTORY_METRICS = [
+    Size(), Completeness("value"), Minimum("value"), Maximum("value"), Mean("value"), Distinctness("user_id"), Uniqueness("event_type"),
+]
+
+
+def metric_history(spark, sf_dir):
+    """Metrics of events by day (one pass, a state for each day), kept as runs, each held against its own past."""
+    df = table(spark, sf_dir, "events_nulled")
+    out = _output(spark)
+    days = compute_states(df, HISTORY_METRICS, f"{out}/states", segment="CAST(ts AS DATE)")
+    metrics = metrics_of(days, df.schema, HISTORY_METRICS, "events_nulled", by_segment=True)
+    append_history(_round_stats(metrics).withColumnRenamed("segment", "run"), f"{out}/history")
+    history = read_history(spark, f"{out}/history")
+    views = {
+        "trend": deviations(history, window=14, limit=3.0, least=7),
+        "weekday": deviations(history, window=4, limit=3.0, least=2, phase="weekday(CAST(run AS DATE))"),
+    }
+    rounded = [F.round(c, 6).alias(c) for c in ("expected", "spread", "score")]
+    return union_all([d.select(F.lit(n).alias("view"), "metric", "instance", "run", "value", "earlier", *rounded, "status") for n, d in views.items()])
+
+
+QUARANTINE_RULES = [
+    X.expect_column_values_to_be_unique("o_custkey"),
+    X.expect_column_values_to_be_in_set("o_orderstatus", ["O", "F"]),
+    X.expect_column_values_to_be_between("o_totalprice", 1000, 400000),
+    X.expect_column_values_to_not_be_null("o_orderpriority"),
+    X.expect_column_value_lengths_to_be_between("o_orderpriority", 5, 8),
+    RowRule("dated after 1993", "o_orderdate >= DATE'1993-01-01'"),
+    RowRule("not a column", "no_such_column > 0"),
+]
+
+
+def quarantine_orders(spark, sf_dir):
+    """Orders split by row-level rules into passed and quarantined rows, as written; rule counts as rows without a key."""
+    split = quarantine(table(spark, sf_dir, "orders"), QUARANTINE_RULES, f"{_output(spark)}/orders")
+    listed = F.concat_ws(",", F.col("failed_rules").cast("array<string>")).alias("rules")
+    none = F.lit(None).cast("string")
+    rows = split.quarantined.select("o_orderkey", F.lit("quarantined").alias("part"), listed, F.lit(1).cast("long").alias("n"))
+    kept = split.passed.select("o_orderkey", F.lit("passed").alias("part"), none.alias("rules"), F.lit(1).cast("long").alias("n"))
+    counts = split.counts.selectExpr("CAST(NULL AS BIGINT) AS o_orderkey", "rule AS part", "CAST(seq AS STRING) AS rules", "failed_rows AS n")
+    return rows.unionByName(kept).unionByName(counts)
+
+
 # ---- checks -----------------------------------------------------------------------------
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -264,7 +332,16 @@ def check_isolation(spark, sf_dir):
     minimum = metrics.where("metric = 'Minimum'").select(
         "table_name", F.col("analyzer").alias("rule"), "status", brief.alias("message")
     )
-    return constraints.unionByName(minimum)
+    suite = [
+        X.expect_column_values_to_be_between("c_name", 1, 3),
+        X.expect_column_value_lengths_to_be_between("c_custkey", 1, 3),
+        X.expect_column_values_to_be_in_set("no_such_column", [1]),
+        X.expect_column_values_to_be_unique("c_custkey"),
+    ]
+    results = X.validate(dfs["customer"], suite, "customer").select(
+        "table_name", F.col("expectation_type").alias("rule"), F.expr("if(success, 'Success', 'Failure')").alias("status"), F.lit("").alias("message")
+    )
+    return constraints.unionByName(minimum).unionByName(results)
 
 
 def check_satisfies(spark, sf_dir):
@@ -325,15 +402,10 @@ def check_default(spark, sf_dir):
 def _validate_many(spark, sf_dir, plan: dict[str, list[X.Expectation]], sample_size=X.SAMPLE_SIZE):
     """Each table's results, materialized side by side.
 
-    With samples, all tables' rule metrics are computed first (one batch of
-    bounded plans) so that only rules with unexpected values are sampled;
-    count-only validations stay one plan per table.
+    All tables' rule metrics are computed first (one batch of bounded plans), so that a bad rule
+    fails alone and only rules with unexpected values are sampled.
     """
     tables = tables_of(spark, sf_dir, plan)
-    if sample_size == 0:
-        return materialized_union(
-            [X.validate(tables[n], rules, n, f"{n}_suite", 0) for n, rules in plan.items()]
-        )
     metrics = compute_metrics({n: (tables[n], X.rule_analyzers(rules)) for n, rules in plan.items()})
     builders = [
         (lambda n=n, rules=rules: X.validate(
@@ -686,6 +758,10 @@ QUERIES: dict[str, Query] = {
     "profile_all_tables": profile_all_tables,
     "profile_text_hashed": profile_text_hashed,
     "profile_sampled": profile_sampled,
+    "profile_value_sampled": profile_value_sampled,
+    "profile_merged": profile_merged,
+    "metric_history": metric_history,
+    "quarantine_orders": quarantine_orders,
     "check_has_size": check_has_size,
     "check_is_complete": check_is_complete,
     "check_is_unique": check_is_unique,
