@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from assay.llm import tokens, warc
 from assay.llm.chat import fold, format_conversations, log_of, op10_chat_formatting, parse
 from assay.llm.common import scratch_path, string_buffer
-from assay.llm.packing import best_fit, pack, token_counts
+from assay.llm.packing import best_fit, pack, pack_sizes, token_counts, total_cost
 from assay.llm.token_store import read_document, read_store, write_store
 from tests.llm.conftest import SF
 
@@ -121,23 +121,27 @@ def test_warc_broken_segments(spark):
 # ---- packing --------------------------------------------------------------------------------
 
 
-def slow_best_fit(sizes, capacities, overhead):
-    bins, where, left = [], [], sum(sizes)
-    for n in sizes:
-        fit = [(c - u, -i) for i, (c, u) in enumerate(bins) if c - u >= n]
+def slow_best_fit(sizes, capacities, overhead, quadratic):
+    price = {c: (c + overhead) * (1 + c / quadratic) for c in capacities}
+    bins, where = [], []
+    order_of = {}
+    for i, n in enumerate(sizes):
+        fit = [c - u for c, u in bins if c - u >= n]
         if fit:
-            room = min(fit)[0]
-            b = order_of[room].pop()
+            b = order_of[min(fit)].pop()
         else:
-            c = min((c for c in capacities if c >= n), key=lambda c: ((c + overhead) / min(c, left), c))
-            bins.append((c, 0))
+            options = []
+            for c in capacities:
+                held = n
+                for m in sizes[i + 1 :] if c >= n else ():
+                    held += m if held + m <= c else 0
+                if c >= n:
+                    options.append((price[min(x for x in capacities if x >= held)] / held, c))
+            bins.append((min(options)[1], 0))
             b = len(bins) - 1
-            if b == 0:
-                order_of = {}
         c, u = bins[b]
         bins[b] = (c, u + n)
         where.append(b)
-        left -= n
         if c - u - n:
             order_of.setdefault(c - u - n, []).append(b)
     return where, [min(c for c in capacities if c >= u) for _, u in bins]
@@ -147,10 +151,48 @@ def test_best_fit_against_scan():
     rng = random.Random(4)
     for _ in range(60):
         sizes = sorted((rng.randint(1, 64) for _ in range(rng.randint(1, 80))), reverse=True)
-        assert best_fit(sizes, (16, 32, 64), 4) == slow_best_fit(sizes, (16, 32, 64), 4)
+        for quadratic in (40, 1e9):
+            assert best_fit(sizes, (16, 32, 64), 4, quadratic) == slow_best_fit(sizes, (16, 32, 64), 4, quadratic)
     assert best_fit([], (16,), 1) == ([], [])
 
 
+def test_every_capacity_can_be_the_best():
+    """Pieces for which one size is provably worse than another, either way."""
+    # eight pieces of 512: eight short sequences cost 8 * 544 * (1 + 512/q), a long one 8224 * (1 + 8192/q) for half the overhead
+    for quadratic, want in ((12_288, [512] * 16), (1e12, [8192])):
+        where, capacity = best_fit([512] * 16, (512, 8192), 32, quadratic)
+        assert capacity == want and sorted(where) == sorted(range(16) if len(want) > 1 else [0] * 16)
+    # nothing fits beside a piece of 600 in 1024: three in 2048 waste less than one in 1024 or 13 in 8192 cost
+    _, capacity = best_fit([600] * 39, (512, 1024, 2048, 4096, 8192))
+    assert set(capacity) == {2048}
+    # a long piece with short ones to fill its room, and a short one left over
+    _, capacity = best_fit([8000, 192, 100], (512, 8192))
+    assert sorted(capacity) == [512, 8192]
+
+
+def test_joint_packing_is_never_dearer():
+    rng = random.Random(7)
+    used = set()
+    for k in range(40):
+        sizes = sorted((min(512, max(1, int(rng.lognormvariate(rng.uniform(2, 5), 1)))) for _ in range(200)), reverse=True)
+        capacities = (32, 64, 128, 256, 512)
+        where, capacity = pack_sizes(sizes, capacities, 4, 300)
+        filled = [0] * len(capacity)
+        for n, b in zip(sizes, where, strict=True):
+            filled[b] += n
+        assert all(u <= c and (c == 32 or u > c // 2) for u, c in zip(filled, capacity, strict=True))
+        used |= set(capacity)
+        for single in capacities:
+            if single >= sizes[0]:
+                alone, _ = best_fit(sizes, (single,), 4, 300)
+                room = [0] * (max(alone) + 1)
+                for n, b in zip(sizes, alone, strict=True):
+                    room[b] += n
+                shrunk = [min(c for c in capacities if c >= u) for u in room]
+                assert total_cost(capacity, 4, 300) <= total_cost(shrunk, 4, 300) + 1e-6
+    assert used == {32, 64, 128, 256, 512}
+
+
 def test_pack(documents, edges, empty, tokenizer):
     for df in (documents, edges):
         counts = sorted(map(tuple, token_counts(df).collect()))
