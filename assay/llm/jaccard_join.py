@@ -8,7 +8,7 @@ orders use that:
 
 * few orders with long prefixes generate candidates: for sizes of one range there are D + s
   orders, so linked sets share the whole prefix under at least s of them;
-* many orders with short prefixes (4 D or more, one byte a prefix) intersect the filters: of
+* many orders with short prefixes (2 D or more, one byte a prefix) intersect the filters: of
   linked sets no more prefixes differ than tokens do. This is tested on the bytes alone, for every
   candidate, before any text is shuffled for verification.
 
@@ -18,7 +18,7 @@ they are sent only by a set with at least s of them. Candidates also pass a size
 and a parity sketch (its Hamming distance cannot exceed the number of differing tokens).
 
 Equal sets are one class, represented by its smallest id; a task sends a class once. In a
-large group of candidates all members are compared with one of them, nearest to the group's
+large group of candidates all members are compared with one of them, near the group's
 majority. What this leaves in different components is compared by the short prefixes, in blocks
 of ``BLOCK`` members and pairs of blocks, so no task gets a group whole; of the pairs that pass,
 those are kept that would join components. Of the candidates only those that join components are
@@ -140,15 +140,14 @@ def prefixes(tokens: np.ndarray, j: int, num: int, den: int) -> np.ndarray:
     return mix(total[sent] + size[sent].astype(U64) * U64(0xC2B2AE3D27D4EB4F) + mix(sent.astype(U64) + U64(j << 32)))
 
 
-def mark_orders(j: int, num: int, den: int) -> int:
-    """Orders of the second family for pairs whose larger set is in range j: a power of two, at least four times the tokens that differ."""
-    top = int(np.ceil(RANGE ** (j + 1)))
-    return max(LEAST_MARKS, 1 << int(4 * (den - num) * 2 * top // (num + den) - 1).bit_length())
+def mark_orders(n: int, num: int, den: int) -> int:
+    """Orders of the second family for a set of n tokens: a power of two, at least twice the tokens in which a linked set of its size differs."""
+    return max(LEAST_MARKS, 1 << int((den - num) * 4 * n // (num + den)).bit_length())
 
 
 def marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """A byte for the prefix under each order of the second family, for the largest range that the set is looked up in."""
-    size = mark_orders(ranges_of(len(tokens), num, den)[-1], num, den)
+    """A byte for the prefix under each order of the second family."""
+    size = mark_orders(len(tokens), num, den)
     h = mix(tokens ^ U64(0x452821E638D01377))
     out = np.zeros(size, np.uint8)
     np.bitwise_xor.at(out, (h & U64(size - 1)).astype(np.int64), (h >> U64(56)).astype(np.uint8))
@@ -275,11 +274,16 @@ def possible(na, nb, sa: np.ndarray, sb: np.ndarray, num: int, den: int) -> np.n
     return (low <= np.minimum(na, nb)) & (apart <= na + nb - 2 * low)
 
 
-def _middle(bits: np.ndarray) -> int:
-    """The member nearest to the majority of a group's sketches."""
+def _middle(bits: np.ndarray, ids: np.ndarray) -> int:
+    """Of the half that is nearest to the majority of a group's sketches, the member that comes first by a hash of its id.
+
+    Groups of one family share most of their members, so they mostly share this one, and the same pairs, too.
+    """
     wide = np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), axis=1)
     major = (2 * wide.sum(axis=0, dtype=np.int64) > len(bits)).astype(np.uint8)
-    return int(np.argmin((wide != major).sum(axis=1)))
+    off = (wide != major).sum(axis=1)
+    near = np.flatnonzero(off <= np.median(off))
+    return int(near[np.argmin(mix(ids[near].astype(np.int64).view(U64)))])
 
 
 def candidates(num: int, den: int):
@@ -298,7 +302,7 @@ def candidates(num: int, den: int):
                 pairs.append(np.stack((at[first + i], at[first + j])))
         for e, m in zip(edge[length > SMALL_GROUP].tolist(), length[length > SMALL_GROUP].tolist(), strict=True):
             group = np.unique(at[e : e + m])
-            hub = group[_middle(sketches[group])]
+            hub = group[_middle(sketches[group], ids[group])]
             pairs.append(np.stack((np.full(len(group), hub), group)))
             rest.append((int(keys[e].view(np.int64)), group))
         a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
@@ -361,25 +365,31 @@ def joining(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, marked: np.ndarray
 
 
 def second_round(num: int, den: int, spare: int):
-    """For each group and pair of blocks in it, pairs that pass the filters and join components (rows with ``other`` are known not to be linked)."""
+    """For each unit (a group and a pair of its blocks), pairs that pass the filters and join components; rows with ``other`` are known not to be linked."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
-        known = tbl.filter(pc.is_valid(tbl.column("other")))
+        failed: dict[tuple, set] = {}
+        known = tbl.filter(pc.is_valid(tbl.column("other"))).select(["g", "lo", "hi", "a", "other"])
+        for *unit, x, y in zip(*(c.to_pylist() for c in known.columns), strict=True):
+            failed.setdefault(tuple(unit), set()).add((x, y))
         rows = tbl.filter(pc.is_null(tbl.column("other")))
-        failed = set(zip(*(known.column(c).to_pylist() for c in ("a", "other")), strict=True))
         g, lo, hi, block, ids, comp, n = (rows.column(c).to_numpy() for c in ("g", "lo", "hi", "block", "a", "component", "n"))
-        held = rows.column("marks").to_pylist()
+        held = rows.column("marks")
         order = np.lexsort((ids, hi, lo, g))
-        edge = np.flatnonzero(np.append(True, (np.diff(g[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0))) if len(g) else []
-        out: set[tuple[int, int]] = set()
-        for x, y in zip(edge, [*edge[1:], len(g)], strict=True):
+        new = (np.diff(g[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
+        edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(g)] if len(g) else [0]
+        out = []
+        for x, y in zip(edge[:-1], edge[1:], strict=True):
             at = order[x:y]
-            if lo[at[0]] != hi[at[0]] and len(np.unique(block[at])) < 2:
+            unit = (int(g[at[0]]), int(lo[at[0]]), int(hi[at[0]]))
+            if unit[1] != unit[2] and len(np.unique(block[at])) < 2:
                 continue
-            found = joining(ids[at], comp[at], n[at], folded([held[i] for i in at.tolist()]), block[at], failed, spare, num, den)
-            out.update((min(p), max(p)) for p in found)
-        a, b = zip(*sorted(out), strict=True) if out else ((), ())
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            marked = folded(held.take(pa.array(at)).to_pylist())
+            for p in joining(ids[at], comp[at], n[at], marked, block[at], failed.get(unit, set()), spare, num, den):
+                out.append((min(p), max(p), *unit))
+        del rows, held
+        release()
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], ["a", "b", "g", "lo", "hi"])
 
     return find
 
@@ -405,6 +415,7 @@ def sieve(num: int, den: int):
                     out_a.append(a)
                     out_b.append(d)
                     break
+        release()
         return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return check
@@ -434,6 +445,8 @@ def verify(k: int, num: int, den: int):
                     out_a.append(a)
                     out_b.append(d)
                     break
+        del sets, hubs
+        release()
         return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return check
@@ -476,9 +489,9 @@ class Settled:
         found = self.components.selectExpr(f"id AS {column}", f"component AS {name}")
         return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    def add(self, pool: DataFrame) -> bool:
-        """Verify candidates until each lies within a component or has failed; whether any failed."""
-        pool, any_failed, most = _ordered(pool), False, 1
+    def add(self, pool: DataFrame) -> None:
+        """Verify candidates until each lies within a component or has failed."""
+        pool, most = _ordered(pool).join(self.failed, ["a", "b"], "left_anti"), 1
         while True:
             apart = self.component_of(self.component_of(pool, "a", "ca"), "b", "cb").where("ca <> cb")
             apart = written(apart, "open", self.scratch)
@@ -489,11 +502,11 @@ class Settled:
             picked = chosen.groupBy(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).agg(F.min("v").alias("hub"))
             picked = written(picked.selectExpr("hub AS a", "if(hub = a, b, a) AS b"), "picked", self.scratch)
             if picked.isEmpty():
-                return any_failed
+                return
             found = written(_ordered(verified(self.docs, picked, *self.measure)), "links", self.scratch)
             failed = written(_ordered(picked).join(found, ["a", "b"], "left_anti"), "failed", self.scratch)
             if not failed.isEmpty():
-                any_failed, most = True, 2 * most
+                most *= 2
             self.links, self.failed = self.links.unionByName(found), self.failed.unionByName(failed)
             self.components = components(self.links, self.scratch)
             pool = apart.select("a", "b").join(_ordered(picked), ["a", "b"], "left_anti")
@@ -523,29 +536,35 @@ def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int =
     settled = Settled(docs, k, num, den, scratch)
     settled.add(written(dealt(pairs, data, sieve(num, den)), "sieved", scratch))
 
-    # large groups that hold more than one component
+    # large groups that hold more than one component, in units of a pair of blocks
     members = found.where("b IS NULL").join(to_a, "a").selectExpr("g", "ra AS a").distinct()
     members = written(members, "groups", scratch)
-    spare = 0
-    while True:
-        placed = settled.component_of(members, "a", "component")
-        mixed = placed.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
-        parts = mixed.selectExpr("g", f"CAST(ceil(m / {BLOCK}) AS INT) AS parts")
-        inside = written(placed.join(parts, "g").withColumn("block", F.expr("CAST(pmod(xxhash64(a), parts) AS INT)")), "mixed", scratch)
-        if inside.isEmpty():
-            break
-        unit = ["g", "least(block, i) AS lo", "greatest(block, i) AS hi"]
-        spread = inside.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        failed = settled.failed.join(spread, "a").selectExpr("a", "b AS other", *unit)
-        own = holding(data.withColumnRenamed("doc", "a"), inside.select("a"), "a").join(spread, "a")
-        rows = own.selectExpr("a", "CAST(NULL AS BIGINT) AS other", *unit, "block", "component", "n", "marks").unionByName(failed, allowMissingColumns=True)
+    placed = settled.component_of(members, "a", "component")
+    mixed = placed.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
+    parts = mixed.selectExpr("g", f"CAST(ceil(m / {BLOCK}) AS INT) AS parts")
+    inside = members.join(parts, "g").withColumn("block", F.expr("pmod(xxhash64(a), parts)"))
+    inside = written(inside.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).selectExpr(
+        "g", "least(block, i) AS lo", "greatest(block, i) AS hi", "block", "a"
+    ), "mixed", scratch)
+    unit, spare, wrong = ["g", "lo", "hi"], 0, None
+    while not inside.isEmpty():
+        own = holding(data.withColumnRenamed("doc", "a"), inside.select("a"), "a").join(settled.component_of(inside, "a", "component"), "a")
+        rows = own.select(*unit, "block", "a", "component", "n", "marks").withColumn("other", F.lit(None).cast("long"))
+        if wrong is not None:
+            here = wrong.join(inside.select(*unit).distinct(), unit, "left_semi")
+            rows = rows.unionByName(here.withColumnRenamed("b", "other"), allowMissingColumns=True)
         more = (
-            rows.withColumn("task", F.pmod(F.xxhash64("g", "lo", "hi"), F.lit(shards * 16)))
-            .groupBy("task").applyInArrow(second_round(num, den, spare), "a long, b long").distinct()
+            rows.withColumn("task", F.pmod(F.xxhash64(*unit), F.lit(shards * 16)))
+            .groupBy("task").applyInArrow(second_round(num, den, spare), "a long, b long, g long, lo long, hi long")
         )
-        if not settled.add(written(more, "more-pairs", scratch)):
+        more = written(more, "more-pairs", scratch)
+        settled.add(more.select("a", "b"))
+        # a unit that joined components by a pair that is no link has to look again
+        now = written(more.join(settled.failed.distinct(), ["a", "b"]).select("a", "b", *unit), "wrong", scratch)
+        if now.isEmpty():
             break
-        spare = 4 * spare + 1
+        inside = written(inside.join(now.select(*unit).distinct(), unit, "left_semi"), "mixed", scratch)
+        wrong, spare = now if wrong is None else now.unionByName(wrong), 4 * spare + 1
 
     component = (
         node.join(settled.components.withColumnRenamed("id", "rep"), "rep", "left")

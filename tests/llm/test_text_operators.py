@@ -188,7 +188,7 @@ def test_jaccard_blocks_and_false_candidates(spark, monkeypatch, weak):
     monkeypatch.setattr(jaccard_join, "BLOCK", 30)
     if weak:
         monkeypatch.setattr(jaccard_join, "LEAST_MARKS", 1)
-        monkeypatch.setattr(jaccard_join, "mark_orders", lambda j, num, den: 1)
+        monkeypatch.setattr(jaccard_join, "mark_orders", lambda n, num, den: 1)
     rows = family(5, 120, [2, 3, 4, 5, 6])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = brute_components(rows)
