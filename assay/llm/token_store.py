@@ -4,11 +4,15 @@ A store is a folder of two Parquet tables: ``dictionary`` (its SHA-256 and bytes
 ``blocks``. A block row holds consecutive documents in ascending order of id: their ids,
 token counts, the offset of each document's own frame, the frames and the hash of the
 dictionary that they need. One document is read by decompressing its frame alone. Ids are
-little-endian unsigned 16-bit numbers (32-bit where the vocabulary is larger); every
-document ends with ``end_id``.
+little-endian unsigned 16-bit numbers, or 32-bit ones where the vocabulary or ``end_id`` needs
+them (a ``width`` that is too small is an error); every document ends with ``end_id``.
+
+The dictionary is trained on at most ``SAMPLE_DOCS`` documents - different (id, text) pairs, so an id
+that repeats is no more than its texts - of which at most ``SAMPLE_BYTES`` bytes each reach the driver.
 
 Documents are range partitioned by id before they are encoded, so files are in ascending
-order; a partition's token total is one number, and the totals give each document's start.
+order; a partition's token total is one number, and running sums over the totals, in two levels, give
+each document's start without any list of them on the driver.
 
 Edge cases: null text counts as empty (the end id only); rows with a null id are left out;
 rows that repeat an id are stored one after the other, smaller texts first; an empty table
@@ -39,6 +43,8 @@ DICTIONARY_BYTES = 64 << 10
 PARTITION_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
+#: Partitions (in ascending order of ids) whose token totals are summed together.
+STRETCH = 4096
 
 BLOCKS = (
     "part int, seq int, first_doc long, doc_ids array<long>, n_tokens array<int>, offsets array<long>, "
@@ -60,10 +66,24 @@ def _samples(model: str, end_id: int, width: int):
     return rows
 
 
+def least_width(model: str, end_id: int) -> int:
+    """Bytes of an id: two if every id of the vocabulary and the end id fit."""
+    size = Encoder.get(model).tokenizer.get_vocab_size(with_added_tokens=True)
+    return 2 if max(size - 1, end_id) < 1 << 16 else 4
+
+
+def sample_of(docs: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` different (doc_id, text) pairs, those with the smallest hash."""
+    keys = docs.select("doc_id", F.xxhash64("text").alias("_h"))
+    chosen = keys.distinct().orderBy(F.xxhash64("doc_id", "_h"), "doc_id", "_h").limit(rows)
+    # at most ``rows`` pairs of numbers: a bounded broadcast; equal pairs are combined before the shuffle
+    found = docs.withColumn("_h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "_h"])
+    return found.groupBy("doc_id", "_h").agg(F.first("text", ignorenulls=True).alias("text")).drop("_h")
+
+
 def train_dictionary(docs: DataFrame, model: str, end_id: int, width: int) -> bytes:
-    """A dictionary from the ``SAMPLE_DOCS`` documents with the smallest hash of their id; empty if they are too few."""
-    chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    rows = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(_samples(model, end_id, width), "ids binary")
+    """A dictionary from a bounded sample of documents; empty if they are fewer than eight."""
+    rows = sample_of(docs, SAMPLE_DOCS).mapInArrow(_samples(model, end_id, width), "ids binary")
     samples = sorted(bytes(r["ids"]) for r in rows.collect())  # at most SAMPLE_DOCS x SAMPLE_BYTES
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
@@ -111,9 +131,13 @@ def _encode_blocks(model: str, end_id: int, width: int, dictionary: bytes):
     return rows
 
 
-def write_store(documents: DataFrame, path: str, model: str | None = None, end_id: int = 0, width: int = 2) -> None:
+def write_store(documents: DataFrame, path: str, model: str | None = None, end_id: int = 0, width: int | None = None) -> None:
     """Encode ``documents`` (doc_id, text) into a store at ``path``."""
     model = model or default_model()
+    needed = least_width(model, end_id)
+    width = width or needed
+    if width not in (2, 4) or width < needed:
+        raise ValueError(f"ids of this vocabulary need {needed} bytes, not {width}")
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     dictionary = train_dictionary(docs, model, end_id, width)
@@ -178,13 +202,15 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     )
     within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("part", "seq", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("before"))
-    # one row for each partition of the store
-    parts = sizes.groupBy("part").agg(F.min("first_doc").alias("first"), F.sum("n").alias("n")).collect()
-    offsets, total = [], 0
-    for r in sorted(parts, key=lambda r: (r["first"], r["part"])):
-        offsets.append((r["part"], total))
-        total += r["n"]
-    offset = spark.createDataFrame(offsets, "part int, offset long")
+    # a running sum over partitions in two levels: within stretches of them, and over the stretches' totals
+    parts = sizes.groupBy("part").agg(F.min("first_doc").alias("first"), F.sum("n").alias("n"))
+    parts = parts.withColumn("stretch", F.expr(f"part div {STRETCH}"))
+    upto = Window.partitionBy("stretch").orderBy("first", "part").rowsBetween(Window.unboundedPreceding, -1)
+    inner = parts.select("part", "stretch", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("inner"))
+    stretches = parts.groupBy("stretch").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+    above = Window.orderBy("first", "stretch").rowsBetween(Window.unboundedPreceding, -1)  # one row a stretch
+    outer = stretches.select("stretch", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("outer"))
+    offset = inner.join(outer, "stretch").selectExpr("part", "outer + inner AS offset")
     return (
         decoded.join(base.join(offset, "part"), ["part", "seq"])
         .selectExpr("doc_id", "offset + before + at AS start", "n_tokens", "ids_crc32")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from assay.llm import tokens, warc
+from assay.llm import token_store, tokens, warc
 from assay.llm.chat import fold, format_conversations, log_of, op10_chat_formatting, parse
 from assay.llm.common import scratch_path, string_buffer
 from assay.llm.packing import best_fit, pack, pack_sizes, token_counts, total_cost
@@ -57,6 +57,36 @@ def test_token_store(spark, documents, edges, empty, tokenizer):
     assert read_store(spark, path).collect() == []
 
 
+def test_token_store_widths_and_stretches(spark, documents, tokenizer, monkeypatch):
+    """Wide ids where the end id needs them, and running sums over many partitions and stretches."""
+    assert token_store.least_width(tokens.default_model(), 0) == 2 and token_store.least_width(tokens.default_model(), 1 << 16) == 4
+    with pytest.raises(ValueError, match="4 bytes"):
+        write_store(documents, scratch_path(spark, "store"), end_id=70_000, width=2)
+    monkeypatch.setattr(token_store, "PARTITION_BYTES", 20_000)
+    monkeypatch.setattr(token_store, "STRETCH", 3)
+    path = scratch_path(spark, "store")
+    write_store(documents, path, end_id=70_000)
+    rows = sorted((r["doc_id"], r["text"] or "") for r in documents.collect())
+    at, want = 0, []
+    for i, t in rows:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [70_000]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = read_store(spark, path)
+    assert sorted(map(tuple, got.collect())) == want
+    assert spark.read.parquet(f"{path}/blocks").select("part").distinct().count() > 9
+    assert read_document(spark, path, rows[5][0])[-1] == 70_000
+
+
+def test_dictionary_sample_is_bounded(spark):
+    """Ids that repeat - with one text or with many - do not make the sample larger."""
+    rows = [(1, "same text")] * 500 + [(2, f"text {i}") for i in range(500)] + [(i, None) for i in range(3, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for n in (5, 40, 200):
+        assert token_store.sample_of(docs, n).count() == n
+    assert token_store.sample_of(docs, 10_000).distinct().count() == token_store.sample_of(docs, 10_000).count() == 1 + 500 + 47
+
+
 def test_added_tokens_as_the_library_does(spark):
     """Texts that quote an added token, against a tokenizer as it is loaded."""
     library, rng = Tokenizer.from_file(tokens.default_model()), random.Random(6)
