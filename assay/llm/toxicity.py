@@ -1,11 +1,11 @@
 """Toxicity scores of a counterfactually regularised classifier (operator 5).
 
 A logistic regression on the presence of hashed words and word beginnings. Training rows
-that name an identity are paired with copies in which the term is swapped for another one
-of its family, and the squared change of the logit is a penalty, so that naming a group
-does not move the score.
+that name an identity are paired with copies of the sentence in which every such term is swapped, all
+at once, for the next one of its family; the features are then taken from the swapped sentence, and
+the squared change of the logit is a penalty, so that naming a group does not move the score.
 
-Fitting uses a bounded sample: the ``max_rows`` labelled rows with the smallest hash of
+Fitting uses a bounded sample: the ``max_rows`` labelled (id, text) pairs with the smallest hash of
 their id, outside the held-out fold, one of each family of (near) copies and label. The
 features are those that separate the labels in the sample; everything else - the scores -
 covers every whole text. Inputs of a score are the text's words only.
@@ -36,6 +36,7 @@ from assay.llm.common import (
     Words,
     chunks,
     gram_hash,
+    joined_words,
     mix,
     run_starts,
     small_batches,
@@ -113,14 +114,21 @@ def one_word(term: str) -> list[int]:
     return [int(h[0]) for i, h in word_features(buf, w) if len(i)]
 
 
-def _swaps() -> dict[int, tuple[list[int], list[int]]]:
-    """Word hash of each term -> (its feature hashes, those of the term it is swapped for)."""
-    out = {}
-    for family in IDENTITY_TERMS:
-        for a, b in zip(family, family[1:] + family[:1], strict=True):
-            own = one_word(a)
-            out[own[0]] = (own, one_word(b))
-    return out
+def swapped(words_of: list[bytes]) -> list[bytes]:
+    """A sentence's lower-cased words with every identity term replaced by the next one of its family, all at once."""
+    return [SWAPS.get(w, w) for w in words_of]
+
+
+#: Term -> the one it is swapped for (the first family that has it decides).
+SWAPS: dict[bytes, bytes] = {}
+for _family in IDENTITY_TERMS:
+    for _a, _b in zip(_family, _family[1:] + _family[:1], strict=True):
+        SWAPS.setdefault(_a.encode(), _b.encode())
+
+
+def identity_features() -> set[int]:
+    """The feature hashes of all identity terms."""
+    return {h for family in IDENTITY_TERMS for term in family for h in one_word(term)}
 
 
 @dataclass(frozen=True)
@@ -191,32 +199,47 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def sentence_features(vocabulary: Vocabulary, seen: np.ndarray, buf: np.ndarray, offs: np.ndarray) -> list[list[int]]:
+    """The selected features of each document of a range, ascending."""
+    w = words(buf, offs, ALNUM)
+    doc, feature = vocabulary.present(buf, w, seen)
+    cut = np.searchsorted(doc, np.arange(len(offs)))
+    return [feature[x:y].tolist() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+def swapped_texts(buf: np.ndarray, offs: np.ndarray) -> dict[int, bytes]:
+    """The swapped sentence of each document of a range that names an identity."""
+    w = words(buf, offs, ALNUM)
+    named = np.isin(w.hash, np.array(sorted(one_word(t.decode())[0] for t in SWAPS), U64))
+    text, start, end = joined_words(buf, w, ALNUM)
+    out = {}
+    for d in np.unique(w.doc[named]).tolist():
+        x, y = int(w.first[d]), int(w.first[d + 1])
+        out[d] = b" ".join(swapped([text[s:e] for s, e in zip(start[x:y].tolist(), end[x:y].tolist(), strict=True)]))
+    return out
+
+
 def _encode(hashes: np.ndarray):
-    """Features of each sample row, and those after swapping its identity terms."""
+    """Features of each sample row, and those of the row with its identity terms swapped."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(hashes)
-        seen, swaps = vocabulary.filter(), _swaps()
-        terms = np.array(sorted(swaps), U64)
-        index = {int(h): i for i, h in enumerate(hashes)}
+        seen = vocabulary.filter()
         for batch in batches:
             buf, offs = string_buffer(batch.column("text"))
             own, other = [], []
             for a, b in chunks(offs):
-                w = words(buf, offs[a : b + 1], ALNUM)
-                doc, feature = vocabulary.present(buf, w, seen)
-                cut = np.searchsorted(doc, np.arange(b - a + 1))
-                named = np.isin(w.hash, terms)
-                for d in range(b - a):
-                    have = feature[cut[d] : cut[d + 1]].tolist()
-                    own.append(have)
-                    swapped = set(have)
-                    x, y = w.first[d], w.first[d + 1]
-                    for h in np.unique(w.hash[x:y][named[x:y]]).tolist():
-                        out, into = swaps[h]
-                        swapped -= {index[v] for v in out if v in index}
-                        swapped |= {index[v] for v in into if v in index}
-                    other.append(sorted(swapped))
+                mine = sentence_features(vocabulary, seen, buf, offs[a : b + 1])
+                theirs = list(mine)
+                swaps = swapped_texts(buf, offs[a : b + 1])
+                if swaps:
+                    data = b"".join(swaps.values())
+                    ends = np.cumsum([0, *map(len, swaps.values())])
+                    again = sentence_features(vocabulary, seen, np.frombuffer(data, np.uint8), ends)
+                    for d, f in zip(swaps, again, strict=True):
+                        theirs[d] = f
+                own += mine
+                other += theirs
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic"),
@@ -280,8 +303,12 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penal
         .limit(max_rows)
     )
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # at most max_rows pairs of numbers: a bounded broadcast
-    sample = written(docs.join(F.broadcast(known), "doc_id"), "toxicity-sample")
+    # at most max_rows numbers: a bounded broadcast
+    labelled = docs.join(F.broadcast(known), "doc_id").withColumn("_h", F.xxhash64("text"))
+    # an id may repeat: different (id, text) pairs, no more than max_rows, each once (combined before the shuffle)
+    few = labelled.select("doc_id", "_h").distinct().orderBy(F.xxhash64("doc_id", "_h"), "doc_id", "_h").limit(max_rows)
+    sample = labelled.join(F.broadcast(few), ["doc_id", "_h"]).groupBy("doc_id", "_h", "toxic").agg(F.first("text", ignorenulls=True).alias("text"))
+    sample = written(sample, "toxicity-sample")
     families = small_batches(sample).mapInArrow(_families, "doc_id long, toxic int, family long")
     chosen = families.groupBy("family", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     sample = written(sample.join(F.broadcast(chosen), "doc_id", "left_semi"), "toxicity-rows")
@@ -307,8 +334,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penal
         .limit(MAX_FEATURES)
         .collect()  # at most MAX_FEATURES numbers
     )
-    identity = {h for own, other in _swaps().values() for h in own + other}
-    hashes = np.array(sorted({r["h"] % 2**64 for r in kept} | identity), U64)
+    hashes = np.array(sorted({r["h"] % 2**64 for r in kept} | identity_features()), U64)
     # at most max_rows lists of selected features
     rows = sample.mapInArrow(_encode(hashes), "toxic int, own array<int>, other array<int>").toArrow()
     order = sorted(zip(rows["toxic"].to_pylist(), rows["own"].to_pylist(), rows["other"].to_pylist(), strict=True))

@@ -60,6 +60,38 @@ def test_labels_of_the_held_out_fold_are_not_used(spark):
     assert np.array_equal(one.weights, two.weights) and one.intercept == two.intercept
 
 
+def test_swaps_are_of_the_sentence(spark):
+    """The second features of a training row are those of its swapped sentence, whatever else stands in it."""
+    sentences = {
+        "A woman and a man": "a man and a girl", "black blackboard": "white blackboard", "The Girl's boy, the WOMAN!": "the boy s woman the man",
+        "nobody is named": "nobody is named", "old hindus women straight": "young buddhists men transgender", "": "", "garçon Mädchen": "femme junge",
+    }
+    hashes = sorted({h for t in [*sentences, *sentences.values()] for h in toxicity.one_word("x")} | toxicity.identity_features())
+    more = set(hashes)
+    for t in [*sentences, *sentences.values()]:
+        buf = np.frombuffer(t.encode(), np.uint8)
+        if len(buf):
+            w = toxicity.words(buf, np.array([0, len(buf)]), toxicity.ALNUM)
+            more |= {int(h) for _, hs in toxicity.word_features(buf, w) for h in hs}
+    vocabulary = np.array(sorted(more), np.uint64)
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * len(sentences)), pa.array(list(sentences))], ["toxic", "text"])
+    wanted = pa.RecordBatch.from_arrays([pa.array([0] * len(sentences)), pa.array(list(sentences.values()))], ["toxic", "text"])
+    (got,) = toxicity._encode(vocabulary)(iter([batch]))
+    (want,) = toxicity._encode(vocabulary)(iter([wanted]))
+    assert got.column("other").to_pylist() == want.column("own").to_pylist()
+    assert got.column("own").to_pylist()[0] != got.column("other").to_pylist()[0]
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """Ids that repeat bring no more rows to the driver than the bound."""
+    docs = spark.createDataFrame([(i % 3, f"w{i} w{i % 7} words of row {i}") for i in range(900)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda own, other, y, n, penalty: (seen.append(len(own)), (np.zeros(n), 0.0))[1])
+    toxicity.fit(docs, labels, max_rows=40)
+    assert seen and seen[0] <= 40
+
+
 def test_toxicity_edges(spark, edges, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(edges, none)
