@@ -8,24 +8,24 @@ orders use that:
 
 * few orders with long prefixes generate candidates: for sizes of one range there are D + s
   orders, so linked sets share the whole prefix under at least s of them;
-* many orders with short prefixes (2 D or more, one byte a prefix) intersect the filters: of
-  linked sets no more prefixes differ than tokens do. This is tested on the bytes alone, for every
-  candidate, before any text is shuffled for verification.
+* many orders with short prefixes (4 D or more, one byte a prefix) intersect the filters: of
+  linked sets no more prefixes differ than tokens do. Only pairs that pass are verified.
 
 Prefixes of several tokens make the first filter indifferent to frequent shingles: documents
 that merely share a passage rarely agree on a whole prefix. Empty prefixes prove nothing;
-they are sent only by a set with at least s of them. Candidates also pass a size bound
-and a parity sketch (its Hamming distance cannot exceed the number of differing tokens).
-
-Equal sets are one class, represented by its smallest id; a task sends a class once. In a
-large group of candidates all members are compared with one of them, near the group's
-majority. What this leaves in different components is compared by the short prefixes, in blocks
-of ``BLOCK`` members and pairs of blocks, so no task gets a group whole; of the pairs that pass,
-those are kept that would join components. Of the candidates only those that join components are
-verified, in rounds: each document picks the one with the smallest component, texts travel for the
-picked pairs, links are merged, and what then lies within a component need not be looked at. If
-candidates fail, the next round picks twice as many for each document. At the end every pair that
-passes the filters either lies in one component or was verified and is no link.
+they are sent only by a set with at least s of them. Candidates of small groups also pass a size
+bound and a parity sketch (its Hamming distance cannot exceed the number of differing tokens); a
+large group is only connected to one of its members, not expanded into pairs.
+
+Equal sets are one class, represented by its smallest id; a task sends a class once. The
+candidates' components are families: every link lies within one. A family's texts are brought
+together once, in blocks of ``UNIT_TOKENS`` shingles and pairs of blocks, so no task gets a family
+whole; a family of more than ``MOST_PARTS`` blocks is compared group by group instead (each group in
+blocks again), which looks at fewer pairs and ships a text once for each of its groups. Within a unit
+documents are compared by size, then by the short prefixes, then token by token, and only until they
+are in one component: links found join components at once, and what lies within one is not looked
+at again. So every link between different sets is either found or lies within a component, no pairs of
+copies are expanded, and a unit gives no more links than it has members.
 
 Edge cases: null or empty text has an empty set, linked with nothing; a text of fewer than
 ``k`` words is one shingle; rows with a null id are left out; rows that repeat an id are
@@ -40,9 +40,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import LOWER, U64, ceil_div, chunks, discard, gram_hash, holding, mix, release, small_batches, steady, string_buffer, table, text_bytes, words, written
@@ -53,19 +52,17 @@ NUM, DEN = 85, 100
 #: Ratio of the largest to the smallest size of a range.
 RANGE = 1.5
 SKETCH_WORDS = 4
-#: Prefix rows of a shard and documents of a verification task, on average.
+#: Prefix rows of a shard, on average.
 SHARD_ROWS = 1_200_000
-VERIFY_ROWS = 1500
-#: Groups up to this many sets are compared in full at once, larger ones in two rounds.
+#: Groups up to this many sets give pairs, larger ones a star.
 SMALL_GROUP = 8
-#: Members of a large group that are compared in one task.
-BLOCK = 4096
-#: Partners of one document in a verification group.
-CHUNK = 256
+#: Shingles of a block, and blocks up to which a family is compared as a whole.
+UNIT_TOKENS = 1_000_000
+MOST_PARTS = 32
 #: The least number of orders in the second family.
 LEAST_MARKS = 64
 
-DOCS = "doc_id long, n long, k1 long, k2 long, marks binary"
+DOCS = "doc_id long, n long, k1 long, k2 long"
 
 
 # ---- sets -----------------------------------------------------------------------
@@ -141,8 +138,8 @@ def prefixes(tokens: np.ndarray, j: int, num: int, den: int) -> np.ndarray:
 
 
 def mark_orders(n: int, num: int, den: int) -> int:
-    """Orders of the second family for a set of n tokens: a power of two, at least twice the tokens in which a linked set of its size differs."""
-    return max(LEAST_MARKS, 1 << int((den - num) * 4 * n // (num + den)).bit_length())
+    """Orders of the second family for a set of n tokens: a power of two, at least four times the tokens in which a linked set of its size differs."""
+    return max(LEAST_MARKS, 1 << int((den - num) * 8 * n // (num + den)).bit_length())
 
 
 def marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -154,31 +151,29 @@ def marks(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     return out
 
 
-def folded(rows: list[bytes]) -> np.ndarray:
+def folded(rows: list[np.ndarray]) -> np.ndarray:
     """Marks of many sets as one matrix, for as many orders as the smallest has (halves of a longer one are the residues of one class)."""
     size = min(map(len, rows))
     out = np.zeros((len(rows), size), np.uint8)
     for i, row in enumerate(rows):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(row, np.uint8).reshape(-1, size), axis=0)
+        out[i] = np.bitwise_xor.reduce(row.reshape(-1, size), axis=0)
     return out
 
 
-def describe(k: int, num: int, den: int):
-    """doc_id, n, the set's key and its marks, of every document."""
+def describe(k: int):
+    """doc_id, n and the set's key of every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = string_buffer(batch.column("text"))
-            n, k1, k2, marked = [], [], [], []
+            n, k1, k2 = [], [], []
             for _, tokens in shingle_sets(buf, offs, k):
                 n.append(len(tokens))
                 one, two = set_key(tokens)
                 k1.append(one)
                 k2.append(two)
-                marked.append(marks(tokens, num, den).tobytes() if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(marked, pa.binary())],
-                ["doc_id", "n", "k1", "k2", "marks"],
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2))], ["doc_id", "n", "k1", "k2"]
             )
 
     return rows
@@ -287,7 +282,7 @@ def _middle(bits: np.ndarray, ids: np.ndarray) -> int:
 
 
 def candidates(num: int, den: int):
-    """Pairs (a, b) of a shard's groups; large groups give a star, and their members (b null) for the second round."""
+    """Candidates (a, b) of a shard's groups: possible pairs of small groups, a star for each large one; ``g`` names the pair or group."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
         keys, at, ids, sizes, sketches = _unpack([x.as_py() for x in tbl.column("blob")])
@@ -295,53 +290,46 @@ def candidates(num: int, den: int):
         keys, at = keys[order], at[order]
         edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         length = np.diff(np.append(edge, len(keys)))
-        pairs, rest = [], []
+        pairs, stars = [np.zeros((2, 0), np.int64)], [np.zeros((3, 0), np.int64)]
         for m in range(2, SMALL_GROUP + 1):
             first = edge[length == m]
             for i, j in combinations(range(m), 2):
                 pairs.append(np.stack((at[first + i], at[first + j])))
         for e, m in zip(edge[length > SMALL_GROUP].tolist(), length[length > SMALL_GROUP].tolist(), strict=True):
-            group = np.unique(at[e : e + m])
-            hub = group[_middle(sketches[group], ids[group])]
-            pairs.append(np.stack((np.full(len(group), hub), group)))
-            rest.append((int(keys[e].view(np.int64)), group))
-        a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+            group = np.unique(ids[at[e : e + m]])
+            # groups of one family share most of their members, so they mostly share this one, and the same pairs, too
+            hub = group[np.argmin(mix(group.view(U64)))]
+            stars.append(np.stack((np.full(len(group), hub), group, np.full(len(group), keys[e].view(np.int64)))))
+        a, b = np.concatenate(pairs, axis=1)
         keep = a != b
         a, b = a[keep], b[keep]
         keep = possible(sizes[a], sizes[b], sketches[a], sketches[b], num, den)
         a, b = ids[a[keep]], ids[b[keep]]
-        keep = a != b
-        found = np.unique(np.stack((a[keep], b[keep]), axis=1), axis=0)
-        group_key = np.concatenate([np.full(len(g), k) for k, g in rest]) if rest else np.zeros(0, np.int64)
-        members = np.concatenate([g for _, g in rest]) if rest else np.zeros(0, np.int64)
-        n = len(found)
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        found = np.unique(np.stack((low, high), axis=1), axis=0)
+        name = mix(mix(found[:, 0].copy().view(U64)) + found[:, 1].copy().view(U64)).view(np.int64)
+        found = np.concatenate((np.stack((found[:, 0], found[:, 1], name)), *stars), axis=1)
+        found = found[:, found[0] != found[1]]
         del keys, at, order, edge, length
         release()
-        return pa.Table.from_arrays(
-            [
-                pa.array(np.concatenate((found[:, 0], ids[members]))),
-                pa.array(np.concatenate((found[:, 1], np.zeros(len(members), np.int64))), mask=np.arange(n + len(members)) >= n),
-                pa.array(np.concatenate((np.zeros(n, np.int64), group_key))),
-            ],
-            ["a", "b", "g"],
-        )
+        return pa.Table.from_arrays([pa.array(x) for x in found], ["a", "b", "g"])
 
     return find
 
 
-def joining(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, marked: np.ndarray, block: np.ndarray, known: set, spare: int, num: int, den: int) -> list[tuple[int, int]]:
-    """Pairs that pass the filters and join components: a spanning forest of them, and up to ``spare`` more for each member.
+# ---- units ------------------------------------------------------------------------
 
-    Members of different blocks are compared, unless all are of one.
-    """
+
+def unit_links(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join components, a spanning forest of all links; members of different blocks are compared, unless all are of one."""
     out = []
-    _, root, count = np.unique(comp, return_inverse=True, return_counts=True)
-    largest = int(np.argmax(count))
-    start = root.copy()
+    n = np.array([len(s) for s in sets], np.int64)
+    marked = folded([marks(s, num, den) for s in sets])
+    _, root = np.unique(ids, return_inverse=True)
     across = len(np.unique(block)) > 1
     index = np.arange(len(ids))
-    for i in np.flatnonzero(start != largest).tolist():
-        other = ((start if spare else root) != (start if spare else root)[i]) & ((start == largest) | (index > i))
+    for i in range(len(ids)):
+        other = (root != root[i]) & (index > i)
         if across:
             other &= block != block[i]
         j = np.flatnonzero(other)
@@ -349,225 +337,81 @@ def joining(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, marked: np.ndarray
         j = j[low <= np.minimum(n[i], n[j])]
         if not len(j):
             continue
+        low = need(n[i], n[j], num, den)
         apart = (marked[j] != marked[i]).sum(axis=1)
-        fits = apart <= n[i] + n[j] - 2 * need(n[i], n[j], num, den)
-        more = spare
-        for x in j[fits][np.argsort(apart[fits], kind="stable")].tolist():
-            if (min(ids[i], ids[x]), max(ids[i], ids[x])) not in known:
-                if root[x] != root[i]:
-                    root[root == root[x]] = root[i]
-                elif more:
-                    more -= 1
-                else:
-                    continue
+        fits = np.flatnonzero(apart <= n[i] + n[j] - 2 * low)
+        for y in fits[np.argsort(apart[fits], kind="stable")].tolist():
+            x = j[y]
+            if root[x] != root[i] and len(np.intersect1d(sets[i], sets[x], assume_unique=True)) >= low[y]:
                 out.append((int(ids[i]), int(ids[x])))
+                root[root == root[x]] = root[i]
     return out
 
 
-def second_round(num: int, den: int, spare: int):
-    """For each unit (a group and a pair of its blocks), pairs that pass the filters and join components; rows with ``other`` are known not to be linked."""
+def compare(k: int, num: int, den: int):
+    """Links within each unit (f, lo, hi) of a task; rows hold the members' texts."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
-        failed: dict[tuple, set] = {}
-        known = tbl.filter(pc.is_valid(tbl.column("other"))).select(["g", "lo", "hi", "a", "other"])
-        for *unit, x, y in zip(*(c.to_pylist() for c in known.columns), strict=True):
-            failed.setdefault(tuple(unit), set()).add((x, y))
-        rows = tbl.filter(pc.is_null(tbl.column("other")))
-        g, lo, hi, block, ids, comp, n = (rows.column(c).to_numpy() for c in ("g", "lo", "hi", "block", "a", "component", "n"))
-        held = rows.column("marks")
-        order = np.lexsort((ids, hi, lo, g))
-        new = (np.diff(g[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
-        edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(g)] if len(g) else [0]
+        f, lo, hi, block, ids = (tbl.column(c).to_numpy() for c in ("f", "lo", "hi", "block", "doc"))
+        buf, offs = string_buffer(tbl.column("text"))
+        sets = [tokens for _, tokens in shingle_sets(buf, offs, k)]
+        order = np.lexsort((ids, hi, lo, f))
+        new = (np.diff(f[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
+        edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(f)] if len(f) else [0]
         out = []
         for x, y in zip(edge[:-1], edge[1:], strict=True):
-            at = order[x:y]
-            unit = (int(g[at[0]]), int(lo[at[0]]), int(hi[at[0]]))
-            if unit[1] != unit[2] and len(np.unique(block[at])) < 2:
-                continue
-            marked = folded(held.take(pa.array(at)).to_pylist())
-            for p in joining(ids[at], comp[at], n[at], marked, block[at], failed.get(unit, set()), spare, num, den):
-                out.append((min(p), max(p), *unit))
-        del rows, held
+            at = [i for i in order[x:y].tolist() if len(sets[i])]
+            if len(at) > 1 and (lo[at[0]] == hi[at[0]] or len(np.unique(block[at])) > 1):
+                out += unit_links(ids[at], [sets[i] for i in at], block[at], num, den)
+        del sets
         release()
-        return pa.Table.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], ["a", "b", "g", "lo", "hi"])
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return find
 
 
-# ---- verification -----------------------------------------------------------------
-
-
-def sieve(num: int, den: int):
-    """Candidates whose sizes and marks allow a link; rows as for ``verify``."""
-
-    def check(key: tuple, tbl: pa.Table) -> pa.Table:
-        group, hub, doc, n, held = (tbl.column(c).to_pylist() for c in ("chunk", "a", "doc", "n", "marks"))
-        hubs: dict[tuple[int, int], list[int]] = {}
-        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
-            if a == d:
-                hubs.setdefault((a, c), []).append(i)
-        out_a, out_b = [], []
-        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
-            for h in hubs.get((a, c), []) if a != d else []:
-                low = need(n[i], n[h], num, den)
-                both = folded([held[i], held[h]])
-                if low <= min(n[i], n[h]) and int((both[0] != both[1]).sum()) <= n[i] + n[h] - 2 * low:
-                    out_a.append(a)
-                    out_b.append(d)
-                    break
-        release()
-        return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    return check
-
-
-def verify(k: int, num: int, den: int):
-    """Linked pairs: rows hold a group, the document that all others of the group are compared with, and texts."""
-
-    def check(key: tuple, tbl: pa.Table) -> pa.Table:
-        group, hub, doc = (tbl.column(c).to_pylist() for c in ("chunk", "a", "doc"))
-        buf, offs = string_buffer(tbl.column("text"))
-        sets = dict(shingle_sets(buf, offs, k))
-        hubs: dict[tuple[int, int], list[np.ndarray]] = {}
-        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
-            if a == d:
-                hubs.setdefault((a, c), []).append(sets[i])
-        out_a, out_b = [], []
-        for i, (c, a, d) in enumerate(zip(group, hub, doc, strict=True)):
-            if a == d:
-                continue
-            b = sets[i]
-            for s in hubs.get((a, c), []):
-                low = need(len(s), len(b), num, den)
-                if low > min(len(s), len(b)) or not min(len(s), len(b)):
-                    continue
-                if len(np.intersect1d(s, b, assume_unique=True)) >= low:
-                    out_a.append(a)
-                    out_b.append(d)
-                    break
-        del sets, hubs
-        release()
-        return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    return check
-
-
-def dealt(pairs: DataFrame, data: DataFrame, check) -> DataFrame:
-    """``check`` over candidate pairs (a, b), dealt by the hub a in chunks with the rows of ``data`` (doc, ...) that they need."""
-    total = pairs.count()
-    if not total:
-        return pairs
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("d"))
-    chunked = pairs.join(degree, "a").selectExpr("a", "b", f"CAST(pmod(xxhash64(b), ceil(d / {CHUNK})) AS INT) AS chunk")
-    rows = chunked.selectExpr("a", "chunk", "b AS doc").unionByName(chunked.selectExpr("a", "chunk", "a AS doc").distinct())
-    return (
-        holding(data, rows.select("doc"), "doc").join(rows, "doc")
-        .withColumn("task", F.pmod(F.xxhash64("a", "chunk"), F.lit(ceil_div(2 * total, VERIFY_ROWS))))
-        .groupBy("task")
-        .applyInArrow(check, "a long, b long")
-    )
-
-
-def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The linked ones among candidate pairs (a, b)."""
-    return dealt(pairs, docs.selectExpr("doc_id AS doc", "text"), verify(k, num, den))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-
-
-class Settled:
-    """Links found so far, their components, and candidates that proved to be no links."""
-
-    def __init__(self, docs: DataFrame, k: int, num: int, den: int, scratch: list[str]):
-        self.docs, self.measure, self.scratch = docs, (k, num, den), scratch
-        self.links = self.failed = docs.sparkSession.createDataFrame([], "a long, b long")
-        self.components = self.links.selectExpr("a AS id", "b AS component")
-
-    def component_of(self, rows: DataFrame, column: str, name: str) -> DataFrame:
-        found = self.components.selectExpr(f"id AS {column}", f"component AS {name}")
-        return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
-
-    def add(self, pool: DataFrame) -> None:
-        """Verify candidates until each lies within a component or has failed."""
-        pool, most = _ordered(pool).join(self.failed, ["a", "b"], "left_anti"), 1
-        while True:
-            apart = self.component_of(self.component_of(pool, "a", "ca"), "b", "cb").where("ca <> cb")
-            apart = written(apart, "open", self.scratch)
-            both = apart.selectExpr("a AS u", "b AS v", "cb AS c").unionByName(apart.selectExpr("b AS u", "a AS v", "ca AS c"))
-            first = Window.partitionBy("u").orderBy("c", "v")
-            chosen = both.withColumn("i", F.row_number().over(first)).where(F.col("i") <= most)
-            # the hub is the picked one, or the smaller one of two that pick each other
-            picked = chosen.groupBy(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).agg(F.min("v").alias("hub"))
-            picked = written(picked.selectExpr("hub AS a", "if(hub = a, b, a) AS b"), "picked", self.scratch)
-            if picked.isEmpty():
-                return
-            found = written(_ordered(verified(self.docs, picked, *self.measure)), "links", self.scratch)
-            failed = written(_ordered(picked).join(found, ["a", "b"], "left_anti"), "failed", self.scratch)
-            if not failed.isEmpty():
-                most *= 2
-            self.links, self.failed = self.links.unionByName(found), self.failed.unionByName(failed)
-            self.components = components(self.links, self.scratch)
-            pool = apart.select("a", "b").join(_ordered(picked), ["a", "b"], "left_anti")
+def units(found: DataFrame, sizes: DataFrame, scratch: list[str]) -> DataFrame:
+    """f, lo, hi, block, doc, n: the members of every unit. ``found``: candidates (a, b, g) of representatives; ``sizes``: doc, n."""
+    family = components(found.select("a", "b").distinct(), scratch)
+    members = written(family.selectExpr("component AS f", "id AS doc").join(sizes, "doc"), "families", scratch)
+    parts = lambda rows: rows.groupBy("f").agg(F.expr(f"CAST(ceil(sum(n) / {UNIT_TOKENS}) AS INT)").alias("parts"))
+    whole = parts(members)
+    fitting = members.join(whole.where(F.col("parts") <= MOST_PARTS), "f")
+    large = members.join(whole.where(F.col("parts") > MOST_PARTS).select("f"), "f", "left_semi").select("doc")
+    kept = found.join(large.withColumnRenamed("doc", "a"), "a", "left_semi")
+    groups = kept.selectExpr("g AS f", "a AS doc").unionByName(kept.selectExpr("g AS f", "b AS doc")).distinct().join(sizes, "doc")
+    split = fitting.unionByName(groups.join(parts(groups), "f").select(fitting.columns))
+    blocks = split.withColumn("block", F.expr("CAST(pmod(xxhash64(doc), parts) AS INT)")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return blocks.selectExpr("f", "least(block, i) AS lo", "greatest(block, i) AS hi", "block", "doc", "n")
 
 
 def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     spark, scratch = documents.sparkSession, []
-    described = written(small_batches(docs).mapInArrow(steady(describe(k, num, den)), DOCS), "sets", scratch)
+    described = written(small_batches(docs).mapInArrow(steady(describe(k)), DOCS), "sets", scratch)
     classes = described.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep"), "classes", scratch)
+    reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep", "n"), "classes", scratch)
 
     rows = text_bytes(docs) / 6 * 3.7 * (den - num) / (den + num)  # words x prefixes a shingle
     shards = ceil_div(rows, SHARD_ROWS)
     sent = docs.mapInArrow(steady(send_prefixes(k, num, den, shards)), "shard int, blob binary")
     found = written(sent.groupBy("shard").applyInArrow(candidates(num, den), "a long, b long, g long"), "candidates", scratch)
-    node = reps.distinct()
+    node = reps.select("doc_id", "rep").distinct()
     to_a, to_b = node.selectExpr("doc_id AS a", "rep AS ra"), node.selectExpr("doc_id AS b", "rep AS rb")
-    pairs = written(
-        found.where("b IS NOT NULL").select("a", "b").distinct().join(to_a, "a").join(to_b, "b")
-        .selectExpr("ra AS a", "rb AS b").where("a <> b").distinct(),
-        "pairs", scratch,
-    )
-    data = described.where("n > 0").selectExpr("doc_id AS doc", "n", "marks")
-    data = data.join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-    settled = Settled(docs, k, num, den, scratch)
-    settled.add(written(dealt(pairs, data, sieve(num, den)), "sieved", scratch))
-
-    # large groups that hold more than one component, in units of a pair of blocks
-    members = found.where("b IS NULL").join(to_a, "a").selectExpr("g", "ra AS a").distinct()
-    members = written(members, "groups", scratch)
-    placed = settled.component_of(members, "a", "component")
-    mixed = placed.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
-    parts = mixed.selectExpr("g", f"CAST(ceil(m / {BLOCK}) AS INT) AS parts")
-    inside = members.join(parts, "g").withColumn("block", F.expr("pmod(xxhash64(a), parts)"))
-    inside = written(inside.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).selectExpr(
-        "g", "least(block, i) AS lo", "greatest(block, i) AS hi", "block", "a"
-    ), "mixed", scratch)
-    unit, spare, wrong = ["g", "lo", "hi"], 0, None
-    while not inside.isEmpty():
-        own = holding(data.withColumnRenamed("doc", "a"), inside.select("a"), "a").join(settled.component_of(inside, "a", "component"), "a")
-        rows = own.select(*unit, "block", "a", "component", "n", "marks").withColumn("other", F.lit(None).cast("long"))
-        if wrong is not None:
-            here = wrong.join(inside.select(*unit).distinct(), unit, "left_semi")
-            rows = rows.unionByName(here.withColumnRenamed("b", "other"), allowMissingColumns=True)
-        more = (
-            rows.withColumn("task", F.pmod(F.xxhash64(*unit), F.lit(shards * 16)))
-            .groupBy("task").applyInArrow(second_round(num, den, spare), "a long, b long, g long, lo long, hi long")
-        )
-        more = written(more, "more-pairs", scratch)
-        settled.add(more.select("a", "b"))
-        # a unit that joined components by a pair that is no link has to look again
-        now = written(more.join(settled.failed.distinct(), ["a", "b"]).select("a", "b", *unit), "wrong", scratch)
-        if now.isEmpty():
-            break
-        inside = written(inside.join(now.select(*unit).distinct(), unit, "left_semi"), "mixed", scratch)
-        wrong, spare = now if wrong is None else now.unionByName(wrong), 4 * spare + 1
-
+    found = written(found.join(to_a, "a").join(to_b, "b").selectExpr("ra AS a", "rb AS b", "g").where("a <> b").distinct(), "pairs", scratch)
+    sizes = reps.groupBy(F.col("rep").alias("doc")).agg(F.max("n").alias("n"))
+    unit = written(units(found, sizes, scratch), "units", scratch)
+    total = unit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    # a representative's rows that are of other classes come too: an id is one node
+    texts = holding(docs.selectExpr("doc_id AS doc", "text"), unit.select("doc"), "doc").join(unit.drop("n"), "doc")
+    links = (
+        texts.withColumn("task", F.pmod(F.xxhash64("f", "lo", "hi"), F.lit(ceil_div(total, UNIT_TOKENS))))
+        .groupBy("task").applyInArrow(compare(k, num, den), "a long, b long")
+    )
+    linked = components(written(links, "links", scratch), scratch)
     component = (
-        node.join(settled.components.withColumnRenamed("id", "rep"), "rep", "left")
+        node.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
         .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     )
     out = described.join(component, "doc_id", "left").select(

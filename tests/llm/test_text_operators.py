@@ -181,14 +181,12 @@ def family(seed, count, edits, words=150, pool=40):
     return rows
 
 
-@pytest.mark.parametrize("weak", [False, True])
-def test_jaccard_blocks_and_false_candidates(spark, monkeypatch, weak):
-    """Groups split into blocks; and filters that let nearly all pairs pass, so that most candidates fail."""
+@pytest.mark.parametrize("sizes", [{"UNIT_TOKENS": 3000}, {"UNIT_TOKENS": 2000, "MOST_PARTS": 3}, {"LEAST_MARKS": 1, "mark_orders": lambda n, num, den: 1}])
+def test_jaccard_blocks_and_weak_filters(spark, monkeypatch, sizes):
+    """Families in blocks; families too large, compared by group in blocks; filters that let nearly all pairs pass."""
     monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 2)
-    monkeypatch.setattr(jaccard_join, "BLOCK", 30)
-    if weak:
-        monkeypatch.setattr(jaccard_join, "LEAST_MARKS", 1)
-        monkeypatch.setattr(jaccard_join, "mark_orders", lambda n, num, den: 1)
+    for name, value in sizes.items():
+        monkeypatch.setattr(jaccard_join, name, value)
     rows = family(5, 120, [2, 3, 4, 5, 6])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = brute_components(rows)
@@ -196,18 +194,16 @@ def test_jaccard_blocks_and_false_candidates(spark, monkeypatch, weak):
     assert 1 < len({c for _, _, c in want}) < len(rows)
 
 
-def test_jaccard_pairs_grow_with_members(spark):
-    """In a group without links, and in one where all are linked, no more pairs than members are made."""
-    for edits, spread in (([14], 4000), ([1], 4000)):
-        for count in (100, 400):
-            rows = family(3, count, edits, pool=spread)
+def test_jaccard_links_grow_with_members():
+    """In a family without links, and in one where all are linked, no more links than members are made, and they span all."""
+    for edits in ([14], [1], [2, 5, 8]):
+        for count in (100, 300):
+            rows = family(3, count, edits, pool=4000)
             buf, offs = string_buffer(pa.array([t for _, t in rows]))
             sets = [s for _, s in jaccard_join.shingle_sets(buf, offs, 4)]
-            marked = jaccard_join.folded([jaccard_join.marks(s, 85, 100).tobytes() for s in sets])
-            ids, n = np.arange(count), np.array([len(s) for s in sets])
-            found = jaccard_join.joining(ids, ids, n, marked, np.zeros(count), set(), 0, 85, 100)
-            assert len(found) < count
-            assert edits == [1] or len(found) < 0.05 * count
+            found = jaccard_join.unit_links(np.arange(count), sets, np.zeros(count), 85, 100)
+            want = len(rows) - len({c for _, _, c in brute_components(rows)})
+            assert len(found) == want < count
 
 
 def test_marks_allow_every_link():
@@ -218,7 +214,7 @@ def test_marks_allow_every_link():
         for lost in {0, 1, n // 20, n // 12}:
             other = np.unique(np.concatenate((base[lost:], rng.integers(0, 2**63, lost).astype(np.uint64))))
             if lost < len(base) and len(other):
-                m = jaccard_join.folded([jaccard_join.marks(x, 85, 100).tobytes() for x in (base, other)])
+                m = jaccard_join.folded([jaccard_join.marks(x, 85, 100) for x in (base, other)])
                 assert (m[0] != m[1]).sum() <= len(np.setxor1d(base, other))
 
 
