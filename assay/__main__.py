@@ -6,7 +6,12 @@
     python -m assay all         DATASET_DIR OUTPUT_DIR   # the three in order
 
 Uses the session configuration of the environment (spark-submit / defaults);
-``--local N`` starts a local session instead.
+``--local N`` starts a local session instead. Types and null tokens of CSV tables:
+
+    --null-token NA --null-token -               # for every table
+    --schema orders="id BIGINT, price DOUBLE"    # for one table, as often as needed
+
+A run reads and stages every table once, whatever the number of its flows.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from assay.plans import flows
+from assay.sources.tables import list_tables
 
 
 def _report(name: str, result: flows.FlowResult) -> dict:
@@ -37,7 +43,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--suffix", default=".csv", help="file suffix of the tables (default .csv)")
     p.add_argument("--parallel", type=int, default=4, help="tables processed side by side")
     p.add_argument("--local", metavar="N", help="start a local[N] session instead of the configured one")
+    p.add_argument("--schema", action="append", default=[], metavar="TABLE=DDL", help="declared types of a CSV table (else inferred)")
+    p.add_argument("--null-token", action="append", default=[], metavar="TEXT", help="text that is null in string columns, besides the empty one")
     args = p.parse_args(argv)
+    bad = [x for x in args.schema if "=" not in x]
+    if bad:
+        p.error(f"--schema {bad[0]}: TABLE=DDL expected")
 
     if args.local:
         from assay.session import local_session
@@ -46,27 +57,17 @@ def main(argv: list[str] | None = None) -> int:
     else:
         spark = SparkSession.builder.appName("assay").getOrCreate()
 
+    schemas = {name.strip().lower(): ddl for name, ddl in (x.split("=", 1) for x in args.schema)}
+    tokens = ("", *args.null_token)
+    names = [name for name, _ in list_tables(spark, args.dataset, args.suffix)]
+    options = {n: {"null_tokens": tokens} | ({"schema": schemas[n]} if n in schemas else {}) for n in names}
+    run = {"checks": flows.profile_and_check, "suites": flows.validate_static, "generated": flows.validate_generated}
     reports = []
-    if args.mode in ("checks", "all"):
-        reports.append(
-            _report(
-                "checks",
-                flows.profile_and_check(
-                    spark, args.dataset, args.output, suffix=args.suffix, max_parallel=args.parallel,
-                ),
-            )
-        )
-    if args.mode in ("suites", "all"):
-        reports.append(
-            _report("suites", flows.validate_static(spark, args.dataset, args.output, suffix=args.suffix, max_parallel=args.parallel))
-        )
-    if args.mode in ("generated", "all"):
-        reports.append(
-            _report(
-                "generated",
-                flows.validate_generated(spark, args.dataset, args.output, suffix=args.suffix, max_parallel=args.parallel),
-            )
-        )
+    with flows.Staging(spark, options=options) as staging:
+        for mode, flow in run.items():
+            if args.mode in (mode, "all"):
+                result = flow(spark, args.dataset, args.output, suffix=args.suffix, max_parallel=args.parallel, staging=staging)
+                reports.append(_report(mode, result))
     for r in reports:
         print(json.dumps(r))
     return 1 if any(r["failed"] for r in reports) else 0

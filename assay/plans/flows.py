@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Callable, Mapping, Sequence
+import threading
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -91,9 +93,44 @@ def load(
     return df.drop(MALFORMED), bad
 
 
-def _remove_all(spark: SparkSession, staged: list[str]) -> None:
-    for path in staged:
-        remove(spark, path)
+class Staging:
+    """Tables of a run, each read (and staged, if it is row-oriented) once however many flows use it.
+
+    As a context manager it removes the staged copies at the end, also after an error.
+    """
+
+    def __init__(self, spark: SparkSession, stage: bool = True, options: Mapping[str, Mapping] | None = None):
+        self.spark, self.stage, self.options = spark, stage, options or {}
+        self.folders: list[str] = []
+        self._tables: dict[str, tuple[DataFrame, int]] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
+
+    def table(self, name: str, path: str) -> tuple[DataFrame, int]:
+        """(table, number of malformed lines)."""
+        with self._guard:
+            lock = self._locks.setdefault(path, threading.Lock())
+        with lock:
+            if path not in self._tables:
+                self._tables[path] = load(self.spark, path, stage=self.stage, name=name, options=self.options.get(name), staged=self.folders)
+            return self._tables[path]
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *error) -> None:
+        while self.folders:
+            remove(self.spark, self.folders.pop())
+
+
+@contextmanager
+def _staging(given: Staging | None, spark: SparkSession, stage: bool, options: Mapping[str, Mapping] | None) -> Iterator[Staging]:
+    """The caller's staging, which the caller ends, or one for this flow alone."""
+    if given is not None:
+        yield given
+        return
+    with Staging(spark, stage, options) as own:
+        yield own
 
 
 def _run_tables(
@@ -141,31 +178,31 @@ def profile_and_check(
     max_parallel: int = 4,
     stage: bool = True,
     options: Mapping[str, Mapping] | None = None,
+    staging: Staging | None = None,
 ) -> FlowResult:
     """Metrics and checks of every table; ``options`` gives reader arguments by table name."""
-    staged: list[str] = []
-
-    def work(name, path):
-        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
-        metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks))
-        return TableRun(name, path, "ok", malformed=bad, frames={"metrics": metrics, "constraints": constraints})
-
-    runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
-    out: dict[str, DataFrame] = {}
-    metrics, constraints = _union(runs, "metrics"), _union(runs, "constraints")
-    if metrics is not None:
-        out["metrics"] = metrics
-        R.write_result(metrics, output_dir, R.METRICS)
-        R.write_report(metrics.drop("entity", "instance", "metric"), output_dir, "metrics", "metrics")
-    if constraints is not None:
-        check_df, status = rollup(constraints)
-        out.update(constraints=constraints, checks=check_df, verification=status)
-        R.write_result(constraints, output_dir, R.CONSTRAINTS)
-        R.write_result(check_df, output_dir, R.CHECKS)
-        R.write_result(status, output_dir, R.VERIFICATION)
-        R.write_result(R.one_file_per_table(check_documents(constraints, check_df, status)), os.path.join(output_dir, R.REPORTS), R.CHECKS)
-    _remove_all(spark, staged)
-    return FlowResult(runs, out)
+
+    with _staging(staging, spark, stage, options) as tables_of:
+        def work(name, path):
+            df, bad = tables_of.table(name, path)
+            metrics, constraints = profile_and_check_frame(df, name, checks_for(name, checks))
+            return TableRun(name, path, "ok", malformed=bad, frames={"metrics": metrics, "constraints": constraints})
+
+        runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
+        out: dict[str, DataFrame] = {}
+        metrics, constraints = _union(runs, "metrics"), _union(runs, "constraints")
+        if metrics is not None:
+            out["metrics"] = metrics
+            R.write_result(metrics, output_dir, R.METRICS)
+            R.write_report(metrics.drop("entity", "instance", "metric"), output_dir, "metrics", "metrics")
+        if constraints is not None:
+            check_df, status = rollup(constraints)
+            out.update(constraints=constraints, checks=check_df, verification=status)
+            R.write_result(constraints, output_dir, R.CONSTRAINTS)
+            R.write_result(check_df, output_dir, R.CHECKS)
+            R.write_result(status, output_dir, R.VERIFICATION)
+            R.write_result(R.one_file_per_table(check_documents(constraints, check_df, status)), os.path.join(output_dir, R.REPORTS), R.CHECKS)
+        return FlowResult(runs, out)
 
 
 def check_documents(constraints: DataFrame, checks: DataFrame, status: DataFrame) -> DataFrame:
@@ -252,27 +289,27 @@ def validate_static(
     max_parallel: int = 4,
     stage: bool = True,
     options: Mapping[str, Mapping] | None = None,
+    staging: Staging | None = None,
 ) -> FlowResult:
     """The registered suite of every table; tables without one are skipped."""
-    staged: list[str] = []
-
-    def work(name, path):
-        suite = suite_for(name, suites)
-        if suite is None:
-            log.warning("no expectation suite for table %s", name)
-            return TableRun(name, path, "skipped", "no suite")
-        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
-        results = validate_frame(df, name, suite, suite_name_of(name))
-        return TableRun(name, path, "ok", malformed=bad, frames={"results": results})
-
-    runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
-    results = _union(runs, "results")
-    out: dict[str, DataFrame] = {}
-    if results is not None:
-        out["results"] = results
-        out["outcome"] = _write_expectations(results, output_dir, R.EXPECTATIONS)
-    _remove_all(spark, staged)
-    return FlowResult(runs, out)
+
+    with _staging(staging, spark, stage, options) as tables_of:
+        def work(name, path):
+            suite = suite_for(name, suites)
+            if suite is None:
+                log.warning("no expectation suite for table %s", name)
+                return TableRun(name, path, "skipped", "no suite")
+            df, bad = tables_of.table(name, path)
+            results = validate_frame(df, name, suite, suite_name_of(name))
+            return TableRun(name, path, "ok", malformed=bad, frames={"results": results})
+
+        runs = _run_tables(list_tables(spark, dataset_dir, suffix), work, max_parallel)
+        results = _union(runs, "results")
+        out: dict[str, DataFrame] = {}
+        if results is not None:
+            out["results"] = results
+            out["outcome"] = _write_expectations(results, output_dir, R.EXPECTATIONS)
+        return FlowResult(runs, out)
 
 
 # ---- F3-F5: generated suites + summary ---------------------------------------------------
@@ -323,45 +360,45 @@ def validate_generated(
     max_parallel: int = 4,
     stage: bool = True,
     options: Mapping[str, Mapping] | None = None,
+    staging: Staging | None = None,
 ) -> FlowResult:
     """Suites from saved metrics, validated, with a summary document over all tables."""
-    staged: list[str] = []
     tables = list_tables(spark, dataset_dir, suffix)
     if not tables:
         log.warning("no tables in %s", dataset_dir)
         return FlowResult([])
 
-    def work(name, path):
-        metrics = R.read_metrics(spark, output_dir, name)
-        if metrics is None:
-            log.warning("skipping %s: no saved metrics", name)
-            return TableRun(name, path, "skipped", "no metrics")
-        df, bad = load(spark, path, stage=stage, name=name, options=(options or {}).get(name), staged=staged)
-        rules, results = generate_and_validate(df, name, metrics)
-        return TableRun(name, path, "ok", malformed=bad, frames={"rules": rules, "results": results})
-
-    runs = _run_tables(tables, work, max_parallel)
-    out: dict[str, DataFrame] = {}
-    rules, results = _union(runs, "rules"), _union(runs, "results")
-    if rules is not None:
-        out["rules"] = rules
-        R.write_result(rules, output_dir, R.RULES)
-    if results is not None:
-        out["results"] = results
-        extra = {"pipeline_type": PIPELINE_TYPE, "expectations_from_metrics": True}
-        _write_expectations(results, output_dir, R.COMBINED, extra)
-        processed = len([r for r in runs if r.status == "ok"])
-        s = summary(results)
-        out["summary"] = s.select(
-            F.lit(PIPELINE_TYPE).alias("pipeline_type"), F.lit(processed).alias("total_tables_processed"), "*"
-        )
-        # one row per table: one document
-        document = s.groupBy().agg(F.sort_array(F.collect_list(F.struct("*"))).alias("table_results")).select(
-            F.lit(PIPELINE_TYPE).alias("pipeline_type"),
-            F.current_timestamp().cast("string").alias("timestamp"),
-            F.lit(processed).alias("total_tables_processed"),
-            "table_results",
-        )
-        document.coalesce(1).write.mode("overwrite").json(os.path.join(output_dir, R.SUMMARY))
-    _remove_all(spark, staged)
-    return FlowResult(runs, out)
+    with _staging(staging, spark, stage, options) as tables_of:
+        def work(name, path):
+            metrics = R.read_metrics(spark, output_dir, name)
+            if metrics is None:
+                log.warning("skipping %s: no saved metrics", name)
+                return TableRun(name, path, "skipped", "no metrics")
+            df, bad = tables_of.table(name, path)
+            rules, results = generate_and_validate(df, name, metrics)
+            return TableRun(name, path, "ok", malformed=bad, frames={"rules": rules, "results": results})
+
+        runs = _run_tables(tables, work, max_parallel)
+        out: dict[str, DataFrame] = {}
+        rules, results = _union(runs, "rules"), _union(runs, "results")
+        if rules is not None:
+            out["rules"] = rules
+            R.write_result(rules, output_dir, R.RULES)
+        if results is not None:
+            out["results"] = results
+            extra = {"pipeline_type": PIPELINE_TYPE, "expectations_from_metrics": True}
+            _write_expectations(results, output_dir, R.COMBINED, extra)
+            processed = len([r for r in runs if r.status == "ok"])
+            s = summary(results)
+            out["summary"] = s.select(
+                F.lit(PIPELINE_TYPE).alias("pipeline_type"), F.lit(processed).alias("total_tables_processed"), "*"
+            )
+            # one row per table: one document
+            document = s.groupBy().agg(F.sort_array(F.collect_list(F.struct("*"))).alias("table_results")).select(
+                F.lit(PIPELINE_TYPE).alias("pipeline_type"),
+                F.current_timestamp().cast("string").alias("timestamp"),
+                F.lit(processed).alias("total_tables_processed"),
+                "table_results",
+            )
+            document.coalesce(1).write.mode("overwrite").json(os.path.join(output_dir, R.SUMMARY))
+        return FlowResult(runs, out)
