@@ -944,6 +944,52 @@ def _flow_generated():
     )
 
 
+def _flow_combined_document():
+    parts = []
+    for t in TABLES:
+        r = f"({generated_results(t)})"
+        parts.append(
+            f"SELECT r.table_name, 'combined_metrics_to_expectations' AS pipeline_type, true AS expectations_from_metrics, "
+            f"(SELECT count(*) FROM {src(t)}) AS n_rows, CAST({len(SCHEMAS[t])} AS BIGINT) AS n_columns, "
+            "(SELECT bool_and(success) FROM " + r + ") AS validation_success, seq, expectation_type, \"column\", success, "
+            "CASE WHEN \"column\" IS NOT NULL THEN element_count END AS element_count, unexpected_count FROM " + r + " r"
+        )
+    return union(parts)
+
+
+def _io_csv_scan():
+    kinds = {"o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp", "o_orderpriority": "string"}
+    short, wrong = "(SELECT count(*) FROM orders WHERE o_orderkey % 500 = 0)", "(SELECT count(*) FROM orders WHERE o_orderkey % 700 = 1)"
+    n = f"((SELECT count(*) FROM orders) + {short} + {wrong})"
+    parts = []
+    for c, kind in kinds.items():
+        bad = {"o_custkey": short, "o_totalprice": wrong, "o_orderdate": wrong if kind == "x" else "0"}.get(c, "0")
+        lost = "0" if c == "o_orderkey" else short
+        filled = f"((SELECT count({c}) FROM orders) + {short} + {wrong} - {lost}{' - ' + wrong if c == 'o_totalprice' else ''})"
+        parts.append(f"SELECT {q(c)} AS \"column\", {q(kind)} AS type, CAST({bad} AS BIGINT) AS n_bad, round(CAST({filled} AS DOUBLE) / {n}, 9) AS value")
+    parts.append(f"SELECT 'lines' AS \"column\", 'malformed' AS type, CAST({short} AS BIGINT) AS n_bad, CAST({n} AS DOUBLE) AS value")
+    return union(parts)
+
+
+def _discover_domains():
+    tables = {
+        "orders": [c for c in columns_of("orders") if c != "o_totalprice"], "events": ["event_type", "user_id"], "conversations": ["role", "turn"],
+        "documents": ["lang", "source", "text"], "customer": ["c_mktsegment", "c_nationkey"],
+    }
+    parts = [
+        f"SELECT {q(t)} AS table_name, {q(c)} AS \"column\", CAST(v AS VARCHAR) AS value, n, sum(n) OVER () AS total FROM {freq(t, c)}"
+        for t, cs in tables.items() for c in cs
+    ]
+    return f"""
+WITH f AS ({union(parts)}),
+g AS (SELECT * FROM f WHERE n >= 0.01 * total),
+c AS (SELECT table_name, "column", CAST(sum(n) AS DOUBLE) / max(total) AS coverage, CAST(count(*) AS INTEGER) AS k FROM g GROUP BY ALL)
+SELECT table_name, "column", CAST(row_number() OVER (PARTITION BY table_name, "column" ORDER BY n DESC, value) AS INTEGER) AS rank, value, n,
+       round(CAST(n AS DOUBLE) / total, 9) AS share, round(coverage, 9) AS coverage, k AS values, k <= 20 AND coverage >= 0.95 AS proposed,
+       CASE WHEN k <= 20 AND coverage >= 0.95 AND coverage < 1 THEN floor(coverage * 10000) / 10000 END AS mostly
+FROM g JOIN c USING (table_name, "column")"""
+
+
 def _generate_bad_metric():
     return (
         "SELECT table_name, table_name || '_auto_generated_suite' AS suite_name, expectation_type, \"column\" "
@@ -1004,6 +1050,9 @@ def oracle_sql() -> dict[str, str]:
         "flow_checks": _flow_checks(),
         "flow_suites": _flow_suites(),
         "flow_generated": _flow_generated(),
+        "flow_combined_document": _flow_combined_document(),
+        "io_csv_scan": _io_csv_scan(),
+        "discover_domains": _discover_domains(),
         "generate_bad_metric": _generate_bad_metric(),
         "check_isolation": _check_isolation(),
         "check_status_rollup": _check_status_rollup(),

@@ -29,20 +29,23 @@ from assay.operators.analyzers import (
     Size,
     StandardDeviation,
     Uniqueness,
+    run_analyzers,
 )
 from assay.operators.checks import Check, evaluate_checks
 from assay.operators.compare import rule_agreement, threshold_analyzers, threshold_monitor
+from assay.operators.domains import discover_domains
 from assay.operators.generate import generate_rules, rule_metrics
 from assay.operators.history import append_history, deviations, read_history
 from assay.operators.profile import profile, profile_analyzers
 from assay.operators.sampling import value_sampled_profile
 from assay.operators.states import compute_states, metrics_of
 from assay.operators.verdicts import RowRule, quarantine
-from assay.plans.flows import generate_and_validate, profile_and_check, summary, validate_generated, validate_static
+from assay.plans.flows import Staging, generate_and_validate, profile_and_check, summary, validate_generated, validate_static
 from assay.plans.parallel import compute_metrics, map_tables, materialized_union, profile_tables, union_all
 from assay.plans.registry import checks_for
 from assay.session import ensure_checkpoint_dir
 from assay.sources import results as R
+from assay.sources.typed import read_csv_typed
 
 TABLES = [
     "region",
@@ -681,6 +684,47 @@ def flow_generated(spark, sf_dir):
     return rows.select("total_tables_processed", "t.*")
 
 
+def flow_combined_document(spark, sf_dir):
+    """The combined documents of the folder (shape, outcome and every rule's result), as written, read back."""
+    out = _output(spark)
+    with Staging(spark) as staging:
+        profile_and_check(spark, sf_dir, out, {}, suffix=".parquet", max_parallel=8, staging=staging)
+        validate_generated(spark, sf_dir, out, suffix=".parquet", max_parallel=8, staging=staging)
+    doc = spark.read.json(f"{out}/{R.REPORTS}/{R.COMBINED}")
+    rows = doc.select("table_name", "pipeline_type", "expectations_from_metrics", "data_shape.*", "validation_success", F.posexplode("results").alias("seq", "r"))
+    return rows.select(
+        "table_name", "pipeline_type", "expectations_from_metrics", "rows", "columns", "validation_success", "seq",
+        "r.expectation_type", "r.column", "r.success", "r.element_count", "r.unexpected_count",
+    ).withColumnsRenamed({"columns": "n_columns", "rows": "n_rows"})
+
+
+def io_csv_scan(spark, sf_dir):
+    """Orders written as CSV with broken lines and wrong cells added, read back in one parse with inferred types."""
+    orders = table(spark, sf_dir, "orders")
+    folder = f"{_output(spark)}/orders.csv"
+    orders.write.option("header", "true").csv(folder)
+    short = orders.where("o_orderkey % 500 = 0").selectExpr("concat(o_orderkey, ',cut off') AS value")
+    wrong = orders.where("o_orderkey % 700 = 1").selectExpr("concat(o_orderkey, ',', o_custkey, ',O,n/a,1995-05-05T00:00:00.000Z,1-URGENT') AS value")
+    header = spark.createDataFrame([(",".join(orders.columns),)], "value string")
+    for part in (short, wrong):  # every file begins with the header, as the written ones do
+        header.coalesce(1).union(part).coalesce(1).write.mode("append").text(folder)
+    read = read_csv_typed(spark, folder, max_bad_share=0.05, name="orders")
+    types = spark.createDataFrame([(c, read.types[c], read.bad[c]) for c in orders.columns], "column string, type string, n_bad long")
+    kept = run_analyzers(read.table, [Completeness(c) for c in orders.columns] + [Size()])
+    counts = kept.where("metric = 'Completeness'").select(F.col("instance").alias("column"), "value")
+    total = kept.where("metric = 'Size'").select(F.lit("lines").alias("column"), F.lit("malformed").alias("type"), F.lit(read.malformed_lines).cast("long").alias("n_bad"), "value")
+    return types.join(counts, "column").unionByName(total).select("column", "type", "n_bad", F.round("value", 9).alias("value"))
+
+
+def discover_domains_query(spark, sf_dir):
+    """Value sets of orders, events and the columns of conversations, documents and customer with few values."""
+    tables = {"orders": None, "events": ["event_type", "user_id"], "conversations": ["role", "turn"], "documents": ["lang", "source", "text"], "customer": ["c_mktsegment", "c_nationkey"]}
+    parts = map_tables(lambda n: discover_domains(table(spark, sf_dir, n), n, tables[n]), tables)
+    return union_all(parts).where("column <> 'o_totalprice'").select(
+        "table_name", "column", "rank", "value", "n", F.round("share", 9).alias("share"), F.round("coverage", 9).alias("coverage"), "values", "proposed", "mostly"
+    )
+
+
 def generate_bad_metric(spark, sf_dir):
     """A metric without a value yields no rule; the other rules of its table are still derived."""
     df = table(spark, sf_dir, "customer")
@@ -790,6 +834,9 @@ QUERIES: dict[str, Query] = {
     "flow_checks": flow_checks,
     "flow_suites": flow_suites,
     "flow_generated": flow_generated,
+    "flow_combined_document": flow_combined_document,
+    "io_csv_scan": io_csv_scan,
+    "discover_domains": discover_domains_query,
     "generate_bad_metric": generate_bad_metric,
     "rule_agreement": rule_agreement_query,
     "threshold_monitor": threshold_monitor_query,
