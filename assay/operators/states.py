@@ -5,6 +5,8 @@ A *state* of a table (or of one segment of it) is everything its metrics are fin
 * **partials**, one row each: counts add up, minima and maxima combine, and mean and standard
   deviation come from ``(n, mean, m2)`` (rows, mean, sum of squared deviations), which combine
   without cancellation;
+* opt-in **sketches** of distinct counts (``ApproxCountDistinct``, ``ApproxDistinctness``), 4 KB a column, for
+  columns whose values are too many to be shuffled: estimates with a stated error, never the default;
 * **frequencies**, ``(column, key, n)``: how often each value of a column occurs. Wide values
   are represented by their SHA-256 (see :func:`assay.functions.sql.group_key`), all others by
   their text, so the tables of any two states have the same layout and add up by key.
@@ -56,7 +58,7 @@ from assay.operators.analyzers import (
 from assay.session import remove
 
 PARTIALS, FREQUENCIES = "partials", "frequencies"
-PARTIALS_SCHEMA = "segment string, part string, kind string, n bigint, x double, m2 double"
+PARTIALS_SCHEMA = "segment string, part string, kind string, n bigint, x double, m2 double, sketch binary"
 FREQUENCIES_SCHEMA = "segment string, column string, key binary, n bigint"
 
 #: How a partial aggregate combines, by the first word of its name.
@@ -71,6 +73,7 @@ KINDS = {
     "MaxLength": "max",
     "Mean": "moments",
     "StandardDeviation": "moments",
+    "sketch": "sketch",
 }
 
 
@@ -111,16 +114,18 @@ class StateStore:
 def _partial_rows(part: str, sql: str | Column, i: int) -> tuple[list[Column], str]:
     """(aggregates of one partial, the struct of its row)."""
     kind = kind_of(part)
-    row = f"named_struct('part', {lit(part)}, 'kind', {lit(kind)}, 'n', {{n}}, 'x', {{x}}, 'm2', {{m2}})"
-    null_n, null_x = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+    row = f"named_struct('part', {lit(part)}, 'kind', {lit(kind)}, 'n', {{n}}, 'x', {{x}}, 'm2', {{m2}}, 'sketch', {{sketch}})"
+    null_n, null_x, none = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BINARY)"
     if kind == "moments":
         value = sql[sql.index("(") + 1 : -1]  # avg(x), stddev_pop(x)
         aggs = [F.expr(f"count({value})").alias(f"_n{i}"), F.expr(f"avg({value})").alias(f"_x{i}"), F.expr(f"var_pop({value}) * count({value})").alias(f"_m{i}")]
-        return aggs, row.format(n=f"_n{i}", x=f"_x{i}", m2=f"_m{i}")
+        return aggs, row.format(n=f"_n{i}", x=f"_x{i}", m2=f"_m{i}", sketch=none)
     agg = (F.expr(sql) if isinstance(sql, str) else sql).alias(f"_a{i}")
     if kind == "count":
-        return [agg], row.format(n=f"CAST(_a{i} AS BIGINT)", x=null_x, m2=null_x)
-    return [agg], row.format(n=null_n, x=f"CAST(_a{i} AS DOUBLE)", m2=null_x)
+        return [agg], row.format(n=f"CAST(_a{i} AS BIGINT)", x=null_x, m2=null_x, sketch=none)
+    if kind == "sketch":
+        return [agg], row.format(n=null_n, x=null_x, m2=null_x, sketch=f"_a{i}")
+    return [agg], row.format(n=null_n, x=f"CAST(_a{i} AS DOUBLE)", m2=null_x, sketch=none)
 
 
 def state_frames(df: DataFrame, analyzers: Iterable[Analyzer], segment: str = "''") -> tuple[DataFrame, DataFrame]:
@@ -174,13 +179,15 @@ def _all(stores: Sequence[StateStore], what) -> DataFrame:
 def merged_partials(partials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row for each partial (and group of segments)."""
     combined = partials.groupBy(*by, "part", "kind").agg(
-        F.sum("n").alias("_n"), F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.expr(_MERGE).alias("_m")
+        F.sum("n").alias("_n"), F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.expr(_MERGE).alias("_m"),
+        F.expr("hll_union_agg(CASE WHEN kind = 'sketch' THEN sketch END)").alias("_s"),
     )
     return combined.selectExpr(
         *by, "part", "kind",
         "CASE kind WHEN 'count' THEN _n WHEN 'moments' THEN _m.n END AS n",
         "CASE kind WHEN 'min' THEN _lo WHEN 'max' THEN _hi WHEN 'moments' THEN _m.x END AS x",
         "CASE WHEN kind = 'moments' THEN _m.m2 END AS m2",
+        "CASE WHEN kind = 'sketch' THEN _s END AS sketch",
     )
 
 
@@ -192,12 +199,12 @@ def merge_states(stores: Sequence[StateStore], path: str) -> StateStore:
     """Fold states into one stored state without segments, in the new folder ``path``."""
     partials = merged_partials(_all(stores, StateStore.partials)).withColumn("segment", F.lit(""))
     frequencies = merged_frequencies(_all(stores, StateStore.frequencies)).withColumn("segment", F.lit(""))
-    return _write(partials.select("segment", "part", "kind", "n", "x", "m2"), frequencies.select("segment", "column", "key", "n"), path)
+    return _write(partials.select("segment", "part", "kind", "n", "x", "m2", "sketch"), frequencies.select("segment", "column", "key", "n"), path)
 
 
 # ---- finishing metrics ---------------------------------------------------------------------------
 
-_VALUE = {"count": "n", "min": "x", "max": "x"}
+_VALUE = {"count": "n", "min": "x", "max": "x", "sketch": "sketch"}
 
 
 def _value_of(part: str) -> str:

@@ -614,6 +614,13 @@ def _profile_value_sampled():
     return union(parts)
 
 
+def _profile_sketched():
+    return union([
+        f"SELECT {q(t)} AS table_name, {q(c)} AS instance, (SELECT CAST(count(DISTINCT {ident(c)}) AS DOUBLE) FROM {t}) AS exact, true AS within_error"
+        for t in ("orders", "documents", "lineitem") for c in columns_of(t)
+    ])
+
+
 def _metric_history():
     e = SOURCES["events_nulled"]
     distinct = "CAST(count(DISTINCT user_id) AS DOUBLE) / NULLIF(count(user_id), 0)"
@@ -1045,6 +1052,7 @@ def oracle_sql() -> dict[str, str]:
         "profile_sampled": _profile_sampled(),
         "profile_value_sampled": _profile_value_sampled(),
         "profile_merged": _profile_merged(),
+        "profile_sketched": _profile_sketched(),
         "metric_history": _metric_history(),
         "quarantine_orders": _quarantine_orders(),
         "flow_checks": _flow_checks(),

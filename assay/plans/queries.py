@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from assay.operators import expectations as X
 from assay.operators.analyzers import (
+    SKETCH_ERROR,
+    ApproxCountDistinct,
     Completeness,
+    CountDistinct,
     Distinctness,
     Maximum,
     MaxLength,
@@ -216,6 +219,19 @@ def profile_merged(spark, sf_dir):
     return _round_stats(union_all(parts)).select("table_name", "seq", "instance", "metric", "analyzer", "value", "status")
 
 
+def profile_sketched(spark, sf_dir):
+    """Sketched distinct counts of orders, documents and lineitem, merged from states of two halves, beside the exact ones."""
+    parts = []
+    for name, key in (("orders", "o_orderkey"), ("documents", "doc_id"), ("lineitem", "l_orderkey")):
+        df = table(spark, sf_dir, name)
+        wanted, out = [ApproxCountDistinct(c) for c in df.columns], _output(spark)
+        halves = [compute_states(df.where(f"pmod(xxhash64({key}), 2) = {h}"), wanted, f"{out}/{name}-{h}") for h in (0, 1)]
+        exact = compute_metrics({name: (df, [CountDistinct(c) for c in df.columns])}).select("instance", F.col("value").alias("exact"))
+        both = metrics_of(halves, df.schema, wanted, name).join(exact, "instance")
+        parts.append(both.select("table_name", "instance", "exact", (F.abs(F.col("value") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")).alias("within_error")))
+    return union_all(parts)
+
+
 HISTORY_METRICS = [
     Size(), Completeness("value"), Minimum("value"), Maximum("value"), Mean("value"), Distinctness("user_id"), Uniqueness("event_type"),
 ]
@@ -804,6 +820,7 @@ QUERIES: dict[str, Query] = {
     "profile_sampled": profile_sampled,
     "profile_value_sampled": profile_value_sampled,
     "profile_merged": profile_merged,
+    "profile_sketched": profile_sketched,
     "metric_history": metric_history,
     "quarantine_orders": quarantine_orders,
     "check_has_size": check_has_size,

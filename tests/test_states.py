@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay.operators.analyzers import (
+    SKETCH_ERROR,
+    ApproxCountDistinct,
+    ApproxDistinctness,
     Completeness,
     Compliance,
     CountDistinct,
@@ -112,6 +115,24 @@ def test_segments(spark, tmp_dir):
     same(values(metrics_of(store, df.schema, wanted)), values(run_analyzers(df, wanted)))
 
 
+def test_sketches(spark, tmp_dir):
+    """Sketched distinct counts stay within their error, merge to what one pass gives, and shuffle no values."""
+    df = spark.range(60_000).selectExpr("id", "CAST(id % 30011 AS STRING) AS s", "id % 5 AS few", "CAST(NULL AS STRING) AS none", "if(id % 4 = 0, NULL, id % 9973) AS n")
+    wanted = [k(c) for c in df.columns for k in (ApproxCountDistinct, ApproxDistinctness)]
+    true = {"id": 60_000, "s": 30_011, "few": 5, "none": 0, "n": 9973}
+    direct = {(r["metric"], r["instance"]): r["value"] for r in run_analyzers(df, wanted).collect()}
+    for c, n in true.items():
+        assert abs(direct["ApproxCountDistinct", c] - n) <= SKETCH_ERROR * n
+    assert direct["ApproxCountDistinct", "few"] == 5 and direct["ApproxDistinctness", "none"] is None and direct["ApproxDistinctness", "id"] <= 1
+    plan = run_analyzers(df, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    stores = [compute_states(df.where(f"id % 3 = {i}"), wanted, os.path.join(tmp_dir, str(i))) for i in range(3)]
+    merged = merge_states(stores, os.path.join(tmp_dir, "m"))
+    for got in (metrics_of(stores, df.schema, wanted), metrics_of(merged, df.schema, wanted)):
+        for k, v in {(r["metric"], r["instance"]): r["value"] for r in got.collect()}.items():
+            assert (v is None and direct[k] is None) or abs(v - direct[k]) <= SKETCH_ERROR * max(abs(direct[k]), 1e-9)
+
+
 def test_second_run_reads_only_what_is_new(spark, tmp_dir):
     df = spark.read.parquet(f"{SF}/orders.parquet")
     old_path, new_path = os.path.join(tmp_dir, "old"), os.path.join(tmp_dir, "new")
