@@ -57,8 +57,10 @@ SHARD_ROWS = 1_200_000
 #: Groups up to this many sets give pairs, larger ones a star.
 SMALL_GROUP = 8
 #: Shingles of a block, and blocks up to which a family is compared as a whole.
-UNIT_TOKENS = 1_000_000
+UNIT_TOKENS = 4_000_000
 MOST_PARTS = 32
+#: Rows of the units' table (five numbers each) up to which it, and not the texts, goes to every task.
+BROADCAST_UNITS = 500_000
 #: The least number of orders in the second family.
 LEAST_MARKS = 64
 
@@ -402,9 +404,11 @@ def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int =
     found = written(found.join(to_a, "a").join(to_b, "b").selectExpr("ra AS a", "rb AS b", "g").where("a <> b").distinct(), "pairs", scratch)
     sizes = reps.groupBy(F.col("rep").alias("doc")).agg(F.max("n").alias("n"))
     unit = written(units(found, sizes, scratch), "units", scratch)
-    total = unit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    total, count = unit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("c")).first()
+    members = unit.drop("n")
+    members = F.broadcast(members) if count <= BROADCAST_UNITS else members
     # a representative's rows that are of other classes come too: an id is one node
-    texts = holding(docs.selectExpr("doc_id AS doc", "text"), unit.select("doc"), "doc").join(unit.drop("n"), "doc")
+    texts = holding(docs.selectExpr("doc_id AS doc", "text"), unit.select("doc"), "doc").join(members, "doc")
     links = (
         texts.withColumn("task", F.pmod(F.xxhash64("f", "lo", "hi"), F.lit(ceil_div(total, UNIT_TOKENS))))
         .groupBy("task").applyInArrow(compare(k, num, den), "a long, b long")
