@@ -14,8 +14,8 @@ orders use that:
 Prefixes of several tokens make the first filter indifferent to frequent shingles: documents
 that merely share a passage rarely agree on a whole prefix. Empty prefixes prove nothing;
 they are sent only by a set with at least s of them. Candidates of small groups also pass a size
-bound and a parity sketch (its Hamming distance cannot exceed the number of differing tokens); a
-large group is only connected to one of its members, not expanded into pairs.
+bound; a large group is only connected to one of its members, not expanded into pairs. Nothing else of a set
+goes to the shards, so what they get grows with the prefixes, whatever the number of shards.
 
 Equal sets are one class, represented by its smallest id; a task sends a class once. The
 candidates' components are families: every link lies within one. A family's texts are brought
@@ -51,7 +51,6 @@ K = 4
 NUM, DEN = 85, 100
 #: Ratio of the largest to the smallest size of a range.
 RANGE = 1.5
-SKETCH_WORDS = 4
 #: Prefix rows of a shard, on average.
 SHARD_ROWS = 1_200_000
 #: Groups up to this many sets give pairs, larger ones a star.
@@ -121,13 +120,6 @@ def ranges_of(n: int, num: int, den: int) -> list[int]:
     return list(range(j, size_range(max(top, n)) + 1))
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the tokens by 64 * SKETCH_WORDS residue classes."""
-    h = mix(tokens ^ U64(0x243F6A8885A308D3))
-    bits = np.bincount((h % U64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").view(U64)
-
-
 def prefixes(tokens: np.ndarray, j: int, num: int, den: int) -> np.ndarray:
     """Hash of (range, order, the set's prefix under it), for each order that is sent."""
     count, spare = orders(j, num, den)
@@ -192,13 +184,12 @@ class _Outbox:
         self.clear()
 
     def clear(self):
-        self.rows, self.ids, self.sizes, self.sketches, self.count = [], [], [], [], 0
+        self.rows, self.ids, self.sizes, self.count = [], [], [], 0
 
-    def add(self, doc: int, n: int, keys: np.ndarray, bits: np.ndarray):
+    def add(self, doc: int, n: int, keys: np.ndarray):
         self.rows.append((keys, np.full(len(keys), len(self.ids), np.uint32)))
         self.ids.append(doc)
         self.sizes.append(n)
-        self.sketches.append(bits)
         self.count += len(keys)
 
     def batch(self) -> pa.RecordBatch:
@@ -206,7 +197,7 @@ class _Outbox:
         if self.ids:
             keys = np.concatenate([x for x, _ in self.rows])
             doc = np.concatenate([x for _, x in self.rows])
-            ids, sizes, sketches = np.array(self.ids, np.int64), np.array(self.sizes, np.int32), np.stack(self.sketches)
+            ids, sizes = np.array(self.ids, np.int64), np.array(self.sizes, np.int32)
             shard = (mix(keys) % U64(self.shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(self.shards + 1))
@@ -216,7 +207,7 @@ class _Outbox:
                 if len(mine):
                     used, at = np.unique(doc[mine], return_inverse=True)
                     head = np.array([len(mine), len(used)], np.int64).tobytes()
-                    parts = (keys[mine], at.astype(np.uint32), ids[used], sizes[used], sketches[used])
+                    parts = (keys[mine], at.astype(np.uint32), ids[used], sizes[used])
                     shard_of.append(s)
                     blobs.append(pack.compress(head + b"".join(x.tobytes() for x in parts)))
         self.clear()
@@ -236,7 +227,7 @@ def send_prefixes(k: int, num: int, den: int, shards: int):
                     continue
                 seen.add(key)
                 keys = [prefixes(tokens, j, num, den) for j in ranges_of(n, num, den)]
-                out.add(ids[row], n, np.concatenate(keys), sketch(tokens))
+                out.add(ids[row], n, np.concatenate(keys))
                 if out.count >= 1 << 21:
                     yield out.batch()
         yield out.batch()
@@ -245,8 +236,8 @@ def send_prefixes(k: int, num: int, den: int, shards: int):
 
 
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(key, set) rows, and the sets' ids, sizes and sketches."""
-    keys, at, ids, sizes, sketches, base = [], [], [], [], [], 0
+    """(key, set) rows, and the sets' ids and sizes."""
+    keys, at, ids, sizes, base = [], [], [], [], 0
     for blob in blobs:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n, m = np.frombuffer(raw, np.int64, 2).tolist()
@@ -258,36 +249,20 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
         ids.append(np.frombuffer(raw, np.int64, m, o))
         o += 8 * m
         sizes.append(np.frombuffer(raw, np.int32, m, o).astype(np.int64))
-        o += 4 * m
-        sketches.append(np.frombuffer(raw, U64, m * SKETCH_WORDS, o).reshape(m, SKETCH_WORDS))
         base += m
-    return tuple(np.concatenate(x) for x in (keys, at, ids, sizes, sketches))
-
-
-def possible(na, nb, sa: np.ndarray, sb: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sizes and sketches allow a link."""
-    low = need(na, nb, num, den)
-    apart = np.bitwise_count(sa ^ sb).sum(axis=-1).astype(np.int64)
-    return (low <= np.minimum(na, nb)) & (apart <= na + nb - 2 * low)
-
+    return tuple(np.concatenate(x) for x in (keys, at, ids, sizes))
 
-def _middle(bits: np.ndarray, ids: np.ndarray) -> int:
-    """Of the half that is nearest to the majority of a group's sketches, the member that comes first by a hash of its id.
 
-    Groups of one family share most of their members, so they mostly share this one, and the same pairs, too.
-    """
-    wide = np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), axis=1)
-    major = (2 * wide.sum(axis=0, dtype=np.int64) > len(bits)).astype(np.uint8)
-    off = (wide != major).sum(axis=1)
-    near = np.flatnonzero(off <= np.median(off))
-    return int(near[np.argmin(mix(ids[near].astype(np.int64).view(U64)))])
+def possible(na, nb, num: int, den: int):
+    """Whether sizes allow a link."""
+    return need(na, nb, num, den) <= np.minimum(na, nb)
 
 
 def candidates(num: int, den: int):
     """Candidates (a, b) of a shard's groups: possible pairs of small groups, a star for each large one; ``g`` names the pair or group."""
 
     def find(key: tuple, tbl: pa.Table) -> pa.Table:
-        keys, at, ids, sizes, sketches = _unpack([x.as_py() for x in tbl.column("blob")])
+        keys, at, ids, sizes = _unpack([x.as_py() for x in tbl.column("blob")])
         order = np.argsort(keys, kind="stable")
         keys, at = keys[order], at[order]
         edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -305,7 +280,7 @@ def candidates(num: int, den: int):
         a, b = np.concatenate(pairs, axis=1)
         keep = a != b
         a, b = a[keep], b[keep]
-        keep = possible(sizes[a], sizes[b], sketches[a], sketches[b], num, den)
+        keep = possible(sizes[a], sizes[b], num, den)
         a, b = ids[a[keep]], ids[b[keep]]
         low, high = np.minimum(a, b), np.maximum(a, b)
         found = np.unique(np.stack((low, high), axis=1), axis=0)
