@@ -29,7 +29,6 @@ WINDOW = 10
 K = 5
 #: Item fingerprints are broadcast up to this counted number of 8-byte hashes; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 _ITEM = pa.schema([("item_id", pa.int64()), ("len", pa.int32()), ("h", pa.int64()), ("words", pa.string())])
 _MARK = pa.schema([("h", pa.int64()), ("len", pa.int32()), ("doc_id", pa.int64()), ("pos", pa.int32())])
@@ -113,6 +112,15 @@ def doc_marks(window: int, k: int, short: list[int]):
     return rows
 
 
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and the number of words of every row."""
+    for batch in batches:
+        buf, offs = string_buffer(batch.column("text"))
+        n = [np.diff(words(buf, offs[a : b + 1], ALNUM, hashed=False).first) for a, b in chunks(offs)]
+        n = np.concatenate(n) if n else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n"])
+
+
 def hit_windows(window: int, k: int):
     """The words of every window that contains a hit fingerprint (``hits``: list of pos, len)."""
 
@@ -181,12 +189,12 @@ def contamination(
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    counts = docs.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_PATTERN)).alias("n"))
+    counts = docs.mapInArrow(steady(word_counts), "doc_id long, n long")
     out = counts.join(covered, "doc_id", "left").join(pairs, "doc_id", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         "doc_id",
-        F.col("n").cast("long").alias("n_words"),
+        F.col("n").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),

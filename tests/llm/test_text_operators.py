@@ -114,6 +114,18 @@ def test_contamination_edges(spark, edges, empty, broadcast_rows):
     assert not any(r["contaminated"] for r in contamination(edges, bench.limit(0)).collect())
 
 
+def test_contamination_counts_words_without_a_pattern(spark, edges):
+    """A pattern over every text costs more than the rest of the query; counting by it is left to the test."""
+    bench = spark.createDataFrame([(1, "shared3 shared4")], "item_id long, text string")
+    texts = ["", " ", "a", "a-b_c", "Az09 \x7f\x00{é}ñ 日本、語", "x" * 5000 + " y", None, "end ", " lead"]
+    docs = edges.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    out = contamination(docs, bench)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan.lower()
+    want = sorted((i, len(ALNUM.findall(lower(t)))) for i, t in rows_of(docs))
+    assert sorted((r["doc_id"], r["n_words"]) for r in out.collect()) == want
+
+
 # ---- Jaccard join ----------------------------------------------------------------------
 
 
