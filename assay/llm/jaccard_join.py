@@ -17,8 +17,11 @@ they are sent only by a set with at least s of them. Candidates of small groups
 bound; a large group is only connected to one of its members, not expanded into pairs. Nothing else of a set
 goes to the shards, so what they get grows with the prefixes, whatever the number of shards.
 
-Equal sets are one class, represented by its smallest id; a task sends a class once. The
-candidates' components are families: every link lies within one. A family's texts are brought
+Equal sets are one class, represented by its smallest id; a task sends a class once. The members
+of a group (or of a pair) are first compared by sizes and by a bit for each prefix of the second family:
+linked sets differ in no more parities than tokens. So passages that many documents share do not bind
+them, and for each group a document travels as 16 to 32 bytes for every hundred shingles, not as a text.
+The components of what passes are families: every link lies within one. A family's texts are brought
 together once, in blocks of ``UNIT_TOKENS`` shingles and pairs of blocks, so no task gets a family
 whole; a family of more than ``MOST_PARTS`` blocks is compared group by group instead (each group in
 blocks again), which looks at fewer pairs and ships a text once for each of its groups. Within a unit
@@ -58,12 +61,15 @@ SMALL_GROUP = 8
 #: Shingles of a block, and blocks up to which a family is compared as a whole.
 UNIT_TOKENS = 4_000_000
 MOST_PARTS = 32
+#: Members of a block of a group, and bytes of a task, when groups are compared by parities.
+GROUP_MEMBERS = 20_000
+SKETCH_BYTES = 16_000_000
 #: Rows of the units' table (five numbers each) up to which it, and not the texts, goes to every task.
 BROADCAST_UNITS = 500_000
 #: The least number of orders in the second family.
 LEAST_MARKS = 64
 
-DOCS = "doc_id long, n long, k1 long, k2 long"
+DOCS = "doc_id long, n long, k1 long, k2 long, parities binary"
 
 
 # ---- sets -----------------------------------------------------------------------
@@ -154,21 +160,28 @@ def folded(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def describe(k: int):
-    """doc_id, n and the set's key of every document."""
+def parities(tokens: np.ndarray, num: int, den: int) -> bytes:
+    """A bit for the prefix under each order of the second family: whether its number of tokens is odd."""
+    size = max(64, mark_orders(len(tokens), num, den))
+    place = mix(tokens ^ U64(0x452821E638D01377)) & U64(size - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def describe(k: int, num: int, den: int):
+    """doc_id, n, the set's key and its parities, for every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = string_buffer(batch.column("text"))
-            n, k1, k2 = [], [], []
+            n, k1, k2, bits = [], [], [], []
             for _, tokens in shingle_sets(buf, offs, k):
                 n.append(len(tokens))
                 one, two = set_key(tokens)
                 k1.append(one)
                 k2.append(two)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2))], ["doc_id", "n", "k1", "k2"]
-            )
+                bits.append(parities(tokens, num, den))
+            columns = [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in DOCS.split(", ")])
 
     return rows
 
@@ -294,6 +307,95 @@ def candidates(num: int, den: int):
     return find
 
 
+# ---- groups, by parities --------------------------------------------------------------
+
+
+def unit_ranges(f: np.ndarray, lo: np.ndarray, hi: np.ndarray, ids: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of each unit (f, lo, hi), by id."""
+    order = np.lexsort((ids, hi, lo, f))
+    new = (np.diff(f[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
+    edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(f)] if len(f) else [0]
+    for x, y in zip(edge[:-1], edge[1:], strict=True):
+        yield order[x:y]
+
+
+def halved(rows: list[bytes], size: int) -> np.ndarray:
+    """Parities of sets of any sizes as one matrix of ``size`` bytes (halves of longer ones are the residues of one class)."""
+    out = np.zeros((len(rows), size), np.uint8)
+    for longer in sorted({len(r) for r in rows}):
+        at = [i for i, r in enumerate(rows) if len(r) == longer]
+        out[at] = np.bitwise_xor.reduce(np.frombuffer(b"".join([rows[i] for i in at]), np.uint8).reshape(len(at), -1, size), axis=1)
+    return out.view(np.uint64)
+
+
+def fitting_pairs(ids: np.ndarray, n: np.ndarray, rows: list[bytes], block: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and parities allow to be linked; members of different blocks are compared, unless all are of one."""
+    order = np.lexsort((ids, n))
+    ids, n, block, rows = ids[order], n[order], block[order], [rows[i] for i in order.tolist()]
+    _, root = np.unique(ids, return_inverse=True)
+    left, across, out = int(root.max()) + 1, bool((block != block[0]).any()), []
+    size = np.array([len(r) for r in rows])  # ascends with n
+    top = np.searchsorted(n, n * den // num, side="right")
+    for s in np.unique(size).tolist():
+        first, last = int(np.searchsorted(size, s)), int(np.searchsorted(size, s, side="right"))
+        bits = halved(rows[first : int(top[last - 1])], s)
+        for i in range(first, last):
+            if left == 1:
+                return out
+            other = root[i + 1 : top[i]] != root[i]
+            if across:
+                other &= block[i + 1 : top[i]] != block[i]
+            j = np.flatnonzero(other) + i + 1
+            if not len(j):
+                continue
+            apart = np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(axis=1, dtype=np.int64)
+            j = j[apart <= n[i] + n[j] - 2 * need(n[i], n[j], num, den)]
+            joined, at = np.unique(root[j], return_index=True)
+            out += [(int(ids[i]), int(ids[x])) for x in j[at].tolist()]
+            root[np.isin(root, joined)] = root[i]
+            left -= len(joined)
+    return out
+
+
+def narrow(num: int, den: int):
+    """Pairs that join what may be linked within each unit (f, lo, hi) of a task; rows hold the members' parities."""
+
+    def find(key: tuple, tbl: pa.Table) -> pa.Table:
+        f, lo, hi, block, ids, n = (tbl.column(c).to_numpy() for c in ("f", "lo", "hi", "block", "doc", "n"))
+        rows = tbl.column("parities").to_pylist()
+        out = []
+        for at in unit_ranges(f, lo, hi, ids):
+            if lo[at[0]] == hi[at[0]] or (block[at] != block[at[0]]).any():
+                out += fitting_pairs(ids[at], n[at], [rows[i] for i in at.tolist()], block[at], num, den)
+        out = list(dict.fromkeys(out))
+        del rows
+        release()
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return find
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """f, lo, hi, block and the other columns of ``rows`` (f, doc, parts): every pair of a family's blocks is a unit."""
+    rest = [c for c in rows.columns if c not in ("f", "parts")]
+    blocks = rows.withColumn("block", F.expr("CAST(pmod(xxhash64(doc), parts) AS INT)")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return blocks.selectExpr("f", "least(block, i) AS lo", "greatest(block, i) AS hi", "block", *rest)
+
+
+def possible_links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) that connect all members of a group (g, doc) that may be linked; ``sets``: doc, n, parities."""
+    parts = F.expr(f"CAST(ceil(count(1) / {GROUP_MEMBERS}) AS INT)").alias("parts")
+    large = groups.groupBy("g").agg(parts).where("parts > 1")
+    members = dealt(groups.join(large, "g", "left").selectExpr("g AS f", "doc", "coalesce(parts, 1) AS parts"))
+    # a set is in as many groups as it has prefixes, which grow with its size
+    mean = sets.agg(F.coalesce(F.sum(F.octet_length("parities") * F.col("n")) / F.sum("n"), F.lit(0.0)).alias("m")).first()["m"]
+    tasks = ceil_div(groups.count() * mean, SKETCH_BYTES)
+    return (
+        members.join(sets, "doc").withColumn("task", F.pmod(F.xxhash64("f", "lo", "hi"), F.lit(tasks)))
+        .groupBy("task").applyInArrow(narrow(num, den), "a long, b long")
+    )
+
+
 # ---- units ------------------------------------------------------------------------
 
 
@@ -332,12 +434,9 @@ def compare(k: int, num: int, den: int):
         f, lo, hi, block, ids = (tbl.column(c).to_numpy() for c in ("f", "lo", "hi", "block", "doc"))
         buf, offs = string_buffer(tbl.column("text"))
         sets = [tokens for _, tokens in shingle_sets(buf, offs, k)]
-        order = np.lexsort((ids, hi, lo, f))
-        new = (np.diff(f[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
-        edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(f)] if len(f) else [0]
         out = []
-        for x, y in zip(edge[:-1], edge[1:], strict=True):
-            at = [i for i in order[x:y].tolist() if len(sets[i])]
+        for rows in unit_ranges(f, lo, hi, ids):
+            at = [i for i in rows.tolist() if len(sets[i])]
             if len(at) > 1 and (lo[at[0]] == hi[at[0]] or len(np.unique(block[at])) > 1):
                 out += unit_links(ids[at], [sets[i] for i in at], block[at], num, den)
         del sets
@@ -347,26 +446,24 @@ def compare(k: int, num: int, den: int):
     return find
 
 
-def units(found: DataFrame, sizes: DataFrame, scratch: list[str]) -> DataFrame:
-    """f, lo, hi, block, doc, n: the members of every unit. ``found``: candidates (a, b, g) of representatives; ``sizes``: doc, n."""
-    family = components(found.select("a", "b").distinct(), scratch)
+def units(pairs: DataFrame, groups: DataFrame, sizes: DataFrame, scratch: list[str]) -> DataFrame:
+    """f, lo, hi, block, doc, n: the members of every unit. ``pairs``: possible links (a, b); ``groups``: g, doc; ``sizes``: doc, n."""
+    family = components(pairs, scratch)
     members = written(family.selectExpr("component AS f", "id AS doc").join(sizes, "doc"), "families", scratch)
-    parts = lambda rows: rows.groupBy("f").agg(F.expr(f"CAST(ceil(sum(n) / {UNIT_TOKENS}) AS INT)").alias("parts"))
-    whole = parts(members)
+    parts = lambda rows: rows.groupBy("f").agg(F.expr(f"CAST(ceil(sum(n) / {UNIT_TOKENS}) AS INT)").alias("parts"), F.count(F.lit(1)).alias("docs"))
+    whole = parts(members).drop("docs")
     fitting = members.join(whole.where(F.col("parts") <= MOST_PARTS), "f")
-    large = members.join(whole.where(F.col("parts") > MOST_PARTS).select("f"), "f", "left_semi").select("doc")
-    kept = found.join(large.withColumnRenamed("doc", "a"), "a", "left_semi")
-    groups = kept.selectExpr("g AS f", "a AS doc").unionByName(kept.selectExpr("g AS f", "b AS doc")).distinct().join(sizes, "doc")
-    split = fitting.unionByName(groups.join(parts(groups), "f").select(fitting.columns))
-    blocks = split.withColumn("block", F.expr("CAST(pmod(xxhash64(doc), parts) AS INT)")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return blocks.selectExpr("f", "least(block, i) AS lo", "greatest(block, i) AS hi", "block", "doc", "n")
+    large = members.join(whole.where(F.col("parts") > MOST_PARTS).select("f"), "f", "left_semi")
+    within = groups.join(large, "doc").selectExpr("xxhash64(g, f) AS f", "doc", "n")
+    split = fitting.unionByName(within.join(parts(within).where("docs > 1").drop("docs"), "f").select(fitting.columns))
+    return dealt(split)
 
 
 def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     spark, scratch = documents.sparkSession, []
-    described = written(small_batches(docs).mapInArrow(steady(describe(k)), DOCS), "sets", scratch)
+    described = written(small_batches(docs).mapInArrow(steady(describe(k, num, den)), DOCS), "sets", scratch)
     classes = described.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = written(described.join(classes, ["n", "k1", "k2"]).select("doc_id", "rep", "n"), "classes", scratch)
 
@@ -377,8 +474,12 @@ def near_duplicates(documents: DataFrame, k: int = K, num: int = NUM, den: int =
     node = reps.select("doc_id", "rep").distinct()
     to_a, to_b = node.selectExpr("doc_id AS a", "rep AS ra"), node.selectExpr("doc_id AS b", "rep AS rb")
     found = written(found.join(to_a, "a").join(to_b, "b").selectExpr("ra AS a", "rb AS b", "g").where("a <> b").distinct(), "pairs", scratch)
+    groups = written(found.selectExpr("g", "a AS doc").unionByName(found.selectExpr("g", "b AS doc")).distinct(), "groups", scratch)
+    # all rows of an id count, also those of other classes than the one that it represents: an id is one node
+    sets = described.where("n > 0").select(F.col("doc_id").alias("doc"), "n", "parities").distinct()
+    pairs = written(possible_links(groups, sets, num, den), "possible", scratch)
     sizes = reps.groupBy(F.col("rep").alias("doc")).agg(F.max("n").alias("n"))
-    unit = written(units(found, sizes, scratch), "units", scratch)
+    unit = written(units(pairs, groups, sizes, scratch), "units", scratch)
     total, count = unit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("c")).first()
     members = unit.drop("n")
     members = F.broadcast(members) if count <= BROADCAST_UNITS else members

@@ -230,6 +230,56 @@ def test_marks_allow_every_link():
                 assert (m[0] != m[1]).sum() <= len(np.setxor1d(base, other))
 
 
+def test_parities_allow_every_link():
+    """Pairs that are linked pass in sets of all sizes, and every one lies within the forest's components."""
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in (1, 3, 9, 60, 61, 400, 700, 3000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for lost in (0, n // 40, n // 20, n // 9, n // 2):
+            sets.append(np.unique(np.concatenate((base[lost:], rng.integers(0, 2**63, lost // 2).astype(np.uint64)))))
+    n = np.array([len(s) for s in sets])
+    order = rng.permutation(len(sets))
+    for block in (np.zeros(len(sets), np.int64), np.arange(len(sets)) % 2):
+        pairs = jaccard_join.fitting_pairs(order, n, [jaccard_join.parities(s, 80, 100) for s in sets], block, 80, 100)
+        assert len(pairs) < len(sets)
+        root = {int(i): int(i) for i in order}
+        for a, b in pairs:
+            root = {i: root[a] if r == root[b] else r for i, r in root.items()}
+        links = 0
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) and (block[i] != block[j] or not block.any()):
+                    links += 1
+                    assert root[int(order[i])] == root[int(order[j])]
+        assert links
+
+
+def test_jaccard_common_passages_bind_no_families(spark, tmp_path):
+    """Documents that only share passages are never compared by their texts, however many they are."""
+    import random
+
+    rng = random.Random(4)
+    passages = [" ".join(f"p{i}x{j}" for j in range(40)) for i in range(12)]
+    rows = [(i, " ".join([*(f"w{rng.randrange(10**6)}" for _ in range(60)), *rng.sample(passages, 3)])) for i in range(200)]
+    rows += [(1000 + i, t + f" tail{i}") for i, t in rows[:5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen, units = [], jaccard_join.units
+
+    def spy(*args):
+        out = units(*args)
+        seen.append({(r["f"], r["doc"]) for r in out.collect()})
+        return out
+
+    jaccard_join.units = spy
+    try:
+        got = sorted(map(tuple, near_duplicates(docs).collect()))
+    finally:
+        jaccard_join.units = units
+    assert got == brute_components(rows)
+    assert sorted(d for _, d in seen[0]) == sorted([*range(5), *range(1000, 1005)])
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (20, 21), (21, 20), (7, 7), *((100, i) for i in range(101, 160)), (159, 2)]
     got = components(spark.createDataFrame(edges, "a long, b long"))
