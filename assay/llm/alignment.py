@@ -34,8 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import _BYTE, _PLACE, U64, mix, ranges, small_batches, steady, string_buffer, table, written
-from assay.llm.tokens import TABLE_UNITS, Encoder, default_model
+from assay.llm.common import ranges, small_batches, span_hash, steady, string_buffer, table, written
+from assay.llm.tokens import TABLE_UNITS, Encoder, default_model, different
 
 PIECES = "piece_bpe_32k.model"
 #: Pair counts are broadcast up to this counted number of rows (three numbers each).
@@ -114,25 +114,20 @@ class Pieces(Encoder):
             new[1:] |= (raw[1:] == 0x20) & (raw[:-1] != 0x20)
         start = np.flatnonzero(new)
         length = np.diff(np.append(start, len(raw)))
-        place = np.arange(len(raw)) - np.repeat(start, length)
-        term = _BYTE[raw]
-        if length.max() > len(_PLACE):
-            term = mix(term + (place // len(_PLACE)).astype(U64) * U64(0x9E3779B97F4A7C15))
-        h = mix(np.add.reduceat(term * _PLACE[place & (len(_PLACE) - 1)], start) + length.astype(U64))
-        coded = pa.array(h.view(np.int64)).dictionary_encode()
-        kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        h, first, code = different(span_hash(raw, start, length))
         if len(self.index) > TABLE_UNITS:
             self.clear()
-        if missing := [i for i, x in enumerate(kinds) if x not in self.index]:
-            first = np.zeros(len(kinds), np.int64)
-            first[code[::-1]] = np.arange(len(code))[::-1]
+        slot = self.index.find(h)
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
             at = first[missing]
             data = raw.tobytes()
             # the processor puts the blank in front itself
             units = [data[s + 1 : s + n].decode() for s, n in zip(start[at].tolist(), length[at].tolist(), strict=True)]
             found = [self.processor.encode(u) if u else [self.blank()] for u in units]
-            self._keep([kinds[i] for i in missing], np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found]))
-        slot = np.array([self.index[x] for x in kinds], np.int64)[code]
+            self._keep(h[missing], np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found]))
+            slot = self.index.find(h)
+        slot = slot[code]
         sizes = self.size[slot]
         total = np.concatenate(([0], np.cumsum(sizes)))
         return self.store[ranges(self.begin[slot], sizes)], total[np.searchsorted(start, offs[1:])]

@@ -8,6 +8,7 @@ and the longest single document only.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import math
 import uuid
 from collections.abc import Iterator
@@ -233,6 +234,71 @@ def words(buf: np.ndarray, offsets: np.ndarray, lut: np.ndarray, hashed: bool =
     return Words(start + lo, end + lo, first, mix(h + length.astype(U64)))
 
 
+#: Bytes up to which units are hashed side by side.
+SHORT_UNIT = 64
+_LOW = np.array([(1 << (8 * i)) - 1 for i in range(9)], U64)
+
+
+def span_hash(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of the bytes ``raw[s : s + n]`` for every start and length, eight bytes at a time (for tables within a process)."""
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate((raw, np.zeros(8, np.uint8))), 8)
+    h = mix(length.astype(U64) + U64(0x9E3779B97F4A7C15))
+    at, done = np.flatnonzero(length <= SHORT_UNIT), 0
+    while len(at := at[length[at] > done]):
+        part = eight[start[at] + done].view(U64)[:, 0] & _LOW[np.minimum(length[at] - done, 8)]
+        h[at] = mix(h[at] ^ part)
+        done += 8
+    for i in np.flatnonzero(length > SHORT_UNIT).tolist():
+        digest = hashlib.blake2b(raw[start[i] : start[i] + length[i]].tobytes(), digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+class Slots:
+    """Numbers 0, 1, ... of hashes in the order they are added: an open table of 12 bytes a place, at most half full."""
+
+    def __init__(self, places: int = 1 << 16):
+        self.hash = np.zeros(places, np.int64)
+        self.slot = np.full(places, -1, np.int32)
+        self.count = 0
+
+    def __len__(self) -> int:
+        return self.count
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        out, todo, at = np.full(len(h), -1, np.int64), np.arange(len(h)), h & (len(self.hash) - 1)
+        while len(todo):
+            slot, same = self.slot[at], self.hash[at] == h[todo]
+            hit = same & (slot >= 0)
+            out[todo[hit]] = slot[hit]
+            on = ~same & (slot >= 0)
+            todo, at = todo[on], (at[on] + 1) & (len(self.hash) - 1)
+        return out
+
+    def add(self, h: np.ndarray):
+        """Number different hashes that are not in the table."""
+        if 2 * (self.count + len(h)) > len(self.hash):
+            places = len(self.hash)
+            while 2 * (self.count + len(h)) > places:
+                places *= 2
+            used = np.flatnonzero(self.slot >= 0)
+            held, slot = self.hash[used], self.slot[used]
+            self.hash, self.slot = np.zeros(places, np.int64), np.full(places, -1, np.int32)
+            self._put(held, slot)
+        self._put(h, np.arange(self.count, self.count + len(h), dtype=np.int32))
+        self.count += len(h)
+
+    def _put(self, h: np.ndarray, slot: np.ndarray):
+        at = h & (len(self.hash) - 1)
+        while len(h):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = slot[free]
+            lost = self.slot[at] != slot  # taken before, or by another one now
+            self.hash[at[~lost]] = h[~lost]
+            h, slot, at = h[lost], slot[lost], (at[lost] + 1) & (len(self.hash) - 1)
+
+
 def gram_hash(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` consecutive entries (length ``len(h) - k + 1``, or none)."""
     n = len(h) - k + 1

@@ -15,10 +15,12 @@ import sys
 import numpy as np
 import pyarrow as pa
 
-from assay.llm.common import _BYTE, _PLACE, U64, chunks, mix, ranges
+from assay.llm.common import Slots, chunks, ranges, span_hash
 
 #: Units that a worker process keeps; beyond it the table starts anew.
 TABLE_UNITS = 1_000_000
+#: Bytes of whole documents that are encoded at once: numbers of a few dozen bytes for each of them are held.
+ENCODE_BYTES = 1 << 18
 MODEL = "byte_bpe_50k.json"
 
 SPACE = np.zeros(256, bool)
@@ -33,6 +35,15 @@ def default_model() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different hashes, where each comes first, and the number of each entry among them."""
+    coded = pa.array(h.view(np.int64)).dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
+    first = np.zeros(len(coded.dictionary), np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    return coded.dictionary.to_numpy(), first, code
+
+
 class Encoder:
     """Token ids of documents in a buffer; one for each worker process and model.
 
@@ -58,13 +69,13 @@ class Encoder:
         return table[model]
 
     def clear(self):
-        self.index: dict[int, int] = {}
+        self.index = Slots()
         self.store = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 18, np.int64)
         self.size = np.zeros(1 << 18, np.int64)
         self.used = 0
 
-    def _keep(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray):
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
         n, at = len(hashes), len(self.index)
         while self.used + len(ids) > len(self.store):
             self.store = np.concatenate((self.store, np.zeros_like(self.store)))
@@ -74,7 +85,7 @@ class Encoder:
         self.store[self.used : self.used + len(ids)] = ids
         self.begin[at : at + n] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
         self.size[at : at + n] = sizes
-        self.index.update(zip(hashes, range(at, at + n), strict=True))
+        self.index.add(hashes)
         self.used += len(ids)
 
     def _learn(self, raw: np.ndarray, hashes: np.ndarray, start: np.ndarray, end: np.ndarray):
@@ -88,7 +99,7 @@ class Encoder:
         if len(alone):
             found = self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
             ids = [np.array(x.ids, np.uint32) for x in found]
-            self._keep(hashes[alone].tolist(), np.concatenate(ids), np.array([len(x) for x in ids]))
+            self._keep(hashes[alone], np.concatenate(ids), np.array([len(x) for x in ids]))
         linked = np.flatnonzero(chain)
         for a in range(0, len(linked), 2000):
             part = linked[a : a + 2000]
@@ -96,11 +107,11 @@ class Encoder:
             ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
             cut = np.flatnonzero(ids == self.line_feed)
             sizes = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
-            self._keep(hashes[part].tolist(), ids[ids != self.line_feed], sizes)
+            self._keep(hashes[part], ids[ids != self.line_feed], sizes)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray):
         """Yields (first row, end row, ids, ends of rows in ids) for ranges of documents."""
-        for a, b in chunks(offs, 1 << 20):
+        for a, b in chunks(offs, ENCODE_BYTES):
             yield a, b, *self._range(buf, offs[a : b + 1])
 
     def _range(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,25 +127,16 @@ class Encoder:
         new[heads] = True
         start = np.flatnonzero(new)
         length = np.diff(np.append(start, len(raw)))
-        place = np.arange(len(raw)) - np.repeat(start, length)
-        term = _BYTE[raw]
-        if length.max() > len(_PLACE):
-            term = mix(term + (place // len(_PLACE)).astype(U64) * U64(0x9E3779B97F4A7C15))
-        term = term * _PLACE[place & (len(_PLACE) - 1)]
-        h = mix(np.add.reduceat(term, start) + length.astype(U64))
-        del term, place
-        coded = pa.array(h.view(np.int64)).dictionary_encode()
-        kinds = coded.dictionary.to_pylist()
-        code = coded.indices.to_numpy().astype(np.int64)
+        h, pick, code = different(span_hash(raw, start, length))
         if len(self.index) > TABLE_UNITS:
             self.clear()
-        missing = [i for i, x in enumerate(kinds) if x not in self.index]
-        if missing:
-            first = np.zeros(len(kinds), np.int64)
-            first[code[::-1]] = np.arange(len(code))[::-1]
-            pick = first[missing]
-            self._learn(raw, h[pick].view(np.int64), start[pick], start[pick] + length[pick])
-        slot = np.array([self.index[x] for x in kinds], np.int64)[code]
+        slot = self.index.find(h)
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            pick = pick[missing]
+            self._learn(raw, h[missing], start[pick], start[pick] + length[pick])
+            slot = self.index.find(h)
+        slot = slot[code]
         sizes = self.size[slot]
         ids = self.store[ranges(self.begin[slot], sizes)]
         total = np.concatenate(([0], np.cumsum(sizes)))

@@ -39,6 +39,38 @@ def test_encoder_is_exact(tokenizer):
             assert ids[start[i - a] : start[i - a + 1]].tolist() == want
 
 
+def test_units_are_numbered_in_a_small_table():
+    """A table of units takes a few dozen bytes each (a dict of numbers takes over a hundred), and finds each of them."""
+    from assay.llm.common import Slots
+
+    rng = np.random.default_rng(1)
+    h, table = np.unique(rng.integers(-(2**62), 2**62, 300_000)), Slots(4)
+    h = rng.permutation(np.concatenate((h, np.arange(1000) << 40, [0, -1, 2**63 - 1, -(2**63)])))
+    h = h[np.sort(np.unique(h, return_index=True)[1])]
+    for part in np.array_split(h, 7):
+        assert (table.find(part) == -1).all()
+        table.add(part)
+    assert (table.find(h) == np.arange(len(h))).all() and len(table) == len(h)
+    assert table.hash.nbytes + table.slot.nbytes <= 50 * len(h)
+    assert (table.find(rng.integers(2**62, 2**63 - 2, 1000)) == -1).all()
+
+
+def test_span_hash():
+    """Equal bytes have equal hashes wherever they stand, different ones of any length have different ones."""
+    from assay.llm.common import span_hash
+
+    parts = [b"", b"\0", b"\0\0", b"a", b"ab", b"abcdefgh", b"abcdefgh\0", b"abcdefghi", b"x" * 64, b"x" * 65, b"x" * 9000, b"x" * 8999]
+    raw, start, length, at = b"", [], [], []
+    for i in [*range(len(parts)), *reversed(range(len(parts)))]:
+        raw += b"." * (i % 3)
+        start.append(len(raw))
+        length.append(len(parts[i]))
+        at.append(i)
+        raw += parts[i]
+    h = span_hash(np.frombuffer(raw, np.uint8), np.array(start), np.array(length)).tolist()
+    assert len(set(h)) == len(parts) == len(set(zip(at, h, strict=True)))
+
+
 def test_token_store(spark, documents, edges, empty, tokenizer):
     for df in (documents, edges):
         path = scratch_path(spark, "store")
