@@ -16,8 +16,9 @@ texts are streamed as queries, without comparing every document with every shard
    a window, in a wavelet matrix with packed bit vectors. Segments are then streamed by
    backward search: first the anchor that all windows of a segment contain - an interval
    of one suffix proves that the whole segment is unmatched - then each window, which
-   ends when its interval holds itself only. Intervals that reach ``window`` words are
-   reported with the smallest id in them.
+   ends when its interval holds itself only. Searches that have matched the same words
+   so far take a step once. Intervals that reach ``window`` words are reported with the
+   smallest id in them.
 3. Reports go back to the blocks, which still have the documents (the same shuffle),
    and each document's covered words are cut.
 
@@ -43,22 +44,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import (
-    PLAIN,
     U64,
     ceil_div,
     chunks,
     gram_hash,
-    joined_words,
     mix,
     ranges,
     run_starts,
     slide_min,
     small_batches,
+    span_hash,
     steady,
     string_buffer,
     table,
     text_bytes,
-    words,
 )
 
 WINDOW = 13
@@ -82,6 +81,48 @@ RESULT = pa.schema(
 )
 
 
+# ---- words ----------------------------------------------------------------------
+
+#: White space as blanks.
+_BLANKS = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+
+
+@dataclass
+class Line:
+    """The words of some documents, each followed by one blank; ``first[d]`` is the index of document d's first word."""
+
+    text: bytes
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+
+    @property
+    def hash(self) -> np.ndarray:
+        return span_hash(np.frombuffer(self.text, np.uint8), self.start, self.end - self.start)
+
+
+def line_of(buf: np.ndarray, offs: np.ndarray) -> Line:
+    """The words (runs of bytes other than ASCII white space) of documents in a buffer."""
+    raw = buf[int(offs[0]) : int(offs[-1])].tobytes()
+    offs = offs - offs[0]
+    edges = offs.tolist()
+    # a blank after each document, so that no word goes on in the next one
+    text = b" ".join([raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)] + [b""]).translate(_BLANKS)
+    data = np.frombuffer(text, np.uint8)
+    inside = data != 0x20
+    turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        turn = np.concatenate(([0], turn))
+    start, end = turn[::2], turn[1::2]
+    first = np.searchsorted(start, offs + np.arange(len(offs)))
+    size = np.cumsum(end - start + 1)
+    if len(text) != (int(size[-1]) if len(size) else 0):  # more white space than one blank a word
+        inside[end] = True
+        text = data[inside].tobytes()
+        start, end = size - (end - start + 1), size - 1
+    return Line(text, start, end, first)
+
+
 # ---- blocks ---------------------------------------------------------------------
 
 
@@ -97,6 +138,7 @@ class Block:
     owner: np.ndarray  # the smallest id that holds it
     size: np.ndarray  # its windows
     text: list[bytes]
+    lines: list[tuple[int, int, Line]]  # ranges of rows and their words
 
 
 def _in_sorted(x: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -122,31 +164,33 @@ def segments(
 ) -> Block:
     """The segments of a block; windows whose anchor is in ``hot`` (ascending) are segments by themselves."""
     parts: list[tuple[np.ndarray, ...]] = []
-    spans: list[tuple[bytes, np.ndarray, np.ndarray]] = []
+    lines: list[tuple[int, int, Line]] = []
+    before = 0
     for a, b in chunks(offs):
-        w = words(buf, offs[a : b + 1], PLAIN)
-        at, per_doc = run_starts(w.first, window)
-        if not len(at):
-            continue
-        anchor = slide_min(gram_hash(w.hash, k), window - k + 1)[at]
-        doc = np.repeat(np.arange(b - a), per_doc)
-        split = _in_sorted(anchor, hot)
-        begin = _segment_starts(at, anchor, doc, split)
-        count = np.diff(np.append(begin, len(at)))
-        first, length = at[begin], count + window - 1
-        digest = sequence_hash(w.hash, first, length)
-        d = doc[begin]
-        parts.append((d + a, first - w.first[d], count, digest, np.where(split[begin], digest, anchor[begin])))
-        if texts:
-            line, s, e = joined_words(buf, w, PLAIN)
-            spans.append((line, s[first], e[first + length - 1]))
+        line = line_of(buf, offs[a : b + 1])
+        lines.append((a, b, line))
+        at, per_doc = run_starts(line.first, window)
+        if len(at):
+            h = line.hash
+            anchor = slide_min(gram_hash(h, k), window - k + 1)[at]
+            doc = np.repeat(np.arange(b - a), per_doc)
+            split = _in_sorted(anchor, hot)
+            begin = _segment_starts(at, anchor, doc, split)
+            count = np.diff(np.append(begin, len(at)))
+            first, length = at[begin], count + window - 1
+            digest = sequence_hash(h, first, length)
+            d = doc[begin]
+            span = (line.start[first] + before, line.end[first + length - 1] + before)
+            parts.append((d + a, first - line.first[d], count, digest, np.where(split[begin], digest, anchor[begin]), *span))
+        before += len(line.text)
     if not parts:
         z = np.zeros(0, np.int64)
-        return Block(z, z, z, z, z, z, z, [])
-    row, word, count, digest, route = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return Block(z, z, z, z, z, z, z, [], lines)
+    row, word, count, digest, route, start, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     shard = (mix(route) % U64(shards)).astype(np.int64)
     _, pick, kind = np.unique(digest, return_index=True, return_inverse=True)
-    order = np.lexsort((digest[pick], shard[pick]))
+    order = np.argsort(shard[pick], kind="stable")  # by (shard, digest)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     kind, pick = back[kind], pick[order]
@@ -154,12 +198,9 @@ def segments(
     np.minimum.at(owner, kind, ids[row])
     text: list[bytes] = []
     if texts:
-        base = np.cumsum([0] + [len(s) for _, s, _ in spans])
-        which = np.searchsorted(base, pick, side="right") - 1
-        for c, i in zip(which.tolist(), (pick - base[which]).tolist(), strict=True):
-            line, s, e = spans[c]
-            text.append(line[s[i] : e[i]])
-    return Block(row, word, count, kind, shard[pick], owner, count[pick], text)
+        whole = b"".join([line.text for _, _, line in lines])
+        text = [whole[s:e] for s, e in zip(start[pick].tolist(), end[pick].tolist(), strict=True)]
+    return Block(row, word, count, kind, shard[pick], owner, count[pick], text, lines)
 
 
 def sequence_hash(h: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -167,8 +208,10 @@ def sequence_hash(h: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.nd
     if not len(first):
         return np.zeros(0, U64)
     before = np.concatenate(([0], np.cumsum(length)[:-1]))
-    place = np.arange(int(length.sum())) - np.repeat(before, length)
-    term = h[ranges(first, length)] * _PLACES[place % len(_PLACES)]
+    every = np.arange(int(length.sum()))
+    place = every - np.repeat(before, length)
+    term = h[every + np.repeat(first - before, length)]
+    term *= _PLACES[place & (len(_PLACES) - 1)]
     return mix(np.add.reduceat(term, before) + length.astype(U64))
 
 
@@ -192,14 +235,15 @@ def count_segments(window: int, k: int):
         for batch in batches:
             buf, offs = string_buffer(batch.column("text"))
             for a, b in chunks(offs):
-                w = words(buf, offs[a : b + 1], PLAIN)
-                at, per_doc = run_starts(w.first, window)
+                line = line_of(buf, offs[a : b + 1])
+                at, per_doc = run_starts(line.first, window)
                 if not len(at):
                     continue
-                anchor = slide_min(gram_hash(w.hash, k), window - k + 1)[at]
+                h = line.hash
+                anchor = slide_min(gram_hash(h, k), window - k + 1)[at]
                 begin = _segment_starts(at, anchor, np.repeat(np.arange(b - a), per_doc), np.zeros(len(at), bool))
                 length = np.diff(np.append(begin, len(at))) + window - 1
-                digest, pick = np.unique(sequence_hash(w.hash, at[begin], length), return_index=True)
+                digest, pick = np.unique(sequence_hash(h, at[begin], length), return_index=True)
                 both = (anchor[begin][pick].view(np.int64), digest.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["anchor", "digest"])
 
@@ -233,34 +277,47 @@ def send_segments(shards: int, window: int, k: int, hot: np.ndarray):
 # ---- the index of a shard ----------------------------------------------------------
 
 
-def _order(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions by (first, second, position), and each position's rank by (first, second)."""
-    n = len(first)
-    width = max(int(n).bit_length(), 1)
-    top = int(max(first.max(), second.max())) + 1
-    if 2 * top.bit_length() + width <= 64:  # one sort of packed keys
-        key = (first.astype(U64) << U64(top.bit_length())) | second.astype(U64)
-        packed = np.sort((key << U64(width)) | np.arange(n, dtype=U64))
-        order = (packed & U64((1 << width) - 1)).astype(np.int64)
-        key = packed >> U64(width)
-        new = key[1:] != key[:-1]
+def _sorted(first: np.ndarray, second: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """``at`` by (first, second, at), and where a pair of first and second begins; no number is above ``top``."""
+    width = top.bit_length()
+    if 3 * width <= 64:  # one sort of packed keys
+        w, w2 = U64(width), U64(2 * width)
+        packed = np.sort((first.astype(U64) << w2) | (second.astype(U64) << w) | at.astype(U64))
+        at = (packed & U64((1 << width) - 1)).astype(np.int64)
+        packed >>= w
+        new = packed[1:] != packed[:-1]
     else:
-        order = np.lexsort((second, first))
-        new = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.concatenate(([0], np.cumsum(new)))
-    return order, rank
+        order = np.lexsort((at, second, first))
+        first, second, at = first[order], second[order], at[order]
+        new = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    return at, np.concatenate(([True], new))
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions sorted by their first ``depth`` symbols (at least), then by position; 0 follows the end."""
-    shifted = lambda r, by: np.concatenate((r[by:] + 1, np.zeros(min(by, len(r)), np.int64)))
-    rank, reach = text.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while reach < depth:
+    """Positions sorted by their first ``depth`` symbols, then by position; 0 follows the end.
+
+    By doubling. A rank is the place of the first position with the same symbols so far, so a
+    position that is alone keeps its rank, and only the others are sorted again.
+    """
+    n, reach = len(text), 1
+    count = np.bincount(text)
+    rank = (np.cumsum(count) - count)[text]
+    spot = at = order = np.arange(n)
+    while reach < depth and len(at):
         step = min(reach, depth - reach)
-        order, rank = _order(rank + 1, shifted(rank, step))
+        after = at + step
+        follow = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        at, new = _sorted(rank[at], follow, at, n)
+        if reach == 1:
+            order = at
+        else:
+            order[spot] = at
         reach += step
+        if reach < depth:
+            begin = np.flatnonzero(new)
+            rank[at] = np.repeat(spot[begin], np.diff(np.append(begin, len(at))))
+            many = ~(new & np.append(new[1:], True))
+            spot, at = spot[many], at[many]
     return order
 
 
@@ -272,8 +329,7 @@ class WaveletMatrix:
         self.bits, self.ones, self.zeros = [], [], []
         a = symbols.astype(np.uint32)
         for level in range(levels - 1, -1, -1):
-            bit = (a >> np.uint32(level)) & np.uint32(1)
-            flags = bit.astype(bool)
+            flags = ((a >> np.uint32(level)) & np.uint32(1)).astype(bool)
             packed = np.packbits(flags, bitorder="little")
             packed = np.concatenate((packed, np.zeros(-len(packed) % 8 + 8, np.uint8))).view(U64)
             ones = np.zeros(len(packed) + 1, np.int64)
@@ -281,21 +337,22 @@ class WaveletMatrix:
             self.bits.append(packed)
             self.ones.append(ones)
             self.zeros.append(self.n - int(ones[-1]))
-            a = np.concatenate((a[~flags], a[flags]))
+            a = a[np.concatenate((np.flatnonzero(~flags), np.flatnonzero(flags)))]
         # where each symbol's run starts after the last level
-        self.start = {}
+        run = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
+        self.start = np.zeros(1 << levels, np.int64)
+        self.start[a[run]] = run
 
-    def rank(self, symbol: np.ndarray, upto: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences of each symbol before ``upto`` and before ``base`` (as positions in the last level)."""
-        i, j = upto, base
+    def rank(self, symbol: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """Occurrences of each symbol before ``upto``."""
+        at = upto
         for level in range(self.levels):
-            bits, ones = self.bits[level], self.ones[level]
-            one = ((symbol >> (self.levels - 1 - level)) & 1).astype(bool)
-            ri = ones[i >> 6] + np.bitwise_count(bits[i >> 6] & ((U64(1) << (i & 63).astype(U64)) - U64(1)))
-            rj = ones[j >> 6] + np.bitwise_count(bits[j >> 6] & ((U64(1) << (j & 63).astype(U64)) - U64(1)))
-            i = np.where(one, ri + self.zeros[level], i - ri)
-            j = np.where(one, rj + self.zeros[level], j - rj)
-        return i, j
+            word = at >> 6
+            below = (U64(1) << (at & 63).view(U64)) - U64(1)
+            ones = self.ones[level][word] + np.bitwise_count(self.bits[level][word] & below)
+            one = (symbol & (1 << (self.levels - 1 - level))) != 0
+            at = np.where(one, ones + self.zeros[level], at - ones)
+        return at - self.start[symbol]
 
 
 class FMIndex:
@@ -306,15 +363,13 @@ class FMIndex:
         self.before = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols + 1))))
         levels = max(1, int(symbols).bit_length())
         self.bwt = WaveletMatrix(text[self.order - 1], levels)
-        # a symbol's run in the last level starts where a rank from 0 leads
-        every = np.arange(symbols + 1)
-        zero = np.zeros(symbols + 1, np.int64)
-        self.shift = self.before[:-1] - self.bwt.rank(every, zero, zero)[0]
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One backward step of many searches."""
-        a, b = self.bwt.rank(symbol, lo, hi)
-        return a + self.shift[symbol], b + self.shift[symbol]
+        """One backward step of many searches, taken once for those that have matched the same symbols."""
+        _, pick, same = np.unique(symbol * (self.bwt.n + 1) + lo, return_index=True, return_inverse=True)
+        symbol = np.tile(symbol[pick], 2)
+        at = self.bwt.rank(symbol, np.concatenate((lo[pick], hi[pick]))) + self.before[symbol]
+        return at[: len(pick)][same], at[len(pick) :][same]
 
     def search(self, text: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Backward search of text[start : start + length]: (which still match elsewhere, lo, hi).
@@ -344,14 +399,12 @@ def search_shard(window: int, k: int):
         joined = b"\n".join(lines) + b"\n"
         del lines
         buf = np.frombuffer(joined, np.uint8)
-        offs = np.concatenate(([0], np.flatnonzero(buf == 0x0A) + 1))
-        w_hash, first = [], [np.zeros(1, np.int64)]
-        for a, b in chunks(offs):
-            w = words(buf, offs[a : b + 1], PLAIN)
-            w_hash.append(w.hash)
-            first.append(w.first[1:] + first[-1][-1])
-        h, first = np.concatenate(w_hash), np.concatenate(first)
-        del w_hash, buf, joined
+        # a blank follows each word, a line feed the last one of a segment
+        end = np.flatnonzero((buf == 0x20) | (buf == 0x0A))
+        first = np.concatenate(([0], np.flatnonzero(buf[end] == 0x0A) + 1))
+        start = np.concatenate(([0], end[:-1] + 1))
+        h = span_hash(buf, start, end - start)
+        del buf, joined, start, end
         length = np.diff(first)
         digest = sequence_hash(h, first[:-1], length)
         _, pick, kind = np.unique(digest, return_index=True, return_inverse=True)
@@ -385,12 +438,10 @@ def search_shard(window: int, k: int):
         of = np.repeat(seg, windows[seg])
         live, lo, hi = index.search(text, begin[of] + place, window)
         if len(live):
-            holder = np.repeat(np.append(least, 0), np.append(length + 1, 0))[index.order]
-            ivl, inverse = np.unique(lo, return_inverse=True)
-            end = np.zeros(len(ivl), np.int64)
-            end[inverse] = hi
-            edges = np.stack((ivl, end), axis=1).ravel()
-            low = np.minimum.reduceat(np.append(holder, np.iinfo(np.int64).max), edges)[::2]
+            ivl, pick, inverse = np.unique(lo, return_index=True, return_inverse=True)
+            size = hi[pick] - ivl
+            holder = np.searchsorted(begin, index.order[ranges(ivl, size)], side="right") - 1
+            low = np.minimum.reduceat(least[holder], np.cumsum(size) - size)
             spot = base[of[live]] + place[live]
             best[spot] = np.minimum(best[spot], low[inverse])
 
@@ -429,20 +480,24 @@ def cut_block(shards: int, window: int, k: int, hot: np.ndarray):
             spot = base[np.searchsorted(block.shard, shard) + entry] + at
             best[spot] = np.minimum(best[spot], low)
         # occurrences of windows that a smaller id has
-        each = np.repeat(np.arange(len(block.row)), block.windows)
-        at = ranges(np.zeros(len(block.row), np.int64), block.windows)
+        if len(block.row):
+            lowest = np.minimum.reduceat(best, base[:-1])
+            some = np.flatnonzero(lowest[block.kind] < ids[block.row])
+        else:
+            some = np.zeros(0, np.int64)
+        each = np.repeat(some, block.windows[some])
+        at = ranges(np.zeros(len(some), np.int64), block.windows[some])
         hit = best[base[block.kind[each]] + at] < ids[block.row[each]]
         row, word = block.row[each[hit]], (block.word[each] + at)[hit]
         out: dict[str, list] = {f.name: [] for f in RESULT}
-        for a, b in chunks(offs):
-            w = words(buf, offs[a : b + 1], PLAIN, hashed=False)
+        for a, b, w in block.lines:
+            text, s, e = w.text, w.start, w.end
             mine = (row >= a) & (row < b)
             start = w.first[row[mine] - a] + word[mine]
-            cover = np.zeros(len(w.start) + 1, np.int64)
+            cover = np.zeros(len(s) + 1, np.int64)
             np.add.at(cover, start, 1)
             np.add.at(cover, start + window, -1)
             gone = np.cumsum(cover[:-1]) > 0
-            text, s, e = joined_words(buf, w, PLAIN)
             lost = np.concatenate(([0], np.cumsum(gone)))
             for d in range(b - a):
                 x, y = int(w.first[d]), int(w.first[d + 1])

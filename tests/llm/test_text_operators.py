@@ -71,6 +71,32 @@ def test_substrings_split_a_hot_anchor(spark):
     assert largest[0] >= 300 and largest[1] < 2.5 * len(shards[1]) / 40
 
 
+def test_substrings_beside_a_very_long_word(spark):
+    """A word's hash does not depend on the length of other words of its block."""
+    shared = " ".join(f"w{j}" for j in range(20))
+    rows = [(i, f"a{i} {shared}  b{i}" + (" " + "x" * 5000 if i == 7 else "")) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, dedup_substrings(docs, block_bytes=1_000, shard_words=500).collect())) == brute_substrings(rows)
+
+
+def test_substrings_sort_ties_only(monkeypatch):
+    """Suffixes are in order to the depth of a window, and those that are told apart are not sorted again."""
+    text = np.random.default_rng(3).integers(1, 5000, 8000)
+    text[4000:4200], text[6000:6100], text[::17] = text[:200], 7, 0
+    entries = []
+    for name in ("sort", "argsort", "lexsort"):
+        real = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda x, *a, real=real, **k: entries.append(np.size(x)) or real(x, *a, **k))
+    order = substring_dedup.suffix_order(text, 13)
+    monkeypatch.undo()
+    symbols = text.tolist()
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: (symbols[i : i + 13], i))
+    assert len(text) <= sum(entries) < 2 * len(text)
+    first, second, at = text % 5, text % 3, np.arange(len(text))
+    for x, y in zip(substring_dedup._sorted(first, second, at, 8000), substring_dedup._sorted(first, second, at, 1 << 30), strict=True):
+        assert (x == y).all()
+
+
 # ---- decontamination ----------------------------------------------------------------
 
 
